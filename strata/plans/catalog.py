@@ -276,3 +276,100 @@ def rename_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_per_key(ds.transactions(spark, sf_dir), "customer_id",
                                order_by=["txn_date", "txn_id"])
+
+
+# --- data quality ----------------------------------------------------------
+
+from strata.operators import quality  # noqa: E402
+
+QUALITY_CHECKS = [
+    {"name": "no_null_customer_ids", "column": "customer_id", "rule": "not_null",
+     "severity": "critical"},
+    {"name": "valid_email_format", "column": "email", "rule": "regex",
+     "pattern": r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$", "severity": "warning"},
+    {"name": "amount_above_floor", "column": "amount", "rule": "greater_than", "value": 5,
+     "severity": "critical"},
+    {"name": "known_event_type", "column": "event_type", "rule": "regex",
+     "pattern": "^(view|click|purchase|signup)$", "severity": "critical"},
+    {"name": "no_late_dates", "column": "event_date", "rule": "less_than_or_equal",
+     "value": "DATE '2024-01-25'", "severity": "warning"},
+    {"name": "unique_event_id", "column": "event_id", "rule": "unique", "severity": "critical"},
+    {"name": "one_event_per_user", "column": "customer_id", "rule": "unique",
+     "severity": "warning"},
+    {"name": "session_present", "column": "k", "rule": "not_null", "severity": "warning"},
+]
+QUARANTINE_TS_FIXED = "2024-02-01 00:00:00"
+
+
+def _quality_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = columns.parse_event_properties(ds.events(spark, sf_dir), keys=["k"])
+    return ev.withColumn("event_date", F.to_date("event_timestamp").cast("string"))
+
+
+def _validation(spark: SparkSession, sf_dir: str) -> quality.Validation:
+    return quality.run_checks(_quality_input(spark, sf_dir), QUALITY_CHECKS,
+                              run_ts=QUARANTINE_TS_FIXED)
+
+
+QUALITY_FLAGS_SQL = """q AS (
+  SELECT event_id, user_id AS customer_id, event_type, ts AS event_timestamp,
+         value AS amount, json_extract_string(props, '$.k') AS k,
+         CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date
+  FROM events),
+f AS (
+  SELECT *, coalesce(customer_id IS NULL, false) AS f1,
+         coalesce(amount <= 5 OR amount IS NULL, false) AS f3,
+         coalesce(NOT regexp_matches(event_type, '^(view|click|purchase|signup)$'), false) AS f4,
+         coalesce(TRY_CAST(event_date AS DATE) > DATE '2024-01-25', false) AS f5,
+         coalesce(k IS NULL, false) AS f8
+  FROM q)"""
+
+
+def _report_row(pos, name, col, rule, sev, status, total, failing):
+    rate = "NULL" if failing == "NULL" else f"round((1 - {failing} / greatest({total}, 1)) * 100, 2)"
+    return (f"SELECT {pos} AS position, '{name}' AS \"check\", '{col}' AS \"column\", "
+            f"'{rule}' AS rule, '{sev}' AS severity, '{status}' AS status, "
+            f"CAST({total} AS BIGINT) AS total_rows, CAST({failing} AS BIGINT) AS failing_rows, "
+            f"CAST({rate} AS DOUBLE) AS pass_rate")
+
+
+_ALIVE_AT_6 = "NOT (f1 OR f3 OR f4)"
+
+QUALITY_REPORT_SQL = f"""WITH {QUALITY_FLAGS_SQL},
+tot AS (SELECT count(*) AS n, count_if(f1) AS c1, count_if(f3 AND NOT f1) AS c3,
+               count_if(f4 AND NOT (f1 OR f3)) AS c4, count_if(f5 AND NOT (f1 OR f3 OR f4)) AS c5,
+               count_if(f8 AND NOT (f1 OR f3 OR f4)) AS c8 FROM f),
+u6 AS (SELECT count_if(na > 1) AS c, coalesce(sum(n), 0) AS n FROM (
+         SELECT event_id, count_if({_ALIVE_AT_6}) AS na, count(*) AS n FROM f GROUP BY event_id)),
+u7 AS (SELECT count_if(na > 1) AS c, coalesce(sum(n), 0) AS n FROM (
+         SELECT customer_id, count_if({_ALIVE_AT_6}) AS na, count(*) AS n FROM f GROUP BY customer_id))
+{_report_row(1, 'no_null_customer_ids', 'customer_id', 'not_null', 'critical', 'ok', 'n', 'c1')} FROM tot
+UNION ALL {_report_row(2, 'valid_email_format', 'email', 'regex', 'warning', 'skipped', 'n', 'NULL')} FROM tot
+UNION ALL {_report_row(3, 'amount_above_floor', 'amount', 'greater_than', 'critical', 'ok', 'n', 'c3')} FROM tot
+UNION ALL {_report_row(4, 'known_event_type', 'event_type', 'regex', 'critical', 'ok', 'n', 'c4')} FROM tot
+UNION ALL {_report_row(5, 'no_late_dates', 'event_date', 'less_than_or_equal', 'warning', 'ok', 'n', 'c5')} FROM tot
+UNION ALL {_report_row(6, 'unique_event_id', 'event_id', 'unique', 'critical', 'ok', 'n', 'c')} FROM u6
+UNION ALL {_report_row(7, 'one_event_per_user', 'customer_id', 'unique', 'warning', 'ok', 'n', 'c')} FROM u7
+UNION ALL {_report_row(8, 'session_present', 'k', 'not_null', 'warning', 'ok', 'n', 'c8')} FROM tot"""
+
+
+@register("quality_report", QUALITY_REPORT_SQL)
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _validation(spark, sf_dir).report_frame()
+
+
+@register("quality_clean", f"""WITH {QUALITY_FLAGS_SQL}
+SELECT event_id, customer_id, event_type, event_timestamp, amount, k, event_date
+FROM f WHERE NOT (f1 OR f3 OR f4)""")
+def quality_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _validation(spark, sf_dir).clean
+
+
+@register("quality_quarantine", f"""WITH {QUALITY_FLAGS_SQL}
+SELECT event_id, customer_id, event_type, event_timestamp, amount, k, event_date,
+       CASE WHEN f1 THEN 'no_null_customer_ids' WHEN f3 THEN 'amount_above_floor'
+            ELSE 'known_event_type' END AS _quality_check,
+       TIMESTAMP '{QUARANTINE_TS_FIXED}' AS _quarantine_ts
+FROM f WHERE f1 OR f3 OR f4""")
+def quality_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _validation(spark, sf_dir).quarantine
