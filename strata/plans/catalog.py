@@ -373,3 +373,131 @@ SELECT event_id, customer_id, event_type, event_timestamp, amount, k, event_date
 FROM f WHERE f1 OR f3 OR f4""")
 def quality_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validation(spark, sf_dir).quarantine
+
+
+# --- merge / versioned tables ----------------------------------------------
+
+from strata.session import scratch_path  # noqa: E402
+from strata.sinks import tables  # noqa: E402
+
+
+def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upserts derived from the tables: BUILDING customers re-priced and renamed
+    (updates), suppliers as new customers under negative keys (inserts), those
+    of nation 0 with a NULL key (never match, always inserted)."""
+    cust = ds.customers(spark, sf_dir)
+    updates = cust.filter(F.col("status") == "BUILDING").select(
+        "customer_id", F.upper("first_name").alias("first_name"), "region", "status",
+        (F.col("balance") + 100).alias("balance"))
+    sup = ds.table(spark, sf_dir, "supplier")
+    inserts = sup.select(
+        F.when(F.col("s_nationkey") == 0, F.lit(None)).otherwise(-F.col("s_suppkey") - 1)
+        .cast("long").alias("customer_id"),
+        F.col("s_name").alias("first_name"), F.lit(None).cast("string").alias("region"),
+        F.lit("SUPPLIER").alias("status"), F.col("s_acctbal").alias("balance"))
+    return updates.unionByName(inserts)
+
+
+MERGE_SRC_SQL = """src AS (
+  SELECT customer_id, upper(first_name) AS first_name, region, status, balance + 100 AS balance
+  FROM cust WHERE status = 'BUILDING'
+  UNION ALL
+  SELECT CAST(CASE WHEN s_nationkey = 0 THEN NULL ELSE -s_suppkey - 1 END AS BIGINT),
+         s_name, CAST(NULL AS VARCHAR), 'SUPPLIER', s_acctbal
+  FROM supplier)"""
+
+MERGE_ALL_SQL = f"""WITH {CUST_SQL}, {MERGE_SRC_SQL}
+SELECT c.* FROM cust c
+WHERE c.customer_id IS NULL
+   OR c.customer_id NOT IN (SELECT customer_id FROM src WHERE customer_id IS NOT NULL)
+UNION ALL SELECT * FROM src"""
+
+
+@register("merge_all", MERGE_ALL_SQL)
+def merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.merge_frames(ds.customers(spark, sf_dir), merge_source(spark, sf_dir),
+                               "customer_id").drop(tables.ACTION)
+
+
+@register("merge_columns", f"""WITH {CUST_SQL}, {MERGE_SRC_SQL}
+SELECT c.customer_id, c.first_name, c.region, c.status,
+       CASE WHEN s.customer_id IS NOT NULL THEN s.balance ELSE c.balance END AS balance
+FROM cust c LEFT JOIN src s ON c.customer_id = s.customer_id
+UNION ALL
+SELECT * FROM src s
+WHERE s.customer_id IS NULL
+   OR s.customer_id NOT IN (SELECT customer_id FROM cust WHERE customer_id IS NOT NULL)""")
+def merge_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.merge_frames(ds.customers(spark, sf_dir), merge_source(spark, sf_dir),
+                               "customer_id", columns=["balance"]).drop(tables.ACTION)
+
+
+@register("merge_delete", f"""WITH {CUST_SQL}, {MERGE_SRC_SQL} SELECT * FROM src""")
+def merge_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.merge_frames(ds.customers(spark, sf_dir), merge_source(spark, sf_dir),
+                               "customer_id", delete_unmatched=True).drop(tables.ACTION)
+
+
+@register("merge_upsert_table", MERGE_ALL_SQL)
+def merge_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge into a stored table twice: the first call creates it, the second
+    upserts; the latest version is read back."""
+    path = scratch_path(spark, "merge_upsert")
+    tables.merge_upsert(ds.customers(spark, sf_dir), path, "customer_id",
+                        partition_by=["region"])
+    tables.merge_upsert(merge_source(spark, sf_dir), path, "customer_id")
+    return tables.read_version(spark, path)
+
+
+ORDERS_SQL = """SELECT o_orderkey AS txn_id, o_custkey AS customer_id, o_totalprice AS amount,
+       o_orderdate AS txn_date, o_orderstatus AS status FROM orders"""
+
+
+def _orders_by_status(spark: SparkSession, sf_dir: str, *status: str) -> DataFrame:
+    return ds.transactions(spark, sf_dir).filter(F.col("status").isin(*status))
+
+
+def _time_travel_table(spark: SparkSession, sf_dir: str) -> str:
+    """v0 snapshot of F orders, v1 append of O, v2 append of P, v3 overwrite
+    with re-priced F orders."""
+    path = scratch_path(spark, "time_travel")
+    tables.write_table(_orders_by_status(spark, sf_dir, "F"), path, "overwrite",
+                       partition_by=["status"])
+    tables.write_table(_orders_by_status(spark, sf_dir, "O"), path, "append")
+    tables.write_table(_orders_by_status(spark, sf_dir, "P"), path, "append")
+    repriced = _orders_by_status(spark, sf_dir, "F").withColumn("amount", F.col("amount") * 2)
+    tables.write_table(repriced, path, "overwrite")
+    return path
+
+
+@register("append_then_as_of", f"SELECT * FROM ({ORDERS_SQL}) WHERE status IN ('F', 'O')")
+def append_then_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_version(spark, _time_travel_table(spark, sf_dir), version=1)
+
+
+@register("overwrite_as_of", f"""SELECT txn_id, customer_id, amount * 2 AS amount, txn_date, status
+FROM ({ORDERS_SQL}) WHERE status = 'F'""")
+def overwrite_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_version(spark, _time_travel_table(spark, sf_dir))
+
+
+@register("partition_overwrite", f"""SELECT txn_id, customer_id,
+       CASE WHEN status = 'F' THEN amount * 2 ELSE amount END AS amount, txn_date, status
+FROM ({ORDERS_SQL})""")
+def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "partition_overwrite")
+    tables.write_table(ds.transactions(spark, sf_dir), path, "overwrite", partition_by=["status"])
+    repriced = _orders_by_status(spark, sf_dir, "F").withColumn("amount", F.col("amount") * 2)
+    tables.overwrite_partitions(repriced, path)
+    return tables.read_version(spark, path)
+
+
+@register("compact_same_rows", ORDERS_SQL)
+def compact_same_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three appends of many small files each, then compaction."""
+    path = scratch_path(spark, "compact")
+    for status in ("F", "O", "P"):
+        tables.write_table(_orders_by_status(spark, sf_dir, status).repartition(8), path,
+                           "append", partition_by=["status"])
+    tables.compact(spark, path)
+    return tables.read_version(spark, path)
