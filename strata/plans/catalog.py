@@ -501,3 +501,96 @@ def compact_same_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "append", partition_by=["status"])
     tables.compact(spark, path)
     return tables.read_version(spark, path)
+
+
+# --- sources, records, sinks -----------------------------------------------
+
+from strata.plans import fixtures  # noqa: E402
+from strata.schemas import EVENT_SCHEMA  # noqa: E402
+from strata.sources import files as src_files  # noqa: E402
+from strata.sources import records as src_records  # noqa: E402
+
+
+def _json_scan(spark: SparkSession, sf_dir: str):
+    path = fixtures.write_event_json(spark, sf_dir, scratch_path(spark, "events_json"))
+    raw = src_files.read_json_lines(spark, path, EVENT_SCHEMA)
+    return src_files.split_corrupt(raw)
+
+
+@register("json_scan_split", """SELECT CAST(event_id AS VARCHAR) AS event_id,
+       CAST(user_id AS VARCHAR) AS customer_id, event_type,
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, ts AS event_timestamp,
+       props AS properties FROM events
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM events WHERE event_type = 'signup'""")
+def json_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _json_scan(spark, sf_dir)[0]
+
+
+@register("json_corrupt_rows", """SELECT '{"event_id": "' || CAST(event_id AS VARCHAR)
+       || '", "broken": ' AS _corrupt_record FROM events WHERE event_type = 'error'""")
+def json_corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _json_scan(spark, sf_dir)[1].select("_corrupt_record")
+
+
+CSV_GOOD_SQL = """good AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_mktsegment AS status,
+         replace(c_name, '#', '.') || '@Example.Com ' AS email, c_name AS username,
+         CAST(c_acctbal AS VARCHAR) AS balance, CAST(c_nationkey AS VARCHAR) AS nation,
+         row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS _row_number
+  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')"""
+
+
+def _customer_scan(spark: SparkSession, sf_dir: str) -> src_records.RecordScan:
+    path = fixtures.write_customer_csv(spark, sf_dir, scratch_path(spark, "customers_csv"))
+    return src_records.read_csv_records(spark, path, "customers", recursive=True)
+
+
+@register("csv_records", f"""WITH {CSV_GOOD_SQL}
+SELECT user_id, status, email, username, balance, nation, _row_number,
+       'customers-' || CAST(_row_number AS VARCHAR) AS ID, 'customers' AS Source
+FROM good""")
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _customer_scan(spark, sf_dir).records.drop("_file", "Timestamp")
+
+
+@register("csv_rejects", """SELECT CAST(c_custkey AS VARCHAR) AS user_id,
+       CAST(c_custkey AS VARCHAR) || ',HOUSEHOLD,x, '
+       || replace(c_name, '#', '.') || '@Example.Com ,' || c_name || ','
+       || CAST(c_acctbal AS VARCHAR) || ',' || CAST(c_nationkey AS VARCHAR) AS _corrupt_record,
+       'field count differs from header' AS _error, 'customers' AS Source
+FROM customer WHERE c_mktsegment = 'HOUSEHOLD'""")
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _customer_scan(spark, sf_dir).rejects.select("user_id", "_corrupt_record", "_error",
+                                                        "Source")
+
+
+SUPPLIER_RECS_SQL = """srecs AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS user_id, s_name AS username,
+         CAST(s_acctbal AS VARCHAR) AS balance, CAST(s_nationkey AS VARCHAR) AS nation
+  FROM supplier)"""
+
+
+@register("union_sources", f"""WITH {RECORDS_SQL}, {SUPPLIER_RECS_SQL}
+SELECT user_id, status, email, username, balance, nation, 'customers' AS Source FROM recs
+UNION ALL
+SELECT user_id, NULL, NULL, username, balance, nation, 'suppliers' FROM srecs""")
+def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src_records.union_sources({"customers": ds.customer_records(spark, sf_dir),
+                                      "suppliers": ds.supplier_records(spark, sf_dir)})
+
+
+@register("ndjson_roundtrip", f"""WITH {RECORDS_SQL}
+SELECT 'customers-' || user_id AS ID, 'customers' AS Source, user_id, status, email,
+       username, balance, nation FROM recs""")
+def ndjson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sinks.files import write_ndjson
+    from strata.streaming.records import read_ndjson_records
+    recs = ds.customer_records(spark, sf_dir)
+    recs = recs.withColumns({"ID": F.concat(F.lit("customers-"), F.col("user_id")),
+                             "Source": F.lit("customers")})
+    path = scratch_path(spark, "ndjson")
+    write_ndjson(recs, path)
+    back = read_ndjson_records(spark, path)
+    fields = ["user_id", "status", "email", "username", "balance", "nation"]
+    return back.select("ID", "Source", *[F.col("Data")[f].alias(f) for f in fields])
