@@ -594,3 +594,105 @@ def ndjson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = read_ndjson_records(spark, path)
     fields = ["user_id", "status", "email", "username", "balance", "nation"]
     return back.select("ID", "Source", *[F.col("Data")[f].alias(f) for f in fields])
+
+
+# --- record flow (batch and stream) ------------------------------------------
+
+from strata.plans.records import RecordFlow, run_records  # noqa: E402
+from strata.streaming.records import read_ndjson_records, run_record_stream  # noqa: E402
+
+FLOW_CONFIG = [
+    {"name": "positive_balance", "operation": "filter",
+     "config": {"field": "balance", "operator": "gt", "value": "0"}},
+    {"name": "normalize_contact", "operation": "normalize",
+     "config": {"fields": ["email", "username"]}},
+    {"name": "one_per_nation", "operation": "deduplicate", "config": {"key_field": "nation"}},
+]
+FLOW_FIELDS = ["user_id", "status", "email", "username", "balance", "nation"]
+
+
+def _flow_sources(spark: SparkSession, sf_dir: str) -> list[dict]:
+    cpath = fixtures.write_customer_csv(spark, sf_dir, scratch_path(spark, "flow_customers"))
+    spath = fixtures.write_supplier_csv(spark, sf_dir, scratch_path(spark, "flow_suppliers"))
+    return [{"name": "customers", "location": cpath + "/*/*/*.txt"},
+            {"name": "suppliers", "location": spath}]
+
+
+def _run_flow(spark: SparkSession, sf_dir: str):
+    out = scratch_path(spark, "flow_out")
+    metrics = run_records(spark, _flow_sources(spark, sf_dir), RecordFlow.from_config(FLOW_CONFIG),
+                          out, dead_letter_path=scratch_path(spark, "flow_dead_letter"))
+    return out, metrics
+
+
+FLOW_SQL = f"""WITH {CSV_GOOD_SQL}, {SUPPLIER_RECS_SQL},
+srecs_n AS (SELECT *, row_number() OVER (ORDER BY CAST(user_id AS BIGINT)) AS _row_number FROM srecs),
+allr AS (
+  SELECT user_id, status, email, username, balance, nation, _row_number, 'customers' AS Source
+  FROM good
+  UNION ALL
+  SELECT user_id, NULL AS status, NULL AS email, username, balance, nation, _row_number,
+         'suppliers' FROM srecs_n),
+kept AS (SELECT * FROM allr WHERE NOT isnan({go_float_sql('balance')}) AND {go_float_sql('balance')} > 0)
+SELECT ID, Source, user_id, status, email, username, balance, nation FROM (
+  SELECT Source || '-' || CAST(_row_number AS VARCHAR) AS ID, Source, user_id, status,
+         regexp_replace(lower(email), '^\\s+|\\s+$', '', 'g') AS email,
+         regexp_replace(lower(username), '^\\s+|\\s+$', '', 'g') AS username, balance, nation,
+         row_number() OVER (PARTITION BY nation ORDER BY _row_number, Source) AS rn
+  FROM kept) WHERE rn = 1"""
+
+
+@register("record_flow_batch", FLOW_SQL)
+def record_flow_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV customers and suppliers -> filter -> normalize -> first per nation
+    -> NDJSON, read back."""
+    out, _ = _run_flow(spark, sf_dir)
+    back = read_ndjson_records(spark, out)
+    return back.select("ID", "Source", *[F.col("Data")[f].alias(f) for f in FLOW_FIELDS])
+
+
+@register("run_metrics", f"""WITH {CSV_GOOD_SQL}, {SUPPLIER_RECS_SQL},
+written AS (SELECT count(*) AS n FROM ({FLOW_SQL})),
+rd AS (SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) AS n),
+rj AS (SELECT count(*) AS n FROM customer WHERE c_mktsegment = 'HOUSEHOLD')
+SELECT rd.n AS records_read, written.n AS records_written,
+       rd.n - written.n - rj.n AS records_filtered, rj.n AS records_rejected,
+       CAST(1 AS BIGINT) AS batches_processed
+FROM rd, written, rj""")
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, metrics = _run_flow(spark, sf_dir)
+    return metrics.as_frame(spark)
+
+
+def _stream_inputs(spark: SparkSession, sf_dir: str) -> str:
+    """Two batches of CSV files: nations below 12 first, the rest second;
+    every BUILDING customer is in both, so keys repeat across files."""
+    recs = ds.customer_records(spark, sf_dir).select(*FLOW_FIELDS)
+    low = F.col("nation").cast("int") < 12
+    building = F.col("status") == "BUILDING"
+    root = scratch_path(spark, "stream_in")
+    recs.filter(low | building).write.options(header="true").csv(f"{root}/a")
+    recs.filter(~low | building).write.options(header="true").csv(f"{root}/b")
+    return root
+
+
+STREAM_FLOW = [
+    {"name": "normalize_contact", "operation": "normalize",
+     "config": {"fields": ["email", "username"]}},
+    {"name": "one_per_user", "operation": "deduplicate", "config": {"key_field": "user_id"}},
+]
+
+
+@register("stream_records", f"""WITH {RECORDS_SQL}
+SELECT user_id, regexp_replace(lower(email), '^\\s+|\\s+$', '', 'g') AS email,
+       regexp_replace(lower(username), '^\\s+|\\s+$', '', 'g') AS username FROM recs""")
+def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming over the two file batches (one file per trigger),
+    stateful dedup on user_id, idempotent foreachBatch sink; read back."""
+    root = _stream_inputs(spark, sf_dir)
+    out = scratch_path(spark, "stream_out")
+    run_record_stream(spark, f"{root}/*/", FLOW_FIELDS, "customers",
+                      RecordFlow.from_config(STREAM_FLOW), out,
+                      checkpoint=scratch_path(spark, "stream_ckpt"))
+    back = read_ndjson_records(spark, out)
+    return back.select(*[F.col("Data")[f].alias(f) for f in ("user_id", "email", "username")])

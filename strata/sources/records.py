@@ -44,6 +44,17 @@ def csv_header(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
                               recursiveFileLookup=str(recursive).lower()).csv(paths).columns
 
 
+def malformed_text(header: Sequence[str]):
+    """``_corrupt_record``, written so that it also reads a data column.
+
+    Spark refuses a raw CSV/JSON scan whose query reads only the corrupt
+    column (e.g. ``count()`` of good rows). ``length(x) < 0`` is never true
+    but the optimizer cannot fold it, so the first field stays in the scan.
+    """
+    first = F.col(header[0])
+    return F.coalesce(F.col(CORRUPT), F.when(F.length(first) < 0, F.lit("")))
+
+
 def record_schema(header: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(h, T.StringType()) for h in header]
                         + [T.StructField(CORRUPT, T.StringType())])
@@ -55,8 +66,7 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
                      recursive: bool = False) -> RecordScan:
     """Read CSV files as text records; malformed rows go to ``rejects``.
 
-    Spark refuses a raw-file query that reads only ``_corrupt_record``; keep a
-    data column in any projection of ``rejects`` (``write_rejects`` does).
+    Both frames can be counted or projected freely (see ``malformed_text``).
 
     Leading white space of fields is dropped, blank lines are skipped, a
     quoted field may hold the separator. ``multi_line`` allows newlines
@@ -71,19 +81,20 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
            .option("recursiveFileLookup", str(recursive).lower()).csv(paths)
            .withColumn("_file", F.col("_metadata.file_path"))
            .withColumn("_block", F.col("_metadata.file_block_start")))
-    good = (raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad_text = malformed_text(header)
+    good = (raw.filter(bad_text.isNull()).drop(CORRUPT)
             .withColumns({h: F.coalesce(F.col(h), F.lit("")) for h in header}))
-    rejects = (raw.filter(F.col(CORRUPT).isNotNull())
+    rejects = (raw.filter(bad_text.isNotNull())
                .withColumns({"Source": F.lit(source_name),
                              "_error": F.lit("field count differs from header")})
                .drop("_block"))
-    records = with_record_envelope(good, source_name, anchor=header[0]) if envelope else \
+    records = with_record_envelope(good, source_name) if envelope else \
         good.withColumn("Source", F.lit(source_name)).drop("_block")
     return RecordScan(records, rejects, header)
 
 
 def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file",
-                         block_col: str = "_block", anchor: str | None = None) -> DataFrame:
+                         block_col: str = "_block") -> DataFrame:
     """``ID = source-n``, ``_row_number = n``: n numbers rows 1, 2, ... in read
     order (file path, split start, position in split).
 
@@ -92,17 +103,11 @@ def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file
     rows in earlier splits (a running sum over one row per split, a table
     the size of the file listing) plus its place within its split. The
     per-split table is joined back (AQE broadcasts it). Batch only.
-    ``anchor`` names a never-NULL data column the split counts read: a raw
-    CSV/JSON scan may not be queried for its corrupt-record column alone.
     """
     pos = "__pos"
     df = df.withColumn(pos, F.monotonically_increasing_id())
     splits = df.groupBy(file_col, block_col).agg(
-        F.count(F.lit(1)).alias("__n"),
-        # min over (position, anchor) is min(position), but keeps the anchor
-        # column in the scan, which counts and constant folds would prune
-        (F.min(F.struct(F.col(pos), F.col(anchor)))[pos] if anchor else F.min(pos))
-        .alias("__first"))
+        F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__first"))
     w = Window.orderBy(file_col, block_col).rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     n = F.col("__offset") + (F.col(pos) - F.col("__first")) + 1

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strata.plans.metrics import RunMetrics
 from strata.plans.records import RecordFlow
 from strata.sinks.files import records_to_json_struct
-from strata.sources.records import CORRUPT, csv_options, record_schema
+from strata.sources.records import CORRUPT, csv_options, malformed_text, record_schema
 
 
 @dataclass
@@ -44,7 +44,7 @@ def stream_csv_records(spark: SparkSession, path: str, header: Sequence[str],
 
 
 def _good(df: DataFrame, header: Sequence[str]) -> DataFrame:
-    return (df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return (df.filter(malformed_text(header).isNull()).drop(CORRUPT)
             .withColumns({h: F.coalesce(F.col(h), F.lit("")) for h in header}))
 
 
@@ -78,7 +78,7 @@ def run_record_stream(spark: SparkSession, source_path: str, header: Sequence[st
     queries = [trigger(out.writeStream.foreachBatch(write_batch)
                        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/records")).start()]
     if dead_letter_path is not None:
-        bad = stream.filter(F.col(CORRUPT).isNotNull()).withColumn(
+        bad = stream.filter(malformed_text(header).isNotNull()).withColumn(
             "_error", F.lit("field count differs from header"))
 
         def write_rejects(batch: DataFrame, batch_id: int) -> None:
