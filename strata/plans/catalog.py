@@ -696,3 +696,65 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                       checkpoint=scratch_path(spark, "stream_ckpt"))
     back = read_ndjson_records(spark, out)
     return back.select(*[F.col("Data")[f].alias(f) for f in ("user_id", "email", "username")])
+
+
+# --- lakehouse jobs, end to end ---------------------------------------------
+
+from strata.config import load_config  # noqa: E402
+from strata.plans import lakehouse  # noqa: E402
+
+
+def job_config(spark: SparkSession, sf_dir: str) -> dict:
+    """Raw files derived from the tables, and a config pointing at them."""
+    raw = scratch_path(spark, "raw")
+    lake = scratch_path(spark, "lake")
+    return load_config(overrides={
+        "sources": {
+            "raw_events": {"path": fixtures.write_event_json(spark, sf_dir, f"{raw}/events")},
+            "raw_customers": {"path": fixtures.write_customer_source_csv(
+                spark, sf_dir, f"{raw}/customers")},
+            "raw_transactions": {"path": fixtures.write_transactions_parquet(
+                spark, sf_dir, f"{raw}/transactions")},
+        },
+        "layers": {"bronze": {"path": f"{lake}/bronze"}, "silver": {"path": f"{lake}/silver"},
+                   "gold": {"path": f"{lake}/gold"}},
+        "events": {"property_keys": ["k"], "session_key": "k"},
+        "segments": {"power_events": POWER_EVENTS, "power_types": POWER_TYPES,
+                     "active_events": ACTIVE_EVENTS},
+        "quality": {"quarantine_path": f"{lake}/quarantine"},
+    })
+
+
+def run_job(spark: SparkSession, sf_dir: str) -> dict:
+    config = job_config(spark, sf_dir)
+    result = lakehouse.run(spark, config, as_of=CLV_AS_OF, ingested_at="2024-02-01 00:00:00")
+    if result["status"] != "success":
+        raise RuntimeError(f"lakehouse run failed: {result}")
+    return config
+
+
+@register("bronze_to_gold", DAILY_SQL)
+def bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON events, CSV customers, parquet transactions -> bronze -> silver ->
+    gold; the gold daily summary read back."""
+    config = run_job(spark, sf_dir)
+    return tables.read_version(spark, f"{config['layers']['gold']['path']}/daily_summary")
+
+
+@register("bronze_to_gold_clv", f"""WITH {CUST_SQL}, {TXN_SQL}, {METRICS_SQL}, x AS (
+  SELECT cust.customer_id, t.lifetime_spend, t.transaction_count,
+         t.lifetime_spend / t.transaction_count AS avg_transaction_value,
+         {MONTHS_SQL} AS months_since_first_purchase,
+         coalesce(m.total_events, 0) AS total_events, {SEGMENT_SQL} AS segment
+  FROM cust LEFT JOIN t ON cust.customer_id = t.customer_id
+  LEFT JOIN m ON cust.customer_id = m.customer_id)
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, lifetime_spend, transaction_count,
+       months_since_first_purchase, total_events, segment,
+       avg_transaction_value * (transaction_count / greatest(months_since_first_purchase, 1.0)) * 12
+         AS clv_score
+FROM x""")
+def bronze_to_gold_clv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = run_job(spark, sf_dir)
+    clv = tables.read_version(spark, f"{config['layers']['gold']['path']}/customer_clv")
+    return clv.select("customer_id", "lifetime_spend", "transaction_count",
+                      "months_since_first_purchase", "total_events", "segment", "clv_score")

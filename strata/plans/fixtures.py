@@ -78,3 +78,26 @@ def write_supplier_csv(spark: SparkSession, sf_dir: str, path: str, files: int =
     (s.repartitionByRange(files, "__k").sortWithinPartitions("__k").drop("__k")
      .write.mode("overwrite").options(header="true", quote="").csv(path))
     return path
+
+
+def write_customer_source_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Raw customers as the declared customer CSV (header, all text)."""
+    c = ds.customers(spark, sf_dir)
+    (c.select(F.col("customer_id").cast("string").alias("customer_id"),
+              F.col("first_name"),
+              F.col("status").alias("last_name"),
+              F.concat(F.lower(F.replace(F.col("first_name"), F.lit("#"), F.lit("."))),
+                       F.lit("@example.com")).alias("email"),
+              F.col("region"),
+              F.lit("2020-01-01").alias("signup_date"),
+              F.col("status"))
+     .write.mode("overwrite").options(header="true").csv(path))
+    return path
+
+
+def write_transactions_parquet(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Raw transactions: orders with the customer id as text, like the other sources."""
+    (ds.transactions(spark, sf_dir)
+     .withColumn("customer_id", F.col("customer_id").cast("string"))
+     .write.mode("overwrite").parquet(path))
+    return path
