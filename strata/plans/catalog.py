@@ -548,21 +548,22 @@ def _customer_scan(spark: SparkSession, sf_dir: str) -> src_records.RecordScan:
 
 @register("csv_records", f"""WITH {CSV_GOOD_SQL}
 SELECT user_id, status, email, username, balance, nation, _row_number,
-       'customers-' || CAST(_row_number AS VARCHAR) AS ID, 'customers' AS Source
+       'customers-' || CAST(_row_number AS VARCHAR) AS _record_id,
+       'customers' AS _record_source
 FROM good""")
 def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer_scan(spark, sf_dir).records.drop("_file", "Timestamp")
+    return _customer_scan(spark, sf_dir).records.drop("_file", "_record_ts")
 
 
 @register("csv_rejects", """SELECT CAST(c_custkey AS VARCHAR) AS user_id,
        CAST(c_custkey AS VARCHAR) || ',HOUSEHOLD,x, '
        || replace(c_name, '#', '.') || '@Example.Com ,' || c_name || ','
        || CAST(c_acctbal AS VARCHAR) || ',' || CAST(c_nationkey AS VARCHAR) AS _corrupt_record,
-       'field count differs from header' AS _error, 'customers' AS Source
+       'field count differs from header' AS _error, 'customers' AS _record_source
 FROM customer WHERE c_mktsegment = 'HOUSEHOLD'""")
 def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customer_scan(spark, sf_dir).rejects.select("user_id", "_corrupt_record", "_error",
-                                                        "Source")
+                                                        "_record_source")
 
 
 SUPPLIER_RECS_SQL = """srecs AS (
@@ -572,7 +573,7 @@ SUPPLIER_RECS_SQL = """srecs AS (
 
 
 @register("union_sources", f"""WITH {RECORDS_SQL}, {SUPPLIER_RECS_SQL}
-SELECT user_id, status, email, username, balance, nation, 'customers' AS Source FROM recs
+SELECT user_id, status, email, username, balance, nation, 'customers' AS _record_source FROM recs
 UNION ALL
 SELECT user_id, NULL, NULL, username, balance, nation, 'suppliers' FROM srecs""")
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -587,8 +588,8 @@ def ndjson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sinks.files import write_ndjson
     from strata.streaming.records import read_ndjson_records
     recs = ds.customer_records(spark, sf_dir)
-    recs = recs.withColumns({"ID": F.concat(F.lit("customers-"), F.col("user_id")),
-                             "Source": F.lit("customers")})
+    recs = recs.withColumns({"_record_id": F.concat(F.lit("customers-"), F.col("user_id")),
+                             "_record_source": F.lit("customers")})
     path = scratch_path(spark, "ndjson")
     write_ndjson(recs, path)
     back = read_ndjson_records(spark, path)

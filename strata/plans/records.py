@@ -4,7 +4,7 @@ A stage is any ``DataFrame -> DataFrame`` function, chained with
 ``DataFrame.transform``. Built-in stages: filter, normalize, rename,
 deduplicate. Deduplication keeps the first arrival per key (key as text;
 rows with a NULL key pass); in batch "first" means the smallest
-(``_row_number``, ``Source``), i.e. sources read side by side; on a stream
+(``_row_number``, source name), i.e. sources read side by side; on a stream
 it is Spark's dropDuplicates state, or dropDuplicatesWithinWatermark when
 an event-time column is given.
 """
@@ -23,10 +23,10 @@ from strata.operators.dedup import first_per_key
 from strata.operators.filters import filter_records
 from strata.plans.metrics import RunMetrics
 from strata.sinks.files import write_ndjson, write_rejects
-from strata.sources.records import read_csv_records, union_sources
+from strata.sources.records import RECORD_SOURCE, read_csv_records, union_sources
 
 Stage = Callable[[DataFrame], DataFrame]
-ARRIVAL_ORDER = ("_row_number", "Source")
+ARRIVAL_ORDER = ("_row_number", RECORD_SOURCE)
 
 
 @dataclass

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.sources.records import DATA_COLS_META, ENVELOPE
+from strata.sources.records import DATA_COLS_META, ENVELOPE, RECORD_ID, RECORD_SOURCE, RECORD_TS
+
+
+def _or(df: DataFrame, name: str, default):
+    return F.col(name) if name in df.columns else default
 
 
 def records_to_json_struct(records: DataFrame) -> DataFrame:
@@ -21,9 +25,9 @@ def records_to_json_struct(records: DataFrame) -> DataFrame:
                   for x in (F.lit(key), F.col(c).cast("string"))]
     meta = F.create_map(*meta_pairs) if meta_pairs else F.create_map().cast("map<string,string>")
     rec = F.struct(
-        (F.col("ID") if "ID" in records.columns else F.lit(None).cast("string")).alias("ID"),
-        (F.col("Source") if "Source" in records.columns else F.lit(None).cast("string")).alias("Source"),
-        (F.col("Timestamp") if "Timestamp" in records.columns else F.current_timestamp()).alias("Timestamp"),
+        _or(records, RECORD_ID, F.lit(None).cast("string")).alias("ID"),
+        _or(records, RECORD_SOURCE, F.lit(None).cast("string")).alias("Source"),
+        _or(records, RECORD_TS, F.current_timestamp()).alias("Timestamp"),
         data.alias("Data"), meta.alias("Metadata"))
     return records.select(F.to_json(rec, {"ignoreNullFields": "false"}).alias("value"))
 

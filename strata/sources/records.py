@@ -1,7 +1,10 @@
 """CSV record sources: good rows, rejected rows, and the record envelope.
 
-A record is a row of text fields plus ``ID`` (``source-offset``),
-``Source``, ``Timestamp``, ``_row_number`` and ``_file``. Rows whose field
+A record is a row of text fields plus ``_record_id`` (``source-offset``),
+``_record_source``, ``_record_ts``, ``_row_number`` and ``_file`` (written
+as ID, Source, Timestamp and Metadata by the NDJSON sink). The envelope
+names are prefixed because column names are case-insensitive: a data field
+called ``id`` must not be overwritten by the record ID. Rows whose field
 count differs from the header are rejected (kept with ``_error``), not
 silently skipped. Empty fields are the empty string, as in the text.
 """
@@ -17,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
-ENVELOPE = ("ID", "Source", "Timestamp", "_row_number", "_file", "_block", CORRUPT, "_error")
+RECORD_ID, RECORD_SOURCE, RECORD_TS = "_record_id", "_record_source", "_record_ts"
+ENVELOPE = (RECORD_ID, RECORD_SOURCE, RECORD_TS, "_row_number", "_file", "_block", CORRUPT,
+            "_error")
 DATA_COLS_META = (("_row_number", "row_number"), ("_file", "file"))
 
 
@@ -85,17 +90,17 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
     good = (raw.filter(bad_text.isNull()).drop(CORRUPT)
             .withColumns({h: F.coalesce(F.col(h), F.lit("")) for h in header}))
     rejects = (raw.filter(bad_text.isNotNull())
-               .withColumns({"Source": F.lit(source_name),
+               .withColumns({RECORD_SOURCE: F.lit(source_name),
                              "_error": F.lit("field count differs from header")})
                .drop("_block"))
     records = with_record_envelope(good, source_name) if envelope else \
-        good.withColumn("Source", F.lit(source_name)).drop("_block")
+        good.withColumn(RECORD_SOURCE, F.lit(source_name)).drop("_block")
     return RecordScan(records, rejects, header)
 
 
 def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file",
                          block_col: str = "_block") -> DataFrame:
-    """``ID = source-n``, ``_row_number = n``: n numbers rows 1, 2, ... in read
+    """``_record_id = source-n``, ``_row_number = n``: n numbers rows 1, 2, ... in read
     order (file path, split start, position in split).
 
     No window over the rows: each split's rows get consecutive
@@ -114,17 +119,17 @@ def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file
     return (df.join(splits.select(file_col, block_col, "__offset", "__first"),
                     [file_col, block_col])
             .withColumns({"_row_number": n.cast("long"),
-                          "ID": F.concat(F.lit(f"{source_name}-"), n.cast("string")),
-                          "Source": F.lit(source_name),
-                          "Timestamp": F.current_timestamp()})
+                          RECORD_ID: F.concat(F.lit(f"{source_name}-"), n.cast("string")),
+                          RECORD_SOURCE: F.lit(source_name),
+                          RECORD_TS: F.current_timestamp()})
             .drop(pos, "__offset", "__first", block_col))
 
 
 def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Records of several sources in one frame, by column name, with ``Source``.
+    """Records of several sources in one frame, by column name, with the source name.
 
     Columns a source lacks are NULL.
     """
-    tagged = [df if "Source" in df.columns else df.withColumn("Source", F.lit(name))
+    tagged = [df if RECORD_SOURCE in df.columns else df.withColumn(RECORD_SOURCE, F.lit(name))
               for name, df in frames.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)

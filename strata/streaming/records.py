@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from strata.plans.metrics import RunMetrics
 from strata.plans.records import RecordFlow
 from strata.sinks.files import records_to_json_struct
-from strata.sources.records import CORRUPT, csv_options, malformed_text, record_schema
+from strata.sources.records import (CORRUPT, RECORD_SOURCE, csv_options, malformed_text,
+                                    record_schema)
 
 
 @dataclass
@@ -40,7 +41,7 @@ def stream_csv_records(spark: SparkSession, path: str, header: Sequence[str],
             .option("maxFilesPerTrigger", str(max_files_per_trigger))
             .csv(path)
             .withColumn("_file", F.col("_metadata.file_path"))
-            .withColumn("Source", F.lit(source_name)))
+            .withColumn(RECORD_SOURCE, F.lit(source_name)))
 
 
 def _good(df: DataFrame, header: Sequence[str]) -> DataFrame:
