@@ -37,14 +37,19 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     """First arrival per key, the key compared as text.
 
     Rows whose key is NULL, or frames without the key column, pass unchanged.
+    One pass: a NULL-key row gets a window key of its own (flagged apart from
+    every text key), so NULL rows neither collapse nor land in one task.
     """
     if key not in df.columns:
         return df
     text_key = F.col(key).cast("string")
-    w = Window.partitionBy(text_key).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
-    keyed = df.filter(F.col(key).isNotNull())
-    first = keyed.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
-    return first.unionByName(df.filter(F.col(key).isNull()))
+    group = "__strata_group"
+    keyed = df.withColumn(group, F.struct(
+        text_key.isNull().alias("absent"),
+        F.coalesce(text_key, F.monotonically_increasing_id().cast("string")).alias("k")))
+    w = Window.partitionBy(group).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    return (keyed.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1)
+            .drop(_RN, group))
 
 
 def duplicate_keys(df: DataFrame, key: str, count_col: str = "dup_count") -> DataFrame:

@@ -759,3 +759,42 @@ def bronze_to_gold_clv(spark: SparkSession, sf_dir: str) -> DataFrame:
     clv = tables.read_version(spark, f"{config['layers']['gold']['path']}/customer_clv")
     return clv.select("customer_id", "lifetime_spend", "transaction_count",
                       "months_since_first_purchase", "total_events", "segment", "clv_score")
+
+
+# --- larger input: lineitem validation ---------------------------------------
+
+LINEITEM_CHECKS = [
+    {"name": "quantity_positive", "column": "l_quantity", "rule": "greater_than", "value": 1,
+     "severity": "critical"},
+    {"name": "known_flag", "column": "l_returnflag", "rule": "regex", "pattern": "^[AR]$",
+     "severity": "critical"},
+    {"name": "discount_cap", "column": "l_discount", "rule": "less_than_or_equal", "value": 0.08,
+     "severity": "warning"},
+    {"name": "shipped_by_1998", "column": "l_shipdate", "rule": "less_than_or_equal",
+     "value": "TIMESTAMP_NTZ '1998-01-01 00:00:00'", "severity": "warning"},
+    {"name": "one_line_per_order", "column": "l_orderkey", "rule": "unique",
+     "severity": "warning"},
+]
+
+LINEITEM_REPORT_SQL = f"""WITH f AS (
+  SELECT l_orderkey,
+         coalesce(l_quantity <= 1 OR l_quantity IS NULL, false) AS f1,
+         coalesce(NOT regexp_matches(l_returnflag, '^[AR]$'), false) AS f2,
+         coalesce(l_discount > 0.08, false) AS f3,
+         coalesce(l_shipdate > TIMESTAMP '1998-01-01 00:00:00', false) AS f4
+  FROM lineitem),
+tot AS (SELECT count(*) AS n, count_if(f1) AS c1, count_if(f2 AND NOT f1) AS c2,
+               count_if(f3 AND NOT (f1 OR f2)) AS c3, count_if(f4 AND NOT (f1 OR f2)) AS c4 FROM f),
+u5 AS (SELECT count_if(na > 1) AS c, coalesce(sum(n), 0) AS n FROM (
+         SELECT l_orderkey, count_if(NOT (f1 OR f2)) AS na, count(*) AS n FROM f GROUP BY l_orderkey))
+{_report_row(1, 'quantity_positive', 'l_quantity', 'greater_than', 'critical', 'ok', 'n', 'c1')} FROM tot
+UNION ALL {_report_row(2, 'known_flag', 'l_returnflag', 'regex', 'critical', 'ok', 'n', 'c2')} FROM tot
+UNION ALL {_report_row(3, 'discount_cap', 'l_discount', 'less_than_or_equal', 'warning', 'ok', 'n', 'c3')} FROM tot
+UNION ALL {_report_row(4, 'shipped_by_1998', 'l_shipdate', 'less_than_or_equal', 'warning', 'ok', 'n', 'c4')} FROM tot
+UNION ALL {_report_row(5, 'one_line_per_order', 'l_orderkey', 'unique', 'warning', 'ok', 'n', 'c')} FROM u5"""
+
+
+@register("lineitem_quality_report", LINEITEM_REPORT_SQL)
+def lineitem_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = ds.table(spark, sf_dir, "lineitem")
+    return quality.run_checks(li, LINEITEM_CHECKS).report_frame()

@@ -295,18 +295,47 @@ def _size_bytes(size: str) -> int:
     return int(s)
 
 
-def compact(spark: SparkSession, path: str, target_file_size: str = "128mb") -> dict:
+def file_stats(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(data files, bytes, leaf folders) of the current version's folders."""
+    done = [v for v in versions(spark, path) if v.done]
+    upto = done
+    snaps = [v for v in upto if v.kind == "snapshot"]
+    start = snaps[-1].number if snaps else upto[0].number
+    files = size = 0
+    leaves = set()
+    for v in (x for x in upto if x.number >= start):
+        fs, p = _fs(spark, f"{_version_dir(path, v.number)}/{KIND_DIR}={v.kind}")
+        it = fs.listFiles(p, True)
+        while it.hasNext():
+            st = it.next()
+            if st.getPath().getName().endswith(".parquet"):
+                files += 1
+                size += st.getLen()
+                leaves.add(st.getPath().getParent().toString())
+    return files, size, len(leaves)
+
+
+def compact(spark: SparkSession, path: str, target_file_size: str = "128mb",
+            only_if_needed: bool = True) -> dict:
     """Rewrite the current version as a snapshot of fewer, larger files.
 
     A rebalance (by the table's partition columns) lets AQE size output
     partitions to about ``target_file_size`` of shuffle data; the advisory
-    size is set for this write only and restored after.
+    size is set for this write only and restored after. With
+    ``only_if_needed`` a table with one file per folder, or files averaging
+    over a quarter of the target, is left alone (decided from the listing).
     """
+    target = _size_bytes(target_file_size)
+    if only_if_needed:
+        files, size, leaves = file_stats(spark, path)
+        if files <= leaves or (files and size / files >= target / 4):
+            return {"rows_written": 0, "mode": "compact (not needed)", "path": path,
+                    "files": files}
     current = read_version(spark, path)
     parts = _partitioning(spark, path)
     conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     old = spark.conf.get(conf, None)
-    spark.conf.set(conf, str(_size_bytes(target_file_size)))
+    spark.conf.set(conf, str(target))
     try:
         res = _write(current.hint("rebalance", *parts), path, "snapshot", parts)
     finally:

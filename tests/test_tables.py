@@ -127,6 +127,7 @@ def test_compaction_keeps_rows_and_cuts_files(spark, tmp_dir):
     before = sum(tables.count_files(spark, p, v) for v in range(3))
     res = tables.compact(spark, p)
     assert res["rows_written"] == 6000
+    assert tables.compact(spark, p)["mode"] == "compact (not needed)"
     assert tables.count_files(spark, p) < before
     assert tables.read_version(spark, p).count() == 6000
     # the advisory size was set for the compaction only
