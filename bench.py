@@ -32,6 +32,12 @@ HEADLINE = [
 ]
 
 
+def full_job(spark, sf_dir: str):
+    """bronze_to_gold, always running the whole job (no reuse of a run)."""
+    config = catalog.run_job(spark, sf_dir, fresh=True)
+    return catalog.tables.read_version(spark, f"{config['layers']['gold']['path']}/daily_summary")
+
+
 def run_noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -69,7 +75,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     queries = {}
     for name in names:
-        fn = catalog.QUERIES[name]
+        fn = full_job if name == "bronze_to_gold" else catalog.QUERIES[name]
         queries[name] = timed(lambda fn=fn: run_noop(fn(spark, sf_dir)), runs)
     single = timed(lambda: catalog.lineitem_quality_report(spark, sf_dir).collect(), runs)
     sequential = timed(lambda: sequential_validate(spark, sf_dir), runs)

@@ -11,7 +11,9 @@ date, type and region, and customer lifetime value, each a new snapshot.
 
 Layers hand over through stored tables, so a failing layer leaves the ones
 before it committed; each table write is one job whose row count is
-observed during the write.
+observed during the write. A frame that feeds two writes (quarantine and
+table) is persisted (memory and disk, so it spills rather than fails) and
+released once both are done; lost blocks are recomputed from lineage.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.operators.columns import (add_ingestion_metadata, parse_event_properties,
                                       standardize_columns)
@@ -54,13 +56,18 @@ def run_bronze(spark: SparkSession, config: Mapping,
         raw = read_source(spark, cfg, SCHEMAS.get(name))
         df = add_ingestion_metadata(standardize_columns(raw), name, ingested_at=ingested_at)
         result: dict = {}
+        held = None
         if cfg["format"] == "json":
+            if quarantine:
+                held = df = df.persist(StorageLevel.MEMORY_AND_DISK)
             df, corrupt = split_corrupt(df)
             if corrupt is not None and quarantine:
                 result["corrupt"] = write_quarantine(corrupt, quarantine, name)
         parts = [c for c in cfg.get("partition_columns") or [] if c in df.columns]
         result.update(tables.write_table(df, _path(config, "bronze", name),
                                          config["layers"]["bronze"]["write_mode"], parts))
+        if held is not None:
+            held.unpersist()
         metrics[name] = result
     return metrics
 
@@ -78,16 +85,20 @@ def run_silver(spark: SparkSession, config: Mapping, as_of: str | _dt.date | Non
     events = tables.read_version(spark, _path(config, "bronze", "raw_events"))
     events = parse_event_properties(events, ev_cfg.get("property_keys", ()))
     events = latest_per_key(events, silver.get("events_key", "event_id"), "event_timestamp",
-                            tie_breakers=["_ingested_at"])
+                            tie_breakers=["_ingested_at"]).persist(StorageLevel.MEMORY_AND_DISK)
     events_valid, events_report = engine.validate(events, "events", table="events")
     events_path = _path(config, "silver", "events")
+    # keys are unique: latest_per_key just ran on the merge key
     metrics["events"] = {**tables.merge_upsert(events_valid, events_path,
-                                               silver.get("events_key", "event_id")),
+                                               silver.get("events_key", "event_id"),
+                                               check_unique=False),
                          "quality": events_report}
+    events.unpersist()
 
     customers = standardize_columns(
         tables.read_version(spark, _path(config, "bronze", "raw_customers")))
-    customers = latest_per_key(customers, silver["merge_key"], "_ingested_at")
+    customers = latest_per_key(customers, silver["merge_key"], "_ingested_at").persist(
+        StorageLevel.MEMORY_AND_DISK)
     customers_valid, customers_report = engine.validate(customers, "customers", table="customers")
     seg = config.get("segments", {})
     enriched = enrich_customers(customers_valid, tables.read_version(spark, events_path),
@@ -96,10 +107,11 @@ def run_silver(spark: SparkSession, config: Mapping, as_of: str | _dt.date | Non
     customers_path = _path(config, "silver", "customers")
     if silver.get("write_mode", "merge") == "merge":
         res = tables.merge_upsert(segmented, customers_path, silver["merge_key"],
-                                  partition_by=silver.get("partition_by"))
+                                  partition_by=silver.get("partition_by"), check_unique=False)
     else:
         res = tables.write_table(segmented, customers_path, silver["write_mode"],
                                  silver.get("partition_by"))
+    customers.unpersist()
     metrics["customers"] = {**res, "quality": customers_report}
 
     tx_path = _path(config, "bronze", "raw_transactions")
