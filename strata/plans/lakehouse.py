@@ -171,3 +171,41 @@ def run(spark: SparkSession, config: Mapping,
     out["elapsed_seconds"] = round(
         (_dt.datetime.now(_dt.timezone.utc) - started).total_seconds(), 2)
     return out
+
+
+def main(argv: Sequence[str] | None = None) -> int:
+    """``python -m strata.plans.lakehouse --config c.yaml [--env dev]
+    [--layers bronze silver gold] [--date YYYY-MM-DD]``.
+
+    The session comes from ``spark-submit`` / the cluster defaults; the
+    config's ``spark.config`` entries are applied to the builder. ``--date``
+    is the as-of date for CLV and date checks. Exit code 1 on failure.
+    """
+    import argparse
+    import json
+
+    from strata.config import load_config
+
+    parser = argparse.ArgumentParser(description="bronze -> silver -> gold")
+    parser.add_argument("--config", required=True)
+    parser.add_argument("--env", default=None)
+    parser.add_argument("--layers", nargs="+", default=["bronze", "silver", "gold"])
+    parser.add_argument("--date", default=None)
+    args = parser.parse_args(argv)
+    config = load_config(args.config, args.env)
+    builder = SparkSession.builder.appName(
+        str(config.get("spark", {}).get("app_name", "strata-lakehouse")))
+    for k, v in (config.get("spark", {}).get("config") or {}).items():
+        builder = builder.config(k, str(v))
+    spark = builder.getOrCreate()
+    try:
+        result = run(spark, config, args.layers, as_of=args.date)
+    except Exception as e:  # noqa: BLE001 - reported, then a failing exit code
+        print(json.dumps({"status": "failed", "error": str(e)}))
+        return 1
+    print(json.dumps(result, default=str))
+    return 0 if result["status"] == "success" else 1
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

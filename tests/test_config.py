@@ -17,3 +17,15 @@ def test_load_config_with_env_overlay(tmp_path):
     assert cfg["layers"]["bronze"]["path"] == "/b" and cfg["layers"]["silver"]["path"] == "/s"
     assert cfg["layers"]["silver"]["merge_key"] == DEFAULT_CONFIG["layers"]["silver"]["merge_key"]
     assert cfg["segments"] == {"power_events": 5, "power_types": 5, "active_events": 10}
+
+
+def test_lakehouse_cli_end_to_end(spark, tmp_path):
+    """The job entry point over small raw files, all three layers."""
+    from strata.plans import catalog
+    from strata.plans.lakehouse import main
+    cfg = catalog.job_config(spark, "/root/testdata/sf0.001")
+    cfg["quality"]["fail_on_error"] = False
+    path = tmp_path / "job.json"
+    path.write_text(json.dumps(cfg))
+    assert main(["--config", str(path), "--date", "2001-09-01"]) == 0
+    assert main(["--config", str(path), "--layers", "silver", "gold"]) == 0

@@ -98,3 +98,24 @@ def test_run_records_counters_are_disjoint(spark, tmp_dir):
     got = sorted((r.Data.user_id, r.Data.email, r.ID) for r in back)
     assert got == [("1", "x@y.z", "a-1"), ("9", "nine", "b-2")]
     assert m.snapshot()["error_rate_percent"] == pytest.approx(100 / 6)
+
+
+def test_run_from_config_batch_and_stream(spark, tmp_dir):
+    import os
+    from strata.plans.records import run_from_config
+    os.makedirs(f"{tmp_dir}/src")
+    _write(f"{tmp_dir}/src/a.csv", "user_id,status,email,username\n1,active,A@B,U\n1,active,x,y\n2,off,c,d\nbad\n")
+    cfg = {"sources": [{"name": "users", "type": "csv", "location": f"{tmp_dir}/src"}],
+           "transforms": [
+               {"name": "f", "operation": "filter", "config": {"field": "status", "operator": "eq", "value": "active"}},
+               {"name": "n", "operation": "normalize", "config": {"fields": ["email", "username"]}},
+               {"name": "d", "operation": "deduplicate", "config": {"key_field": "user_id"}}],
+           "destination": {"type": "jsonfile", "connection_string": f"{tmp_dir}/out"},
+           "pipeline": {"dead_letter_path": f"{tmp_dir}/dead"}}
+    m = run_from_config(spark, cfg)
+    assert (m.records_read, m.records_written, m.records_filtered, m.records_rejected) == (4, 1, 2, 1)
+    cfg["destination"]["connection_string"] = f"{tmp_dir}/out_stream"
+    s = run_from_config(spark, cfg, stream=True, checkpoint=f"{tmp_dir}/ckpt")
+    assert (s.records_read, s.records_written, s.records_rejected) == (4, 1, 1)
+    with pytest.raises(ValueError):
+        run_from_config(spark, {**cfg, "destination": {"type": "postgres"}})
