@@ -213,11 +213,15 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str,
 
     Matched target rows take the source's values (all columns, or only
     ``columns``); unmatched source rows are inserted; unmatched target rows
-    stay, or go with ``delete_unmatched``. NULL keys never match. Rows with
-    NULL keys skip the join altogether, so they cannot pile up in one task.
-    The left join lets AQE split a skewed target key or broadcast a small
-    source; the insert side checks against distinct target keys, combined
-    map-side before the shuffle.
+    stay, or go with ``delete_unmatched``. NULL keys never match.
+
+    Plan: one scan of the target, left-joined (inner with
+    ``delete_unmatched``) to the source on (key, salt). The salt is 0 for
+    every keyed row and a row-unique number for NULL-key rows, so those
+    spread over tasks instead of piling into the NULL hash bucket, and still
+    match nothing. A left join lets AQE split a skewed target key or
+    broadcast a small source. Inserts are source rows whose key is not among
+    the target's distinct keys (a key-column-only scan, combined map-side).
     """
     t_cols = target.columns
     missing = [c for c in t_cols if c not in source.columns]
@@ -233,23 +237,22 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str,
 
     src = source.select([F.col(c).cast(types[c]).alias(c) for c in t_cols])
     s_side = src.filter(F.col(key).isNotNull()).select(
-        [F.col(c).alias(f"__s_{c}") for c in t_cols] + [F.lit(True).alias("__s_hit")])
-    t_keyed = target.filter(F.col(key).isNotNull())
-    joined = t_keyed.join(s_side, t_keyed[key] == s_side[f"__s_{key}"],
-                          "inner" if delete_unmatched else "left")
+        [F.col(c).alias(f"__s_{c}") for c in t_cols]
+        + [F.lit(0).cast("long").alias("__s_salt"), F.lit(True).alias("__s_hit")])
+    salted = target.withColumn("__t_salt", F.when(F.col(key).isNull(),
+                                                  F.monotonically_increasing_id())
+                               .otherwise(F.lit(0).cast("long")))
+    cond = (salted[key] == s_side[f"__s_{key}"]) & (salted["__t_salt"] == s_side["__s_salt"])
+    joined = salted.join(s_side, cond, "inner" if delete_unmatched else "left")
     hit = F.coalesce(F.col("__s_hit"), F.lit(False))
     matched = joined.select(
         [F.when(hit, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in update
          else F.col(c) for c in t_cols]
         + [F.when(hit, F.lit("updated")).otherwise(F.lit("kept")).alias(ACTION)])
-    t_keys = t_keyed.select(key).distinct()
+    t_keys = target.select(key).filter(F.col(key).isNotNull()).distinct()
     inserted = src.join(t_keys, key, "left_anti").select(
         *t_cols, F.lit("inserted").alias(ACTION))
-    parts = [matched, inserted]
-    if not delete_unmatched:
-        parts.append(target.filter(F.col(key).isNull())
-                     .withColumn(ACTION, F.lit("kept")))
-    return reduce(DataFrame.unionByName, parts)
+    return matched.unionByName(inserted)
 
 
 def duplicate_source_keys(source: DataFrame, key: str) -> DataFrame:
