@@ -103,11 +103,13 @@ class RecordFlow:
 def _stream_dedup(df: DataFrame, step: _Step) -> DataFrame:
     if step.dedup_key not in df.columns:
         return df
-    key = "__dedup_key"
+    key, event_time = "__dedup_key", "__event_time"
     keyed = df.withColumn(key, F.col(step.dedup_key).cast("string"))
     if step.event_time:
-        out = (keyed.withWatermark(step.event_time, step.watermark)
-               .dropDuplicatesWithinWatermark([key]))
+        # record fields are text: the watermark needs a timestamp column
+        out = (keyed.withColumn(event_time, F.col(step.event_time).try_cast("timestamp"))
+               .withWatermark(event_time, step.watermark)
+               .dropDuplicatesWithinWatermark([key]).drop(event_time))
     else:
         out = keyed.dropDuplicates([key])
     return out.drop(key)

@@ -43,3 +43,14 @@ def test_stream_dedup_restart_and_rejects(spark, tmp_dir):
     assert third.metrics.records_written == 1
     assert sorted(r.Data["user_id"] for r in read_ndjson_records(spark, out).collect()) == \
         ["1", "2", "3", "4"]
+
+
+def test_stream_dedup_within_watermark(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    _write(f"{src}/1.csv", "user_id,ts\n1,2024-01-01 00:00:00\n1,2024-01-01 00:10:00\n2,2024-01-01 00:20:00\n")
+    flow = RecordFlow().deduplicate("d", "user_id", event_time="ts", watermark="1 hour")
+    run = run_record_stream(spark, src, ["user_id", "ts"], "s", flow, f"{tmp_dir}/out",
+                            f"{tmp_dir}/ckpt")
+    keys = sorted(r.Data["user_id"] for r in read_ndjson_records(spark, f"{tmp_dir}/out").collect())
+    assert keys == ["1", "2"] and run.metrics.records_written == 2
