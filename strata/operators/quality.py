@@ -6,8 +6,10 @@ left, while ``total_rows`` stays the input count. Instead of one scan per
 check, every row check becomes a flag column and a single aggregate counts
 ``flag_i AND NOT (earlier critical flags)``. A row goes to quarantine under
 the first critical check it fails. ``unique`` checks count duplicated keys
-(a NULL key group included) among rows left at their position, with one
-``groupBy`` each, and never remove rows.
+(a NULL key group included) among rows left at their position and never
+remove rows. The whole report is one scan: every row emits one entry for
+the row checks plus one per unique check, and a single ``groupBy(position,
+key)`` counts them (row-check entries combine map-side to one per task).
 
 Decisions: NULL passes ``regex`` and ``less_than_or_equal`` (and is kept);
 patterns are taken literally; a string column compared with a date bound is
@@ -119,32 +121,31 @@ class Validation:
     checks: list[QualityCheck]
     status: dict[str, str]
     count_exprs: list[Column]
-    unique_frames: dict[str, DataFrame]
+    totals: DataFrame
+
+    @property
+    def has_unique(self) -> bool:
+        return any(c.rule == "unique" and self.status[c.name] == "ok" for c in self.checks)
 
     def report_frame(self) -> DataFrame:
-        """The report as a DataFrame: one aggregate plus one per unique check."""
-        totals = self.flagged.agg(*self.count_exprs)
+        """The report as a DataFrame, one row per check (one scan of the input)."""
         rows = []
         for pos, chk in enumerate(self.checks, start=1):
-            if chk.rule == "unique" and self.status[chk.name] == "ok":
-                continue
-            skipped = self.status[chk.name] != "ok"
-            failing = (F.lit(None).cast("long") if skipped
-                       else F.col(f"failing_{pos}"))
+            ok = self.status[chk.name] == "ok"
+            failing = F.col(f"failing_{pos}") if ok else F.lit(None).cast("long")
             rows.append(_report_struct(pos, chk, self.status[chk.name],
                                        F.col("total_rows"), failing))
-        parts = [totals.select(F.inline(F.array(*rows)))] if rows else []
-        for pos, chk in enumerate(self.checks, start=1):
-            if chk.rule == "unique" and self.status[chk.name] == "ok":
-                u = self.unique_frames[chk.name]
-                parts.append(u.select(F.inline(F.array(_report_struct(
-                    pos, chk, "ok", F.col("total_rows"), F.col("failing_rows"))))))
-        return reduce(DataFrame.unionByName, parts)
+        if not rows:
+            return self.totals.select(F.inline(F.array(_report_struct(
+                0, QualityCheck("none", "", "not_null"), "skipped", F.col("total_rows"),
+                F.lit(None).cast("long"))))).filter(F.lit(False))
+        return self.totals.select(F.inline(F.array(*rows)))
 
     def report(self, counts: Mapping[str, int] | None = None) -> list[dict]:
-        """The report as dicts in check order (a few small jobs, few rows)."""
-        if counts is None:
-            counts = self.flagged.agg(*self.count_exprs).first().asDict()
+        """The report as dicts in check order. ``counts`` (observed row-check
+        counts) saves the scan when there are no unique checks."""
+        if counts is None or self.has_unique:
+            counts = self.totals.first().asDict()
         total = int(counts["total_rows"])
         out = []
         for pos, chk in enumerate(self.checks, start=1):
@@ -152,10 +153,7 @@ class Validation:
                      "severity": chk.severity, "status": self.status[chk.name],
                      "total_rows": total, "failing_rows": None, "pass_rate": None}
             if self.status[chk.name] == "ok":
-                if chk.rule == "unique":
-                    failing = int(self.unique_frames[chk.name].first()["failing_rows"])
-                else:
-                    failing = int(counts[f"failing_{pos}"])
+                failing = int(counts[f"failing_{pos}"])
                 entry["failing_rows"] = failing
                 entry["pass_rate"] = _pass_rate(failing, total)
             out.append(entry)
@@ -208,19 +206,11 @@ def run_checks(df: DataFrame, checks: Iterable[QualityCheck | Mapping[str, objec
                      if j < pos and j in flags and c.severity == "critical"])
 
     count_exprs = [F.count(F.lit(1)).alias("total_rows")]
-    unique_frames = {}
     for pos, chk in enumerate(checks, start=1):
-        if status[chk.name] != "ok":
-            continue
-        alive = ~removed_before(pos)
-        if chk.is_row_check:
-            count_exprs.append(F.count_if(F.col(flags[pos]) & alive).alias(f"failing_{pos}"))
-        else:
-            per_key = flagged.groupBy(chk.column).agg(
-                F.count_if(alive).alias("n_alive"), F.count(F.lit(1)).alias("n"))
-            unique_frames[chk.name] = per_key.agg(
-                F.count_if(F.col("n_alive") > 1).alias("failing_rows"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"))
+        if status[chk.name] == "ok" and chk.is_row_check:
+            count_exprs.append(F.count_if(F.col(flags[pos]) & ~removed_before(pos))
+                               .alias(f"failing_{pos}"))
+    totals = _totals(flagged, checks, status, flags, removed_before)
 
     critical = [(flags[p], c.name) for p, c in enumerate(checks, start=1)
                 if p in flags and c.severity == "critical"]
@@ -238,7 +228,55 @@ def run_checks(df: DataFrame, checks: Iterable[QualityCheck | Mapping[str, objec
     clean = flagged.filter(F.col(CHECK_COL).isNull()).drop(CHECK_COL, *helper)
     quarantine = (flagged.filter(F.col(CHECK_COL).isNotNull()).drop(*helper)
                   .withColumn(QUARANTINE_TS, ts))
-    return Validation(flagged, clean, quarantine, checks, status, count_exprs, unique_frames)
+    return Validation(flagged, clean, quarantine, checks, status, count_exprs, totals)
+
+
+def _totals(flagged: DataFrame, checks: list[QualityCheck], status: dict[str, str],
+            flags: dict[int, str], removed_before) -> DataFrame:
+    """One row: ``total_rows`` and ``failing_<pos>`` for every active check.
+
+    Each input row becomes 1 + U entries (U unique checks): entry 0 carries
+    the row-check hits as 0/1 numbers, entry i the key of unique check i
+    (typed, other keys NULL) and whether the row is still alive there. One
+    groupBy(position, keys) counts rows per key; a final one-row aggregate
+    picks the totals. Partial aggregation turns entry 0 into one row per
+    task, so only unique-check keys are shuffled in volume.
+    """
+    uniques = [(p, c) for p, c in enumerate(checks, start=1)
+               if c.rule == "unique" and status[c.name] == "ok"]
+    row_pos = list(flags)
+    if not uniques:
+        return flagged.agg(F.count(F.lit(1)).alias("total_rows"), *[
+            F.count_if(F.col(flags[j]) & ~removed_before(j)).alias(f"failing_{j}")
+            for j in row_pos])
+    types = {f.name: f.dataType for f in flagged.schema.fields}
+    keys = {p: f"__k{p}" for p, _ in uniques}
+
+    def entry(pos: int) -> Column:
+        fields = [F.lit(pos).alias("pos")]
+        for p, c in uniques:
+            value = F.col(c.column) if p == pos else F.lit(None).cast(types[c.column])
+            fields.append(value.alias(keys[p]))
+        fields.append((~removed_before(pos)).cast("long").alias("alive") if pos
+                      else F.lit(0).cast("long").alias("alive"))
+        for j in row_pos:
+            hit = (F.col(flags[j]) & ~removed_before(j)).cast("long") if pos == 0 \
+                else F.lit(0).cast("long")
+            fields.append(hit.alias(f"f{j}"))
+        return F.struct(*fields)
+
+    entries = flagged.select(F.explode(F.array(entry(0), *[entry(p) for p, _ in uniques]))
+                             .alias("e")).select("e.*")
+    per_key = entries.groupBy("pos", *keys.values()).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("alive").alias("n_alive"),
+        *[F.sum(f"f{j}").alias(f"f{j}") for j in row_pos])
+    at0 = F.col("pos") == 0
+    out = [F.coalesce(F.sum(F.when(at0, F.col("n"))), F.lit(0)).alias("total_rows")]
+    out += [F.coalesce(F.sum(F.when(at0, F.col(f"f{j}"))), F.lit(0)).alias(f"failing_{j}")
+            for j in row_pos]
+    out += [F.count_if((F.col("pos") == p) & (F.col("n_alive") > 1)).alias(f"failing_{p}")
+            for p, _ in uniques]
+    return per_key.agg(*out)
 
 
 class QualityEngine:
