@@ -35,3 +35,30 @@ def filter_records(df: DataFrame, field: str, operator: str, value: str) -> Data
     An unknown operator or missing field raises ``ValueError``.
     """
     return df.filter(record_predicate(df, field, operator, value))
+
+
+def filter_record_maps(df: DataFrame, field: str, operator: str, value: str,
+                       data_col: str = "Data") -> tuple[DataFrame, DataFrame]:
+    """The same filter on map-shaped records (``Data: map<string,string>``).
+
+    Returns (kept, rejects): a row whose map lacks ``field`` is an error, not
+    merely filtered out, and goes to ``rejects`` with ``_error``. An unknown
+    operator raises ``ValueError``.
+    """
+    if operator not in OPERATORS:
+        raise ValueError(f"unknown operator: {operator}")
+    data = F.col(data_col)
+    present = F.coalesce(F.map_contains_key(data, F.lit(field)), F.lit(False))
+    text = F.coalesce(data.getItem(field), F.lit(""))
+    if operator == "eq":
+        keep = text == F.lit(value)
+    elif operator == "neq":
+        keep = text != F.lit(value)
+    elif operator == "contains":
+        keep = text.contains(F.lit(value))
+    else:
+        keep = numeric_compare(go_float(text), go_float(F.lit(value)), operator)
+    kept = df.filter(present & keep)
+    rejects = df.filter(~present).withColumn(
+        "_error", F.lit(f"field {field!r} not found in record"))
+    return kept, rejects

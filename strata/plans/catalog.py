@@ -881,3 +881,31 @@ def daily_summary_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary with the optional global sort on (event_date, event_type)."""
     joined = summary.with_region(_events_with_sessions(spark, sf_dir), ds.customers(spark, sf_dir))
     return summary.build_daily_summary(joined, sort=True)
+
+
+def _record_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer and supplier records written as NDJSON and read back: the
+    supplier maps carry no ``status`` or ``email`` key."""
+    from strata.sinks.files import write_ndjson
+    recs = src_records.union_sources({"customers": ds.customer_records(spark, sf_dir),
+                                      "suppliers": ds.supplier_records(spark, sf_dir)})
+    path = scratch_path(spark, "record_maps")
+    write_ndjson(recs, path)
+    return read_ndjson_records(spark, path)
+
+
+@register("filter_record_maps", f"""WITH {RECORDS_SQL}
+SELECT 'customers' AS Source, user_id, status FROM recs WHERE status = 'BUILDING'""")
+def filter_record_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, _ = filters.filter_record_maps(_record_maps(spark, sf_dir), "status", "eq", "BUILDING")
+    return kept.select("Source", F.col("Data")["user_id"].alias("user_id"),
+                       F.col("Data")["status"].alias("status"))
+
+
+@register("record_map_rejects", f"""WITH {SUPPLIER_RECS_SQL}
+SELECT 'suppliers' AS Source, user_id, 'field ''status'' not found in record' AS _error
+FROM srecs""")
+def record_map_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejects = filters.filter_record_maps(_record_maps(spark, sf_dir), "status", "eq",
+                                            "BUILDING")
+    return rejects.select("Source", F.col("Data")["user_id"].alias("user_id"), "_error")

@@ -15,12 +15,15 @@ def _or(df: DataFrame, name: str, default):
 def records_to_json_struct(records: DataFrame) -> DataFrame:
     """One column ``value``: ``{"ID","Source","Timestamp","Data","Metadata"}`` as JSON.
 
-    Data is a map of every data column (as text); Metadata holds row_number
-    and file. NULLs are written as JSON null.
+    Data maps every data column to its text; a NULL field (a column the
+    record's source does not have, after a union) is left out of the map, as
+    a per-source record would not carry it. Metadata holds row_number and
+    file. Envelope NULLs are written as JSON null.
     """
     data_cols = [c for c in records.columns if c not in ENVELOPE]
-    data = F.create_map(*[x for c in data_cols for x in (F.lit(c), F.col(c).cast("string"))]) \
-        if data_cols else F.create_map().cast("map<string,string>")
+    data = F.map_filter(
+        F.create_map(*[x for c in data_cols for x in (F.lit(c), F.col(c).cast("string"))]),
+        lambda k, v: v.isNotNull()) if data_cols else F.create_map().cast("map<string,string>")
     meta_pairs = [x for c, key in DATA_COLS_META if c in records.columns
                   for x in (F.lit(key), F.col(c).cast("string"))]
     meta = F.create_map(*meta_pairs) if meta_pairs else F.create_map().cast("map<string,string>")

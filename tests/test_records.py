@@ -119,3 +119,14 @@ def test_run_from_config_batch_and_stream(spark, tmp_dir):
     assert (s.records_read, s.records_written, s.records_rejected) == (4, 1, 1)
     with pytest.raises(ValueError):
         run_from_config(spark, {**cfg, "destination": {"type": "postgres"}})
+
+
+def test_filter_record_maps_missing_key_is_rejected(spark):
+    df = spark.createDataFrame([({"status": "active"},), ({"status": "off"},), ({"other": "x"},)],
+                               "Data map<string,string>")
+    kept, rejects = filters.filter_record_maps(df, "status", "eq", "active")
+    assert [r.Data["status"] for r in kept.collect()] == ["active"]
+    rej = rejects.collect()
+    assert len(rej) == 1 and rej[0]._error == "field 'status' not found in record"
+    with pytest.raises(ValueError):
+        filters.filter_record_maps(df, "status", "like", "a")
