@@ -31,7 +31,8 @@ DEFAULT_CONFIG: dict = {
     "layers": {
         "bronze": {"path": None, "write_mode": "append"},
         "silver": {"path": None, "write_mode": "merge", "merge_key": "customer_id",
-                   "events_key": "event_id", "transactions_key": None,
+                   "events_key": "event_id", "events_partition_by": ["event_date"],
+                   "transactions_key": None,
                    "partition_by": ["region"]},
         "gold": {"path": None, "write_mode": "overwrite", "partition_by": ["event_date"]},
     },

@@ -5,7 +5,10 @@ standardized, audit columns added, corrupt JSON lines quarantined, and the
 rows appended. Silver: events get their properties parsed, the latest row
 per event id, validation, and are upserted on event id; customers get the
 latest row per id, validation, event metrics (left join), segments, and are
-upserted on customer id, then both tables are compacted; transactions are
+upserted on customer id, then both tables are compacted (when their files
+are small); events are partitioned by event date and each run merges only
+the dates it brings, so older dates are neither read nor rewritten;
+transactions are
 validated (and deduplicated when a key is set). Gold: the daily summary by
 date, type and region, and customer lifetime value, each a new snapshot.
 
@@ -89,9 +92,12 @@ def run_silver(spark: SparkSession, config: Mapping, as_of: str | _dt.date | Non
     events_valid, events_report = engine.validate(events, "events", table="events")
     events_path = _path(config, "silver", "events")
     # keys are unique: latest_per_key just ran on the merge key
+    ev_parts = [c for c in silver.get("events_partition_by") or [] if c in events_valid.columns]
     metrics["events"] = {**tables.merge_upsert(events_valid, events_path,
                                                silver.get("events_key", "event_id"),
-                                               check_unique=False),
+                                               partition_by=ev_parts or None,
+                                               check_unique=False,
+                                               within_partitions=bool(ev_parts)),
                          "quality": events_report}
     events.unpersist()
 

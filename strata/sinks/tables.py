@@ -1,16 +1,21 @@
 """Versioned parquet tables: append, overwrite, time travel, merge, compaction.
 
 Layout: every write is one folder ``path/strata_version=N/strata_kind=K/``
-(K is ``append`` or ``snapshot``) holding the table's own partition folders,
-plus ``_schema.json`` next to it. Reading version v takes the newest
-snapshot s <= v and every finished append after it up to v; the folders are
-passed to one parquet read, so time travel is partition pruning by listing.
+(K is ``append``, ``snapshot`` or ``replace``) holding the table's own
+partition folders, plus ``_schema.json`` next to it. Reading version v takes
+the newest snapshot s <= v and every finished version after it up to v; the
+folders are passed to one parquet read, so time travel is partition pruning
+by listing. A ``replace`` version (dynamic partition overwrite) lists the
+partition values it replaces; readers drop those partitions of earlier
+versions with a predicate on partition columns only, which Spark resolves
+from the folder names: nothing old is read or rewritten.
 Only folders with ``_SUCCESS`` count; the next N is one above the highest
 folder present, so a failed write never blocks the next. One writer per
 table.
 
-Merge, dynamic partition overwrite and compaction write a new snapshot:
-there is no file-level index, so they rewrite the table. That is fine for
+Merge and compaction write a new snapshot (there is no file-level index),
+unless the merge is limited to the partitions its source touches
+(``within_partitions``), which writes a ``replace`` version of just those. That is fine for
 dimension tables; large fact tables are better appended and restricted by
 partition.
 """
@@ -123,8 +128,36 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
         schema = T.StructType.fromJson(meta["schema"])
         full = T.StructType(schema.fields + [T.StructField(VERSION_DIR, T.IntegerType()),
                                              T.StructField(KIND_DIR, T.StringType())])
-        return reader.schema(full).parquet(*dirs).select(*schema.fieldNames())
-    return reader.parquet(*dirs).drop(VERSION_DIR, KIND_DIR)
+        df = reader.schema(full).parquet(*dirs)
+        names = schema.fieldNames()
+    else:
+        df = reader.parquet(*dirs)
+        names = [c for c in df.columns if c not in (VERSION_DIR, KIND_DIR)]
+    for v in parts:
+        if v.kind == "replace":
+            vmeta = _meta(spark, path, v.number)
+            df = df.filter(~((F.col(VERSION_DIR) < v.number)
+                             & _partition_match(df, vmeta["partition_by"], vmeta["replaces"])))
+    return df.select(*names)
+
+
+def _partition_match(df: DataFrame, cols: Sequence[str], values: list[list]) -> Column:
+    """True for rows whose partition values are one of ``values`` (NULL-safe)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def eq(c: str, v) -> Column:
+        return F.col(c).isNull() if v is None else F.col(c) == F.lit(v).cast(types[c])
+
+    if not values:
+        return F.lit(False)
+    if len(cols) == 1:
+        plain = [v[0] for v in values if v[0] is not None]
+        cond = F.col(cols[0]).isin([F.lit(x).cast(types[cols[0]]) for x in plain]) \
+            if plain else F.lit(False)
+        return cond | F.col(cols[0]).isNull() if len(plain) < len(values) else cond
+    return reduce(lambda a, b: a | b,
+                  [reduce(lambda a, b: a & b, [eq(c, x) for c, x in zip(cols, v)])
+                   for v in values])
 
 
 def history(spark: SparkSession, path: str) -> list[dict]:
@@ -134,7 +167,7 @@ def history(spark: SparkSession, path: str) -> list[dict]:
 # --- write ---------------------------------------------------------------------
 
 def _write(df: DataFrame, path: str, kind: str, partition_by: Sequence[str] | None,
-           extra_metrics: Sequence[Column] = ()) -> dict:
+           extra_metrics: Sequence[Column] = (), extra_meta: dict | None = None) -> dict:
     spark = df.sparkSession
     existing = versions(spark, path)
     n = existing[-1].number + 1 if existing else 0
@@ -146,7 +179,8 @@ def _write(df: DataFrame, path: str, kind: str, partition_by: Sequence[str] | No
     vdir = _version_dir(path, n)
     schema = T.StructType([f for f in df.schema.fields if f.name != ACTION])
     _write_text(spark, f"{vdir}/{SCHEMA_FILE}", json.dumps(
-        {"schema": schema.jsonValue(), "partition_by": partition_by, "kind": kind}))
+        {"schema": schema.jsonValue(), "partition_by": partition_by, "kind": kind,
+         **(extra_meta or {})}, default=str))
     obs = Observation(f"write_{n}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"), *extra_metrics)
     if ACTION in observed.columns:
@@ -185,23 +219,26 @@ def overwrite_partitions(df: DataFrame, path: str,
                          partition_by: Sequence[str] | None = None) -> dict:
     """Replace only the partitions present in ``df``; others stay as they are.
 
-    Partition values are matched null-safely; the set of touched values is
-    small (one row per partition) and AQE broadcasts it.
+    Writes ``df`` as a ``replace`` version holding the touched partition
+    values (one small distinct query over the partition columns, bounded by
+    the number of partitions, not rows). Readers drop those partitions of
+    earlier versions by partition pruning; nothing else is rewritten.
+    Partition values match NULL-safely.
     """
     spark = df.sparkSession
-    partition_by = list(partition_by or _partitioning(spark, path))
-    if not partition_by:
-        raise ValueError("overwrite_partitions needs partition columns")
     if not table_exists(spark, path):
+        partition_by = list(partition_by or [])
+        if not partition_by:
+            raise ValueError("overwrite_partitions needs partition columns")
         return write_table(df, path, "overwrite", partition_by)
-    current = read_version(spark, path)
-    touched = df.select([F.col(c).alias(f"__p_{c}") for c in partition_by]).distinct()
-    cond = reduce(lambda a, b: a & b,
-                  [current[c].eqNullSafe(touched[f"__p_{c}"]) for c in partition_by])
-    kept = current.join(touched, cond, "left_anti")
-    res = _write(kept.unionByName(df.select(current.columns)), path, "snapshot", partition_by)
+    current = _partitioning(spark, path)
+    partition_by = list(partition_by or current)
+    if not partition_by or partition_by != current:
+        raise ValueError(f"partition columns {partition_by} differ from the table's {current}")
+    touched = [list(r) for r in df.select(*partition_by).distinct().collect()]
+    res = _write(df, path, "replace", partition_by, extra_meta={"replaces": touched})
     return {"rows_written": res["rows_written"], "mode": "overwrite_partitions",
-            "path": path, "version": res["version"]}
+            "path": path, "version": res["version"], "partitions": len(touched)}
 
 
 # --- merge -------------------------------------------------------------------
@@ -263,12 +300,18 @@ def duplicate_source_keys(source: DataFrame, key: str) -> DataFrame:
 def merge_upsert(source: DataFrame, path: str, key: str,
                  columns: Sequence[str] | None = None,
                  partition_by: Sequence[str] | None = None,
-                 delete_unmatched: bool = False, check_unique: bool = True) -> dict:
+                 delete_unmatched: bool = False, check_unique: bool = True,
+                 within_partitions: bool = False) -> dict:
     """Upsert ``source`` into the table at ``path`` on ``key``.
 
     A missing table is created from the source (keeping ``partition_by``).
     Duplicate non-NULL source keys raise ``ValueError`` (one aggregate over
     the source). Counts are observed during the single write.
+
+    ``within_partitions`` limits the merge to the table partitions the
+    source touches (a key must not move between partitions, e.g. events by
+    date): only those partitions are read (partition pruning) and written
+    back as a ``replace`` version; the rest of the table is not touched.
     """
     spark = source.sparkSession
     if check_unique and duplicate_source_keys(source, key).take(1):
@@ -277,14 +320,25 @@ def merge_upsert(source: DataFrame, path: str, key: str,
         res = _write(source, path, "snapshot", partition_by)
         return {"rows_inserted": res["rows_written"], "rows_updated": 0, "rows_deleted": 0,
                 "mode": "merge (initial write)", "path": path, "version": res["version"]}
+    parts = list(partition_by or _partitioning(spark, path))
+    metrics = [F.count_if(F.col(ACTION) == "updated").alias("rows_updated"),
+               F.count_if(F.col(ACTION) == "inserted").alias("rows_inserted")]
     target = read_version(spark, path)
-    merged = merge_frames(target, source, key, columns, delete_unmatched)
-    res = _write(merged, path, "snapshot", partition_by or _partitioning(spark, path), [
-        F.count_if(F.col(ACTION) == "updated").alias("rows_updated"),
-        F.count_if(F.col(ACTION) == "inserted").alias("rows_inserted"),
-    ])
+    if within_partitions:
+        if not parts:
+            raise ValueError("within_partitions needs a partitioned table")
+        touched = [list(r) for r in source.select(*parts).distinct().collect()]
+        target = target.filter(_partition_match(target, parts, touched))
+        merged = merge_frames(target, source, key, columns, delete_unmatched)
+        res = _write(merged.hint("rebalance", *parts), path, "replace", parts, metrics,
+                     extra_meta={"replaces": touched})
+        mode = "merge (partitions)"
+    else:
+        merged = merge_frames(target, source, key, columns, delete_unmatched)
+        res = _write(merged, path, "snapshot", parts, metrics)
+        mode = "merge"
     return {"rows_inserted": res["rows_inserted"], "rows_updated": res["rows_updated"],
-            "rows_written": res["rows_written"], "mode": "merge", "merge_key": key,
+            "rows_written": res["rows_written"], "mode": mode, "merge_key": key,
             "path": path, "version": res["version"]}
 
 

@@ -132,3 +132,48 @@ def test_compaction_keeps_rows_and_cuts_files(spark, tmp_dir):
     assert tables.read_version(spark, p).count() == 6000
     # the advisory size was set for the compaction only
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") != str(128 << 20)
+
+
+def test_partition_replace_time_travel_and_pruning(spark, tmp_dir):
+    p = f"{tmp_dir}/pr"
+    tables.write_table(spark.createDataFrame([(1, "a", "EU"), (2, "b", None), (3, "c", "AS")], S),
+                       p, "overwrite", ["region"])
+    res = tables.overwrite_partitions(spark.createDataFrame([(4, "d", None), (5, "e", "EU")], S), p)
+    assert res["partitions"] == 2 and res["rows_written"] == 2
+    tables.write_table(spark.createDataFrame([(6, "f", "EU")], S), p, "append")
+    assert _rows(tables.read_version(spark, p, 0)) == _sorted([(1, "a", "EU"), (2, "b", None),
+                                                              (3, "c", "AS")])
+    assert _rows(tables.read_version(spark, p, 1)) == _sorted([(3, "c", "AS"), (4, "d", None),
+                                                              (5, "e", "EU")])
+    latest = tables.read_version(spark, p)
+    assert _rows(latest) == _sorted([(3, "c", "AS"), (4, "d", None), (5, "e", "EU"), (6, "f", "EU")])
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "strata_version" in plan.split("PartitionFilters: [")[1]
+    tables.compact(spark, p, only_if_needed=False)
+    assert _rows(tables.read_version(spark, p)) == _rows(latest)
+    with pytest.raises(ValueError):
+        tables.overwrite_partitions(spark.createDataFrame([(7, "g", "EU")], S), p, ["name"])
+
+
+def test_partition_replace_two_columns(spark, tmp_dir):
+    p = f"{tmp_dir}/pr2"
+    s2 = "id long, y int, m int"
+    tables.write_table(spark.createDataFrame([(1, 2024, 1), (2, 2024, 2), (3, 2023, 1)], s2), p,
+                       "overwrite", ["y", "m"])
+    tables.overwrite_partitions(spark.createDataFrame([(9, 2024, 1)], s2), p)
+    assert sorted(r.id for r in tables.read_version(spark, p).collect()) == [2, 3, 9]
+
+
+def test_merge_within_partitions(spark, tmp_dir):
+    p = f"{tmp_dir}/mp"
+    ev = "id long, name string, day string"
+    tables.merge_upsert(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2"), (3, "c", "d2")], ev),
+                        p, "id", partition_by=["day"])
+    res = tables.merge_upsert(spark.createDataFrame([(2, "B", "d2"), (4, "d", "d3")], ev), p, "id",
+                              within_partitions=True)
+    assert res["mode"] == "merge (partitions)"
+    assert (res["rows_updated"], res["rows_inserted"]) == (1, 1)
+    got = sorted(tuple(r) for r in tables.read_version(spark, p).collect())
+    assert got == [(1, "a", "d1"), (2, "B", "d2"), (3, "c", "d2"), (4, "d", "d3")]
+    assert sorted(tuple(r) for r in tables.read_version(spark, p, 0).collect()) == \
+        [(1, "a", "d1"), (2, "b", "d2"), (3, "c", "d2")]
