@@ -373,7 +373,7 @@ def file_stats(spark: SparkSession, path: str) -> tuple[int, int, int]:
 
 
 def compact(spark: SparkSession, path: str, target_file_size: str = "128mb",
-            only_if_needed: bool = True) -> dict:
+            only_if_needed: bool = True, partitions: Sequence[Sequence] | None = None) -> dict:
     """Rewrite the current version as a snapshot of fewer, larger files.
 
     A rebalance (by the table's partition columns) lets AQE size output
@@ -381,9 +381,11 @@ def compact(spark: SparkSession, path: str, target_file_size: str = "128mb",
     size is set for this write only and restored after. With
     ``only_if_needed`` a table with one file per folder, or files averaging
     over a quarter of the target, is left alone (decided from the listing).
+    ``partitions`` (partition value tuples) compacts only those partitions,
+    written as a ``replace`` version.
     """
     target = _size_bytes(target_file_size)
-    if only_if_needed:
+    if only_if_needed and partitions is None:
         files, size, leaves = file_stats(spark, path)
         if files <= leaves or (files and size / files >= target / 4):
             return {"rows_written": 0, "mode": "compact (not needed)", "path": path,
@@ -394,7 +396,13 @@ def compact(spark: SparkSession, path: str, target_file_size: str = "128mb",
     old = spark.conf.get(conf, None)
     spark.conf.set(conf, str(target))
     try:
-        res = _write(current.hint("rebalance", *parts), path, "snapshot", parts)
+        if partitions is not None:
+            touched = [list(v) for v in partitions]
+            current = current.filter(_partition_match(current, parts, touched))
+            res = _write(current.hint("rebalance", *parts), path, "replace", parts,
+                         extra_meta={"replaces": touched})
+        else:
+            res = _write(current.hint("rebalance", *parts), path, "snapshot", parts)
     finally:
         if old is None:
             spark.conf.unset(conf)

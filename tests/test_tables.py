@@ -177,3 +177,14 @@ def test_merge_within_partitions(spark, tmp_dir):
     assert got == [(1, "a", "d1"), (2, "B", "d2"), (3, "c", "d2"), (4, "d", "d3")]
     assert sorted(tuple(r) for r in tables.read_version(spark, p, 0).collect()) == \
         [(1, "a", "d1"), (2, "b", "d2"), (3, "c", "d2")]
+
+
+def test_compact_selected_partitions(spark, tmp_dir):
+    p = f"{tmp_dir}/cp"
+    df = spark.range(3000).select(F.col("id"), F.lit("n").alias("name"),
+                                  (F.col("id") % 3).cast("string").alias("region"))
+    tables.write_table(df.repartition(12), p, "overwrite", ["region"])
+    res = tables.compact(spark, p, partitions=[["0"]])
+    assert res["rows_written"] == 1000
+    assert tables.read_version(spark, p).count() == 3000
+    assert tables.history(spark, p)[-1]["kind"] == "replace"
