@@ -1,0 +1,32 @@
+"""Entry points under the names and signatures that pipeline code of the
+reference's shape calls, mapped onto strata's operators. Behaviour follows
+strata's decisions (README, SURVEY §2.14)."""
+
+from __future__ import annotations
+
+from strata.operators.columns import (add_ingestion_metadata, parse_event_properties,  # noqa: F401
+                                      standardize_columns)
+from strata.operators.customers import (build_customer_lifetime_value,  # noqa: F401
+                                        compute_customer_segments, enrich_customers)
+from strata.operators.dedup import latest_per_key
+from strata.operators.quality import DataQualityError, QualityCheck, QualityEngine  # noqa: F401
+from strata.operators.summary import build_daily_summary  # noqa: F401
+from strata.sinks.tables import compact, read_version, write_table  # noqa: F401
+from strata.sources.files import split_corrupt
+from strata.config import load_config  # noqa: F401
+
+
+def deduplicate_events(df, key_column: str = "event_id", order_column: str = "event_timestamp"):
+    return latest_per_key(df, key_column, order_column)
+
+
+def quarantine_corrupt_records(df):
+    return split_corrupt(df)
+
+
+def read_table(spark, path: str, version: int | None = None):
+    return read_version(spark, path, version)
+
+
+def compact_table(spark, path: str, target_file_size: str = "128mb") -> dict:
+    return compact(spark, path, target_file_size)

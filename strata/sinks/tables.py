@@ -199,13 +199,20 @@ def _partitioning(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
-                partition_by: Sequence[str] | None = None) -> dict:
-    """Append a segment or overwrite with a snapshot; returns write metrics.
+                partition_by: Sequence[str] | None = None, merge_key: str | None = None,
+                merge_columns: Sequence[str] | None = None) -> dict:
+    """Append a segment, overwrite with a snapshot, or merge; returns write metrics.
 
     The row count is observed during the write, not by a second scan.
+    ``mode="merge"`` needs ``merge_key`` and upserts (``merge_columns``
+    limits the updated columns), see ``merge_upsert``.
     """
+    if mode == "merge":
+        if not merge_key:
+            raise ValueError("merge_key is required for merge mode")
+        return merge_upsert(df, path, merge_key, merge_columns, partition_by)
     if mode not in ("append", "overwrite"):
-        raise ValueError(f"mode must be append or overwrite, got {mode!r}")
+        raise ValueError(f"mode must be append, overwrite or merge, got {mode!r}")
     spark = df.sparkSession
     if partition_by is None and table_exists(spark, path):
         partition_by = _partitioning(spark, path)

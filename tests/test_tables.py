@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.sinks import tables
 
 S = "id long, name string, region string"
+T0, T1 = __import__("datetime").datetime(2024, 1, 1), __import__("datetime").datetime(2024, 1, 2)
 
 
 def _key(t):
@@ -188,3 +189,17 @@ def test_compact_selected_partitions(spark, tmp_dir):
     assert res["rows_written"] == 1000
     assert tables.read_version(spark, p).count() == 3000
     assert tables.history(spark, p)[-1]["kind"] == "replace"
+
+
+def test_write_table_merge_mode_and_compat(spark, tmp_dir):
+    from strata import compat
+    p = f"{tmp_dir}/wm"
+    compat.write_table(spark.createDataFrame([(1, "a", "EU")], S), p, "overwrite")
+    res = compat.write_table(spark.createDataFrame([(1, "z", "EU")], S), p, "merge", merge_key="id",
+                             merge_columns=["name"])
+    assert res["rows_updated"] == 1
+    assert _rows(compat.read_table(spark, p)) == [(1, "z", "EU")]
+    with pytest.raises(ValueError):
+        compat.write_table(spark.createDataFrame([(1, "z", "EU")], S), p, "merge")
+    df = spark.createDataFrame([("e", "c", T0), ("e", "c", T1)], "event_id string, c string, event_timestamp timestamp")
+    assert compat.deduplicate_events(df).collect()[0].event_timestamp == T1
