@@ -7,9 +7,9 @@ check, every row check becomes a flag column and a single aggregate counts
 ``flag_i AND NOT (earlier critical flags)``. A row goes to quarantine under
 the first critical check it fails. ``unique`` checks count duplicated keys
 (a NULL key group included) among rows left at their position and never
-remove rows. The whole report is one scan: every row emits one entry for
-the row checks plus one per unique check, and a single ``groupBy(position,
-key)`` counts them (row-check entries combine map-side to one per task).
+remove rows. The whole report is one scan: the row-check hits ride along
+in the unique checks' ``groupBy(check, key)`` (one entry per row and unique
+check), and a one-row aggregate picks the totals.
 
 Decisions: NULL passes ``regex`` and ``less_than_or_equal`` (and is kept);
 patterns are taken literally; a string column compared with a date bound is
@@ -235,12 +235,12 @@ def _totals(flagged: DataFrame, checks: list[QualityCheck], status: dict[str, st
             flags: dict[int, str], removed_before) -> DataFrame:
     """One row: ``total_rows`` and ``failing_<pos>`` for every active check.
 
-    Each input row becomes 1 + U entries (U unique checks): entry 0 carries
-    the row-check hits as 0/1 numbers, entry i the key of unique check i
-    (typed, other keys NULL) and whether the row is still alive there. One
-    groupBy(position, keys) counts rows per key; a final one-row aggregate
-    picks the totals. Partial aggregation turns entry 0 into one row per
-    task, so only unique-check keys are shuffled in volume.
+    Without unique checks: one global aggregate of the row-check hits. With
+    U unique checks each row becomes U entries, one per unique column
+    (typed key, other keys NULL, whether the row is alive at that check);
+    the first entry also carries the row-check hits as 0/1 numbers. One
+    groupBy(check, keys) counts rows per key, a final one-row aggregate
+    picks the totals. With a single unique check nothing is exploded.
     """
     uniques = [(p, c) for p, c in enumerate(checks, start=1)
                if c.rule == "unique" and status[c.name] == "ok"]
@@ -251,28 +251,29 @@ def _totals(flagged: DataFrame, checks: list[QualityCheck], status: dict[str, st
             for j in row_pos])
     types = {f.name: f.dataType for f in flagged.schema.fields}
     keys = {p: f"__k{p}" for p, _ in uniques}
+    first = uniques[0][0]
 
     def entry(pos: int) -> Column:
         fields = [F.lit(pos).alias("pos")]
         for p, c in uniques:
             value = F.col(c.column) if p == pos else F.lit(None).cast(types[c.column])
             fields.append(value.alias(keys[p]))
-        fields.append((~removed_before(pos)).cast("long").alias("alive") if pos
-                      else F.lit(0).cast("long").alias("alive"))
+        fields.append((~removed_before(pos)).cast("long").alias("alive"))
         for j in row_pos:
-            hit = (F.col(flags[j]) & ~removed_before(j)).cast("long") if pos == 0 \
+            hit = (F.col(flags[j]) & ~removed_before(j)).cast("long") if pos == first \
                 else F.lit(0).cast("long")
             fields.append(hit.alias(f"f{j}"))
         return F.struct(*fields)
 
-    entries = flagged.select(F.explode(F.array(entry(0), *[entry(p) for p, _ in uniques]))
-                             .alias("e")).select("e.*")
+    structs = [entry(p) for p, _ in uniques]
+    packed = F.explode(F.array(*structs)) if len(structs) > 1 else structs[0]
+    entries = flagged.select(packed.alias("e")).select("e.*")
     per_key = entries.groupBy("pos", *keys.values()).agg(
         F.count(F.lit(1)).alias("n"), F.sum("alive").alias("n_alive"),
         *[F.sum(f"f{j}").alias(f"f{j}") for j in row_pos])
-    at0 = F.col("pos") == 0
-    out = [F.coalesce(F.sum(F.when(at0, F.col("n"))), F.lit(0)).alias("total_rows")]
-    out += [F.coalesce(F.sum(F.when(at0, F.col(f"f{j}"))), F.lit(0)).alias(f"failing_{j}")
+    at_first = F.col("pos") == first
+    out = [F.coalesce(F.sum(F.when(at_first, F.col("n"))), F.lit(0)).alias("total_rows")]
+    out += [F.coalesce(F.sum(F.when(at_first, F.col(f"f{j}"))), F.lit(0)).alias(f"failing_{j}")
             for j in row_pos]
     out += [F.count_if((F.col("pos") == p) & (F.col("n_alive") > 1)).alias(f"failing_{p}")
             for p, _ in uniques]

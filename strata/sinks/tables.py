@@ -185,6 +185,9 @@ def _write(df: DataFrame, path: str, kind: str, partition_by: Sequence[str] | No
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"), *extra_metrics)
     if ACTION in observed.columns:
         observed = observed.drop(ACTION)
+    if partition_by:
+        # right-sized files per partition; AQE splits a skewed partition
+        observed = observed.hint("rebalance", *partition_by)
     writer = observed.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -337,7 +340,7 @@ def merge_upsert(source: DataFrame, path: str, key: str,
         touched = [list(r) for r in source.select(*parts).distinct().collect()]
         target = target.filter(_partition_match(target, parts, touched))
         merged = merge_frames(target, source, key, columns, delete_unmatched)
-        res = _write(merged.hint("rebalance", *parts), path, "replace", parts, metrics,
+        res = _write(merged, path, "replace", parts, metrics,
                      extra_meta={"replaces": touched})
         mode = "merge (partitions)"
     else:
@@ -360,7 +363,11 @@ def _size_bytes(size: str) -> int:
 
 
 def file_stats(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    """(data files, bytes, leaf folders) of the current version's folders."""
+    """(data files, bytes, logical partitions) of the current version's folders.
+
+    A logical partition is a partition folder path below the version folder,
+    so the same partition written by several versions counts once.
+    """
     done = [v for v in versions(spark, path) if v.done]
     upto = done
     snaps = [v for v in upto if v.kind == "snapshot"]
@@ -375,7 +382,8 @@ def file_stats(spark: SparkSession, path: str) -> tuple[int, int, int]:
             if st.getPath().getName().endswith(".parquet"):
                 files += 1
                 size += st.getLen()
-                leaves.add(st.getPath().getParent().toString())
+                parent = st.getPath().getParent().toString()
+                leaves.add(parent.split(f"{KIND_DIR}=", 1)[-1].partition("/")[2])
     return files, size, len(leaves)
 
 
@@ -409,7 +417,8 @@ def compact(spark: SparkSession, path: str, target_file_size: str = "128mb",
             res = _write(current.hint("rebalance", *parts), path, "replace", parts,
                          extra_meta={"replaces": touched})
         else:
-            res = _write(current.hint("rebalance", *parts), path, "snapshot", parts)
+            res = _write(current.hint("rebalance", *parts) if parts
+                         else current.hint("rebalance"), path, "snapshot", parts)
     finally:
         if old is None:
             spark.conf.unset(conf)
