@@ -253,7 +253,7 @@ def _totals(flagged: DataFrame, checks: list[QualityCheck], status: dict[str, st
     keys = {p: f"__k{p}" for p, _ in uniques}
     first = uniques[0][0]
 
-    def entry(pos: int) -> Column:
+    def entry(pos: int) -> list[Column]:
         fields = [F.lit(pos).alias("pos")]
         for p, c in uniques:
             value = F.col(c.column) if p == pos else F.lit(None).cast(types[c.column])
@@ -263,11 +263,13 @@ def _totals(flagged: DataFrame, checks: list[QualityCheck], status: dict[str, st
             hit = (F.col(flags[j]) & ~removed_before(j)).cast("long") if pos == first \
                 else F.lit(0).cast("long")
             fields.append(hit.alias(f"f{j}"))
-        return F.struct(*fields)
+        return fields
 
-    structs = [entry(p) for p, _ in uniques]
-    packed = F.explode(F.array(*structs)) if len(structs) > 1 else structs[0]
-    entries = flagged.select(packed.alias("e")).select("e.*")
+    if len(uniques) == 1:
+        entries = flagged.select(*entry(first))
+    else:
+        packed = F.explode(F.array(*[F.struct(*entry(p)) for p, _ in uniques]))
+        entries = flagged.select(packed.alias("e")).select("e.*")
     per_key = entries.groupBy("pos", *keys.values()).agg(
         F.count(F.lit(1)).alias("n"), F.sum("alive").alias("n_alive"),
         *[F.sum(f"f{j}").alias(f"f{j}") for j in row_pos])
