@@ -26,6 +26,7 @@ from strata.session import local_session  # noqa: E402
 
 HEADLINE = [
     "customer_360", "latest_event_per_user", "dedup_injected_events", "daily_summary",
+    "daily_summary_join_first",
     "txn_metrics", "customer_clv", "quality_report", "lineitem_quality_report", "merge_all",
     "first_per_key", "filter_gt", "normalize_fields", "partition_overwrite", "csv_records",
     "record_flow_batch", "bronze_to_gold",

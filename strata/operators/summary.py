@@ -35,3 +35,28 @@ def build_daily_summary(events: DataFrame, ts_col: str = "event_timestamp",
              distinct(session_col).alias("unique_sessions"))
     )
     return out.orderBy("event_date", "event_type") if sort else out
+
+
+def daily_summary_by_region(events: DataFrame, customers: DataFrame,
+                            ts_col: str = "event_timestamp", key: str = "customer_id",
+                            session_col: str = "session_id", region: str = "region",
+                            approx: bool = False) -> DataFrame:
+    """The daily summary from raw events and the customer dimension.
+
+    Same result as ``build_daily_summary(with_region(events, customers))``,
+    planned for a dimension too big to broadcast: events first collapse to
+    one row per (date, type, customer, session) with a count (partial
+    aggregation map-side), so the join to the region lookup shuffles those
+    rows instead of every event; the final aggregate sums the counts and
+    counts distinct customers and sessions.
+    """
+    distinct = F.approx_count_distinct if approx else F.countDistinct
+    visits = (events.groupBy(F.to_date(F.col(ts_col)).alias("event_date"), "event_type",
+                             key, session_col)
+              .agg(F.count(F.lit(1)).alias("__events")))
+    dim = customers.groupBy(key).agg(F.max(region).alias(region))
+    return (visits.join(dim, on=key, how="left")
+            .groupBy("event_date", "event_type", region)
+            .agg(F.sum("__events").alias("event_count"),
+                 distinct(key).alias("unique_customers"),
+                 distinct(session_col).alias("unique_sessions")))

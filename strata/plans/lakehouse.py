@@ -33,7 +33,7 @@ from strata.operators.customers import (build_customer_lifetime_value,
                                         compute_customer_segments, enrich_customers)
 from strata.operators.dedup import latest_per_key
 from strata.operators.quality import DataQualityError, QualityEngine
-from strata.operators.summary import build_daily_summary, with_region
+from strata.operators.summary import daily_summary_by_region
 from strata.schemas import CUSTOMER_SCHEMA, EVENT_SCHEMA, TRANSACTION_COLUMNS, require_columns
 from strata.sinks import tables
 from strata.sinks.files import write_quarantine
@@ -143,8 +143,8 @@ def run_gold(spark: SparkSession, config: Mapping, as_of: str | _dt.date | None
     events = tables.read_version(spark, _path(config, "silver", "events"))
     customers = tables.read_version(spark, _path(config, "silver", "customers"))
     session = config.get("events", {}).get("session_key", "session_id")
-    summary = build_daily_summary(with_region(events, customers.select("customer_id", "region")),
-                                  session_col=session)
+    summary = daily_summary_by_region(events, customers.select("customer_id", "region"),
+                                      session_col=session)
     metrics["daily_summary"] = tables.write_table(
         summary, _path(config, "gold", "daily_summary"), "overwrite", gold.get("partition_by"))
     tx_path = _path(config, "silver", "transactions")
