@@ -215,3 +215,20 @@ def test_clv_default_as_of_is_today(spark):
                                "customer_id string, amount double, txn_date timestamp")
     row = customers.build_customer_lifetime_value(cust, tx).collect()[0]
     assert row.months_since_first_purchase > 12 * 20
+
+
+def test_daily_summary_by_region_equals_join_first(spark):
+    import random
+    rnd = random.Random(5)
+    ev = spark.createDataFrame(
+        [(f"c{rnd.randint(0, 9)}", rnd.choice(["click", "view"]),
+          T(2024, 1, rnd.randint(1, 3), rnd.randint(0, 23)), rnd.choice([None, "s1", "s2", "s3"]))
+         for _ in range(300)],
+        "customer_id string, event_type string, event_timestamp timestamp, session_id string")
+    cust = spark.createDataFrame([(f"c{i}", rnd.choice(["EU", "AS", None])) for i in range(8)]
+                                 + [("c1", "ZZ")], "customer_id string, region string")
+    a = summary.daily_summary_by_region(ev, cust)
+    b = summary.build_daily_summary(summary.with_region(ev, cust))
+    key = lambda r: tuple((x is None, x) for x in r)
+    cols = sorted(a.columns)
+    assert sorted(a.select(cols).collect(), key=key) == sorted(b.select(cols).collect(), key=key)
