@@ -155,8 +155,9 @@ def run_from_config(spark: SparkSession, config: Mapping[str, object],
     """Run a record pipeline config: ``sources`` (name, type csv, location,
     properties), ``transforms`` (filter / normalize / map / deduplicate),
     ``destination`` (type jsonfile, connection_string = output folder) and
-    ``pipeline.dead_letter_path``. ``stream`` runs each source folder on
-    Structured Streaming (needs ``checkpoint``)."""
+    ``pipeline.dead_letter_path``. ``stream`` runs the source folders as one
+    Structured Streaming query (needs ``checkpoint``); dedup state is shared
+    by all sources, as in the batch run."""
     sources = list(config.get("sources", []))
     for s in sources:
         if s.get("type", "csv") != "csv":
@@ -170,22 +171,17 @@ def run_from_config(spark: SparkSession, config: Mapping[str, object],
     if not stream:
         return run_records(spark, sources, flow, out, dead)
     from strata.sources.records import csv_header
-    from strata.streaming.records import run_record_stream
+    from strata.streaming.records import StreamSource, run_record_streams
     if checkpoint is None:
         raise ValueError("a streaming run needs a checkpoint location")
-    total = RunMetrics()
+    stream_sources = []
     for s in sources:
-        props = dict(s.get("properties", {}) or {})
-        sep = str(props.get("delimiter", ","))
-        header = csv_header(spark, str(s["location"]), sep)
-        run = run_record_stream(spark, str(s["location"]), header, str(s["name"]), flow,
-                                f"{out.rstrip('/')}/{s['name']}",
-                                f"{checkpoint.rstrip('/')}/{s['name']}",
-                                dead_letter_path=f"{dead.rstrip('/')}/{s['name']}" if dead else None,
-                                sep=sep)
-        for c in RunMetrics.COUNTERS:
-            setattr(total, c, getattr(total, c) + getattr(run.metrics, c))
-    return total.finish()
+        sep = str(dict(s.get("properties", {}) or {}).get("delimiter", ","))
+        stream_sources.append(StreamSource(str(s["name"]), str(s["location"]),
+                                           csv_header(spark, str(s["location"]), sep), sep))
+    run = run_record_streams(spark, stream_sources, flow, out, checkpoint,
+                             dead_letter_path=dead)
+    return run.metrics
 
 
 def main(argv: Sequence[str] | None = None) -> int:

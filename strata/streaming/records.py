@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,21 +50,43 @@ def _good(df: DataFrame, header: Sequence[str]) -> DataFrame:
             .withColumns({h: F.coalesce(F.col(h), F.lit("")) for h in header}))
 
 
+@dataclass(frozen=True)
+class StreamSource:
+    name: str
+    path: str
+    header: Sequence[str]
+    sep: str = ","
+
+
 def run_record_stream(spark: SparkSession, source_path: str, header: Sequence[str],
                       source_name: str, flow: RecordFlow, output_path: str, checkpoint: str,
                       dead_letter_path: str | None = None, max_files_per_trigger: int = 1,
                       processing_time: str | None = None, sep: str = ",",
                       timeout_s: float | None = None) -> StreamRun:
-    """Run the flow over a folder of CSV files.
-
-    By default ``availableNow``: process what is there, then stop (as a
-    batch run ends when its sources are exhausted). With ``processing_time``
-    the query keeps running on that interval until ``timeout_s``.
+    """Run the flow over one folder of CSV files (see ``run_record_streams``)."""
+    return run_record_streams(spark, [StreamSource(source_name, source_path, header, sep)], flow,
+                              output_path, checkpoint, dead_letter_path, max_files_per_trigger,
+                              processing_time, timeout_s)
+
+
+def run_record_streams(spark: SparkSession, sources: Sequence[StreamSource], flow: RecordFlow,
+                       output_path: str, checkpoint: str, dead_letter_path: str | None = None,
+                       max_files_per_trigger: int = 1, processing_time: str | None = None,
+                       timeout_s: float | None = None) -> StreamRun:
+    """Run the flow over several folders of CSV files as one stream.
+
+    The sources are unioned by name before the flow, so dedup state is
+    shared by all of them. By default ``availableNow``: process what is
+    there, then stop (as a batch run ends when its sources are exhausted).
+    With ``processing_time`` the query keeps running on that interval until
+    ``timeout_s``.
     """
     metrics = RunMetrics()
-    stream = stream_csv_records(spark, source_path, header, source_name, sep,
-                                max_files_per_trigger=max_files_per_trigger)
-    out = flow.apply(_good(stream, header), streaming=True)
+    streams = [stream_csv_records(spark, s.path, s.header, s.name, s.sep,
+                                  max_files_per_trigger=max_files_per_trigger) for s in sources]
+    good = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [_good(st, s.header) for st, s in zip(streams, sources)])
+    out = flow.apply(good, streaming=True)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"stream_batch_{batch_id}")
@@ -79,8 +102,9 @@ def run_record_stream(spark: SparkSession, source_path: str, header: Sequence[st
     queries = [trigger(out.writeStream.foreachBatch(write_batch)
                        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/records")).start()]
     if dead_letter_path is not None:
-        bad = stream.filter(malformed_text(header).isNotNull()).withColumn(
-            "_error", F.lit("field count differs from header"))
+        bad = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+            st.filter(malformed_text(s.header).isNotNull()) for st, s in zip(streams, sources)
+        ]).withColumn("_error", F.lit("field count differs from header"))
 
         def write_rejects(batch: DataFrame, batch_id: int) -> None:
             obs = Observation(f"stream_rejects_{batch_id}")

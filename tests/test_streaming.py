@@ -54,3 +54,17 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
                             f"{tmp_dir}/ckpt")
     keys = sorted(r.Data["user_id"] for r in read_ndjson_records(spark, f"{tmp_dir}/out").collect())
     assert keys == ["1", "2"] and run.metrics.records_written == 2
+
+
+def test_streams_share_dedup_state_across_sources(spark, tmp_dir):
+    from strata.streaming.records import StreamSource, run_record_streams
+    for name, text in (("a", "user_id,email\n1,x\n2,y\n"), ("b", "user_id,email,extra\n2,z,q\n3,w,r\n")):
+        os.makedirs(f"{tmp_dir}/{name}")
+        _write(f"{tmp_dir}/{name}/f.csv", text)
+    flow = RecordFlow.from_config([{"name": "d", "operation": "deduplicate",
+                                    "config": {"key_field": "user_id"}}])
+    run = run_record_streams(spark, [StreamSource("a", f"{tmp_dir}/a", ["user_id", "email"]),
+                                     StreamSource("b", f"{tmp_dir}/b", ["user_id", "email", "extra"])],
+                             flow, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    keys = sorted(r.Data["user_id"] for r in read_ndjson_records(spark, f"{tmp_dir}/out").collect())
+    assert keys == ["1", "2", "3"] and run.metrics.records_read == 4
