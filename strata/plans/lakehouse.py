@@ -2,7 +2,9 @@
 
 Bronze: each source is read (declared schema where there is one), names are
 standardized, audit columns added, corrupt JSON lines quarantined, and the
-rows appended. Silver: events get their properties parsed, the latest row
+rows appended. Silver reads only the bronze event versions appended since
+its last run (recorded with each silver version; a rewritten bronze table
+means a full read). Silver: events get their properties parsed, the latest row
 per event id, validation, and are upserted on event id; customers get the
 latest row per id, validation, event metrics (left join), segments, and are
 upserted on customer id, then both tables are compacted (when their files
@@ -85,21 +87,30 @@ def run_silver(spark: SparkSession, config: Mapping, as_of: str | _dt.date | Non
     silver = config["layers"]["silver"]
     ev_cfg = config.get("events", {})
 
-    events = tables.read_version(spark, _path(config, "bronze", "raw_events"))
-    events = parse_event_properties(events, ev_cfg.get("property_keys", ()))
-    events = latest_per_key(events, silver.get("events_key", "event_id"), "event_timestamp",
-                            tie_breakers=["_ingested_at"]).persist(StorageLevel.MEMORY_AND_DISK)
-    events_valid, events_report = engine.validate(events, "events", table="events")
     events_path = _path(config, "silver", "events")
-    # keys are unique: latest_per_key just ran on the merge key
-    ev_parts = [c for c in silver.get("events_partition_by") or [] if c in events_valid.columns]
-    metrics["events"] = {**tables.merge_upsert(events_valid, events_path,
-                                               silver.get("events_key", "event_id"),
-                                               partition_by=ev_parts or None,
-                                               check_unique=False,
-                                               within_partitions=bool(ev_parts)),
-                         "quality": events_report}
-    events.unpersist()
+    ev_parts = silver.get("events_partition_by") or []
+    # incremental: only bronze versions appended since the last silver run
+    seen = tables.latest_meta(spark, events_path).get("bronze_version")
+    events, bronze_v, full = tables.read_changes(
+        spark, _path(config, "bronze", "raw_events"), seen)
+    if events is None:
+        metrics["events"] = {"mode": "no new bronze rows", "bronze_version": bronze_v}
+    else:
+        events = parse_event_properties(events, ev_cfg.get("property_keys", ()))
+        events = latest_per_key(events, silver.get("events_key", "event_id"), "event_timestamp",
+                                tie_breakers=["_ingested_at"]).persist(StorageLevel.MEMORY_AND_DISK)
+        events_valid, events_report = engine.validate(events, "events", table="events")
+        ev_parts = [c for c in ev_parts if c in events_valid.columns]
+        # keys are unique: latest_per_key just ran on the merge key
+        metrics["events"] = {**tables.merge_upsert(events_valid, events_path,
+                                                   silver.get("events_key", "event_id"),
+                                                   partition_by=ev_parts or None,
+                                                   check_unique=False,
+                                                   within_partitions=bool(ev_parts),
+                                                   meta={"bronze_version": bronze_v}),
+                             "quality": events_report, "bronze_version": bronze_v,
+                             "full_read": full}
+        events.unpersist()
 
     customers = standardize_columns(
         tables.read_version(spark, _path(config, "bronze", "raw_customers")))
@@ -107,8 +118,10 @@ def run_silver(spark: SparkSession, config: Mapping, as_of: str | _dt.date | Non
         StorageLevel.MEMORY_AND_DISK)
     customers_valid, customers_report = engine.validate(customers, "customers", table="customers")
     seg = config.get("segments", {})
-    enriched = enrich_customers(customers_valid, tables.read_version(spark, events_path),
-                                how="left")
+    all_events = tables.read_version(spark, events_path) \
+        if tables.table_exists(spark, events_path) else spark.createDataFrame(
+            [], "customer_id string, event_type string, event_timestamp timestamp")
+    enriched = enrich_customers(customers_valid, all_events, how="left")
     segmented = compute_customer_segments(enriched, **seg)
     customers_path = _path(config, "silver", "customers")
     if silver.get("write_mode", "merge") == "merge":
@@ -133,7 +146,8 @@ def run_silver(spark: SparkSession, config: Mapping, as_of: str | _dt.date | Non
 
     # partition merges already rebalance their output per date
     for name in ("customers",) if ev_parts else ("events", "customers"):
-        metrics[name]["compaction"] = tables.compact(spark, _path(config, "silver", name))
+        if name in metrics and tables.table_exists(spark, _path(config, "silver", name)):
+            metrics[name]["compaction"] = tables.compact(spark, _path(config, "silver", name))
     return metrics
 
 

@@ -160,6 +160,48 @@ def _partition_match(df: DataFrame, cols: Sequence[str], values: list[list]) ->
                    for v in values])
 
 
+def latest_meta(spark: SparkSession, path: str) -> dict:
+    """The metadata of the newest finished version ({} when there is none)."""
+    done = [v for v in versions(spark, path) if v.done]
+    return _meta(spark, path, done[-1].number) if done else {}
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    done = [v for v in versions(spark, path) if v.done]
+    return done[-1].number if done else None
+
+
+def read_changes(spark: SparkSession, path: str,
+                 after: int | None) -> tuple[DataFrame | None, int | None, bool]:
+    """Rows added after version ``after``: (frame, newest version, full).
+
+    When every newer version is an append, only those folders are read; if
+    a newer version rewrote the table (snapshot or replace), or ``after`` is
+    None, the whole current table is returned with ``full=True``. The frame
+    is None when nothing is new.
+    """
+    done = [v for v in versions(spark, path) if v.done]
+    if not done:
+        return None, None, False
+    latest = done[-1].number
+    if after is None:
+        return read_version(spark, path), latest, True
+    newer = [v for v in done if v.number > after]
+    if not newer:
+        return None, latest, False
+    if any(v.kind != "append" for v in newer):
+        return read_version(spark, path), latest, True
+    meta = _meta(spark, path, latest)
+    dirs = [f"{_version_dir(path, v.number)}/{KIND_DIR}={v.kind}" for v in newer]
+    reader = spark.read.option("basePath", path.rstrip("/"))
+    if meta.get("schema"):
+        schema = T.StructType.fromJson(meta["schema"])
+        full = T.StructType(schema.fields + [T.StructField(VERSION_DIR, T.IntegerType()),
+                                             T.StructField(KIND_DIR, T.StringType())])
+        return reader.schema(full).parquet(*dirs).select(*schema.fieldNames()), latest, False
+    return reader.parquet(*dirs).drop(VERSION_DIR, KIND_DIR), latest, False
+
+
 def history(spark: SparkSession, path: str) -> list[dict]:
     return [{"version": v.number, "kind": v.kind, "done": v.done} for v in versions(spark, path)]
 
@@ -311,7 +353,7 @@ def merge_upsert(source: DataFrame, path: str, key: str,
                  columns: Sequence[str] | None = None,
                  partition_by: Sequence[str] | None = None,
                  delete_unmatched: bool = False, check_unique: bool = True,
-                 within_partitions: bool = False) -> dict:
+                 within_partitions: bool = False, meta: dict | None = None) -> dict:
     """Upsert ``source`` into the table at ``path`` on ``key``.
 
     A missing table is created from the source (keeping ``partition_by``).
@@ -322,12 +364,13 @@ def merge_upsert(source: DataFrame, path: str, key: str,
     source touches (a key must not move between partitions, e.g. events by
     date): only those partitions are read (partition pruning) and written
     back as a ``replace`` version; the rest of the table is not touched.
+    ``meta`` is stored with the new version (e.g. the source version read).
     """
     spark = source.sparkSession
     if check_unique and duplicate_source_keys(source, key).take(1):
         raise ValueError(f"source has duplicate values of merge key {key!r}")
     if not table_exists(spark, path):
-        res = _write(source, path, "snapshot", partition_by)
+        res = _write(source, path, "snapshot", partition_by, extra_meta=meta)
         return {"rows_inserted": res["rows_written"], "rows_updated": 0, "rows_deleted": 0,
                 "mode": "merge (initial write)", "path": path, "version": res["version"]}
     parts = list(partition_by or _partitioning(spark, path))
@@ -341,11 +384,11 @@ def merge_upsert(source: DataFrame, path: str, key: str,
         target = target.filter(_partition_match(target, parts, touched))
         merged = merge_frames(target, source, key, columns, delete_unmatched)
         res = _write(merged, path, "replace", parts, metrics,
-                     extra_meta={"replaces": touched})
+                     extra_meta={"replaces": touched, **(meta or {})})
         mode = "merge (partitions)"
     else:
         merged = merge_frames(target, source, key, columns, delete_unmatched)
-        res = _write(merged, path, "snapshot", parts, metrics)
+        res = _write(merged, path, "snapshot", parts, metrics, extra_meta=meta)
         mode = "merge"
     return {"rows_inserted": res["rows_inserted"], "rows_updated": res["rows_updated"],
             "rows_written": res["rows_written"], "mode": mode, "merge_key": key,

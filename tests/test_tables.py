@@ -203,3 +203,19 @@ def test_write_table_merge_mode_and_compat(spark, tmp_dir):
         compat.write_table(spark.createDataFrame([(1, "z", "EU")], S), p, "merge")
     df = spark.createDataFrame([("e", "c", T0), ("e", "c", T1)], "event_id string, c string, event_timestamp timestamp")
     assert compat.deduplicate_events(df).collect()[0].event_timestamp == T1
+
+
+def test_read_changes(spark, tmp_dir):
+    p = f"{tmp_dir}/rc"
+    assert tables.read_changes(spark, p, None) == (None, None, False)
+    tables.write_table(spark.createDataFrame([(1, "a", "EU")], S), p, "append")
+    df, v, full = tables.read_changes(spark, p, None)
+    assert (df.count(), v, full) == (1, 0, True)
+    assert tables.read_changes(spark, p, 0)[0] is None
+    tables.write_table(spark.createDataFrame([(2, "b", "EU")], S), p, "append")
+    tables.write_table(spark.createDataFrame([(3, "c", "EU")], S), p, "append")
+    df, v, full = tables.read_changes(spark, p, 0)
+    assert sorted(r.id for r in df.collect()) == [2, 3] and v == 2 and not full
+    tables.write_table(spark.createDataFrame([(4, "d", "EU")], S), p, "overwrite")
+    df, v, full = tables.read_changes(spark, p, 2)
+    assert [r.id for r in df.collect()] == [4] and full
