@@ -120,7 +120,8 @@ def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], fl
     """Batch run: CSV sources -> flow -> NDJSON, rejects to the dead letter.
 
     ``sources``: ``{name, location, properties: {delimiter, encoding}}``.
-    The read count is observed on the same job that writes the output.
+    The read count is observed on the same job that writes the output; each
+    source is parsed once (persisted) for the records and the rejects.
     """
     metrics = RunMetrics()
     scans = {}
@@ -128,7 +129,7 @@ def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], fl
         props = dict(s.get("properties", {}) or {})
         scans[str(s["name"])] = read_csv_records(
             spark, s["location"], str(s["name"]), sep=str(props.get("delimiter", ",")),
-            encoding=str(props.get("encoding", "utf-8")))
+            encoding=str(props.get("encoding", "utf-8")), persist=True)
     records = union_sources({n: sc.records for n, sc in scans.items()})
     read_obs = Observation("records_read")
     observed = records.observe(read_obs, F.count(F.lit(1)).alias("n"))
@@ -141,6 +142,8 @@ def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], fl
         rejected = write_rejects(rejects, dead_letter_path)["rows_rejected"]
     if flow.error_handler is not None:
         flow.error_handler(rejects)
+    for sc in scans.values():
+        sc.raw.unpersist()
     good = int(read_obs.get["n"])
     metrics.records_read = good + rejected
     metrics.records_written = written

@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,7 @@ class RecordScan:
     records: DataFrame
     rejects: DataFrame
     header: list[str]
+    raw: DataFrame | None = None
 
 
 def csv_options(sep: str = ",", encoding: str = "utf-8", multi_line: bool = False) -> dict:
@@ -68,7 +70,7 @@ def record_schema(header: Sequence[str]) -> T.StructType:
 def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name: str,
                      sep: str = ",", encoding: str = "utf-8", multi_line: bool = False,
                      header: Sequence[str] | None = None, envelope: bool = True,
-                     recursive: bool = False) -> RecordScan:
+                     recursive: bool = False, persist: bool = False) -> RecordScan:
     """Read CSV files as text records; malformed rows go to ``rejects``.
 
     Both frames can be counted or projected freely (see ``malformed_text``).
@@ -77,6 +79,9 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
     quoted field may hold the separator. ``multi_line`` allows newlines
     inside quotes (files then stop being splittable). ``recursive`` reads
     every file below the path, without partition folders as columns.
+    ``persist`` keeps the parsed input (memory and disk) for the record
+    numbering, the rows and the rejects to share one parse; release it with
+    ``scan.raw.unpersist()``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     header = list(header) if header is not None else csv_header(spark, paths, sep, encoding,
@@ -86,6 +91,8 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
            .option("recursiveFileLookup", str(recursive).lower()).csv(paths)
            .withColumn("_file", F.col("_metadata.file_path"))
            .withColumn("_block", F.col("_metadata.file_block_start")))
+    if persist:
+        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     bad_text = malformed_text(header)
     good = (raw.filter(bad_text.isNull()).drop(CORRUPT)
             .withColumns({h: F.coalesce(F.col(h), F.lit("")) for h in header}))
@@ -95,7 +102,7 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
                .drop("_block"))
     records = with_record_envelope(good, source_name) if envelope else \
         good.withColumn(RECORD_SOURCE, F.lit(source_name)).drop("_block")
-    return RecordScan(records, rejects, header)
+    return RecordScan(records, rejects, header, raw if persist else None)
 
 
 def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file",
