@@ -13,11 +13,13 @@ Only folders with ``_SUCCESS`` count; the next N is one above the highest
 folder present, so a failed write never blocks the next. One writer per
 table.
 
-Merge and compaction write a new snapshot (there is no file-level index),
-unless the merge is limited to the partitions its source touches
-(``within_partitions``), which writes a ``replace`` version of just those. That is fine for
-dimension tables; large fact tables are better appended and restricted by
-partition.
+A whole-table merge or compaction writes a new snapshot (there is no
+file-level index), which suits dimension tables. Fact tables merge
+``within_partitions`` or compact given ``partitions``: both write a
+``replace`` version of just the partitions involved. Partitioned writes are
+rebalanced by the partition columns, so each partition gets right-sized
+files (AQE splits a skewed partition). ``read_changes`` returns only the
+rows appended after a given version, for incremental consumers.
 """
 
 from __future__ import annotations
