@@ -20,7 +20,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import shared_root
+
 CORRUPT = "_corrupt_record"
+# Size check for broadcasting the per-split offsets: a row holds a file path
+# and three longs; 512 MB of them is ~2M input splits (~250 TB at 128 MB).
+SPLIT_ROW_BYTES = 512
+SPLIT_BROADCAST_BYTES = 512 << 20
 RECORD_ID, RECORD_SOURCE, RECORD_TS = "_record_id", "_record_source", "_record_ts"
 ENVELOPE = (RECORD_ID, RECORD_SOURCE, RECORD_TS, "_row_number", "_file", "_block", CORRUPT,
             "_error")
@@ -114,17 +120,24 @@ def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file
     ``monotonically_increasing_id`` values, so a row's number is the count of
     rows in earlier splits (a running sum over one row per split, a table
     the size of the file listing) plus its place within its split. The
-    per-split table is joined back (AQE broadcasts it). Batch only.
+    per-split table is checkpointed to the shared folder (it is small and
+    this cuts its lineage), counted, and broadcast when its estimated size
+    is under ``SPLIT_BROADCAST_BYTES``; a larger one is joined by a shuffle.
+    Batch only.
     """
     pos = "__pos"
     df = df.withColumn(pos, F.monotonically_increasing_id())
     splits = df.groupBy(file_col, block_col).agg(
         F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__first"))
     w = Window.orderBy(file_col, block_col).rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    splits = (splits.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+              .select(file_col, block_col, "__offset", "__first"))
+    shared_root(df.sparkSession)
+    splits = splits.checkpoint(eager=True)
+    if splits.count() * SPLIT_ROW_BYTES <= SPLIT_BROADCAST_BYTES:
+        splits = F.broadcast(splits)
     n = F.col("__offset") + (F.col(pos) - F.col("__first")) + 1
-    return (df.join(splits.select(file_col, block_col, "__offset", "__first"),
-                    [file_col, block_col])
+    return (df.join(splits, [file_col, block_col])
             .withColumns({"_row_number": n.cast("long"),
                           RECORD_ID: F.concat(F.lit(f"{source_name}-"), n.cast("string")),
                           RECORD_SOURCE: F.lit(source_name),
