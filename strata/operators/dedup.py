@@ -43,13 +43,13 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     if key not in df.columns:
         return df
     text_key = F.col(key).cast("string")
-    group = "__strata_group"
-    keyed = df.withColumn(group, F.struct(
-        text_key.isNull().alias("absent"),
-        F.coalesce(text_key, F.monotonically_increasing_id().cast("string")).alias("k")))
-    w = Window.partitionBy(group).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    absent, group = "__strata_absent", "__strata_group"
+    keyed = df.withColumns({
+        absent: text_key.isNull(),
+        group: F.coalesce(text_key, F.monotonically_increasing_id().cast("string"))})
+    w = Window.partitionBy(absent, group).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     return (keyed.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1)
-            .drop(_RN, group))
+            .drop(_RN, absent, group))
 
 
 def duplicate_keys(df: DataFrame, key: str, count_col: str = "dup_count") -> DataFrame:
