@@ -13,7 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import datasets as ds
-from strata.operators import columns, customers, dedup, filters, summary
+from strata.config import load_config
+from strata.operators import columns, customers, dedup, filters, quality, summary
+from strata.plans import fixtures, lakehouse
+from strata.plans.records import RecordFlow, run_records
+from strata.schemas import EVENT_SCHEMA
+from strata.session import scratch_path
+from strata.sinks import tables
+from strata.sources import files as src_files
+from strata.sources import records as src_records
+from strata.streaming.records import read_ndjson_records, run_record_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -289,7 +298,6 @@ def first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- data quality ----------------------------------------------------------
 
-from strata.operators import quality  # noqa: E402
 
 QUALITY_CHECKS = [
     {"name": "no_null_customer_ids", "column": "customer_id", "rule": "not_null",
@@ -386,9 +394,6 @@ def quality_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- merge / versioned tables ----------------------------------------------
 
-from strata.session import scratch_path  # noqa: E402
-from strata.sinks import tables  # noqa: E402
-
 
 def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upserts derived from the tables: BUILDING customers re-priced and renamed
@@ -514,11 +519,6 @@ def compact_same_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sources, records, sinks -----------------------------------------------
 
-from strata.plans import fixtures  # noqa: E402
-from strata.schemas import EVENT_SCHEMA  # noqa: E402
-from strata.sources import files as src_files  # noqa: E402
-from strata.sources import records as src_records  # noqa: E402
-
 
 def _json_scan(spark: SparkSession, sf_dir: str):
     path = fixtures.write_event_json(spark, sf_dir, scratch_path(spark, "events_json"))
@@ -608,8 +608,6 @@ def ndjson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- record flow (batch and stream) ------------------------------------------
 
-from strata.plans.records import RecordFlow, run_records  # noqa: E402
-from strata.streaming.records import read_ndjson_records, run_record_stream  # noqa: E402
 
 FLOW_CONFIG = [
     {"name": "positive_balance", "operation": "filter",
@@ -710,9 +708,6 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- lakehouse jobs, end to end ---------------------------------------------
 
-from strata.config import load_config  # noqa: E402
-from strata.plans import lakehouse  # noqa: E402
-
 
 def job_config(spark: SparkSession, sf_dir: str) -> dict:
     """Raw files derived from the tables, and a config pointing at them."""
