@@ -66,11 +66,13 @@ Notes:
   previous step wrote (versioned tables, NDJSON, quarantine); the work
   happened in those writes (see the module docstrings).
 - Single-partition exchanges are the final step of global aggregates (the
-  quality report's one-row totals, after partial aggregation per task) and
-  the running sum over one row per input split in ``csv_records``; neither
-  grows with the number of rows.
-- Broadcasts are nation/region lookups and aggregated per-customer facts;
-  they come from Spark's size-checked planning, none is forced.
+  quality report's one-row totals, after partial aggregation per task).
+  ``csv_records`` shows no shuffle: its per-split offsets (a running sum
+  over one row per input split) are computed in a checkpoint job and
+  broadcast behind a size check.
+- Broadcasts are nation/region lookups and aggregated per-customer facts,
+  from Spark's size-checked planning; the only forced one is the
+  split-offset table, after counting it.
 - ``merge_*`` scan the composite customer frame (customer + nation +
   region) for the target and again, key column only, for the insert check;
   the source is read twice (join and insert side).""")
