@@ -85,3 +85,25 @@ def test_union_sources_by_name(spark):
     b = spark.createDataFrame([("2", "y")], "id string, b string")
     rows = {r.id: r for r in records.union_sources({"A": a, "B": b}).collect()}
     assert rows["1"]._record_source == "A" and rows["1"].b is None and rows["2"].a is None
+
+
+def test_csv_malformed_rows_do_not_depend_on_projection(spark, tmp_dir):
+    """DEC9: with column pruning off, one column or all give the same rows."""
+    p = _write(f"{tmp_dir}/p.csv", "a,b,c\n1,2,3\n4,5\n6,7,8,9\n10,11,12\n")
+    scan = records.read_csv_records(spark, p, "s")
+    assert scan.records.count() == 2
+    assert scan.records.select("a").count() == 2
+    assert sorted(r.a for r in scan.records.select("a").collect()) == ["1", "10"]
+    assert scan.rejects.count() == 2 and scan.rejects.select("_error").count() == 2
+    df = files.read_csv(spark, p, T.StructType([T.StructField(c, T.StringType())
+                                                for c in "abc"]), mode="DROPMALFORMED")
+    assert df.count() == df.select("a").count() == len(df.collect()) == 2
+
+
+def test_csv_records_multiline_quoted_field(spark, tmp_dir):
+    """DEC25: newlines inside quotes need multi_line (files stop being splittable)."""
+    p = _write(f"{tmp_dir}/m.csv", 'id,note\n1,"two\nlines"\n2,plain\n')
+    scan = records.read_csv_records(spark, p, "s", multi_line=True)
+    got = {r.id: r.note for r in scan.records.collect()}
+    assert got == {"1": "two\nlines", "2": "plain"}
+    assert scan.rejects.count() == 0
