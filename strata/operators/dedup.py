@@ -37,19 +37,23 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     """First arrival per key, the key compared as text.
 
     Rows whose key is NULL, or frames without the key column, pass unchanged.
+    Without ``order_by`` the read order (position in the input) decides.
     One pass: a NULL-key row gets a window key of its own (flagged apart from
     every text key), so NULL rows neither collapse nor land in one task.
     """
     if key not in df.columns:
         return df
     text_key = F.col(key).cast("string")
-    absent, group = "__strata_absent", "__strata_group"
+    absent, group, pos = "__strata_absent", "__strata_group", "__strata_pos"
+    if not order_by:
+        df = df.withColumn(pos, F.monotonically_increasing_id())
+        order_by = [pos]
     keyed = df.withColumns({
         absent: text_key.isNull(),
         group: F.coalesce(text_key, F.monotonically_increasing_id().cast("string"))})
     w = Window.partitionBy(absent, group).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     return (keyed.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1)
-            .drop(_RN, absent, group))
+            .drop(_RN, absent, group, pos))
 
 
 def duplicate_keys(df: DataFrame, key: str, count_col: str = "dup_count") -> DataFrame:

@@ -130,3 +130,9 @@ def test_filter_record_maps_missing_key_is_rejected(spark):
     assert len(rej) == 1 and rej[0]._error == "field 'status' not found in record"
     with pytest.raises(ValueError):
         filters.filter_record_maps(df, "status", "like", "a")
+
+
+def test_flow_dedup_without_envelope_uses_read_order(spark):
+    df = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "user_id string, v string")
+    flow = RecordFlow().deduplicate("d", "user_id")
+    assert sorted(r.user_id for r in flow.apply(df).collect()) == ["1", "2"]
