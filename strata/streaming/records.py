@@ -11,6 +11,7 @@ to a second query with its own checkpoint into the dead-letter folder.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -117,15 +118,30 @@ def run_record_streams(spark: SparkSession, sources: Sequence[StreamSource], flo
         queries.append(trigger(bad.writeStream.foreachBatch(write_rejects)
                                .option("checkpointLocation",
                                        f"{checkpoint.rstrip('/')}/rejects")).start())
+    # progress is kept for the last N batches only: harvest it by batch id
+    # while waiting, so a long run still counts every input row
+    read_by_batch: dict[int, int] = {}
+    started = time.monotonic()
+
+    def harvest() -> None:
+        for p in queries[0].recentProgress:
+            batch = p["batchId"] if isinstance(p, dict) else p.batchId
+            rows = p["numInputRows"] if isinstance(p, dict) else p.numInputRows
+            read_by_batch[int(batch)] = int(rows)
+
+    while any(q.isActive for q in queries):
+        for q in queries:
+            q.awaitTermination(1)
+        harvest()
+        if timeout_s is not None and time.monotonic() - started > timeout_s:
+            break
     for q in queries:
-        q.awaitTermination(timeout_s)
         if q.isActive:
             q.stop()
         if q.exception() is not None:
             raise q.exception()
-    for p in queries[0].recentProgress:
-        metrics.records_read += int(p.get("numInputRows", 0) if isinstance(p, dict)
-                                    else p.numInputRows)
+    harvest()
+    metrics.records_read = sum(read_by_batch.values())
     metrics.records_filtered = metrics.records_read - metrics.records_rejected \
         - metrics.records_written
     return StreamRun(metrics.finish(), output_path, checkpoint)
