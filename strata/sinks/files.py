@@ -44,15 +44,18 @@ def write_ndjson(records: DataFrame, path: str) -> dict:
 
 
 def write_quarantine(corrupt: DataFrame, quarantine_root: str, source_name: str) -> dict:
-    """Append corrupt rows as parquet under ``{root}/{source}/corrupt/``."""
+    """Append corrupt rows as parquet under ``{root}/{source}/corrupt/``
+    (rebalanced: few rows should not make one file per task)."""
     path = f"{quarantine_root.rstrip('/')}/{source_name}/corrupt/"
     obs = Observation(f"corrupt_{source_name}")
-    corrupt.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    (corrupt.hint("rebalance").observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").parquet(path))
     return {"rows_quarantined": int(obs.get["rows"]), "path": path}
 
 
 def write_rejects(rejects: DataFrame, path: str) -> dict:
     """Append rejected input (with its ``_error``) to a dead-letter dataset."""
     obs = Observation("rejects")
-    rejects.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    (rejects.hint("rebalance").observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").parquet(path))
     return {"rows_rejected": int(obs.get["rows"]), "path": path}
