@@ -187,3 +187,15 @@ def test_tag_warnings(spark):
     v = run_checks(df, [{"name": "mail", "column": "email", "rule": "regex", "pattern": "@"}],
                    tag_warnings=True)
     assert v.clean.collect()[0]._warnings == ["mail"]
+
+
+def test_engine_quarantine_with_unique_check(spark, tmp_dir):
+    df = _frame(spark, [(1, None, -1.0, None), (2, None, 3.0, None), (2, None, 4.0, None)])
+    cfg = {"quarantine_path": f"{tmp_dir}/q",
+           "checks": [{"name": "pos", "column": "amount", "rule": "greater_than", "value": 0,
+                       "severity": "critical"},
+                      {"name": "u", "column": "id", "rule": "unique", "severity": "warning"}]}
+    clean, report = QualityEngine(cfg).validate(df, "t")
+    assert [r["failing_rows"] for r in report] == [1, 1]
+    assert sorted(r.id for r in clean.collect()) == [2, 2]
+    assert spark.read.parquet(f"{tmp_dir}/q/t/").count() == 1
