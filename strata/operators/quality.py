@@ -20,6 +20,7 @@ skipped (or raises with ``on_missing="error"``).
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import ROUND_HALF_UP, Decimal
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -161,7 +162,10 @@ class Validation:
 
 
 def _pass_rate(failing: int, total: int) -> float:
-    return float(round((1 - failing / max(total, 1)) * 100, 2))
+    """round((1 - failing / max(total, 1)) * 100, 2), half up like Spark's
+    ``round`` (Python's ``round`` goes to even), so both report forms agree."""
+    rate = (1 - failing / max(total, 1)) * 100
+    return float(Decimal(repr(rate)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
 
 def _report_struct(pos: int, chk: QualityCheck, status: str, total: Column,

@@ -199,3 +199,12 @@ def test_engine_quarantine_with_unique_check(spark, tmp_dir):
     assert [r["failing_rows"] for r in report] == [1, 1]
     assert sorted(r.id for r in clean.collect()) == [2, 2]
     assert spark.read.parquet(f"{tmp_dir}/q/t/").count() == 1
+
+
+def test_pass_rate_rounds_half_up_in_both_forms(spark):
+    # 3 failing of 8 -> 62.5 exactly; 27 of 80 -> 66.25; 3 of 800 -> 99.625 (a tie)
+    rows = [(i, None, -1.0 if i < 3 else 1.0, None) for i in range(800)]
+    v = run_checks(_frame(spark, rows), [{"name": "pos", "column": "amount",
+                                          "rule": "greater_than", "value": 0}])
+    assert v.report()[0]["pass_rate"] == 99.63
+    assert v.report_frame().first().pass_rate == 99.63
