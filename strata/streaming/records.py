@@ -35,12 +35,20 @@ class StreamRun:
 
 def stream_csv_records(spark: SparkSession, path: str, header: Sequence[str],
                        source_name: str, sep: str = ",", encoding: str = "utf-8",
-                       max_files_per_trigger: int = 1) -> DataFrame:
+                       max_files_per_trigger: int = 1,
+                       max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming CSV records (good and malformed rows, the latter with
-    ``_corrupt_record``); ``ID`` and row numbers need a batch read."""
+    ``_corrupt_record``); ``ID`` and row numbers need a batch read.
+
+    Each trigger takes up to ``max_files_per_trigger`` new files, or, when
+    ``max_bytes_per_trigger`` is given, new files up to that many bytes
+    (Spark takes one limit or the other).
+    """
+    limit = ("maxBytesPerTrigger", str(max_bytes_per_trigger)) if max_bytes_per_trigger \
+        else ("maxFilesPerTrigger", str(max_files_per_trigger))
     return (spark.readStream.schema(record_schema(header))
             .options(**csv_options(sep, encoding))
-            .option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .option(*limit)
             .csv(path)
             .withColumn("_file", F.col("_metadata.file_path"))
             .withColumn(RECORD_SOURCE, F.lit(source_name)))
@@ -73,7 +81,8 @@ def run_record_stream(spark: SparkSession, source_path: str, header: Sequence[st
 def run_record_streams(spark: SparkSession, sources: Sequence[StreamSource], flow: RecordFlow,
                        output_path: str, checkpoint: str, dead_letter_path: str | None = None,
                        max_files_per_trigger: int = 1, processing_time: str | None = None,
-                       timeout_s: float | None = None) -> StreamRun:
+                       timeout_s: float | None = None,
+                       max_bytes_per_trigger: int | None = None) -> StreamRun:
     """Run the flow over several folders of CSV files as one stream.
 
     The sources are unioned by name before the flow, so dedup state is
@@ -84,7 +93,9 @@ def run_record_streams(spark: SparkSession, sources: Sequence[StreamSource], flo
     """
     metrics = RunMetrics()
     streams = [stream_csv_records(spark, s.path, s.header, s.name, s.sep,
-                                  max_files_per_trigger=max_files_per_trigger) for s in sources]
+                                  max_files_per_trigger=max_files_per_trigger,
+                                  max_bytes_per_trigger=max_bytes_per_trigger)
+               for s in sources]
     good = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                   [_good(st, s.header) for st, s in zip(streams, sources)])
     out = flow.apply(good, streaming=True)

@@ -68,3 +68,14 @@ def test_streams_share_dedup_state_across_sources(spark, tmp_dir):
                              flow, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
     keys = sorted(r.Data["user_id"] for r in read_ndjson_records(spark, f"{tmp_dir}/out").collect())
     assert keys == ["1", "2", "3"] and run.metrics.records_read == 4
+
+
+def test_stream_batches_by_bytes(spark, tmp_dir):
+    from strata.streaming.records import StreamSource, run_record_streams
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    for i in range(3):
+        _write(f"{src}/{i}.csv", "user_id,email\n" + "".join(f"{i}{j},e\n" for j in range(50)))
+    run = run_record_streams(spark, [StreamSource("s", src, ["user_id", "email"])], RecordFlow(),
+                             f"{tmp_dir}/out", f"{tmp_dir}/ckpt", max_bytes_per_trigger=500)
+    assert run.metrics.records_read == 150 and run.metrics.batches_processed == 3
