@@ -107,3 +107,18 @@ def test_csv_records_multiline_quoted_field(spark, tmp_dir):
     got = {r.id: r.note for r in scan.records.collect()}
     assert got == {"1": "two\nlines", "2": "plain"}
     assert scan.rejects.count() == 0
+
+
+def test_record_numbers_same_without_broadcast(spark, tmp_dir, monkeypatch):
+    """Over the size cap the split offsets are joined by a shuffle: same numbers."""
+    p = _write(f"{tmp_dir}/n.csv", "k,v\n" + "".join(f"{i},x\n" for i in range(300)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(records, "SPLIT_BROADCAST_BYTES", 0)
+        df = records.read_csv_records(spark, p, "s").records
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        rows = df.select("k", "_row_number").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastExchange" not in plan
+    assert sorted((int(r.k) + 1, r._row_number) for r in rows) == [(i, i) for i in range(1, 301)]
