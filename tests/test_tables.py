@@ -219,3 +219,10 @@ def test_read_changes(spark, tmp_dir):
     tables.write_table(spark.createDataFrame([(4, "d", "EU")], S), p, "overwrite")
     df, v, full = tables.read_changes(spark, p, 2)
     assert [r.id for r in df.collect()] == [4] and full
+
+
+def test_merge_delete_drops_null_key_target_rows(spark):
+    t = spark.createDataFrame([(None, "t", "EU"), (1, "a", "EU"), (2, "b", "EU")], S)
+    s = spark.createDataFrame([(1, "A", "EU"), (None, "s", "AS")], S)
+    out = _rows(tables.merge_frames(t, s, "id", delete_unmatched=True).drop(tables.ACTION))
+    assert out == _sorted([(1, "A", "EU"), (None, "s", "AS")])
