@@ -261,8 +261,13 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be append, overwrite or merge, got {mode!r}")
     spark = df.sparkSession
-    if partition_by is None and table_exists(spark, path):
-        partition_by = _partitioning(spark, path)
+    if table_exists(spark, path):
+        current = _partitioning(spark, path)
+        if partition_by is None:
+            partition_by = current
+        elif mode == "append" and list(partition_by) != current:
+            # one layout per snapshot: mixed folder layouts break partition discovery
+            raise ValueError(f"append partitioned by {list(partition_by)}, table by {current}")
     kind = "append" if mode == "append" else "snapshot"
     res = _write(df, path, kind, partition_by)
     return {"rows_written": res["rows_written"], "mode": mode, "path": path,

@@ -226,3 +226,12 @@ def test_merge_delete_drops_null_key_target_rows(spark):
     s = spark.createDataFrame([(1, "A", "EU"), (None, "s", "AS")], S)
     out = _rows(tables.merge_frames(t, s, "id", delete_unmatched=True).drop(tables.ACTION))
     assert out == _sorted([(1, "A", "EU"), (None, "s", "AS")])
+
+
+def test_append_must_keep_partitioning(spark, tmp_dir):
+    p = f"{tmp_dir}/lay"
+    tables.write_table(spark.createDataFrame([(1, "a", "EU")], S), p, "append", ["region"])
+    with pytest.raises(ValueError):
+        tables.write_table(spark.createDataFrame([(2, "b", "EU")], S), p, "append", ["name"])
+    tables.write_table(spark.createDataFrame([(3, "c", "EU")], S), p, "overwrite", ["name"])
+    assert _rows(tables.read_version(spark, p)) == [(3, "c", "EU")]
