@@ -51,3 +51,14 @@ def test_query_matches_oracle(spark, con, name):
     idx = [ocols.index(c) for c in cols]
     want = Counter(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert got == want
+
+
+def test_query_names_and_docs():
+    import re
+    from strata.plans import catalog
+    names = list(se.queries())
+    assert len(names) == len(set(names))
+    assert not any(n == "pipeline" or re.match(r"op\d+_", n) for n in names)
+    # every query without an oracle explains itself
+    for n in set(names) - set(se.oracle_sql()):
+        assert catalog.QUERIES[n].__doc__ or n == "daily_summary_approx"
