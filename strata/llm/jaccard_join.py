@@ -2,18 +2,22 @@
 
 1. One pass over the texts writes (id, set size, 128-bit digest of the set) and
    counts all shingles in a fixed-size array. Equal sets are one set from here.
-2. All shingles have one global order, by that count and then by hash. Two
-   sets with similarity >= t share one of their n - ceil(t n) + 1 rarest
-   shingles; sets that share one are put in the same block (star edges,
+2. The shingles are dealt by hash range, packed, and those that more than one
+   set has go back to their documents; all others belong to one set only. The
+   global order is: such unique shingles first, then by count, then by hash.
+   A document's copies in one task, and a shingle's documents in one task, are
+   combined before the shuffle.
+3. Two sets with similarity >= t share one of their n - ceil(t n) + 1 first
+   shingles. Sets that share one are put in the same block (star edges,
    combined within each task before the shuffle; components of the stars).
-3. Each block is joined by a prefix tree that holds the sets from their most
+4. Each block is joined by a prefix tree that holds the sets from their most
    frequent shingle on, so that near copies share long paths. A probe carries
    the overlap with the path and leaves a subtree when the lengths left can't
    reach t, or when all below is already in its component. Blocks above
    ``block_tokens`` are split, and each pair of parts is a task of its own.
-4. Links (a spanning forest of each block) give the components.
+5. Links (a spanning forest of each block) give the components.
 
-Shingles are compared by 64-bit hashes. Nulls, empty and blank texts have an
+Shingles are compared by 64-bit hashes, and sets are named by 64-bit digests. Nulls, empty and blank texts have an
 empty set: size 0, linked with nothing. Rows with equal ids and texts get equal
 results; a null id never names a component unless it is alone.
 """
@@ -21,11 +25,13 @@ results; a null id never names a component unless it is alone.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,21 +133,178 @@ class _Forest:
         return nodes, [self.find(x) for x in nodes]
 
 
-def _prefix_rows(levels, k: int, percent: int):
-    """(token, node, null): the rarest shingles of each set; (key, node, other): star edges found here."""
-    schema = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+def _pack(tokens: np.ndarray) -> bytes:
+    """Ascending 64-bit values as differences of equal width (first byte: the width)."""
+    steps = np.diff(tokens, prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    flat = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + flat.T.tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    flat = np.frombuffer(packed, np.uint8)
+    width, n = int(flat[0]), (len(flat) - 1) // int(flat[0])
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :width] = flat[1:].reshape(width, n).T
+    return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
+
+
+#: key: hash range (tokens) or anything; chunk: a run of documents of one task.
+#: tokens of a range with the document of each (rows); tokens found shared; or,
+#: where tokens is null, the digests and sizes of the chunk's documents in rows
+_EXCHANGE = "key int, chunk long, shared boolean, rows binary, tokens binary"
+_EXCHANGE_SCHEMA = pa.schema([("key", pa.int32()), ("chunk", pa.int64()), ("shared", pa.bool_()),
+                              ("rows", pa.binary()), ("tokens", pa.binary())])
+_CHUNK_TOKENS, _CHUNK_ROWS = 1 << 21, 65_000
+
+
+def _token_ranges(k: int, range_bits: int):
+    """Tokens of runs of documents, by hash range. A token that several documents of a run
+    have is known to be shared and leaves the run once, however many they are."""
+
+    def run(batches):
+        task = TaskContext.get().partitionId()
+        state = {"chunk": task << 32}
+        held, seen, info, size = [], set(), [], 0
+
+        def flush():
+            chunk = state["chunk"]
+            state["chunk"] += 1
+            tokens = np.concatenate(held)
+            rows = np.repeat(np.arange(len(held), dtype=np.uint16), [len(h) for h in held])
+            order = np.argsort(tokens, kind="stable")
+            tokens, rows = tokens[order], rows[order]
+            new = np.ones(len(tokens), bool)
+            new[1:] = tokens[1:] != tokens[:-1]
+            local = ~new
+            local[:-1] |= ~new[1:]
+            out: dict[str, list] = {f.name: [] for f in _EXCHANGE_SCHEMA}
+
+            def put(key, shared, r, t):
+                for name, v in zip(out, (key, chunk, shared, r, t)):
+                    out[name].append(v)
+
+            put(chunk % (1 << range_bits), True, np.array(info, np.int64).tobytes(), None)
+            if local.any():
+                put(chunk % (1 << range_bits), True, rows[local].tobytes(), _pack(tokens[local]))
+            tokens, rows = tokens[new], rows[new]
+            cuts = np.searchsorted(tokens >> np.uint64(64 - range_bits), np.arange((1 << range_bits) + 1))
+            for key in np.flatnonzero(np.diff(cuts)).tolist():
+                lo, hi = cuts[key], cuts[key + 1]
+                put(key, False, rows[lo:hi].tobytes(), _pack(tokens[lo:hi]))
+            return tx.batch(_EXCHANGE_SCHEMA, **out)
+
+        for b in batches:
+            for _, s in _sets(b.column(0), k):
+                if not len(s):
+                    continue
+                digest = _digest(s)
+                if digest in seen:
+                    continue
+                seen.add(digest)
+                info.append((*digest, len(s)))
+                held.append(s)
+                size += len(s)
+                if size >= _CHUNK_TOKENS or len(held) >= _CHUNK_ROWS:
+                    yield flush()
+                    held, seen, info, size = [], set(), [], 0
+        if held:
+            yield flush()
+
+    return run
+
 
-    def emit(tokens, nodes):
-        tokens, nodes = np.concatenate(tokens), np.concatenate(nodes)
+def _shared_tokens(batches):
+    """Of each hash range, the tokens that more than one run of documents has, sent back to each."""
+    for group in tx.runs(batches, ["key"]):
+        done = group["shared"].to_numpy()
+        out = group.filter(pa.array(done)).to_batches()
+        yield from out
+        group = group.filter(pa.array(~done))
+        if not group.num_rows:
+            continue
+        key, chunks = group["key"][0].as_py(), group["chunk"].to_numpy()
+        tokens = [_unpack(t.as_py()) for t in group["tokens"]]
+        rows = np.concatenate([np.frombuffer(r.as_py(), np.uint16) for r in group["rows"]])
+        source = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+        tokens = np.concatenate(tokens)
+        order = np.argsort(tokens, kind="stable")
+        same = tokens[order][1:] == tokens[order][:-1]
+        shared = np.zeros(len(tokens), bool)
+        shared[order[1:][same]] = True
+        shared[order[:-1][same]] = True
+        tokens, rows, source = tokens[shared], rows[shared], source[shared]
+        cuts = np.searchsorted(source, np.arange(len(chunks) + 1))
+        full = np.flatnonzero(np.diff(cuts))
+        yield tx.batch(_EXCHANGE_SCHEMA, key=[key] * len(full), chunk=chunks[full], shared=[True] * len(full),
+                       rows=[rows[cuts[i]:cuts[i + 1]].tobytes() for i in full],
+                       tokens=[_pack(tokens[cuts[i]:cuts[i + 1]]) for i in full])
+
+
+_SETS = "d1 long, n long, keep int, tokens array<long>"
+_SETS_SCHEMA = pa.schema([("d1", pa.int64()), ("n", pa.int64()), ("keep", pa.int32()),
+                          ("tokens", pa.list_(pa.int64()))])
+
+
+def _ordered_sets(levels, percent: int):
+    """Sets whose prefix holds a shared token: their shared tokens from the rarest on, and how many are in the prefix."""
+
+    def run(batches):
+        rank = levels.value
+        mask = np.uint64(len(rank) - 1)
+        for group in tx.runs(batches, ["chunk"]):
+            infos = [r.as_py() for r, t in zip(group["rows"], group["tokens"]) if not t.is_valid]
+            info = np.frombuffer(infos[0], np.int64).reshape(-1, 3)
+            parts = [(np.frombuffer(r.as_py(), np.uint16), _unpack(t.as_py()))
+                     for r, t in zip(group["rows"], group["tokens"]) if t.is_valid]
+            if not parts:
+                continue
+            rows = np.concatenate([p[0] for p in parts])
+            tokens = np.concatenate([p[1] for p in parts])
+            order = np.lexsort((tokens, rows))
+            rows, tokens = rows[order], tokens[order]
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows[1:] != rows[:-1]) | (tokens[1:] != tokens[:-1])
+            rows, tokens = rows[new], tokens[new]
+            cuts = np.searchsorted(rows, np.arange(len(info) + 1))
+            out: dict[str, list] = {f.name: [] for f in _SETS_SCHEMA}
+            size = 0
+            for i, (d1, _, n) in enumerate(info.tolist()):
+                lo, hi = int(cuts[i]), int(cuts[i + 1])
+                keep = n - (percent * n + 99) // 100 + 1 - (n - (hi - lo))
+                if keep <= 0 or lo == hi:
+                    continue  # the prefix has only tokens of its own
+                s = tokens[lo:hi]
+                s = s[np.argsort(rank[s & mask], kind="stable")]
+                for name, v in zip(out, (d1, n, min(keep, len(s)), s.view(np.int64))):
+                    out[name].append(v)
+                size += len(s)
+                if size > tx.CHUNK // 4:
+                    yield tx.batch(_SETS_SCHEMA, **out)
+                    out, size = {f.name: [] for f in _SETS_SCHEMA}, 0
+            if out["d1"]:
+                yield tx.batch(_SETS_SCHEMA, **out)
+
+    return run
+
+
+def _prefix_rows(batches):
+    """(token, node, null): the prefix of each set, once per token; (key, node, other): star edges found here."""
+    schema = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+    for batch in batches:
+        nodes, keep = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        lists = batch.column(3)
+        flat, cut = lists.values.to_numpy(), lists.offsets.to_numpy()
+        tokens = np.concatenate([flat[c:c + m] for c, m in zip(cut.tolist(), keep.tolist())] or [flat[:0]])
+        nodes = np.repeat(nodes, keep)
         order = np.argsort(tokens, kind="stable")
         tokens, nodes = tokens[order], nodes[order]
         new = np.ones(len(tokens), bool)
         new[1:] = tokens[1:] != tokens[:-1]
         pivot = nodes[np.flatnonzero(new)[np.cumsum(new) - 1]]
         other = nodes != pivot
-        pairs = np.unique(np.stack([nodes[other], pivot[other]], 1), axis=0)
         forest = _Forest()
-        for a, b in pairs.tolist():
+        for a, b in np.unique(np.stack([nodes[other], pivot[other]], 1), axis=0).tolist():
             forest.join(a, b)
         a, b = forest.pairs()
         yield pa.RecordBatch.from_arrays(
@@ -150,28 +313,6 @@ def _prefix_rows(levels, k: int, percent: int):
         if a:
             yield tx.batch(schema, token=a, a=a, b=b)
 
-    def run(batches):
-        rank = levels.value
-        mask = np.uint64(len(rank) - 1)
-        for batch in batches:
-            tokens, nodes, size = [], [], 0
-            for _, s in _sets(batch.column(0), k):
-                n = len(s)
-                if not n:
-                    continue
-                keep = n - (percent * n + 99) // 100 + 1
-                order = np.argsort(rank[s & mask], kind="stable")[:keep]
-                tokens.append(s[order].view(np.int64))
-                nodes.append(np.full(keep, _digest(s)[0], np.int64))
-                size += keep
-                if size > 1 << 20:
-                    yield from emit(tokens, nodes)
-                    tokens, nodes, size = [], [], 0
-            if tokens:
-                yield from emit(tokens, nodes)
-
-    return run
-
 
 def _star_edges(batches):
     """Rows sorted by token: links every node of a token to its first one."""
@@ -206,35 +347,35 @@ def _star_edges(batches):
 
 
 class _Node:
-    __slots__ = ("chain", "bag", "depth", "lo", "hi", "kids", "short", "long", "tag")
+    __slots__ = ("chain", "bag", "depth", "lo", "hi", "kids", "short", "long", "most", "tag")
 
 
-def _build(sets: list[list[int]]) -> list[_Node]:
+def _build(seqs: list[list[int]], sizes: list[int]) -> list[_Node]:
     """Prefix tree over sorted sequences; a node holds a run of shared items. Parents come first."""
     nodes: list[_Node] = []
 
     def grow(lo: int, hi: int, depth: int) -> int:
-        a, b = sets[lo], sets[hi - 1]
+        a, b = seqs[lo], seqs[hi - 1]
         end, most = depth, min(len(a), len(b))
         while end < most and a[end] == b[end]:
             end += 1
         node = _Node()
         node.chain, node.depth, node.lo, node.hi, node.kids = a[depth:end], end, lo, hi, []
-        node.bag = frozenset(node.chain)
-        lengths = [len(s) for s in sets[lo:hi]]
-        node.short, node.long, node.tag = min(lengths), max(lengths), None
+        node.bag, node.tag = frozenset(node.chain), None
+        node.short, node.long = min(sizes[lo:hi]), max(sizes[lo:hi])
+        node.most = max(map(len, seqs[lo:hi])) - end
         nodes.append(node)
         return len(nodes) - 1
 
-    stack = [grow(0, len(sets), 0)] if sets else []
+    stack = [grow(0, len(seqs), 0)] if seqs else []
     while stack:
         node = nodes[stack.pop()]
         i, end = node.lo, node.depth
-        while i < node.hi and len(sets[i]) == end:
+        while i < node.hi and len(seqs[i]) == end:
             i += 1  # these end here; they sort first
         while i < node.hi:
-            item, j = sets[i][end], i + 1
-            while j < node.hi and sets[j][end] == item:
+            item, j = seqs[i][end], i + 1
+            while j < node.hi and seqs[j][end] == item:
                 j += 1
             node.kids.append(grow(i, j, end))
             stack.append(node.kids[-1])
@@ -242,28 +383,28 @@ def _build(sets: list[list[int]]) -> list[_Node]:
     return nodes
 
 
-def tree_links(ids: list[int], sets: list[np.ndarray], percent: int,
+def tree_links(ids: list[int], sizes: list[int], sets: list[np.ndarray], percent: int,
                sides: list[int] | None = None) -> tuple[list[int], list[int]]:
     """(member, least member) of each group linked by 100 |A and B| >= percent |A or B|.
 
+    ``sets`` may lack tokens that no other set has; ``sizes`` counts them.
     Items are renumbered by falling frequency. ``sides`` (0 or 1 each) limits
     the search to pairs from two parts of a split block.
     """
-    sizes = np.array([len(s) for s in sets])
     _, back, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank = np.empty(len(count), np.int64)
     rank[np.argsort(-count, kind="stable")] = np.arange(len(count))
     items = rank[back]
-    cut = np.concatenate([[0], np.cumsum(sizes)])
+    cut = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     rows = sorted((np.sort(items[cut[i]:cut[i + 1]]).tolist(), i) for i in range(len(sets)))
-    seqs, at = [r[0] for r in rows], [ids[r[1]] for r in rows]
+    seqs, at, full = [r[0] for r in rows], [ids[r[1]] for r in rows], [sizes[r[1]] for r in rows]
     side = [sides[r[1]] if sides else 0 for r in rows]
     bags = [frozenset(s) for s in seqs]
     forest = _Forest()
 
     def linked(i: int, j: int) -> bool:
         both = len(bags[i] & bags[j])
-        return 100 * both >= percent * (len(bags[i]) + len(bags[j]) - both)
+        return 100 * both >= percent * (full[i] + full[j] - both)
 
     # neighbours in tree order, and the middle one, are likely links: fewer parts to search
     hub = len(seqs) // 2
@@ -272,41 +413,38 @@ def tree_links(ids: list[int], sets: list[np.ndarray], percent: int,
             forest.join(at[i - 1], at[i])
         elif i != hub and (not sides or side[i] != side[hub]) and linked(hub, i):
             forest.join(at[hub], at[i])
-    nodes = _build(seqs)
+    nodes = _build(seqs, full)
 
     def retag() -> None:
         for node in nodes:
             root = forest.find(at[node.lo])
-            node.tag = root if all(forest.find(at[x]) == root for x in range(node.lo, node.hi)) else None
+            node.tag = root if all(forest.find(at[x]) == root for x in range(node.lo + 1, node.hi)) else None
 
     retag()
     for q, seq in enumerate(seqs):
         if q % 512 == 511:
             retag()
-        own, bag, size = forest.find(at[q]), bags[q], len(seq)
+        own, bag, size = forest.find(at[q]), bags[q], full[q]
         stack = [(0, 0)]
         while stack:
             x, both = stack.pop()
             node = nodes[x]
             if node.lo >= q or node.tag is not None and forest.find(node.tag) == own:
                 continue
+            left = len(seq)
             if node.chain:
                 both += len(bag & node.bag)
-                left = size - bisect_right(seq, node.chain[-1])
-            else:
-                left = size
+                left -= bisect_right(seq, node.chain[-1])
             short = max(node.short, -(-percent * size // 100))
-            long = min(node.long, size * 100 // percent)
-            if short > long:
+            if short > min(node.long, size * 100 // percent):
                 continue
-            best = min(max(node.depth + left, short), long)  # the length that can reach the most
-            reach = both + min(best - node.depth, left)
-            if 100 * reach < percent * (size + best - reach):
+            reach = both + min(node.most, left)  # all that is left on the shorter side
+            if 100 * reach < percent * (size + short - reach):
                 continue
             i = node.lo
             while i < node.hi and len(seqs[i]) == node.depth:
                 if (i < q and (not sides or side[i] != side[q])
-                        and 100 * both >= percent * (size + node.depth - both)):
+                        and 100 * both >= percent * (size + full[i] - both)):
                     forest.join(at[i], at[q])
                     own = forest.find(at[q])
                 i += 1
@@ -315,52 +453,34 @@ def tree_links(ids: list[int], sets: list[np.ndarray], percent: int,
     return forest.pairs()
 
 
+_MEMBERS = "block long, i int, j int, part int, d1 long, n long, tokens array<long>"
+
+
 def _block_links(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for group in tx.runs(batches, ["block", "i", "j"]):
-            ids, part = group["id"].to_pylist(), group["part"].to_pylist()
             column = group["tokens"].combine_chunks()
             flat, cut = column.values.to_numpy(), column.offsets.to_numpy()
-            sets = [flat[a:b] for a, b in zip(cut[:-1], cut[1:])]
+            member = {}  # copies of one set can come from several tasks
+            for x, node in enumerate(group["d1"].to_pylist()):
+                member.setdefault(node, x)
+            pick = list(member.values())
+            sets = [flat[cut[x]:cut[x + 1]] for x in pick]
+            sizes, part = group["n"].to_pylist(), group["part"].to_pylist()
             i, j = group["i"][0].as_py(), group["j"][0].as_py()
-            a, b = tree_links(ids, sets, percent, None if i == j else [int(p == j) for p in part])
+            a, b = tree_links(list(member), [sizes[x] for x in pick], sets, percent,
+                              None if i == j else [int(part[x] == j) for x in pick])
             if a:
                 yield tx.batch(schema, a=a, b=b)
 
     return run
 
 
-def _token_rows(k: int):
-    schema = pa.schema([("id", pa.int64()), ("block", pa.int64()), ("part", pa.int32()),
-                        ("i", pa.int32()), ("j", pa.int32()), ("tokens", pa.list_(pa.int64()))])
-
-    def run(batches):
-        for b in batches:
-            ids, block, splits = (b.column(i).to_pylist() for i in (0, 2, 3))
-            out: dict[str, list] = {f.name: [] for f in schema}
-            size = 0
-            for row, s in _sets(b.column(1), k):
-                n = splits[row]
-                part = int(tx.mix(np.array([ids[row]], np.int64).view(np.uint64))[0] % np.uint64(n))
-                for other in range(n):
-                    values = (ids[row], block[row], part, min(part, other), max(part, other),
-                              s.view(np.int64))
-                    for name, v in zip(out, values):
-                        out[name].append(v)
-                    size += len(s)
-                    if size > tx.CHUNK // 4:
-                        yield tx.batch(schema, **out)
-                        out, size = {f.name: [] for f in schema}, 0
-            if out["id"]:
-                yield tx.batch(schema, **out)
-
-    return run
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                        k: int = 5, percent: int = 75, width: int = 1 << 20,
+                       range_tokens: int = 1 << 19,
                        block_tokens: int = 1 << 20, block_members: int = 4096) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``.
 
@@ -380,27 +500,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     levels = spark.sparkContext.broadcast(_levels(counts))
 
     narrow = profile.filter("part is null").select("id", "n", "d1", "d2")
-    edges = (base.select("text").mapInArrow(_prefix_rows(levels, k, percent), "token long, a long, b long")
+    total = narrow.agg(F.sum("n")).first()[0] or 0
+    bits = max(4, math.ceil(math.log2(max(1, total / range_tokens))))
+    sets = (base.select("text").mapInArrow(_token_ranges(k, bits), _EXCHANGE)
+            .repartition("key").sortWithinPartitions("key")
+            .mapInArrow(_shared_tokens, _EXCHANGE)
+            .repartition("chunk").sortWithinPartitions("chunk")
+            .mapInArrow(_ordered_sets(levels, percent), _SETS))
+    sets = written(sets, "jaccard-sets")
+    edges = (sets.mapInArrow(_prefix_rows, "token long, a long, b long")
              .repartition("token").sortWithinPartitions("token")
              .mapInArrow(_star_edges, "a long, b long"))
-    blocks = written(connected_components(edges), "jaccard-blocks")
-
-    reps = narrow.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n").alias("n"))
-    members = (reps.filter("rep is not null")
-               .join(blocks.select(F.col("node").alias("d1"), F.col("component").alias("block")), "d1"))
-    members = written(members.select("rep", "n", "block"), "jaccard-members")
-    splits = members.groupBy("block").agg(
-        F.count("*").alias("size"),
-        F.greatest(F.ceil(F.sum("n") / block_tokens), F.ceil(F.count("*") / block_members))
-        .cast("int").alias("splits")).filter("size > 1")
-    members = (members.join(splits, "block").select(F.col("rep").alias("id"), "block", "splits")
-               .distinct())
-    rows = base.join(members, "id").select("id", "text", "block", "splits")
-    links = (rows.mapInArrow(_token_rows(k), "id long, block long, part int, i int, j int, tokens array<long>")
+    blocks = (connected_components(edges)
+              .select(F.col("node").alias("d1"), F.col("component").alias("block")))
+    splits = (sets.select("d1", F.size("tokens").alias("size")).distinct().join(blocks, "d1")
+              .groupBy("block").agg(F.greatest(F.ceil(F.sum("size") / block_tokens),
+                                               F.ceil(F.count("*") / block_members))
+                                    .cast("int").alias("splits")))
+    blocks = blocks.join(splits, "block")
+    part = F.pmod(F.xxhash64("d1"), F.col("splits")).cast("int")
+    links = (sets.join(blocks, "d1").withColumn("part", part)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+             .select("block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+                     "part", "d1", "n", "tokens")
              .repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
              .mapInArrow(_block_links(percent), "a long, b long"))
-    found = connected_components(links).select(F.col("node").alias("rep"), "component")
-    return (narrow.join(reps.select("d1", "d2", "rep"), ["d1", "d2"], "left")
-            .join(found, "rep", "left")
+    found = connected_components(links)
+    reps = narrow.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
+    named = reps.join(found.select(F.col("node").alias("d1"), "component"), "d1", "left")
+    least = (named.filter("component is not null").groupBy("component").agg(F.min("rep").alias("least")))
+    named = named.join(least, "component", "left").select(
+        "d1", "d2", F.coalesce("least", "rep").alias("component_id"))
+    return (narrow.join(named, ["d1", "d2"], "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "rep", "id").alias("component_id")))
+                    F.coalesce("component_id", "id").alias("component_id")))

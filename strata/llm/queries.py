@@ -5,20 +5,62 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm.decontaminate import contamination
 from strata.llm.jaccard_join import jaccard_components
+from strata.llm.line_dedup import dedup_lines
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    frame, spans, text = dedup_lines(docs)
+    removed = F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return frame.select(docs["doc_id"], F.coalesce(F.size(spans), F.lit(0)).cast("long").alias("n_removed"),
+                        F.coalesce(removed, F.lit("")).alias("removed_spans"), text.alias("text"))
+
+
+OP2_SQL = r"""
+WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+cut AS (
+  SELECT doc_id, text, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS i,
+         unnest(list_transform(parts, x -> length(x))) AS n FROM doc),
+placed AS (
+  SELECT *, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - n - 1)::BIGINT AS start,
+         list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM cut),
+unit AS (SELECT *, len(w) >= 8 AS able, array_to_string(w, ' ') AS norm FROM placed),
+ranked AS (
+  SELECT *, able AND row_number() OVER (PARTITION BY able, norm ORDER BY doc_id, start) > 1 AS gone FROM unit)
+SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(start || '-' || (start + n), ',' ORDER BY i) FILTER (gone), '') AS removed_spans,
+       CASE WHEN any_value(text) IS NOT NULL
+            THEN coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') END AS text
+FROM ranked GROUP BY doc_id
+"""
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+                        F.array_join(spans, ",").alias("hit_spans"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
+    "op9_decontaminate": op9_decontaminate,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+}
