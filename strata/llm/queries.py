@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,13 +10,29 @@ from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import contamination
 from strata.llm.jaccard_join import jaccard_components
+from strata.llm.licences import licence_scan
 from strata.llm.line_dedup import dedup_lines
+from strata.llm.pieces import encode_decode, load_model
+from strata.llm.token_counts import length_column, length_histogram, load_ranks, suffix_sums
+from strata.llm.warc import new_archive_folder, read_records, write_archives
+
+
+#: vocabulary files: read on the driver only
+TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
+PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+BPE_RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+#: split pattern of the byte-level BPE vocabulary
+BPE_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     frame, spans, text = dedup_lines(docs)
@@ -28,11 +45,11 @@ OP2_SQL = r"""
 WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 cut AS (
   SELECT doc_id, text, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS i,
-         unnest(list_transform(parts, x -> length(x))) AS n FROM doc),
+         unnest(list_transform(parts, lambda x: length(x))) AS n FROM doc),
 placed AS (
   SELECT *, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - n - 1)::BIGINT AS start,
          list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM cut),
+                     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM cut),
 unit AS (SELECT *, len(w) >= 8 AS able, array_to_string(w, ' ') AS norm FROM placed),
 ranked AS (
   SELECT *, able AND row_number() OVER (PARTITION BY able, norm ORDER BY doc_id, start) > 1 AS gone FROM unit)
@@ -44,11 +61,77 @@ FROM ranked GROUP BY doc_id
 """
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return encode_decode(docs, load_model(PIECE_MODEL)).select(
+        "doc_id", "n_tokens", "ids", F.length("decoded").cast("long").alias("decoded_chars"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    lengths = docs.select(length_column(spark, F.col("text"), load_ranks(BPE_RANKS), BPE_PATTERN).alias("n_tokens"))
+    return suffix_sums(length_histogram(lengths))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_archives(_table(spark, sf_dir, "pages"), new_archive_folder(spark))
+    return read_records(index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+OP8_SQL = """
+WITH page AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+hashed AS (SELECT page_id, url, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS h FROM page),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper FROM hashed)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to, url
+FROM kept
+"""
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    spans = F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["first_word"], s["last_word"]))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
-                        F.array_join(spans, ",").alias("hit_spans"))
+                        F.array_join(spans, ",").alias("hit_words"))
+
+
+OP9_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+pattern AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS p
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM pattern),
+spot AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, sizes WHERE len(w) >= size),
+found AS (
+  SELECT DISTINCT s.doc_id, s.i, s.size, p.item_id
+  FROM (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS p FROM spot) s
+  JOIN pattern p ON p.size = s.size AND p.p = s.p),
+word AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS k FROM found),
+island AS (
+  SELECT doc_id, min(k) - 1 AS a, max(k) - 1 AS b, count(*) AS n
+  FROM (SELECT doc_id, k, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS g FROM word)
+  GROUP BY doc_id, g),
+hit AS (SELECT doc_id, sum(n)::BIGINT AS n_hit, string_agg(a || '-' || b, ',' ORDER BY a) AS hit_words
+        FROM island GROUP BY doc_id),
+names AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS items
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM found) GROUP BY doc_id)
+SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(hit_words, '') AS hit_words
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,11 +139,17 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_line_dedup": op2_line_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op6_token_counts": op6_token_counts,
+    "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op8_warc": OP8_SQL,
+    "op9_decontaminate": OP9_SQL,
 }
