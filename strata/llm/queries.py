@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import langid, quality_fm
 from strata.llm.decontaminate import contamination
 from strata.llm.jaccard_join import jaccard_components
 from strata.llm.licences import licence_scan
 from strata.llm.line_dedup import dedup_lines
+from strata.llm.phrases import fingerprints
 from strata.llm.pieces import encode_decode, load_model
 from strata.llm.token_counts import length_column, length_histogram, load_ranks, suffix_sums
 from strata.llm.warc import new_archive_folder, read_records, write_archives
@@ -68,12 +70,26 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_fm.score_quality(docs, quality_fm.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     lengths = docs.select(length_column(spark, F.col("text"), load_ranks(BPE_RANKS), BPE_PATTERN).alias("n_tokens"))
     return suffix_sums(length_histogram(lengths))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_archives(_table(spark, sf_dir, "pages"), new_archive_folder(spark))
     return read_records(index, payloads=False).select(
@@ -142,7 +158,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_phrase_fingerprints": op4_phrase_fingerprints,
+    "op5_quality_fm": op5_quality_fm,
     "op6_token_counts": op6_token_counts,
+    "op7_language_id": op7_language_id,
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_jaccard_join": op10_jaccard_join,
