@@ -180,9 +180,14 @@ def text_of_ids(spark: SparkSession, ids: Column, model: Model) -> Column:
     return text_column(ids, "string", make)
 
 
+def encode_decode_columns(spark: SparkSession, text: Column, model: Model):
+    """(ids of ``text``, function from an ids column to its text)."""
+    return ids_column(spark, text, model), lambda ids: text_of_ids(spark, ids, model)
+
+
 def encode_decode(docs, model: Model, id_col: str = "doc_id", text_col: str = "text"):
-    """(doc_id, ids, n_tokens, decoded) per row of ``docs``."""
-    spark = docs.sparkSession
-    coded = docs.select(F.col(id_col), ids_column(spark, F.col(text_col), model).alias("ids"))
-    return coded.select(F.col(id_col), "ids", F.size("ids").cast("long").alias("n_tokens"),
-                        text_of_ids(spark, F.col("ids"), model).alias("decoded"))
+    """(doc_id, ids, n_tokens, decoded) per row of ``docs``; no tokens for null."""
+    ids, decode = encode_decode_columns(docs.sparkSession, F.col(text_col), model)
+    coded = docs.select(F.col(id_col), ids.alias("ids"))
+    return coded.select(F.col(id_col), "ids", F.coalesce(F.array_size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                        decode(F.col("ids")).alias("decoded"))

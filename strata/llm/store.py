@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 
@@ -13,3 +14,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df`` (a written table of narrow rows), hinted for broadcast if it has at most ``rows`` rows;
+    otherwise Spark joins it by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
