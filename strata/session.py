@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,8 +12,8 @@ from pyspark.sql import SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and job scratch output.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (a bare
-    local test session) is a temporary folder made and registered.
+    Read from ``spark.checkpoint.dir``; only a local session that has none (a
+    test) gets a temporary folder. Any other master without it is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -22,6 +23,8 @@ def shared_root(spark: SparkSession) -> str:
         if current:
             # setCheckpointDir adds a random child folder; its parent is the root
             root = current.rstrip("/").rsplit("/", 1)[0]
+        elif not re.match(r"local(\[[^\]]*\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         else:
             root = tempfile.mkdtemp(prefix="strata-ckpt-")
             sc.setCheckpointDir(root)

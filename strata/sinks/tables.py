@@ -1,25 +1,22 @@
 """Versioned parquet tables: append, overwrite, time travel, merge, compaction.
 
-Layout: every write is one folder ``path/strata_version=N/strata_kind=K/``
-(K is ``append``, ``snapshot`` or ``replace``) holding the table's own
-partition folders, plus ``_schema.json`` next to it. Reading version v takes
-the newest snapshot s <= v and every finished version after it up to v; the
-folders are passed to one parquet read, so time travel is partition pruning
-by listing. A ``replace`` version (dynamic partition overwrite) lists the
-partition values it replaces; readers drop those partitions of earlier
-versions with a predicate on partition columns only, which Spark resolves
-from the folder names: nothing old is read or rewritten.
-Only folders with ``_SUCCESS`` count; the next N is one above the highest
-folder present, so a failed write never blocks the next. One writer per
-table.
-
-A whole-table merge or compaction writes a new snapshot (there is no
-file-level index), which suits dimension tables. Fact tables merge
-``within_partitions`` or compact given ``partitions``: both write a
-``replace`` version of just the partitions involved. Partitioned writes are
-rebalanced by the partition columns, so each partition gets right-sized
-files (AQE splits a skewed partition). ``read_changes`` returns only the
-rows appended after a given version, for incremental consumers.
+Layout: every append or overwrite is one folder
+``path/strata_version=N/strata_kind=K/`` (K is ``append`` or ``snapshot``)
+holding the table's own partition folders, plus ``_schema.json`` next to it.
+Reading version v takes the newest snapshot s <= v and every finished append
+after it up to v in one parquet read, so time travel is a listing. Only folders
+with ``_SUCCESS`` count; the next N is one above the highest folder present, so
+a failed write never blocks the next. One writer per table.
+
+Partitioned fact tables change by Spark's dynamic partition overwrite: the new
+rows are staged in the shared folder, then replace their partitions (NULL ones
+too) in the newest version's folder. Such changes have no version of their own:
+time travel covers appends and overwrites. Several open appends are first
+folded into one snapshot. A merge ``within_partitions`` reads only the
+partitions the source touches and those that hold one of its keys today, as a
+frame joined NULL-safely. Whole-table merges write a new snapshot, which suits
+dimension tables. Spark keeps the empty string of a text partition column as
+NULL; it is written as NULL here throughout.
 """
 
 from __future__ import annotations
@@ -33,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import scratch_path
+
 VERSION_DIR = "strata_version"
 KIND_DIR = "strata_kind"
 SCHEMA_FILE = "_schema.json"
@@ -135,33 +134,9 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     else:
         df = reader.parquet(*dirs)
         names = [c for c in df.columns if c not in (VERSION_DIR, KIND_DIR)]
-    for v in parts:
-        if v.kind == "replace":
-            vmeta = _meta(spark, path, v.number)
-            df = df.filter(~((F.col(VERSION_DIR) < v.number)
-                             & _partition_match(df, vmeta["partition_by"], vmeta["replaces"])))
     return df.select(*names)
 
 
-def _partition_match(df: DataFrame, cols: Sequence[str], values: list[list]) -> Column:
-    """True for rows whose partition values are one of ``values`` (NULL-safe)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-
-    def eq(c: str, v) -> Column:
-        return F.col(c).isNull() if v is None else F.col(c) == F.lit(v).cast(types[c])
-
-    if not values:
-        return F.lit(False)
-    if len(cols) == 1:
-        plain = [v[0] for v in values if v[0] is not None]
-        cond = F.col(cols[0]).isin([F.lit(x).cast(types[cols[0]]) for x in plain]) \
-            if plain else F.lit(False)
-        return cond | F.col(cols[0]).isNull() if len(plain) < len(values) else cond
-    return reduce(lambda a, b: a | b,
-                  [reduce(lambda a, b: a & b, [eq(c, x) for c, x in zip(cols, v)])
-                   for v in values])
-
-
 def latest_meta(spark: SparkSession, path: str) -> dict:
     """The metadata of the newest finished version ({} when there is none)."""
     done = [v for v in versions(spark, path) if v.done]
@@ -178,8 +153,7 @@ def read_changes(spark: SparkSession, path: str,
     """Rows added after version ``after``: (frame, newest version, full).
 
     When every newer version is an append, only those folders are read; if
-    a newer version rewrote the table (snapshot or replace), or ``after`` is
-    None, the whole current table is returned with ``full=True``. The frame
+    a newer version rewrote the table, or ``after`` is None, the whole current table is returned with ``full=True``. The frame
     is None when nothing is new.
     """
     done = [v for v in versions(spark, path) if v.done]
@@ -220,6 +194,7 @@ def _write(df: DataFrame, path: str, kind: str, partition_by: Sequence[str] | No
         empty = [c for c in partition_by if c not in df.columns]
         if empty:
             raise ValueError(f"partition columns {empty} not in frame")
+    df = _null_partitions(df, partition_by)
     vdir = _version_dir(path, n)
     schema = T.StructType([f for f in df.schema.fields if f.name != ACTION])
     _write_text(spark, f"{vdir}/{SCHEMA_FILE}", json.dumps(
@@ -240,6 +215,13 @@ def _write(df: DataFrame, path: str, kind: str, partition_by: Sequence[str] | No
     return {**metrics, "version": n, "kind": kind, "path": path}
 
 
+def _null_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Empty strings of text partition columns as NULL, as Spark reads them back."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    fix = {c: F.nullif(F.col(c), F.lit("")) for c in partition_by if c in text}
+    return df.withColumns(fix) if fix else df
+
+
 def _partitioning(spark: SparkSession, path: str) -> list[str]:
     done = [v for v in versions(spark, path) if v.done]
     return list(_meta(spark, path, done[-1].number).get("partition_by", [])) if done else []
@@ -259,7 +241,7 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
             raise ValueError("merge_key is required for merge mode")
         return merge_upsert(df, path, merge_key, merge_columns, partition_by)
     if mode not in ("append", "overwrite"):
-        raise ValueError(f"mode must be append, overwrite or merge, got {mode!r}")
+        raise ValueError(f"unsupported write mode {mode!r}: use append, overwrite or merge")
     spark = df.sparkSession
     if table_exists(spark, path):
         current = _partitioning(spark, path)
@@ -274,15 +256,44 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
             "version": res["version"]}
 
 
-def overwrite_partitions(df: DataFrame, path: str,
-                         partition_by: Sequence[str] | None = None) -> dict:
+def _same(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
+    """NULL-safe equality of ``cols`` in two frames."""
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
+
+
+def _live_folder(spark: SparkSession, path: str, partition_by: Sequence[str]) -> tuple[str, int]:
+    """The one folder that holds the newest version (open appends are folded first)."""
+    done = [v for v in versions(spark, path) if v.done]
+    if len(done) > 1 and done[-1].kind == "append" or not done:
+        meta = {k: v for k, v in latest_meta(spark, path).items()
+                if k not in ("schema", "partition_by", "kind")}
+        n = _write(read_version(spark, path), path, "snapshot", partition_by, extra_meta=meta)["version"]
+        return f"{_version_dir(path, n)}/{KIND_DIR}=snapshot", n
+    last = done[-1]
+    return f"{_version_dir(path, last.number)}/{KIND_DIR}={last.kind}", last.number
+
+
+def _drop_partitions(spark: SparkSession, folder: str, values: DataFrame) -> int:
+    """Deletes the partition folders of ``values`` (partition columns as text), one at a time."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils \
+        .getPartitionPathString
+    n = 0
+    for r in values.toLocalIterator():
+        fs, p = _fs(spark, "/".join([folder, *(name(c, v) for c, v in r.asDict().items())]))
+        n += bool(fs.delete(p, True))
+    return n
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, *,
+                         within: DataFrame | None = None, extra_metrics: Sequence[Column] = (),
+                         meta: dict | None = None) -> dict:
     """Replace only the partitions present in ``df``; others stay as they are.
 
-    Writes ``df`` as a ``replace`` version holding the touched partition
-    values (one small distinct query over the partition columns, bounded by
-    the number of partitions, not rows). Readers drop those partitions of
-    earlier versions by partition pruning; nothing else is rewritten.
-    Partition values match NULL-safely.
+    ``df`` (it may read the table) is staged in the shared folder and then
+    written by dynamic partition overwrite, so NULL partitions are replaced and
+    kept like any other and no partition value reaches the driver. With
+    ``within`` (a written frame of partition values) partitions of it that have
+    no rows in ``df`` are deleted. ``meta`` is merged into the version's metadata.
     """
     spark = df.sparkSession
     if not table_exists(spark, path):
@@ -294,22 +305,40 @@ def overwrite_partitions(df: DataFrame, path: str,
     partition_by = list(partition_by or current)
     if not partition_by or partition_by != current:
         raise ValueError(f"partition columns {partition_by} differ from the table's {current}")
-    touched = [list(r) for r in df.select(*partition_by).distinct().collect()]
-    res = _write(df, path, "replace", partition_by, extra_meta={"replaces": touched})
-    return {"rows_written": res["rows_written"], "mode": "overwrite_partitions",
-            "path": path, "version": res["version"], "partitions": len(touched)}
+    df = _null_partitions(df, partition_by)
+    obs = Observation("partitions")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"), *extra_metrics)
+    staged_path = scratch_path(spark, "partitions")
+    observed.drop(ACTION).write.parquet(staged_path)
+    staged = spark.read.schema(df.drop(ACTION).schema).parquet(staged_path)
+    folder, n = _live_folder(spark, path, partition_by)
+    (staged.hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(folder))
+    if within is not None:
+        filled = staged.select(*partition_by).distinct()
+        empty = within.join(filled, _same(within, filled, partition_by), "left_anti")
+        _drop_partitions(spark, folder, empty.select(*[F.col(c).cast("string") for c in partition_by]))
+    if meta:
+        known = _meta(spark, path, n)
+        _write_text(spark, f"{_version_dir(path, n)}/{SCHEMA_FILE}",
+                    json.dumps({**known, **meta}, default=str))
+    metrics = {k: int(v) if v is not None else 0 for k, v in obs.get.items()}
+    return {**metrics, "mode": "overwrite_partitions", "path": path, "version": n}
 
 
 # --- merge -------------------------------------------------------------------
 
 def merge_frames(target: DataFrame, source: DataFrame, key: str,
                  columns: Sequence[str] | None = None,
-                 delete_unmatched: bool = False) -> DataFrame:
+                 delete_unmatched: bool = False, newer: Sequence[str] = ()) -> DataFrame:
     """MERGE semantics as a DataFrame, with an ``_merge_action`` column.
 
     Matched target rows take the source's values (all columns, or only
     ``columns``); unmatched source rows are inserted; unmatched target rows
-    stay, or go with ``delete_unmatched``. NULL keys never match.
+    stay, or go with ``delete_unmatched``. NULL keys never match. With
+    ``newer`` a matched row is updated only if the source row is later by those
+    columns in order (NULL lowest), ties going to the greater ``row_hash`` of
+    all target columns, so the result does not depend on how deliveries are cut.
 
     Plan: one scan of the target, left-joined (inner with
     ``delete_unmatched``) to the source on (key, salt). The salt is 0 for
@@ -317,7 +346,8 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str,
     spread over tasks instead of piling into the NULL hash bucket, and still
     match nothing. A left join lets AQE split a skewed target key or
     broadcast a small source. Inserts are source rows whose key is not among
-    the target's distinct keys (a key-column-only scan, combined map-side).
+    the target's distinct keys (a key-column-only scan, combined map-side),
+    salted in the same way.
     """
     t_cols = target.columns
     missing = [c for c in t_cols if c not in source.columns]
@@ -341,16 +371,36 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str,
     cond = (salted[key] == s_side[f"__s_{key}"]) & (salted["__t_salt"] == s_side["__s_salt"])
     joined = salted.join(s_side, cond, "inner" if delete_unmatched else "left")
     hit = F.coalesce(F.col("__s_hit"), F.lit(False))
+    if newer:
+        hit = hit & _later([F.col(f"__s_{c}") for c in newer] + [row_hash(t_cols, "__s_")],
+                           [F.col(c) for c in newer] + [row_hash(t_cols)])
     matched = joined.select(
         [F.when(hit, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in update
          else F.col(c) for c in t_cols]
         + [F.when(hit, F.lit("updated")).otherwise(F.lit("kept")).alias(ACTION)])
-    t_keys = target.select(key).filter(F.col(key).isNotNull()).distinct()
-    inserted = src.join(t_keys, key, "left_anti").select(
+    t_keys = target.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(
+        "__i_salt", F.lit(0).cast("long"))
+    salted_src = src.withColumn("__i_salt", F.when(
+        F.col(key).isNull(), F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("long")))
+    inserted = salted_src.join(t_keys, [key, "__i_salt"], "left_anti").select(
         *t_cols, F.lit("inserted").alias(ACTION))
     return matched.unionByName(inserted)
 
 
+def row_hash(cols: Sequence[str], prefix: str = "") -> Column:
+    """Hash of all columns: the last tie-breaker between rows."""
+    return F.xxhash64(*[F.col(f"{prefix}{c}") for c in cols])
+
+
+def _later(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    """a > b column by column, NULL lowest (never NULL)."""
+    out = F.lit(False)
+    for x, y in reversed(list(zip(a, b))):
+        more = F.coalesce(x > y, x.isNotNull() & y.isNull())
+        out = more | (x.eqNullSafe(y) & out)
+    return out
+
+
 def duplicate_source_keys(source: DataFrame, key: str) -> DataFrame:
     return (source.filter(F.col(key).isNotNull()).groupBy(key).count()
             .filter(F.col("count") > 1))
@@ -360,18 +410,20 @@ def merge_upsert(source: DataFrame, path: str, key: str,
                  columns: Sequence[str] | None = None,
                  partition_by: Sequence[str] | None = None,
                  delete_unmatched: bool = False, check_unique: bool = True,
-                 within_partitions: bool = False, meta: dict | None = None) -> dict:
+                 within_partitions: bool = False, meta: dict | None = None,
+                 newer: Sequence[str] = ()) -> dict:
     """Upsert ``source`` into the table at ``path`` on ``key``.
 
     A missing table is created from the source (keeping ``partition_by``).
     Duplicate non-NULL source keys raise ``ValueError`` (one aggregate over
     the source). Counts are observed during the single write.
 
-    ``within_partitions`` limits the merge to the table partitions the
-    source touches (a key must not move between partitions, e.g. events by
-    date): only those partitions are read (partition pruning) and written
-    back as a ``replace`` version; the rest of the table is not touched.
-    ``meta`` is stored with the new version (e.g. the source version read).
+    ``within_partitions`` limits the merge to the partitions the source
+    touches and those that hold one of its keys now (found from the key and
+    partition columns), so a row whose partition changes moves. Only those are
+    read and replaced; a partition left without rows is deleted. ``newer``: see
+    ``merge_frames``. ``meta`` is stored with the version (e.g. the source
+    version read).
     """
     spark = source.sparkSession
     if check_unique and duplicate_source_keys(source, key).take(1):
@@ -387,14 +439,15 @@ def merge_upsert(source: DataFrame, path: str, key: str,
     if within_partitions:
         if not parts:
             raise ValueError("within_partitions needs a partitioned table")
-        touched = [list(r) for r in source.select(*parts).distinct().collect()]
-        target = target.filter(_partition_match(target, parts, touched))
-        merged = merge_frames(target, source, key, columns, delete_unmatched)
-        res = _write(merged, path, "replace", parts, metrics,
-                     extra_meta={"replaces": touched, **(meta or {})})
+        source = _null_partitions(source, parts)
+        touched = _touched_partitions(target, source, key, parts)
+        held = _prune(target, touched, parts[0])
+        held = held.join(touched, _same(held, touched, parts), "left_semi")
+        merged = merge_frames(held, source, key, columns, delete_unmatched, newer)
+        res = overwrite_partitions(merged, path, parts, within=touched, extra_metrics=metrics, meta=meta)
         mode = "merge (partitions)"
     else:
-        merged = merge_frames(target, source, key, columns, delete_unmatched)
+        merged = merge_frames(target, source, key, columns, delete_unmatched, newer)
         res = _write(merged, path, "snapshot", parts, metrics, extra_meta=meta)
         mode = "merge"
     return {"rows_inserted": res["rows_inserted"], "rows_updated": res["rows_updated"],
@@ -402,6 +455,34 @@ def merge_upsert(source: DataFrame, path: str, key: str,
             "path": path, "version": res["version"]}
 
 
+def _touched_partitions(target: DataFrame, source: DataFrame, key: str,
+                        parts: Sequence[str]) -> DataFrame:
+    """Partition values of the source's rows and of the stored rows with its keys, as a written frame."""
+    keys = source.select(F.col(key).alias("__key")).filter("__key is not null").distinct()
+    stored = target.select(key, *parts)
+    old = stored.join(keys, stored[key] == keys["__key"], "left_semi").select(*parts)
+    types = {f.name: f.dataType for f in target.schema.fields}
+    new = source.select([F.col(c).cast(types[c]).alias(c) for c in parts])
+    path = scratch_path(target.sparkSession, "touched")
+    touched = new.unionByName(old).distinct()
+    touched.write.parquet(path)
+    return target.sparkSession.read.schema(touched.schema).parquet(path)
+
+
+PRUNE_VALUES = 1000
+
+
+def _prune(df: DataFrame, touched: DataFrame, col: str) -> DataFrame:
+    """``df`` without partitions that can't match: a literal filter for the scan where ``touched``
+    has few values of its first column. The join that follows decides; this only saves reading."""
+    values = [r[0] for r in touched.select(col).distinct().limit(PRUNE_VALUES + 1).collect()]
+    if len(values) > PRUNE_VALUES:
+        return df
+    known = [v for v in values if v is not None]
+    keep = F.col(col).isin(known) if known else F.lit(False)
+    return df.filter(keep | F.col(col).isNull() if len(known) < len(values) else keep)
+
+
 # --- compaction ----------------------------------------------------------------
 
 def _size_bytes(size: str) -> int:
@@ -412,29 +493,21 @@ def _size_bytes(size: str) -> int:
     return int(s)
 
 
-def file_stats(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    """(data files, bytes, logical partitions) of the current version's folders.
-
-    A logical partition is a partition folder path below the version folder,
-    so the same partition written by several versions counts once.
-    """
+def file_sizes(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Sizes of the live data files of the newest version, by partition folder (below its version)."""
     done = [v for v in versions(spark, path) if v.done]
-    upto = done
-    snaps = [v for v in upto if v.kind == "snapshot"]
-    start = snaps[-1].number if snaps else upto[0].number
-    files = size = 0
-    leaves = set()
-    for v in (x for x in upto if x.number >= start):
+    snaps = [v for v in done if v.kind == "snapshot"]
+    start = snaps[-1].number if snaps else done[0].number
+    leaves: dict[str, list[int]] = {}
+    for v in (x for x in done if x.number >= start):
         fs, p = _fs(spark, f"{_version_dir(path, v.number)}/{KIND_DIR}={v.kind}")
         it = fs.listFiles(p, True)
         while it.hasNext():
             st = it.next()
             if st.getPath().getName().endswith(".parquet"):
-                files += 1
-                size += st.getLen()
                 parent = st.getPath().getParent().toString()
-                leaves.add(parent.split(f"{KIND_DIR}=", 1)[-1].partition("/")[2])
-    return files, size, len(leaves)
+                leaves.setdefault(parent.split(f"{KIND_DIR}=", 1)[-1].partition("/")[2], []).append(st.getLen())
+    return leaves
 
 
 def compact(spark: SparkSession, path: str, target_file_size: str = "128mb",
@@ -444,17 +517,17 @@ def compact(spark: SparkSession, path: str, target_file_size: str = "128mb",
     A rebalance (by the table's partition columns) lets AQE size output
     partitions to about ``target_file_size`` of shuffle data; the advisory
     size is set for this write only and restored after. With
-    ``only_if_needed`` a table with one file per folder, or files averaging
-    over a quarter of the target, is left alone (decided from the listing).
-    ``partitions`` (partition value tuples) compacts only those partitions,
-    written as a ``replace`` version.
+    ``only_if_needed`` a table in which no partition has two files under a
+    quarter of the target is left alone (decided from the listing).
+    ``partitions`` (partition value tuples) compacts only those partitions, in
+    place.
     """
     target = _size_bytes(target_file_size)
     if only_if_needed and partitions is None:
-        files, size, leaves = file_stats(spark, path)
-        if files <= leaves or (files and size / files >= target / 4):
+        leaves = file_sizes(spark, path)
+        if not any(sum(size < target / 4 for size in sizes) > 1 for sizes in leaves.values()):
             return {"rows_written": 0, "mode": "compact (not needed)", "path": path,
-                    "files": files}
+                    "files": sum(map(len, leaves.values()))}
     current = read_version(spark, path)
     parts = _partitioning(spark, path)
     conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -462,10 +535,10 @@ def compact(spark: SparkSession, path: str, target_file_size: str = "128mb",
     spark.conf.set(conf, str(target))
     try:
         if partitions is not None:
-            touched = [list(v) for v in partitions]
-            current = current.filter(_partition_match(current, parts, touched))
-            res = _write(current.hint("rebalance", *parts), path, "replace", parts,
-                         extra_meta={"replaces": touched})
+            schema = T.StructType([current.schema[c] for c in parts])
+            chosen = spark.createDataFrame([tuple(v) for v in partitions], schema)
+            held = _prune(current, chosen, parts[0])
+            res = overwrite_partitions(held.join(chosen, _same(held, chosen, parts), "left_semi"), path, parts)
         else:
             res = _write(current.hint("rebalance", *parts) if parts
                          else current.hint("rebalance"), path, "snapshot", parts)

@@ -135,23 +135,20 @@ def test_compaction_keeps_rows_and_cuts_files(spark, tmp_dir):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") != str(128 << 20)
 
 
-def test_partition_replace_time_travel_and_pruning(spark, tmp_dir):
+def test_partition_overwrite_in_place_and_appends(spark, tmp_dir):
     p = f"{tmp_dir}/pr"
     tables.write_table(spark.createDataFrame([(1, "a", "EU"), (2, "b", None), (3, "c", "AS")], S),
                        p, "overwrite", ["region"])
     res = tables.overwrite_partitions(spark.createDataFrame([(4, "d", None), (5, "e", "EU")], S), p)
-    assert res["partitions"] == 2 and res["rows_written"] == 2
+    assert res["version"] == 0 and res["rows_written"] == 2
     tables.write_table(spark.createDataFrame([(6, "f", "EU")], S), p, "append")
-    assert _rows(tables.read_version(spark, p, 0)) == _sorted([(1, "a", "EU"), (2, "b", None),
-                                                              (3, "c", "AS")])
-    assert _rows(tables.read_version(spark, p, 1)) == _sorted([(3, "c", "AS"), (4, "d", None),
+    assert _rows(tables.read_version(spark, p, 0)) == _sorted([(3, "c", "AS"), (4, "d", None),
                                                               (5, "e", "EU")])
     latest = tables.read_version(spark, p)
     assert _rows(latest) == _sorted([(3, "c", "AS"), (4, "d", None), (5, "e", "EU"), (6, "f", "EU")])
-    plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "strata_version" in plan.split("PartitionFilters: [")[1]
+    before = _rows(latest)
     tables.compact(spark, p, only_if_needed=False)
-    assert _rows(tables.read_version(spark, p)) == _rows(latest)
+    assert _rows(tables.read_version(spark, p)) == before
     with pytest.raises(ValueError):
         tables.overwrite_partitions(spark.createDataFrame([(7, "g", "EU")], S), p, ["name"])
 
@@ -176,8 +173,7 @@ def test_merge_within_partitions(spark, tmp_dir):
     assert (res["rows_updated"], res["rows_inserted"]) == (1, 1)
     got = sorted(tuple(r) for r in tables.read_version(spark, p).collect())
     assert got == [(1, "a", "d1"), (2, "B", "d2"), (3, "c", "d2"), (4, "d", "d3")]
-    assert sorted(tuple(r) for r in tables.read_version(spark, p, 0).collect()) == \
-        [(1, "a", "d1"), (2, "b", "d2"), (3, "c", "d2")]
+    assert [h["kind"] for h in tables.history(spark, p)] == ["snapshot"]
 
 
 def test_compact_selected_partitions(spark, tmp_dir):
@@ -188,7 +184,8 @@ def test_compact_selected_partitions(spark, tmp_dir):
     res = tables.compact(spark, p, partitions=[["0"]])
     assert res["rows_written"] == 1000
     assert tables.read_version(spark, p).count() == 3000
-    assert tables.history(spark, p)[-1]["kind"] == "replace"
+    files = tables.file_sizes(spark, p)
+    assert len(files["region=0"]) == 1 and set(files) == {"region=0", "region=1", "region=2"}
 
 
 def test_write_table_merge_mode_and_compat(spark, tmp_dir):
@@ -235,3 +232,72 @@ def test_append_must_keep_partitioning(spark, tmp_dir):
         tables.write_table(spark.createDataFrame([(2, "b", "EU")], S), p, "append", ["name"])
     tables.write_table(spark.createDataFrame([(3, "c", "EU")], S), p, "overwrite", ["name"])
     assert _rows(tables.read_version(spark, p)) == [(3, "c", "EU")]
+
+
+def _plain(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_untouched_null_partitions_stay(spark, tmp_dir):
+    p = f"{tmp_dir}/np"
+    tables.write_table(spark.createDataFrame([(1, "a", None), (2, "b", "a"), (3, "c", "b")], S), p,
+                       "overwrite", ["region"])
+    tables.overwrite_partitions(spark.createDataFrame([(9, "z", "a")], S), p)
+    assert _plain(tables.read_version(spark, p)) == sorted([(1, "a", None), (3, "c", "b"), (9, "z", "a")], key=repr)
+
+
+def test_empty_string_partition_is_null(spark, tmp_dir):
+    p = f"{tmp_dir}/es"
+    tables.merge_upsert(spark.createDataFrame([(1, "a", ""), (2, "b", None), (3, "c", "x")], S), p, "id",
+                        partition_by=["region"])
+    tables.merge_upsert(spark.createDataFrame([(1, "A", ""), (4, "d", None)], S), p, "id", within_partitions=True)
+    assert _plain(tables.read_version(spark, p)) == sorted(
+        [(1, "A", None), (2, "b", None), (3, "c", "x"), (4, "d", None)], key=repr)
+
+
+def test_rows_move_between_partitions(spark, tmp_dir):
+    p = f"{tmp_dir}/mv"
+    tables.merge_upsert(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2"), (3, "c", None), (4, "d", "d 4/x")], S),
+                        p, "id", partition_by=["region"])
+    res = tables.merge_upsert(spark.createDataFrame([(1, "A", "d2"), (3, "C", "d1"), (4, "D", None)], S), p, "id",
+                              within_partitions=True)
+    assert (res["rows_updated"], res["rows_inserted"]) == (3, 0)
+    assert _plain(tables.read_version(spark, p)) == sorted(
+        [(1, "A", "d2"), (2, "b", "d2"), (3, "C", "d1"), (4, "D", None)], key=repr)
+    assert "region=d1" in tables.file_sizes(spark, p) and len(tables.file_sizes(spark, p)) == 3
+
+
+def test_newer_rows_win_whatever_the_order(spark, tmp_dir):
+    s = "id long, at timestamp, v string, day string"
+    rows = [(1, T0, "old", "d1"), (1, T1, "new", "d2"), (2, None, "none", "d1"), (2, T0, "dated", "d1"),
+            (3, T1, "x", "d1"), (3, T1, "y", "d1")]
+    results = set()
+    for order in ([0, 2, 4], [1, 3, 5]), ([1, 3, 5], [0, 2, 4]), ([1, 2, 5], [0, 3, 4]):
+        p = f"{tmp_dir}/nw{order[0][0]}{order[0][1]}"
+        for part in order:
+            tables.merge_upsert(spark.createDataFrame([rows[i] for i in part], s), p, "id", partition_by=["day"],
+                                within_partitions=True, newer=["at"])
+        results.add(tuple(sorted((r.id, r.v, r.day) for r in tables.read_version(spark, p).collect())))
+    assert len(results) == 1
+    assert results.pop()[:2] == ((1, "new", "d2"), (2, "dated", "d1"))
+
+
+def test_many_two_column_partitions(spark, tmp_dir):
+    p = f"{tmp_dir}/many"
+    df = spark.range(1600).select("id", F.when(F.col("id") % 40 != 0, (F.col("id") % 40).cast("string")).alias("a"),
+                                  F.floor(F.col("id") / 40).alias("b")).repartition(2, "a", "b")
+    tables.write_table(df, p, "overwrite", ["a", "b"])
+    tables.overwrite_partitions(df.filter("id < 1560").withColumn("id", -F.col("id") - 1), p)
+    got = tables.read_version(spark, p)
+    assert got.count() == 1600 and got.filter("id >= 0").count() == 40
+    assert got.filter("a is null").count() == 40
+
+
+def test_compaction_looks_at_each_partition(spark, tmp_dir):
+    p = f"{tmp_dir}/cs"
+    big = spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("name"), F.lit("EU").alias("region"))
+    tables.write_table(big.coalesce(1), p, "append")
+    for i in range(4):
+        tables.write_table(spark.createDataFrame([(-i, "n", "EU")], S), p, "append")
+    assert tables.compact(spark, p, "1mb")["mode"] == "compact"
+    assert tables.read_version(spark, p).count() == 400_004
