@@ -12,49 +12,20 @@ import json
 from collections.abc import Mapping
 from pathlib import Path
 
+#: no sources and no checks: a job names its own
 DEFAULT_CONFIG: dict = {
-    "sources": {
-        "raw_events": {
-            "format": "json",
-            "path": None,
-            "partition_columns": ["event_date"],
-            "read_options": {"multiLine": "false", "mode": "PERMISSIVE",
-                             "columnNameOfCorruptRecord": "_corrupt_record"},
-        },
-        "raw_customers": {
-            "format": "csv",
-            "path": None,
-            "read_options": {"header": "true", "escape": '"'},
-        },
-        "raw_transactions": {"format": "parquet", "path": None, "partition_columns": []},
-    },
+    "sources": {},
     "layers": {
         "bronze": {"path": None, "write_mode": "append"},
         "silver": {"path": None, "write_mode": "merge", "merge_key": "customer_id",
                    "events_key": "event_id", "events_partition_by": ["event_date"],
-                   "transactions_key": None,
+                   "transactions_key": None, "transactions_partition_by": [],
                    "partition_by": ["region"]},
         "gold": {"path": None, "write_mode": "overwrite", "partition_by": ["event_date"]},
     },
-    "events": {"property_keys": ["page_url", "device_type", "session_id"],
-               "session_key": "session_id"},
+    "events": {"property_keys": [], "session_key": "session_id"},
     "segments": {"power_events": 100, "power_types": 5, "active_events": 10},
-    "quality": {
-        "fail_on_error": False,
-        "quarantine_path": None,
-        "on_missing": "skip",
-        "checks": [
-            {"name": "no_null_customer_ids", "column": "customer_id", "rule": "not_null",
-             "severity": "critical"},
-            {"name": "valid_email_format", "column": "email", "rule": "regex",
-             "pattern": r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$",
-             "severity": "warning", "tables": ["customers"]},
-            {"name": "transaction_amount_positive", "column": "amount", "rule": "greater_than",
-             "value": 0, "severity": "critical", "tables": ["transactions"]},
-            {"name": "no_future_dates", "column": "event_date", "rule": "less_than_or_equal",
-             "value": "current_date()", "severity": "warning", "tables": ["events"]},
-        ],
-    },
+    "quality": {"fail_on_error": False, "quarantine_path": None, "on_missing": "skip", "checks": []},
 }
 
 

@@ -37,6 +37,21 @@ def filter_records(df: DataFrame, field: str, operator: str, value: str) -> Data
     return df.filter(record_predicate(df, field, operator, value))
 
 
+def split_records(df: DataFrame, field: str, operator: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """(kept, rejects) of a record filter after a union of sources.
+
+    A record whose source lacks ``field`` has NULL there (a field that is
+    present is never NULL in a record): it is an error, not merely filtered out.
+    """
+    error = F.lit(f"field {field!r} not found in record")
+    if field not in df.columns:
+        record_predicate(df.withColumn(field, F.lit("")), field, operator, value)  # checks the operator
+        return df.limit(0), df.withColumn("_error", error)
+    keep = record_predicate(df, field, operator, value)
+    return (df.filter(F.col(field).isNotNull() & keep),
+            df.filter(F.col(field).isNull()).withColumn("_error", error))
+
+
 def filter_record_maps(df: DataFrame, field: str, operator: str, value: str,
                        data_col: str = "Data") -> tuple[DataFrame, DataFrame]:
     """The same filter on map-shaped records (``Data: map<string,string>``).

@@ -7,9 +7,9 @@ check, every row check becomes a flag column and a single aggregate counts
 ``flag_i AND NOT (earlier critical flags)``. A row goes to quarantine under
 the first critical check it fails. ``unique`` checks count duplicated keys
 (a NULL key group included) among rows left at their position and never
-remove rows. The whole report is one scan: the row-check hits ride along
-in the unique checks' ``groupBy(check, key)`` (one entry per row and unique
-check), and a one-row aggregate picks the totals.
+remove rows. The row checks are one scan and one row per task; each unique
+check reads its key and the columns that decide whether a row is still left,
+and is reduced to one row. No row is shuffled for the row checks.
 
 Decisions: NULL passes ``regex`` and ``less_than_or_equal`` (and is kept);
 patterns are taken literally; a string column compared with a date bound is
@@ -122,14 +122,19 @@ class Validation:
     checks: list[QualityCheck]
     status: dict[str, str]
     count_exprs: list[Column]
-    totals: DataFrame
+    duplicates: list[DataFrame]
 
     @property
     def has_unique(self) -> bool:
         return any(c.rule == "unique" and self.status[c.name] == "ok" for c in self.checks)
 
+    @property
+    def totals(self) -> DataFrame:
+        """One row: ``total_rows`` and ``failing_<pos>`` of every active check."""
+        return _one_row([self.flagged.agg(*self.count_exprs), *self.duplicates])
+
     def report_frame(self) -> DataFrame:
-        """The report as a DataFrame, one row per check (one scan of the input)."""
+        """The report as a DataFrame, one row per check."""
         rows = []
         for pos, chk in enumerate(self.checks, start=1):
             ok = self.status[chk.name] == "ok"
@@ -143,10 +148,12 @@ class Validation:
         return self.totals.select(F.inline(F.array(*rows)))
 
     def report(self, counts: Mapping[str, int] | None = None) -> list[dict]:
-        """The report as dicts in check order. ``counts`` (observed row-check
-        counts) saves the scan when there are no unique checks."""
-        if counts is None or self.has_unique:
+        """The report as dicts in check order. With ``counts`` (observed row-check
+        counts) only the unique checks, if any, read the input."""
+        if counts is None:
             counts = self.totals.first().asDict()
+        elif self.duplicates:
+            counts = {**counts, **_one_row(self.duplicates).first().asDict()}
         total = int(counts["total_rows"])
         out = []
         for pos, chk in enumerate(self.checks, start=1):
@@ -214,7 +221,11 @@ def run_checks(df: DataFrame, checks: Iterable[QualityCheck | Mapping[str, objec
         if status[chk.name] == "ok" and chk.is_row_check:
             count_exprs.append(F.count_if(F.col(flags[pos]) & ~removed_before(pos))
                                .alias(f"failing_{pos}"))
-    totals = _totals(flagged, checks, status, flags, removed_before)
+    duplicates = []
+    for pos, chk in enumerate(checks, start=1):
+        if chk.rule == "unique" and status[chk.name] == "ok":
+            left = flagged.filter(~removed_before(pos)).groupBy(chk.column).agg(F.count(F.lit(1)).alias("n"))
+            duplicates.append(left.agg(F.count_if(F.col("n") > 1).alias(f"failing_{pos}")))
 
     critical = [(flags[p], c.name) for p, c in enumerate(checks, start=1)
                 if p in flags and c.severity == "critical"]
@@ -232,58 +243,16 @@ def run_checks(df: DataFrame, checks: Iterable[QualityCheck | Mapping[str, objec
     clean = flagged.filter(F.col(CHECK_COL).isNull()).drop(CHECK_COL, *helper)
     quarantine = (flagged.filter(F.col(CHECK_COL).isNotNull()).drop(*helper)
                   .withColumn(QUARANTINE_TS, ts))
-    return Validation(flagged, clean, quarantine, checks, status, count_exprs, totals)
+    return Validation(flagged, clean, quarantine, checks, status, count_exprs, duplicates)
 
 
-def _totals(flagged: DataFrame, checks: list[QualityCheck], status: dict[str, str],
-            flags: dict[int, str], removed_before) -> DataFrame:
-    """One row: ``total_rows`` and ``failing_<pos>`` for every active check.
-
-    Without unique checks: one global aggregate of the row-check hits. With
-    U unique checks each row becomes U entries, one per unique column
-    (typed key, other keys NULL, whether the row is alive at that check);
-    the first entry also carries the row-check hits as 0/1 numbers. One
-    groupBy(check, keys) counts rows per key, a final one-row aggregate
-    picks the totals. With a single unique check nothing is exploded.
-    """
-    uniques = [(p, c) for p, c in enumerate(checks, start=1)
-               if c.rule == "unique" and status[c.name] == "ok"]
-    row_pos = list(flags)
-    if not uniques:
-        return flagged.agg(F.count(F.lit(1)).alias("total_rows"), *[
-            F.count_if(F.col(flags[j]) & ~removed_before(j)).alias(f"failing_{j}")
-            for j in row_pos])
-    types = {f.name: f.dataType for f in flagged.schema.fields}
-    keys = {p: f"__k{p}" for p, _ in uniques}
-    first = uniques[0][0]
-
-    def entry(pos: int) -> list[Column]:
-        fields = [F.lit(pos).alias("pos")]
-        for p, c in uniques:
-            value = F.col(c.column) if p == pos else F.lit(None).cast(types[c.column])
-            fields.append(value.alias(keys[p]))
-        fields.append((~removed_before(pos)).cast("long").alias("alive"))
-        for j in row_pos:
-            hit = (F.col(flags[j]) & ~removed_before(j)).cast("long") if pos == first \
-                else F.lit(0).cast("long")
-            fields.append(hit.alias(f"f{j}"))
-        return fields
-
-    if len(uniques) == 1:
-        entries = flagged.select(*entry(first))
-    else:
-        packed = F.explode(F.array(*[F.struct(*entry(p)) for p, _ in uniques]))
-        entries = flagged.select(packed.alias("e")).select("e.*")
-    per_key = entries.groupBy("pos", *keys.values()).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("alive").alias("n_alive"),
-        *[F.sum(f"f{j}").alias(f"f{j}") for j in row_pos])
-    at_first = F.col("pos") == first
-    out = [F.coalesce(F.sum(F.when(at_first, F.col("n"))), F.lit(0)).alias("total_rows")]
-    out += [F.coalesce(F.sum(F.when(at_first, F.col(f"f{j}"))), F.lit(0)).alias(f"failing_{j}")
-            for j in row_pos]
-    out += [F.count_if((F.col("pos") == p) & (F.col("n_alive") > 1)).alias(f"failing_{p}")
-            for p, _ in uniques]
-    return per_key.agg(*out)
+def _one_row(parts: list[DataFrame]) -> DataFrame:
+    """One-row frames with different columns as one row."""
+    if len(parts) == 1:
+        return parts[0]
+    names = [c for p in parts for c in p.columns]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.max(c).alias(c) for c in names])
 
 
 class QualityEngine:
@@ -311,7 +280,8 @@ class QualityEngine:
         """Run the checks; write quarantined rows; maybe raise; return clean rows.
 
         With a quarantine path the row-check counts are observed during the
-        quarantine write, so input is scanned once for both.
+        quarantine write (one scan for both, rebalanced by check so that few
+        rows make few files); only unique checks read the input again.
         """
         v = self.plan(df, table or source_name)
         counts = None
@@ -321,11 +291,11 @@ class QualityEngine:
             q = (observed.filter(F.col(CHECK_COL).isNotNull())
                  .drop(*[c for c in observed.columns if c.startswith("__q")])
                  .withColumn(QUARANTINE_TS, F.current_timestamp()))
-            (q.write.mode("append").partitionBy(CHECK_COL)
+            (q.hint("rebalance", CHECK_COL).write.mode("append").partitionBy(CHECK_COL)
              .parquet(f"{str(self.quarantine_path).rstrip('/')}/{source_name}/"))
             counts = obs.get
         report = v.report(counts)
         failed = [r for r in report if r["severity"] == "critical" and r["failing_rows"]]
         if failed and self.fail_on_error:
-            raise DataQualityError(f"{len(failed)} critical quality check(s) failed", report)
+            raise DataQualityError("critical checks with failing rows: " + ", ".join(r["check"] for r in failed), report)
         return v.clean, report

@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _regions(customers: DataFrame, key: str, region: str, unique: bool) -> DataFrame:
+    return customers.select(key, region) if unique else \
+        customers.groupBy(key).agg(F.max(region).alias(region))
+
+
 def with_region(events: DataFrame, customers: DataFrame, key: str = "customer_id",
-                region: str = "region") -> DataFrame:
+                region: str = "region", unique: bool = False) -> DataFrame:
     """Events left-joined to one region per customer.
 
-    The dimension is made unique per key first (greatest region, so the pick
-    is deterministic); the aggregate combines map-side, so a duplicated key
-    cannot multiply event rows. AQE broadcasts the lookup when it is small.
+    Unless the key is known to be ``unique`` the dimension is made so first
+    (greatest region, so the pick is deterministic), and a duplicated key
+    cannot multiply event rows. AQE picks the join and splits skewed keys.
     """
-    dim = customers.groupBy(key).agg(F.max(region).alias(region))
-    return events.join(dim, on=key, how="left")
+    return events.join(_regions(customers, key, region, unique), on=key, how="left")
 
 
 def build_daily_summary(events: DataFrame, ts_col: str = "event_timestamp",
@@ -40,22 +44,23 @@ def build_daily_summary(events: DataFrame, ts_col: str = "event_timestamp",
 def daily_summary_by_region(events: DataFrame, customers: DataFrame,
                             ts_col: str = "event_timestamp", key: str = "customer_id",
                             session_col: str = "session_id", region: str = "region",
-                            approx: bool = False) -> DataFrame:
+                            approx: bool = False, unique: bool = False,
+                            collapse: bool = False) -> DataFrame:
     """The daily summary from raw events and the customer dimension.
 
-    Same result as ``build_daily_summary(with_region(events, customers))``,
-    planned for a dimension too big to broadcast: events first collapse to
-    one row per (date, type, customer, session) with a count (partial
-    aggregation map-side), so the join to the region lookup shuffles those
-    rows instead of every event; the final aggregate sums the counts and
-    counts distinct customers and sessions.
+    By default events are joined to their region, then summarized.
+    ``collapse`` first reduces them to one row per (date, type, customer,
+    session) with a count: fewer rows reach the join where sessions have many
+    events of a type, an extra shuffle where they don't. Both give the same rows.
     """
+    if not collapse:
+        return build_daily_summary(with_region(events, customers, key, region, unique), ts_col, key,
+                                   session_col, approx)
     distinct = F.approx_count_distinct if approx else F.countDistinct
     visits = (events.groupBy(F.to_date(F.col(ts_col)).alias("event_date"), "event_type",
                              key, session_col)
               .agg(F.count(F.lit(1)).alias("__events")))
-    dim = customers.groupBy(key).agg(F.max(region).alias(region))
-    return (visits.join(dim, on=key, how="left")
+    return (visits.join(_regions(customers, key, region, unique), on=key, how="left")
             .groupBy("event_date", "event_type", region)
             .agg(F.sum("__events").alias("event_count"),
                  distinct(key).alias("unique_customers"),

@@ -6,7 +6,8 @@ deduplicate. Deduplication keeps the first arrival per key (key as text;
 rows with a NULL key pass); in batch "first" means the smallest
 (``_row_number``, source name), i.e. sources read side by side; on a stream
 it is Spark's dropDuplicates state, or dropDuplicatesWithinWatermark when
-an event-time column is given.
+an event-time column is given. A filtered record whose source lacks the field
+is an error: it goes to the rejects, as malformed rows do.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.columns import normalize_fields, rename_fields
 from strata.operators.dedup import first_per_key
-from strata.operators.filters import filter_records
+from strata.operators.filters import split_records
 from strata.plans.metrics import RunMetrics
 from strata.sinks.files import write_ndjson, write_rejects
 from strata.sources.records import RECORD_SOURCE, read_csv_records, union_sources
@@ -33,6 +34,7 @@ ARRIVAL_ORDER = ("_row_number", RECORD_SOURCE)
 class _Step:
     name: str
     fn: Stage | None = None
+    split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None
     dedup_key: str | None = None
     event_time: str | None = None
     watermark: str | None = None
@@ -54,7 +56,8 @@ class RecordFlow:
         return self
 
     def filter(self, name: str, field: str, operator: str, value: str) -> "RecordFlow":
-        return self.add_stage(name, lambda df: filter_records(df, field, operator, value))
+        self.steps.append(_Step(name, split=lambda df: split_records(df, field, operator, value)))
+        return self
 
     def normalize(self, name: str, fields: Sequence[str]) -> "RecordFlow":
         return self.add_stage(name, lambda df: normalize_fields(df, fields))
@@ -83,36 +86,56 @@ class RecordFlow:
             elif op == "map":
                 flow.rename(name, {str(k): str(v) for k, v in cfg.get("mappings", {}).items()})
             elif op == "deduplicate":
-                flow.deduplicate(name, str(cfg["key_field"]), cfg.get("event_time"))
+                flow.deduplicate(name, str(cfg["key_field"]), cfg.get("event_time"),
+                                 str(cfg.get("watermark", "1 hour")))
             else:
                 raise ValueError(f"unknown transform operation {op!r} in stage {name!r}")
         return flow
 
     def apply(self, df: DataFrame, streaming: bool = False) -> DataFrame:
+        """The records that pass every stage."""
+        return self.apply_with_rejects(df, streaming)[0]
+
+    def apply_with_rejects(self, df: DataFrame, streaming: bool = False) -> tuple[DataFrame, DataFrame | None]:
+        """(records that pass, records that are errors with ``_error``, or None)."""
+        rejects: list[DataFrame] = []
         for step in self.steps:
-            if step.fn is not None:
+            if step.split is not None:
+                df, bad = step.split(df)
+                rejects.append(bad)
+            elif step.fn is not None:
                 df = df.transform(step.fn)
             elif streaming:
-                df = _stream_dedup(df, step)
+                df, undated = _stream_dedup(df, step)
+                rejects += [undated] if undated is not None else []
             else:
                 df = first_per_key(df, step.dedup_key, [c for c in self.order_by
                                                         if c in df.columns])
-        return df
+        return df, reduce(_by_name, rejects) if rejects else None
+
 
+def _by_name(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b, allowMissingColumns=True)
 
-def _stream_dedup(df: DataFrame, step: _Step) -> DataFrame:
+
+def _stream_dedup(df: DataFrame, step: _Step) -> tuple[DataFrame, DataFrame | None]:
+    """(first arrivals, rows whose event time can't be read). A row without the key gets a
+    key of its own and passes."""
     if step.dedup_key not in df.columns:
-        return df
+        return df, None
     key, event_time = "__dedup_key", "__event_time"
-    keyed = df.withColumn(key, F.col(step.dedup_key).cast("string"))
-    if step.event_time:
-        # record fields are text: the watermark needs a timestamp column
-        out = (keyed.withColumn(event_time, F.col(step.event_time).try_cast("timestamp"))
-               .withWatermark(event_time, step.watermark)
-               .dropDuplicatesWithinWatermark([key]).drop(event_time))
-    else:
-        out = keyed.dropDuplicates([key])
-    return out.drop(key)
+    text = F.col(step.dedup_key).cast("string")
+    keyed = df.withColumn(key, F.struct(text.alias("key"), F.when(text.isNull(), F.expr("uuid()")).alias("own")))
+    if not step.event_time:
+        return keyed.dropDuplicates([key]).drop(key), None
+    # record fields are text: the watermark needs a timestamp column
+    time = F.col(step.event_time).try_cast("timestamp") if step.event_time in df.columns \
+        else F.lit(None).cast("timestamp")
+    undated = df.filter(time.isNull()).withColumn("_error", F.lit(f"no time in field {step.event_time!r}"))
+    out = (keyed.withColumn(event_time, time).filter(F.col(event_time).isNotNull())
+           .withWatermark(event_time, step.watermark)
+           .dropDuplicatesWithinWatermark([key]).drop(event_time))
+    return out.drop(key), undated
 
 
 def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], flow: RecordFlow,
@@ -120,8 +143,10 @@ def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], fl
     """Batch run: CSV sources -> flow -> NDJSON, rejects to the dead letter.
 
     ``sources``: ``{name, location, properties: {delimiter, encoding}}``.
-    The read count is observed on the same job that writes the output; each
-    source is parsed once (persisted) for the records and the rejects.
+    Each source is parsed once, into a table in the shared folder; the read count
+    is observed on the job that writes the output. Rejects (malformed rows and
+    records that a filter can't judge) are counted, and given to the error
+    handler, with or without a dead letter.
     """
     metrics = RunMetrics()
     scans = {}
@@ -129,26 +154,27 @@ def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], fl
         props = dict(s.get("properties", {}) or {})
         scans[str(s["name"])] = read_csv_records(
             spark, s["location"], str(s["name"]), sep=str(props.get("delimiter", ",")),
-            encoding=str(props.get("encoding", "utf-8")), persist=True)
+            encoding=str(props.get("encoding", "utf-8")))
     records = union_sources({n: sc.records for n, sc in scans.items()})
     read_obs = Observation("records_read")
-    observed = records.observe(read_obs, F.count(F.lit(1)).alias("n"))
-    out = flow.apply(observed)
+    out, errors = flow.apply_with_rejects(records.observe(read_obs, F.count(F.lit(1)).alias("n")))
     written = write_ndjson(out, output_path)["rows_written"]
-    rejects = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                     [sc.rejects for sc in scans.values()])
-    rejected = 0
+    good = int(read_obs.get["n"])
+    malformed = reduce(_by_name, [sc.rejects for sc in scans.values()])
+    if flow.steps:
+        errors = flow.apply_with_rejects(records)[1]  # without the observation
+    rejects = malformed if errors is None else _by_name(malformed, errors)
+    failed = 0 if errors is None else errors.count()
     if dead_letter_path is not None:
         rejected = write_rejects(rejects, dead_letter_path)["rows_rejected"]
+    else:
+        rejected = malformed.count() + failed
     if flow.error_handler is not None:
         flow.error_handler(rejects)
-    for sc in scans.values():
-        sc.raw.unpersist()
-    good = int(read_obs.get["n"])
-    metrics.records_read = good + rejected
+    metrics.records_read = good + rejected - failed
     metrics.records_written = written
     metrics.records_rejected = rejected
-    metrics.records_filtered = good - written
+    metrics.records_filtered = good - written - failed
     metrics.batches_processed = 1
     return metrics.finish()
 
@@ -158,7 +184,8 @@ def run_from_config(spark: SparkSession, config: Mapping[str, object],
     """Run a record pipeline config: ``sources`` (name, type csv, location,
     properties), ``transforms`` (filter / normalize / map / deduplicate),
     ``destination`` (type jsonfile, connection_string = output folder) and
-    ``pipeline.dead_letter_path``. ``stream`` runs the source folders as one
+    ``pipeline`` (dead_letter_path; for streams max_files_per_trigger or
+    max_bytes_per_trigger, processing_time, timeout_s). ``stream`` runs the source folders as one
     Structured Streaming query (needs ``checkpoint``); dedup state is shared
     by all sources, as in the batch run."""
     sources = list(config.get("sources", []))
@@ -170,7 +197,8 @@ def run_from_config(spark: SparkSession, config: Mapping[str, object],
         raise ValueError(f"unsupported destination type: {dest.get('type')}")
     flow = RecordFlow.from_config(list(config.get("transforms", [])))
     out = str(dest["connection_string"])
-    dead = (config.get("pipeline", {}) or {}).get("dead_letter_path")
+    options = dict(config.get("pipeline", {}) or {})
+    dead = options.get("dead_letter_path")
     if not stream:
         return run_records(spark, sources, flow, out, dead)
     from strata.sources.records import csv_header
@@ -179,11 +207,15 @@ def run_from_config(spark: SparkSession, config: Mapping[str, object],
         raise ValueError("a streaming run needs a checkpoint location")
     stream_sources = []
     for s in sources:
-        sep = str(dict(s.get("properties", {}) or {}).get("delimiter", ","))
-        stream_sources.append(StreamSource(str(s["name"]), str(s["location"]),
-                                           csv_header(spark, str(s["location"]), sep), sep))
+        props = dict(s.get("properties", {}) or {})
+        sep, encoding = str(props.get("delimiter", ",")), str(props.get("encoding", "utf-8"))
+        stream_sources.append(StreamSource(
+            str(s["name"]), str(s["location"]),
+            csv_header(spark, str(s["location"]), sep, encoding), sep, encoding))
+    limits = {k: options[k] for k in ("max_files_per_trigger", "max_bytes_per_trigger",
+                                      "processing_time", "timeout_s") if options.get(k) is not None}
     run = run_record_streams(spark, stream_sources, flow, out, checkpoint,
-                             dead_letter_path=dead)
+                             dead_letter_path=dead, **limits)
     return run.metrics
 
 

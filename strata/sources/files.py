@@ -14,6 +14,12 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
+#: options of a JSON source that concern the files, not the parsing
+FILE_OPTIONS = ("lineSep", "recursiveFileLookup", "pathGlobFilter", "modifiedBefore",
+                "modifiedAfter", "ignoreMissingFiles", "ignoreCorruptFiles")
+#: encodings in which a line break is one byte
+BYTE_ENCODINGS = ("utf-8", "us-ascii", "iso-8859-1")
+
 
 def _with_corrupt(schema: T.StructType, corrupt_col: str) -> T.StructType:
     if corrupt_col in schema.fieldNames():
@@ -22,18 +28,35 @@ def _with_corrupt(schema: T.StructType, corrupt_col: str) -> T.StructType:
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType,
-                    corrupt_col: str = CORRUPT) -> DataFrame:
+                    corrupt_col: str = CORRUPT,
+                    options: Mapping[str, str] | None = None) -> DataFrame:
     """JSON lines with a declared schema; bad lines keep their text.
 
+    ``options`` are the JSON reader's: those about files go to the file scan,
+    ``encoding`` (one of BYTE_ENCODINGS) decodes the lines, all others go to
+    the parser. Modes that drop or stop at bad lines are refused.
+
     Read as text and parsed with ``from_json`` (PERMISSIVE): unlike the JSON
     file reader this lets a query count or filter on the corrupt column
     alone. Blank lines are dropped first, as the JSON reader does; ``{}``
     is a row of NULLs, not a corrupt one.
     """
+    given = {k.lower(): (k, str(v)) for k, v in (options or {}).items()}
+    if given.pop("mode", ("", "PERMISSIVE"))[1].upper() != "PERMISSIVE":
+        raise ValueError("malformed lines are kept: only PERMISSIVE mode is read")
+    encoding = (given.pop("encoding", None) or given.pop("charset", None) or ("", "utf-8"))[1]
+    if encoding.lower() not in BYTE_ENCODINGS:
+        raise ValueError(f"JSON lines are read in {BYTE_ENCODINGS}, not {encoding!r}")
+    given.pop("columnnameofcorruptrecord", None)
+    given.pop("multiline", None)
+    files = {k: v for low, (k, v) in given.items() if low in {x.lower() for x in FILE_OPTIONS}}
+    parse = {k: v for k, v in (x for low, x in given.items()) if k not in files}
     full = _with_corrupt(schema, corrupt_col)
-    text = spark.read.text(path)
-    parsed = F.from_json(F.col("value"), full,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col})
+    text = spark.read.options(**files).text(path)
+    if encoding.lower() != "utf-8":
+        text = text.select(F.decode(F.col("value").cast("binary"), encoding.upper()).alias("value"))
+    parsed = F.from_json(F.col("value"), full, {**parse, "mode": "PERMISSIVE",
+                                                "columnNameOfCorruptRecord": corrupt_col})
     return (text.filter(F.trim(F.col("value")) != "")
             .select(parsed.alias("r")).select("r.*"))
 
@@ -70,7 +93,7 @@ def read_source(spark: SparkSession, cfg: Mapping[str, object],
     options = {k: str(v) for k, v in dict(cfg.get("read_options", {}) or {}).items()}
     if fmt == "json" and schema is not None and options.get("multiLine", "false") != "true":
         return read_json_lines(spark, path, schema,
-                               options.get("columnNameOfCorruptRecord", CORRUPT))
+                               options.get("columnNameOfCorruptRecord", CORRUPT), options)
     if fmt == "csv":
         if schema is not None:
             options.pop("inferSchema", None)

@@ -6,28 +6,28 @@ as ID, Source, Timestamp and Metadata by the NDJSON sink). The envelope
 names are prefixed because column names are case-insensitive: a data field
 called ``id`` must not be overwritten by the record ID. Rows whose field
 count differs from the header are rejected (kept with ``_error``), not
-silently skipped. Empty fields are the empty string, as in the text.
+silently skipped. Empty fields are the empty string, as in the text. Every
+file is read by its own header; files with different headers are put together
+by column name, and a column a file lacks is NULL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import shared_root
+from strata.session import scratch_path
 
 CORRUPT = "_corrupt_record"
-# Size check for broadcasting the per-split offsets: a row holds a file path
-# and three longs; 512 MB of them is ~2M input splits (~250 TB at 128 MB).
-SPLIT_ROW_BYTES = 512
-SPLIT_BROADCAST_BYTES = 512 << 20
 RECORD_ID, RECORD_SOURCE, RECORD_TS = "_record_id", "_record_source", "_record_ts"
+POSITION = "__pos"
 ENVELOPE = (RECORD_ID, RECORD_SOURCE, RECORD_TS, "_row_number", "_file", "_block", CORRUPT,
             "_error")
 DATA_COLS_META = (("_row_number", "row_number"), ("_file", "file"))
@@ -38,7 +38,6 @@ class RecordScan:
     records: DataFrame
     rejects: DataFrame
     header: list[str]
-    raw: DataFrame | None = None
 
 
 def csv_options(sep: str = ",", encoding: str = "utf-8", multi_line: bool = False) -> dict:
@@ -57,6 +56,49 @@ def csv_header(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
                               recursiveFileLookup=str(recursive).lower()).csv(paths).columns
 
 
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
+    """The first line of a file that is not blank (compressed files too)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding)
+        lines = jvm.java.io.BufferedReader(text)
+        line = lines.readLine()
+        while line is not None and not line.strip():
+            line = lines.readLine()
+        return line or ""
+    finally:
+        stream.close()
+
+
+def csv_headers(spark: SparkSession, path: str | Sequence[str], sep: str = ",", encoding: str = "utf-8",
+                recursive: bool = False) -> list[tuple[list[str], list[str]]]:
+    """(header, files) for each header among the files, in order of the first file.
+
+    One line per file is read, several files at a time; the file names are
+    those Spark lists for any scan.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    files = sorted(spark.read.option("recursiveFileLookup", str(recursive).lower()).text(paths).inputFiles())
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, _plain_path(f), encoding), files))
+    groups: dict[str, list[str]] = {}
+    for f, line in zip(files, lines):
+        if line:
+            groups.setdefault(line, []).append(_plain_path(f))
+    if len(groups) <= 1:
+        return [(csv_header(spark, paths, sep, encoding, recursive), paths)]
+    return [(csv_header(spark, own[0], sep, encoding), own) for own in groups.values()]
+
+
+def _plain_path(uri: str) -> str:
+    """A listed file as a path Spark can be given (names are percent-encoded in listings)."""
+    scheme, mark, rest = uri.partition("://")
+    return f"{scheme}://{unquote(rest)}" if mark else unquote(uri)
+
+
 def malformed_text(header: Sequence[str]):
     """``_corrupt_record``, written so that it also reads a data column.
 
@@ -73,76 +115,81 @@ def record_schema(header: Sequence[str]) -> T.StructType:
                         + [T.StructField(CORRUPT, T.StringType())])
 
 
+def _parse(spark: SparkSession, paths: list[str], header: list[str], sep: str, encoding: str,
+           multi_line: bool, recursive: bool) -> DataFrame:
+    """Rows of files with one header: empty fields as "", malformed rows with their text."""
+    raw = (spark.read.schema(record_schema(header))
+           .options(**csv_options(sep, encoding, multi_line))
+           .option("recursiveFileLookup", str(recursive).lower()).csv(paths)
+           .withColumn("_file", F.col("_metadata.file_path"))
+           .withColumn("_block", F.col("_metadata.file_block_start")))
+    bad = malformed_text(header)
+    return raw.withColumns({**{h: F.when(bad.isNull(), F.coalesce(F.col(h), F.lit(""))).otherwise(F.col(h))
+                               for h in header}, CORRUPT: bad})
+
+
 def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name: str,
                      sep: str = ",", encoding: str = "utf-8", multi_line: bool = False,
                      header: Sequence[str] | None = None, envelope: bool = True,
-                     recursive: bool = False, persist: bool = False) -> RecordScan:
+                     recursive: bool = False) -> RecordScan:
     """Read CSV files as text records; malformed rows go to ``rejects``.
 
-    Both frames can be counted or projected freely (see ``malformed_text``).
-
     Leading white space of fields is dropped, blank lines are skipped, a
     quoted field may hold the separator. ``multi_line`` allows newlines
     inside quotes (files then stop being splittable). ``recursive`` reads
-    every file below the path, without partition folders as columns.
-    ``persist`` keeps the parsed input (memory and disk) for the record
-    numbering, the rows and the rejects to share one parse; release it with
-    ``scan.raw.unpersist()``.
+    every file below the path, without partition folders as columns. A given
+    ``header`` holds for all files.
+
+    With the envelope the input is parsed once into a table in the shared
+    folder, which the numbering, the records and the rejects then read.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    header = list(header) if header is not None else csv_header(spark, paths, sep, encoding,
-                                                                 recursive)
-    raw = (spark.read.schema(record_schema(header))
-           .options(**csv_options(sep, encoding, multi_line))
-           .option("recursiveFileLookup", str(recursive).lower()).csv(paths)
-           .withColumn("_file", F.col("_metadata.file_path"))
-           .withColumn("_block", F.col("_metadata.file_block_start")))
-    if persist:
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    bad_text = malformed_text(header)
-    good = (raw.filter(bad_text.isNull()).drop(CORRUPT)
-            .withColumns({h: F.coalesce(F.col(h), F.lit("")) for h in header}))
-    rejects = (raw.filter(bad_text.isNotNull())
+    groups = [(list(header), paths)] if header is not None else \
+        csv_headers(spark, paths, sep, encoding, recursive)
+    frames = [_parse(spark, own, names, sep, encoding, multi_line, recursive) for names, own in groups]
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    fields = [c for c in raw.columns if c not in (CORRUPT, "_file", "_block")]
+    if envelope:
+        staged = scratch_path(spark, "csv_records")
+        raw = raw.withColumn(POSITION, F.monotonically_increasing_id())
+        raw.write.parquet(staged)
+        raw = spark.read.schema(raw.schema).parquet(staged)
+    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    rejects = (raw.filter(F.col(CORRUPT).isNotNull())
                .withColumns({RECORD_SOURCE: F.lit(source_name),
                              "_error": F.lit("field count differs from header")})
-               .drop("_block"))
+               .drop("_block", POSITION))
     records = with_record_envelope(good, source_name) if envelope else \
         good.withColumn(RECORD_SOURCE, F.lit(source_name)).drop("_block")
-    return RecordScan(records, rejects, header, raw if persist else None)
+    return RecordScan(records, rejects, fields)
 
 
 def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file",
-                         block_col: str = "_block") -> DataFrame:
+                         block_col: str = "_block", pos_col: str = POSITION) -> DataFrame:
     """``_record_id = source-n``, ``_row_number = n``: n numbers rows 1, 2, ... in read
     order (file path, split start, position in split).
 
-    No window over the rows: each split's rows get consecutive
-    ``monotonically_increasing_id`` values, so a row's number is the count of
-    rows in earlier splits (a running sum over one row per split, a table
-    the size of the file listing) plus its place within its split. The
-    per-split table is checkpointed to the shared folder (it is small and
-    this cuts its lineage), counted, and broadcast when its estimated size
-    is under ``SPLIT_BROADCAST_BYTES``; a larger one is joined by a shuffle.
-    Batch only.
+    ``df`` is a stored table whose ``pos_col`` ascends within each split. A row's
+    number is the rows of earlier files, plus the rows of earlier splits of its
+    file, plus its rank within its split; so only one row per file meets in a
+    window, and ranks are per split. A row without an offset stops the job.
     """
-    pos = "__pos"
-    df = df.withColumn(pos, F.monotonically_increasing_id())
-    splits = df.groupBy(file_col, block_col).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__first"))
-    w = Window.orderBy(file_col, block_col).rowsBetween(Window.unboundedPreceding, -1)
-    splits = (splits.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-              .select(file_col, block_col, "__offset", "__first"))
-    shared_root(df.sparkSession)
-    splits = splits.checkpoint(eager=True)
-    if splits.count() * SPLIT_ROW_BYTES <= SPLIT_BROADCAST_BYTES:
-        splits = F.broadcast(splits)
-    n = F.col("__offset") + (F.col(pos) - F.col("__first")) + 1
-    return (df.join(splits, [file_col, block_col])
-            .withColumns({"_row_number": n.cast("long"),
-                          RECORD_ID: F.concat(F.lit(f"{source_name}-"), n.cast("string")),
+    splits = df.groupBy(file_col, block_col).agg(F.count(F.lit(1)).alias("__n"))
+    files = splits.groupBy(file_col).agg(F.sum("__n").alias("__m"))
+    before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(file_col, F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+    splits = (splits.withColumn("__offset", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+              .join(files, file_col)
+              .select(file_col, block_col, (F.col("__offset") + F.col("__base")).alias("__offset")))
+    rank = F.row_number().over(Window.partitionBy(file_col, block_col).orderBy(pos_col))
+    n = F.coalesce("__offset", F.raise_error(F.lit("a split has no record offset")).cast("long")) + rank
+    return (df.join(splits, [file_col, block_col], "left")
+            .withColumn("_row_number", n.cast("long"))
+            .withColumns({RECORD_ID: F.concat(F.lit(f"{source_name}-"), F.col("_row_number").cast("string")),
                           RECORD_SOURCE: F.lit(source_name),
                           RECORD_TS: F.current_timestamp()})
-            .drop(pos, "__offset", "__first", block_col))
+            .drop(pos_col, "__offset", block_col))
 
 
 def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -5,12 +5,15 @@ new files, runs the flow (stateless stages plus ``dropDuplicates`` state for
 dedup) and hands the micro-batch to ``foreachBatch``, which writes
 ``sink/batch_id=N`` with overwrite: a replayed batch rewrites the same folder,
 so output is not duplicated on retry. ``checkpointLocation`` is the resume
-point; a rerun on the same checkpoint reads only new files. Malformed rows go
-to a second query with its own checkpoint into the dead-letter folder.
+point; a rerun on the same checkpoint reads only new files. Malformed rows, and
+records the flow can't judge, go to a second query with its own checkpoint:
+they are counted, given to the error handler and, with a dead-letter folder,
+written there.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -65,15 +68,16 @@ class StreamSource:
     path: str
     header: Sequence[str]
     sep: str = ","
+    encoding: str = "utf-8"
 
 
 def run_record_stream(spark: SparkSession, source_path: str, header: Sequence[str],
                       source_name: str, flow: RecordFlow, output_path: str, checkpoint: str,
                       dead_letter_path: str | None = None, max_files_per_trigger: int = 1,
                       processing_time: str | None = None, sep: str = ",",
-                      timeout_s: float | None = None) -> StreamRun:
+                      timeout_s: float | None = None, encoding: str = "utf-8") -> StreamRun:
     """Run the flow over one folder of CSV files (see ``run_record_streams``)."""
-    return run_record_streams(spark, [StreamSource(source_name, source_path, header, sep)], flow,
+    return run_record_streams(spark, [StreamSource(source_name, source_path, header, sep, encoding)], flow,
                               output_path, checkpoint, dead_letter_path, max_files_per_trigger,
                               processing_time, timeout_s)
 
@@ -92,13 +96,13 @@ def run_record_streams(spark: SparkSession, sources: Sequence[StreamSource], flo
     ``timeout_s``.
     """
     metrics = RunMetrics()
-    streams = [stream_csv_records(spark, s.path, s.header, s.name, s.sep,
+    streams = [stream_csv_records(spark, s.path, s.header, s.name, s.sep, s.encoding,
                                   max_files_per_trigger=max_files_per_trigger,
                                   max_bytes_per_trigger=max_bytes_per_trigger)
                for s in sources]
     good = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                   [_good(st, s.header) for st, s in zip(streams, sources)])
-    out = flow.apply(good, streaming=True)
+    out, errors = flow.apply_with_rejects(good, streaming=True)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"stream_batch_{batch_id}")
@@ -113,38 +117,47 @@ def run_record_streams(spark: SparkSession, sources: Sequence[StreamSource], flo
 
     queries = [trigger(out.writeStream.foreachBatch(write_batch)
                        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/records")).start()]
-    if dead_letter_path is not None:
-        bad = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
-            st.filter(malformed_text(s.header).isNotNull()) for st, s in zip(streams, sources)
-        ]).withColumn("_error", F.lit("field count differs from header"))
-
-        def write_rejects(batch: DataFrame, batch_id: int) -> None:
-            obs = Observation(f"stream_rejects_{batch_id}")
-            batch.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-                f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}")
-            metrics.records_rejected += int(obs.get["n"])
-            if flow.error_handler is not None:
-                flow.error_handler(batch)
-
-        queries.append(trigger(bad.writeStream.foreachBatch(write_rejects)
-                               .option("checkpointLocation",
-                                       f"{checkpoint.rstrip('/')}/rejects")).start())
+    # a query of its own, so that the records' state never sees it
+    bad = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        st.filter(malformed_text(s.header).isNotNull()) for st, s in zip(streams, sources)
+    ]).withColumn("_error", F.lit("field count differs from header"))
+    if errors is not None:
+        bad = bad.unionByName(errors, allowMissingColumns=True)
+
+    def write_rejects(batch: DataFrame, batch_id: int) -> None:
+        obs = Observation(f"stream_rejects_{batch_id}")
+        seen = batch.observe(obs, F.count(F.lit(1)).alias("n"))
+        if dead_letter_path is not None:
+            seen.write.mode("overwrite").parquet(f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}")
+        else:
+            seen.write.format("noop").mode("overwrite").save()
+        metrics.records_rejected += int(obs.get["n"])
+        if flow.error_handler is not None:
+            flow.error_handler(batch)
+
+    queries.append(trigger(bad.writeStream.foreachBatch(write_rejects)
+                           .option("checkpointLocation",
+                                   f"{checkpoint.rstrip('/')}/rejects")).start())
     # progress is kept for the last N batches only: harvest it by batch id
     # while waiting, so a long run still counts every input row
     read_by_batch: dict[int, int] = {}
+    late_by_batch: dict[int, int] = {}
     started = time.monotonic()
 
     def harvest() -> None:
         for p in queries[0].recentProgress:
-            batch = p["batchId"] if isinstance(p, dict) else p.batchId
-            rows = p["numInputRows"] if isinstance(p, dict) else p.numInputRows
-            read_by_batch[int(batch)] = int(rows)
+            p = p if isinstance(p, dict) else json.loads(p.json)
+            read_by_batch[int(p["batchId"])] = int(p["numInputRows"])
+            late_by_batch[int(p["batchId"])] = sum(
+                int(x.get("numRowsDroppedByWatermark", 0)) for x in p.get("stateOperators", []))
 
+    finished = True
     while any(q.isActive for q in queries):
         for q in queries:
             q.awaitTermination(1)
         harvest()
         if timeout_s is not None and time.monotonic() - started > timeout_s:
+            finished = bool(processing_time) or not any(q.isActive for q in queries)
             break
     for q in queries:
         if q.isActive:
@@ -152,7 +165,11 @@ def run_record_streams(spark: SparkSession, sources: Sequence[StreamSource], flo
         if q.exception() is not None:
             raise q.exception()
     harvest()
+    if not finished:
+        raise TimeoutError(f"the input was not read to its end in {timeout_s} s; "
+                           "a rerun on the same checkpoint goes on")
     metrics.records_read = sum(read_by_batch.values())
+    metrics.records_rejected += sum(late_by_batch.values())  # later than the watermark
     metrics.records_filtered = metrics.records_read - metrics.records_rejected \
         - metrics.records_written
     return StreamRun(metrics.finish(), output_path, checkpoint)

@@ -109,12 +109,11 @@ def test_csv_records_multiline_quoted_field(spark, tmp_dir):
     assert scan.rejects.count() == 0
 
 
-def test_record_numbers_same_without_broadcast(spark, tmp_dir, monkeypatch):
-    """Over the size cap the split offsets are joined by a shuffle: same numbers."""
+def test_record_numbers_same_without_broadcast(spark, tmp_dir):
+    """With split offsets joined by a shuffle: same numbers."""
     p = _write(f"{tmp_dir}/n.csv", "k,v\n" + "".join(f"{i},x\n" for i in range(300)))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        monkeypatch.setattr(records, "SPLIT_BROADCAST_BYTES", 0)
         df = records.read_csv_records(spark, p, "s").records
         plan = df._jdf.queryExecution().executedPlan().toString()
         rows = df.select("k", "_row_number").collect()

@@ -188,18 +188,15 @@ def test_compact_selected_partitions(spark, tmp_dir):
     assert len(files["region=0"]) == 1 and set(files) == {"region=0", "region=1", "region=2"}
 
 
-def test_write_table_merge_mode_and_compat(spark, tmp_dir):
-    from strata import compat
+def test_write_table_merge_mode(spark, tmp_dir):
     p = f"{tmp_dir}/wm"
-    compat.write_table(spark.createDataFrame([(1, "a", "EU")], S), p, "overwrite")
-    res = compat.write_table(spark.createDataFrame([(1, "z", "EU")], S), p, "merge", merge_key="id",
+    tables.write_table(spark.createDataFrame([(1, "a", "EU")], S), p, "overwrite")
+    res = tables.write_table(spark.createDataFrame([(1, "z", "EU")], S), p, "merge", merge_key="id",
                              merge_columns=["name"])
     assert res["rows_updated"] == 1
-    assert _rows(compat.read_table(spark, p)) == [(1, "z", "EU")]
+    assert _rows(tables.read_version(spark, p)) == [(1, "z", "EU")]
     with pytest.raises(ValueError):
-        compat.write_table(spark.createDataFrame([(1, "z", "EU")], S), p, "merge")
-    df = spark.createDataFrame([("e", "c", T0), ("e", "c", T1)], "event_id string, c string, event_timestamp timestamp")
-    assert compat.deduplicate_events(df).collect()[0].event_timestamp == T1
+        tables.write_table(spark.createDataFrame([(1, "z", "EU")], S), p, "merge")
 
 
 def test_read_changes(spark, tmp_dir):
