@@ -23,7 +23,7 @@ DEFAULT_CONFIG: dict = {
                    "partition_by": ["region"]},
         "gold": {"path": None, "write_mode": "overwrite", "partition_by": ["event_date"]},
     },
-    "events": {"property_keys": [], "session_key": "session_id"},
+    "events": {"property_keys": ["session_id"], "session_key": "session_id"},
     "segments": {"power_events": 100, "power_types": 5, "active_events": 10},
     "quality": {"fail_on_error": False, "quarantine_path": None, "on_missing": "skip", "checks": []},
 }

@@ -24,15 +24,27 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str] = "event_id",
                    tie_breakers: Sequence[str] = ()) -> DataFrame:
     """Keep the row with the greatest ``order`` per key.
 
-    NULL times sort last; ties are broken by ``tie_breakers``, all descending.
-    All rows with a NULL key form one group, as in a plain window.
+    NULL times sort last; ties are broken by ``tie_breakers``, then by a hash of
+    the whole row, all descending, so the winner does not depend on how rows are
+    spread. All rows with a NULL key form one group, as in a plain window.
     """
     sort: list[Column] = [F.col(order).desc_nulls_last()]
     sort += [F.col(c).desc_nulls_last() for c in tie_breakers]
+    sort.append(row_hash(hashable(df)).desc())
     w = Window.partitionBy(*_keys(key)).orderBy(*sort)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """Columns that take part in a row hash (maps have no hash)."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
+def row_hash(cols: Sequence[str], prefix: str = "") -> Column:
+    """Hash of the given columns: the last tie-breaker between rows."""
+    return F.xxhash64(*[F.col(f"`{prefix}{c}`") for c in cols])
+
+
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """First arrival per key, the key compared as text.
 

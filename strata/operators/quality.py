@@ -128,6 +128,12 @@ class Validation:
     def has_unique(self) -> bool:
         return any(c.rule == "unique" and self.status[c.name] == "ok" for c in self.checks)
 
+    @property
+    def can_remove(self) -> bool:
+        """Whether any check can send rows to quarantine."""
+        return any(c.is_row_check and c.severity == "critical" and self.status[c.name] == "ok"
+                   for c in self.checks)
+
     @property
     def totals(self) -> DataFrame:
         """One row: ``total_rows`` and ``failing_<pos>`` of every active check."""
@@ -285,7 +291,7 @@ class QualityEngine:
         """
         v = self.plan(df, table or source_name)
         counts = None
-        if self.quarantine_path:
+        if self.quarantine_path and v.can_remove:
             obs = Observation(f"quality_{source_name}")
             observed = v.flagged.observe(obs, *v.count_exprs)
             q = (observed.filter(F.col(CHECK_COL).isNotNull())

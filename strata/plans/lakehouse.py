@@ -2,23 +2,22 @@
 
 Bronze: each source is read (declared schema where there is one), names are
 standardized, audit columns added, corrupt JSON lines quarantined, and the
-rows appended. Silver reads only the bronze event versions appended since
-its last run (recorded with each silver version; a rewritten bronze table
-means a full read). Silver: events get their properties parsed, the latest row
-per event id, validation, and are upserted on event id; customers get the
-latest row per id, validation, event metrics (left join), segments, and are
-upserted on customer id, then both tables are compacted (when their files
-are small); events are partitioned by event date and each run merges only
-the dates it brings, so older dates are neither read nor rewritten;
-transactions are
-validated (and deduplicated when a key is set). Gold: the daily summary by
-date, type and region, and customer lifetime value, each a new snapshot.
+rows appended. Silver reads only the bronze event and transaction versions
+appended since its last run (recorded with each silver version; a rewritten
+bronze table means a full read). Events get their properties parsed, the latest
+row per event id, validation, and are upserted on event id: the later event
+time wins, then the later ingestion, then a row hash, so the table does not
+depend on how deliveries were cut; an event whose date was corrected moves.
+Only the dates involved are read and replaced. Transactions are validated and
+appended, or upserted when they have a key. Customers get the latest row per
+id, validation, event metrics (left join), segments, and are upserted on
+customer id in one write. Gold: the daily summary by date, type and region, and
+customer lifetime value, each a new snapshot.
 
 Layers hand over through stored tables, so a failing layer leaves the ones
 before it committed; each table write is one job whose row count is
-observed during the write. A frame that feeds two writes (quarantine and
-table) is persisted (memory and disk, so it spills rather than fails) and
-released once both are done; lost blocks are recomputed from lineage.
+observed during the write. A frame that feeds several writes (quarantine and
+table) is staged once in the shared folder: nothing is kept on the executors.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 from strata.operators.columns import (add_ingestion_metadata, parse_event_properties,
@@ -39,11 +37,15 @@ from strata.operators.summary import daily_summary_by_region
 from strata.schemas import CUSTOMER_SCHEMA, EVENT_SCHEMA, TRANSACTION_COLUMNS, require_columns
 from strata.sinks import tables
 from strata.sinks.files import write_quarantine
-from strata.sources.files import read_source, split_corrupt
+from strata.sources.files import CORRUPT, read_source, split_corrupt
 
 SCHEMAS = {"raw_events": EVENT_SCHEMA, "raw_customers": CUSTOMER_SCHEMA}
 
 
+#: which of two rows of one event is later
+EVENT_ORDER = ("event_timestamp", "_ingested_at")
+
+
 def _path(config: Mapping, layer: str, name: str) -> str:
     root = config["layers"][layer]["path"]
     if not root:
@@ -61,22 +63,21 @@ def run_bronze(spark: SparkSession, config: Mapping,
         raw = read_source(spark, cfg, SCHEMAS.get(name))
         df = add_ingestion_metadata(standardize_columns(raw), name, ingested_at=ingested_at)
         result: dict = {}
-        held = None
         if cfg["format"] == "json":
-            if quarantine:
-                held = df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            df, corrupt = split_corrupt(df)
+            df, corrupt = split_corrupt(df, _corrupt_name(cfg))
             if corrupt is not None and quarantine:
                 result["corrupt"] = write_quarantine(corrupt, quarantine, name)
         parts = [c for c in cfg.get("partition_columns") or [] if c in df.columns]
         result.update(tables.write_table(df, _path(config, "bronze", name),
                                          config["layers"]["bronze"]["write_mode"], parts))
-        if held is not None:
-            held.unpersist()
         metrics[name] = result
     return metrics
 
 
+def _corrupt_name(cfg: Mapping) -> str:
+    return str((cfg.get("read_options") or {}).get("columnNameOfCorruptRecord", CORRUPT))
+
+
 def _engine(config: Mapping, as_of) -> QualityEngine:
     return QualityEngine(config["quality"], as_of=None if as_of is None else str(as_of))
 
@@ -97,25 +98,24 @@ def run_silver(spark: SparkSession, config: Mapping, as_of: str | _dt.date | Non
         metrics["events"] = {"mode": "no new bronze rows", "bronze_version": bronze_v}
     else:
         events = parse_event_properties(events, ev_cfg.get("property_keys", ()))
-        events = latest_per_key(events, silver.get("events_key", "event_id"), "event_timestamp",
-                                tie_breakers=["_ingested_at"]).persist(StorageLevel.MEMORY_AND_DISK)
+        key = silver.get("events_key", "event_id")
+        events = tables.staged(latest_per_key(events, key, EVENT_ORDER[0], EVENT_ORDER[1:]), "silver_events")
         events_valid, events_report = engine.validate(events, "events", table="events")
         ev_parts = [c for c in ev_parts if c in events_valid.columns]
         # keys are unique: latest_per_key just ran on the merge key
-        metrics["events"] = {**tables.merge_upsert(events_valid, events_path,
-                                                   silver.get("events_key", "event_id"),
+        metrics["events"] = {**tables.merge_upsert(events_valid, events_path, key,
                                                    partition_by=ev_parts or None,
                                                    check_unique=False,
                                                    within_partitions=bool(ev_parts),
-                                                   meta={"bronze_version": bronze_v}),
+                                                   meta={"bronze_version": bronze_v},
+                                                   newer=EVENT_ORDER),
                              "quality": events_report, "bronze_version": bronze_v,
                              "full_read": full}
-        events.unpersist()
 
     customers = standardize_columns(
         tables.read_version(spark, _path(config, "bronze", "raw_customers")))
-    customers = latest_per_key(customers, silver["merge_key"], "_ingested_at").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    customers = tables.staged(latest_per_key(customers, silver["merge_key"], "_ingested_at"),
+                              "silver_customers")
     customers_valid, customers_report = engine.validate(customers, "customers", table="customers")
     seg = config.get("segments", {})
     all_events = tables.read_version(spark, events_path) \
@@ -130,27 +130,36 @@ def run_silver(spark: SparkSession, config: Mapping, as_of: str | _dt.date | Non
     else:
         res = tables.write_table(segmented, customers_path, silver["write_mode"],
                                  silver.get("partition_by"))
-    customers.unpersist()
     metrics["customers"] = {**res, "quality": customers_report}
 
-    tx_path = _path(config, "bronze", "raw_transactions")
-    if tables.table_exists(spark, tx_path):
-        tx = tables.read_version(spark, tx_path)
-        require_columns(tx, TRANSACTION_COLUMNS, "transactions")
-        if silver.get("transactions_key"):
-            tx = latest_per_key(tx, silver["transactions_key"], "_ingested_at")
-        tx_valid, tx_report = engine.validate(tx, "transactions", table="transactions")
-        metrics["transactions"] = {
-            **tables.write_table(tx_valid, _path(config, "silver", "transactions"), "overwrite"),
-            "quality": tx_report}
-
-    # partition merges already rebalance their output per date
-    for name in ("customers",) if ev_parts else ("events", "customers"):
-        if name in metrics and tables.table_exists(spark, _path(config, "silver", name)):
-            metrics[name]["compaction"] = tables.compact(spark, _path(config, "silver", name))
+    bronze_tx, tx_path = _path(config, "bronze", "raw_transactions"), _path(config, "silver", "transactions")
+    if tables.table_exists(spark, bronze_tx):
+        metrics["transactions"] = _silver_transactions(spark, silver, engine, bronze_tx, tx_path)
     return metrics
 
 
+def _silver_transactions(spark: SparkSession, silver: Mapping, engine: QualityEngine,
+                         bronze_path: str, path: str) -> dict:
+    """Validates the transactions that bronze got since the last run and adds them."""
+    seen = tables.latest_meta(spark, path).get("bronze_version")
+    tx, bronze_v, full = tables.read_changes(spark, bronze_path, seen)
+    if tx is None:
+        return {"mode": "no new bronze rows", "bronze_version": bronze_v}
+    require_columns(tx, TRANSACTION_COLUMNS, "transactions")
+    key, parts = silver.get("transactions_key"), list(silver.get("transactions_partition_by") or [])
+    if key:
+        tx = latest_per_key(tx, key, "_ingested_at")
+    tx_valid, report = engine.validate(tables.staged(tx, "silver_transactions"), "transactions",
+                                       table="transactions")
+    meta = {"bronze_version": bronze_v}
+    if key:
+        res = tables.merge_upsert(tx_valid, path, key, partition_by=parts or None, check_unique=False,
+                                  within_partitions=bool(parts), meta=meta, newer=["_ingested_at"])
+    else:
+        res = tables.write_table(tx_valid, path, "overwrite" if full else "append", parts or None, meta=meta)
+    return {**res, "quality": report, "bronze_version": bronze_v, "full_read": full}
+
+
 def run_gold(spark: SparkSession, config: Mapping, as_of: str | _dt.date | None = None) -> dict:
     metrics = {}
     gold = config["layers"]["gold"]
@@ -158,7 +167,7 @@ def run_gold(spark: SparkSession, config: Mapping, as_of: str | _dt.date | None
     customers = tables.read_version(spark, _path(config, "silver", "customers"))
     session = config.get("events", {}).get("session_key", "session_id")
     summary = daily_summary_by_region(events, customers.select("customer_id", "region"),
-                                      session_col=session)
+                                      session_col=session, unique=True)
     metrics["daily_summary"] = tables.write_table(
         summary, _path(config, "gold", "daily_summary"), "overwrite", gold.get("partition_by"))
     tx_path = _path(config, "silver", "transactions")

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.dedup import hashable, row_hash
 from strata.session import scratch_path
 
 VERSION_DIR = "strata_version"
@@ -137,6 +138,13 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     return df.select(*names)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in the shared folder and read from there, for several readers."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def latest_meta(spark: SparkSession, path: str) -> dict:
     """The metadata of the newest finished version ({} when there is none)."""
     done = [v for v in versions(spark, path) if v.done]
@@ -229,7 +237,7 @@ def _partitioning(spark: SparkSession, path: str) -> list[str]:
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
                 partition_by: Sequence[str] | None = None, merge_key: str | None = None,
-                merge_columns: Sequence[str] | None = None) -> dict:
+                merge_columns: Sequence[str] | None = None, meta: dict | None = None) -> dict:
     """Append a segment, overwrite with a snapshot, or merge; returns write metrics.
 
     The row count is observed during the write, not by a second scan.
@@ -239,7 +247,7 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
     if mode == "merge":
         if not merge_key:
             raise ValueError("merge_key is required for merge mode")
-        return merge_upsert(df, path, merge_key, merge_columns, partition_by)
+        return merge_upsert(df, path, merge_key, merge_columns, partition_by, meta=meta)
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unsupported write mode {mode!r}: use append, overwrite or merge")
     spark = df.sparkSession
@@ -251,7 +259,7 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
             # one layout per snapshot: mixed folder layouts break partition discovery
             raise ValueError(f"append partitioned by {list(partition_by)}, table by {current}")
     kind = "append" if mode == "append" else "snapshot"
-    res = _write(df, path, kind, partition_by)
+    res = _write(df, path, kind, partition_by, extra_meta=meta)
     return {"rows_written": res["rows_written"], "mode": mode, "path": path,
             "version": res["version"]}
 
@@ -372,8 +380,8 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str,
     joined = salted.join(s_side, cond, "inner" if delete_unmatched else "left")
     hit = F.coalesce(F.col("__s_hit"), F.lit(False))
     if newer:
-        hit = hit & _later([F.col(f"__s_{c}") for c in newer] + [row_hash(t_cols, "__s_")],
-                           [F.col(c) for c in newer] + [row_hash(t_cols)])
+        hit = hit & _later([F.col(f"__s_{c}") for c in newer] + [row_hash(hashable(target), "__s_")],
+                           [F.col(c) for c in newer] + [row_hash(hashable(target))])
     matched = joined.select(
         [F.when(hit, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in update
          else F.col(c) for c in t_cols]
@@ -387,11 +395,6 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str,
     return matched.unionByName(inserted)
 
 
-def row_hash(cols: Sequence[str], prefix: str = "") -> Column:
-    """Hash of all columns: the last tie-breaker between rows."""
-    return F.xxhash64(*[F.col(f"{prefix}{c}") for c in cols])
-
-
 def _later(a: Sequence[Column], b: Sequence[Column]) -> Column:
     """a > b column by column, NULL lowest (never NULL)."""
     out = F.lit(False)

@@ -30,8 +30,10 @@ def test_silver_reads_only_new_bronze_versions(spark, tmp_path):
         "c1,A,B,a@b.co,EU,2020-01-01,active\nc2,C,D,c@d.co,AS,2020-01-01,active\n")
     lake = tmp_path / "lake"
     cfg = load_config(overrides={
-        "sources": {"raw_events": {"path": str(raw / "e1")},
-                    "raw_customers": {"path": str(raw / "c")}},
+        "sources": {"raw_events": {"format": "json", "path": str(raw / "e1"),
+                                   "partition_columns": ["event_date"]},
+                    "raw_customers": {"format": "csv", "path": str(raw / "c")}},
+        "events": {"property_keys": ["session_id"]},
         "layers": {"bronze": {"path": str(lake / "b")}, "silver": {"path": str(lake / "s")},
                    "gold": {"path": str(lake / "g")}},
         "quality": {"quarantine_path": str(lake / "q")}})
@@ -59,3 +61,56 @@ def test_silver_reads_only_new_bronze_versions(spark, tmp_path):
     # nothing new: silver events are left alone
     third = lakehouse.run(spark, cfg, layers=["silver"], as_of="2024-02-01")
     assert third["layers"]["silver"]["events"]["mode"] == "no new bronze rows"
+
+
+def _lake(tmp_path, name, transactions=None):
+    lake = tmp_path / name
+    (tmp_path / "c").mkdir(exist_ok=True)
+    (tmp_path / "c" / "c.csv").write_text("customer_id,first_name,last_name,email,region,signup_date,status\n"
+                                          "c1,A,B,a@b.co,EU,2020-01-01,active\n")
+    return load_config(overrides={
+        "sources": {"raw_events": {"format": "json", "path": None, "partition_columns": ["event_date"]},
+                    "raw_customers": {"format": "csv", "path": str(tmp_path / "c")},
+                    "raw_transactions": {"format": "parquet", "path": transactions}},
+        "layers": {x: {"path": str(lake / x)} for x in ("bronze", "silver", "gold")}})
+
+
+def test_silver_does_not_depend_on_the_cut_of_deliveries(spark, tmp_path):
+    rows = [_ev(1, "c1", "2024-01-01T12:00:00", "newer"), _ev(1, "c1", "2024-01-01T10:00:00", "stale"),
+            _ev(2, "c1", "2024-01-01T10:00:00"), _ev(2, "c1", "2024-01-03T10:00:00", "moved"),
+            {**_ev(3, "c1", "2024-01-02T10:00:00"), "event_date": None}, _ev(4, "c1", "2024-01-02T09:00:00", "x"),
+            _ev(4, "c1", "2024-01-02T09:00:00", "y"), _ev(5, "c1", "2024-01-02T08:00:00")]
+    results = []
+    for n, cut in enumerate(([rows], [rows[:1], rows[1:]], [rows[::2], rows[1::2]], [rows[1::2], rows[::2]])):
+        cfg = _lake(tmp_path, f"lake{n}")
+        for k, part in enumerate(cut):
+            folder = tmp_path / f"e{n}-{k}"
+            folder.mkdir()
+            _events(folder / "a.json", part)
+            cfg["sources"]["raw_events"]["path"] = str(folder)
+            assert lakehouse.run(spark, cfg, as_of="2024-02-01",
+                                 ingested_at="2024-01-09 00:00:00")["status"] == "success"
+        silver = tables.read_version(spark, cfg["layers"]["silver"]["path"] + "/events")
+        results.append(sorted((r.event_id, r.event_type, r.event_date or "") for r in silver.collect()))
+    assert all(r == results[0] for r in results)
+    assert results[0][0] == ("1", "newer", "2024-01-01") and results[0][1] == ("2", "moved", "2024-01-03")
+    assert [r[0] for r in results[0]] == ["1", "2", "3", "4", "5"]
+
+
+def test_transactions_are_read_once(spark, tmp_path):
+    src = str(tmp_path / "tx")
+    schema = "txn_id string, customer_id string, amount double, txn_date date, status string"
+    cfg = _lake(tmp_path, "lake", src)
+    (tmp_path / "e").mkdir()
+    _events(tmp_path / "e" / "a.json", [_ev(1, "c1", "2024-01-01T12:00:00")])
+    cfg["sources"]["raw_events"]["path"] = str(tmp_path / "e")
+    for day, full in ((1, True), (2, False)):
+        spark.createDataFrame([(f"t{day}", "c1", 0.004, None, "F")] * 3, schema).write.mode("overwrite").parquet(src)
+        res = lakehouse.run(spark, cfg, as_of="2024-02-01")["layers"]["silver"]["transactions"]
+        assert (res["rows_written"], res["full_read"]) == (3, full)
+    silver = tables.read_version(spark, cfg["layers"]["silver"]["path"] + "/transactions")
+    assert silver.count() == 6
+    clv = tables.read_version(spark, cfg["layers"]["gold"]["path"] + "/customer_clv").first()
+    assert abs(clv.lifetime_spend - 0.024) < 1e-12 and clv.transaction_count == 6
+    again = lakehouse.run(spark, cfg, ["silver"])["layers"]["silver"]["transactions"]
+    assert again["mode"] == "no new bronze rows"
