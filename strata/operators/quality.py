@@ -25,7 +25,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,13 +153,9 @@ class Validation:
                 F.lit(None).cast("long"))))).filter(F.lit(False))
         return self.totals.select(F.inline(F.array(*rows)))
 
-    def report(self, counts: Mapping[str, int] | None = None) -> list[dict]:
-        """The report as dicts in check order. With ``counts`` (observed row-check
-        counts) only the unique checks, if any, read the input."""
-        if counts is None:
-            counts = self.totals.first().asDict()
-        elif self.duplicates:
-            counts = {**counts, **_one_row(self.duplicates).first().asDict()}
+    def report(self) -> list[dict]:
+        """The report as dicts in check order."""
+        counts = self.totals.first().asDict()
         total = int(counts["total_rows"])
         out = []
         for pos, chk in enumerate(self.checks, start=1):
@@ -285,22 +281,14 @@ class QualityEngine:
                  table: str | None = None) -> tuple[DataFrame, list[dict]]:
         """Run the checks; write quarantined rows; maybe raise; return clean rows.
 
-        With a quarantine path the row-check counts are observed during the
-        quarantine write (one scan for both, rebalanced by check so that few
-        rows make few files); only unique checks read the input again.
+        The report reads the columns of the checks; the quarantine write is a
+        scan of its own, rebalanced by check so that few rows make few files.
         """
         v = self.plan(df, table or source_name)
-        counts = None
         if self.quarantine_path and v.can_remove:
-            obs = Observation(f"quality_{source_name}")
-            observed = v.flagged.observe(obs, *v.count_exprs)
-            q = (observed.filter(F.col(CHECK_COL).isNotNull())
-                 .drop(*[c for c in observed.columns if c.startswith("__q")])
-                 .withColumn(QUARANTINE_TS, F.current_timestamp()))
-            (q.hint("rebalance", CHECK_COL).write.mode("append").partitionBy(CHECK_COL)
+            (v.quarantine.hint("rebalance", CHECK_COL).write.mode("append").partitionBy(CHECK_COL)
              .parquet(f"{str(self.quarantine_path).rstrip('/')}/{source_name}/"))
-            counts = obs.get
-        report = v.report(counts)
+        report = v.report()
         failed = [r for r in report if r["severity"] == "critical" and r["failing_rows"]]
         if failed and self.fail_on_error:
             raise DataQualityError("critical checks with failing rows: " + ", ".join(r["check"] for r in failed), report)

@@ -24,13 +24,13 @@ def with_region(events: DataFrame, customers: DataFrame, key: str = "customer_id
 
 def build_daily_summary(events: DataFrame, ts_col: str = "event_timestamp",
                         key: str = "customer_id", session_col: str = "session_id",
-                        approx: bool = False, sort: bool = False) -> DataFrame:
+                        approx: bool = False, sort: bool = False, rsd: float = 0.05) -> DataFrame:
     """Per (event_date, event_type, region): events, distinct customers and sessions.
 
     ``approx`` swaps the exact distinct counts for HyperLogLog sketches (no
-    Expand, one pass). No global sort unless ``sort`` is set.
+    Expand, one pass) with standard error ``rsd``. No global sort unless ``sort`` is set.
     """
-    distinct = F.approx_count_distinct if approx else F.countDistinct
+    distinct = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.countDistinct
     out = (
         events.withColumn("event_date", F.to_date(F.col(ts_col)))
         .groupBy("event_date", "event_type", "region")

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from strata import datasets as ds
 
-FILES = 4
-
-
 def event_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``value`` column: a JSON line per event; each ``error`` event also
     yields a truncated line, each ``signup`` event a ``{}`` and a blank line."""
