@@ -9,10 +9,10 @@ wins only if it scores more. A character that is no piece is spelled with byte
 pieces at a penalty below every score. The word mark U+2581 inside a text is
 spelled too, so that decoding gives exactly the text.
 
-Texts are cut before each run of spaces that follows another character and
-around newlines, where the model's pieces never cross (checked when it is
-loaded; otherwise nothing is cut); so the best pieces of each part are found
-alone, and parts seen before are looked up.
+Texts are cut between every two characters that stand side by side in no piece:
+no piece can cross there, so the best pieces of each part are found alone, and
+parts seen before are looked up (a bounded memory that a worker keeps from task
+to task).
 
 Null text gives null ids, empty text no ids. Decoding is total: ids outside the
 vocabulary and control pieces give nothing, invalid UTF-8 the replacement
@@ -21,7 +21,7 @@ character.
 
 from __future__ import annotations
 
-import re
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.columns import text_column
+from strata.llm.columns import rows_to_struct, text_column
 
 MARK = "▁"
 
@@ -41,7 +41,6 @@ class Model:
     pieces: list[tuple[str, float, int]]
     spell: list[int]
     bytes_of: list[bytes]
-    parts: str | None
 
     @property
     def penalty(self) -> float:
@@ -68,51 +67,75 @@ def load_model(path: str) -> Model:
             bytes_of.append(plain.encode())
     if min(spell) < 0:
         raise ValueError("the model has no byte pieces")
-    crossing = any(re.search(r"[^ ] |\n", p) for p, _, _ in pieces)
-    return Model(pieces, spell, bytes_of, None if crossing else r" *[^ \n]+|\n| +")
+    return Model(pieces, spell, bytes_of)
 
 
 class Encoder:
     """Best pieces of texts, with a bounded memory of parts seen."""
 
-    def __init__(self, model: Model, remember: int = 1 << 19):
+    def __init__(self, model: Model, remember: int = 1 << 18, cut: bool = True):
         import ahocorasick
 
         self.machine = ahocorasick.Automaton()
         for piece, score, i in model.pieces:
-            self.machine.add_word(piece, (len(piece), score, i))
+            self.machine.add_word(piece, (len(piece) - 1, score, i))
         self.machine.make_automaton()
         self.single = {p for p, _, _ in model.pieces if len(p) == 1}
-        self.model, self.penalty, self.remember = model, model.penalty, remember
-        self.parts = re.compile(model.parts).findall if model.parts else lambda s: [s]
+        self.model, self.penalty, self.remember, self.cut = model, model.penalty, remember, cut
         self.memo: dict[str, bytes] = {}
+        # characters of longer pieces get a class; joined: the pairs that stand side by side in one
+        longer = [p for p, _, _ in model.pieces if len(p) > 1]
+        chars = sorted(set("".join(longer)))
+        self.kind = np.zeros(0x110000, np.uint16)
+        self.kind[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        kinds = [self._kinds(p) for p in longer]
+        self.joined[np.concatenate([k[:-1] for k in kinds] or [np.zeros(0, int)]),
+                    np.concatenate([k[1:] for k in kinds] or [np.zeros(0, int)])] = True
+
+    def _kinds(self, text: str) -> np.ndarray:
+        return self.kind[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+
+    def parts(self, text: str) -> list[str]:
+        if not self.cut:
+            return [text]
+        k = self._kinds(text)
+        at = [0, *(np.flatnonzero(~self.joined[k[:-1], k[1:]]) + 1).tolist(), len(text)]
+        return [text[a:b] for a, b in zip(at, at[1:])]
 
     def best(self, part: str) -> bytes:
         """The ids of one part, as int32 bytes."""
         n = len(part)
-        score, back = [0.0] + [-np.inf] * n, [(0, -1)] * (n + 1)
+        low = float("-inf")
+        score, start, piece = [0.0] + [low] * n, [0] * (n + 1), [-1] * (n + 1)
+        spelled = not self.single.issuperset(part)
         at = 0
-
-        def spell_to(stop: int) -> None:
-            nonlocal at
-            while at < stop:  # characters without a piece of their own
-                at += 1
-                if part[at - 1] not in self.single and score[at - 1] + self.penalty > score[at]:
-                    score[at], back[at] = score[at - 1] + self.penalty, (at - 1, -1)
-
-        for last, (size, gain, i) in self.machine.iter(part):
-            spell_to(last)
-            value = score[last + 1 - size] + gain
+        for last, (less, gain, i) in self.machine.iter(part):
+            if spelled and at < last:
+                at = self._spell(part, score, start, at, last)
+            value = score[last - less] + gain
             if value > score[last + 1]:
-                score[last + 1], back[last + 1] = value, (last + 1 - size, i)
-        spell_to(n)
+                score[last + 1], start[last + 1], piece[last + 1] = value, last - less, i
+        if spelled:
+            self._spell(part, score, start, at, n)
         ids: list[int] = []
         while n:
-            before, i = back[n]
-            ids.extend([i] if i >= 0 else [self.model.spell[b] for b in reversed(part[before:n].encode())])
+            before, i = start[n], piece[n]
+            if i >= 0:
+                ids.append(i)
+            else:
+                ids.extend(self.model.spell[b] for b in reversed(part[before:n].encode()))
             n = before
         return np.array(ids[::-1], np.int32).tobytes()
 
+    def _spell(self, part: str, score: list, start: list, at: int, stop: int) -> int:
+        """Characters up to ``stop`` without a piece of their own."""
+        while at < stop:
+            at += 1
+            if part[at - 1] not in self.single and score[at - 1] + self.penalty > score[at]:
+                score[at], start[at] = score[at - 1] + self.penalty, at - 1
+        return at
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -133,6 +156,29 @@ class Encoder:
         return b"".join(found)
 
 
+#: the encoder of the last model used by this worker, by its name
+_KEPT: dict[str, Encoder] = {}
+
+
+def _encoder(shared) -> Encoder:
+    if shared.name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[shared.name] = Encoder(shared.model)
+    return _KEPT[shared.name]
+
+
+@dataclass
+class _Shared:
+    """A model under a name of its own."""
+
+    name: str
+    model: Model
+
+
+def _share(spark: SparkSession, model: Model):
+    return spark.sparkContext.broadcast(_Shared(uuid.uuid4().hex, model))
+
+
 def _list_array(parts: list[bytes | None]) -> pa.Array:
     sizes = np.array([len(p) // 4 if p is not None else 0 for p in parts], np.int64)
     offsets = np.zeros(len(parts) + 1, np.int32)
@@ -144,10 +190,10 @@ def _list_array(parts: list[bytes | None]) -> pa.Array:
 
 def ids_column(spark: SparkSession, text: Column, model: Model) -> Column:
     """array<int> of piece ids."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = _share(spark, model)
 
     def make():
-        encoder = Encoder(shared.value)
+        encoder = _encoder(shared.value)
         return lambda column: _list_array(
             [encoder.encode(t.as_py()) if t.is_valid else None for t in column])
 
@@ -156,7 +202,9 @@ def ids_column(spark: SparkSession, text: Column, model: Model) -> Column:
 
 def decode_bytes(bytes_of: list[bytes], ids: list[int]) -> str:
     n = len(bytes_of)
-    flat = b"".join([bytes_of[i] if 0 <= i < n else b"" for i in ids])
+    if ids and (min(ids) < 0 or max(ids) >= n):
+        ids = [i for i in ids if 0 <= i < n]
+    flat = b"".join(map(bytes_of.__getitem__, ids))
     return flat.decode("utf-8", "replace").removeprefix(" ")
 
 
@@ -170,9 +218,9 @@ def text_of_ids(spark: SparkSession, ids: Column, model: Model) -> Column:
         def one(column: pa.Array) -> pa.Array:
             if not len(column):
                 return pa.array([], pa.string())
-            flat, cut = column.values.to_pylist(), column.offsets.to_pylist()
+            flat, cut = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
             valid = column.is_valid().to_pylist()
-            return pa.array([decode_bytes(bytes_of, flat[a:b]) if v else None
+            return pa.array([decode_bytes(bytes_of, flat[a:b].tolist()) if v else None
                              for a, b, v in zip(cut, cut[1:], valid)], pa.string())
 
         return one
@@ -180,14 +228,33 @@ def text_of_ids(spark: SparkSession, ids: Column, model: Model) -> Column:
     return text_column(ids, "string", make)
 
 
-def encode_decode_columns(spark: SparkSession, text: Column, model: Model):
-    """(ids of ``text``, function from an ids column to its text)."""
-    return ids_column(spark, text, model), lambda ids: text_of_ids(spark, ids, model)
+_CODED = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+
+def coded_column(spark: SparkSession, text: Column, model: Model) -> Column:
+    """Struct (ids, decoded): a text's ids and the text decoded from them, in one worker."""
+    shared = _share(spark, model)
+
+    def make():
+        encoder, bytes_of = _encoder(shared.value), shared.value.model.bytes_of
+
+        def one(column: pa.Array) -> pa.Array:
+            ids, decoded = [], []
+            for t in column:
+                packed = encoder.encode(t.as_py()) if t.is_valid else None
+                ids.append(packed)
+                decoded.append(None if packed is None else
+                               decode_bytes(bytes_of, np.frombuffer(packed, np.int32).tolist()))
+            return rows_to_struct(_CODED, {"ids": _list_array(ids), "decoded": decoded})
+
+        return one
+
+    return text_column(text, "struct<ids: array<int>, decoded: string>", make)
 
 
 def encode_decode(docs, model: Model, id_col: str = "doc_id", text_col: str = "text"):
     """(doc_id, ids, n_tokens, decoded) per row of ``docs``; no tokens for null."""
-    ids, decode = encode_decode_columns(docs.sparkSession, F.col(text_col), model)
-    coded = docs.select(F.col(id_col), ids.alias("ids"))
-    return coded.select(F.col(id_col), "ids", F.coalesce(F.array_size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
-                        decode(F.col("ids")).alias("decoded"))
+    coded = docs.select(F.col(id_col), coded_column(docs.sparkSession, F.col(text_col), model).alias("x"))
+    return coded.select(F.col(id_col), F.col("x.ids").alias("ids"),
+                        F.coalesce(F.array_size("x.ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                        F.col("x.decoded").alias("decoded"))

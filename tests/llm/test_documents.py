@@ -134,7 +134,7 @@ def test_pieces_are_optimal_and_return(spark):
             odd = sum(c not in single for c in " " + t)
             value = sum(scores[i] for i in r.ids if i not in spelled) + odd * model.penalty
             assert value == pytest.approx(best_score(model, t))
-    uncut = pieces.Encoder(pieces.Model(model.pieces, model.spell, model.bytes_of, None))
+    uncut = pieces.Encoder(model, cut=False)
     cut = pieces.Encoder(model)
     assert all(uncut.encode(t) == cut.encode(t) for t in texts)
 
