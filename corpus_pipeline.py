@@ -29,7 +29,7 @@ from strata.llm import langid
 from strata.llm.decontaminate import leak_column
 from strata.llm.jaccard_join import jaccard_components
 from strata.llm.line_dedup import dedup_lines
-from strata.llm.pieces import encode_decode_columns, load_model
+from strata.llm.pieces import coded_column, load_model
 from strata.llm.queries import PIECE_MODEL
 from strata.llm.store import broadcast_if_small, written
 
@@ -75,11 +75,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids, decoded = encode_decode_columns(spark, F.col("text"), load_model(PIECE_MODEL))
-    coded = docs.select("doc_id", "text", ids.alias("ids"))
-    coded = coded.select("doc_id", "text", "ids", decoded(F.col("ids")).alias("decoded"))
-    return coded.select("doc_id", F.coalesce(F.array_size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids",
-                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = docs.select("doc_id", "text", coded_column(spark, F.col("text"), load_model(PIECE_MODEL)).alias("x"))
+    return coded.select("doc_id", F.coalesce(F.array_size("x.ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                        F.col("x.ids").alias("ids"),
+                        F.col("x.decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
 STAGES = [
