@@ -155,7 +155,7 @@ def _unpack(packed: bytes) -> np.ndarray:
 _EXCHANGE = "key int, chunk long, shared boolean, rows binary, tokens binary"
 _EXCHANGE_SCHEMA = pa.schema([("key", pa.int32()), ("chunk", pa.int64()), ("shared", pa.bool_()),
                               ("rows", pa.binary()), ("tokens", pa.binary())])
-_CHUNK_TOKENS, _CHUNK_ROWS = 1 << 21, 65_000
+_CHUNK_TOKENS, _CHUNK_ROWS = 1 << 20, 65_000
 
 
 def _token_ranges(k: int, range_bits: int):
@@ -481,7 +481,7 @@ def _block_links(percent: int):
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                        k: int = 5, percent: int = 75, width: int = 1 << 20,
                        range_tokens: int = 1 << 19,
-                       block_tokens: int = 1 << 20, block_members: int = 4096) -> DataFrame:
+                       block_tokens: int = 1 << 18, block_members: int = 1024) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``.
 
     ``width`` (a power of two) is the size of the count array, 8 bytes each:

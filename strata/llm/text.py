@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 
 #: bytes of text worked on at once
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: bytes hashed at once
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 _MULT = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
