@@ -154,6 +154,27 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+OP10_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (
+  SELECT x, y FROM shared JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+  WHERE 100 * k >= 75 * (p.n + q.n - k)),
+reach AS (SELECT doc_id, doc_id AS r FROM doc
+          UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON reach.r = link.x)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -171,4 +192,5 @@ ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op8_warc": OP8_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op10_jaccard_join": OP10_SQL,
 }
