@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import text as tx
 from strata.llm.columns import rows_to_struct, text_column
+from strata.llm.store import broadcast_if_small, written
 
 #: bytes of a word read in one go
 WIDTH = 32
@@ -247,12 +248,17 @@ def is_held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, *, sample_docs: int = 400, sample_chars: int = 4000) -> BiGru | None:
     """The network for ``docs`` (doc_id, text, lang); None where nothing can be learned."""
     rank = F.xxhash64(F.col("doc_id"), F.lit(11))
-    start = F.lit(1) + F.pmod(rank, F.greatest(F.lit(1), F.length("text") - sample_chars)).cast("int")
-    rows = (docs.filter(~is_held_out(F.col("doc_id"))).filter("lang is not null").filter(F.col("text").rlike(r"\p{L}"))
-            .select("lang", rank.alias("rank"), F.col("text").substr(start, F.lit(sample_chars)).alias("part")))
-    first = W.partitionBy("lang").orderBy("rank", "part")
-    rows = (rows.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= sample_docs)
-            .orderBy("lang", "k").collect())
+    known = (docs.filter(~is_held_out(F.col("doc_id"))).filter("lang is not null")
+             .filter(F.col("text").rlike(r"\p{L}")))
+    # first the ids alone; then the texts of those few
+    first = W.partitionBy("lang").orderBy("rank")
+    top = (known.select("lang", rank.alias("rank")).distinct()
+           .withColumn("k", F.row_number().over(first)).filter(F.col("k") <= sample_docs))
+    start = F.lit(1) + F.pmod(F.col("rank"), F.greatest(F.lit(1), F.length("text") - sample_chars)).cast("int")
+    rows = (known.select("lang", rank.alias("rank"), "text")
+            .join(broadcast_if_small(written(top, "languages")), ["lang", "rank"])
+            .select("lang", "k", F.col("text").substr(start, F.lit(sample_chars)).alias("part"))
+            .orderBy("lang", "k", "part").collect())
     return train([r.part for r in rows], [r.lang for r in rows]) if rows else None
 
 
