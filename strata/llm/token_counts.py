@@ -1,8 +1,11 @@
 """Token counts: the exact histogram of encoded lengths and what follows from it.
 
 Each text's length in byte-level BPE tokens is exact: a text is cut where white
-space follows another character, where no token of the split pattern can cross,
-and each distinct part is encoded once per task. Documents are aggregated by
+space follows another character and where an ASCII symbol follows an ASCII
+letter, where no match of the split pattern can cross (runs of letters, of
+digits, of other signs, each with one space before it at most, contractions that
+start at their apostrophe, and white space), and each distinct part is encoded
+once per task. Documents are aggregated by
 length; suffix sums over the histogram answer, for every context limit, the
 documents and tokens beyond it, the total after truncation and the quantile.
 
@@ -31,9 +34,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
 
 
+_ASCII_LETTER = tx.byte_class(bytes(range(65, 91)) + bytes(range(97, 123)))
+_ASCII_SYMBOL = tx.NOT_SPACE & ~tx.ALNUM & ~_ASCII_LETTER
+
+
 def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where parts of texts start: at each text and where ASCII white space follows a character
-    that is no white space (three-byte characters of E1-E3 and C2 85, C2 A0 count as if they were)."""
+    """Where parts of texts start: at each text, where an ASCII symbol follows an ASCII letter, and
+    where ASCII white space follows a character that is none (three-byte characters of E1-E3 and
+    C2 85, C2 A0 count as white space here)."""
     space = tx.SPACES[data]
     cut = np.zeros(len(data), bool)
     cut[1:] = space[1:] & ~space[:-1]
@@ -41,6 +49,7 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     two, three = data[np.maximum(i - 2, 0)], data[np.maximum(i - 3, 0)]
     doubt = ((two == 0xC2) & np.isin(data[i - 1], (0x85, 0xA0))) | ((three >= 0xE1) & (three <= 0xE3))
     cut[i[doubt]] = False
+    cut[1:] |= _ASCII_SYMBOL[data[1:]] & _ASCII_LETTER[data[:-1]]
     cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     return np.flatnonzero(cut)
 
@@ -63,9 +72,9 @@ def length_column(spark: SparkSession, text: Column, ranks: dict[bytes, int], pa
                 keys = tx.span_hashes(data, starts, ends)
 
                 def encode(index):
-                    parts = [data[a:b].tobytes().decode() for a, b in zip(starts[index], ends[index])]
-                    return np.array([len(x) for x in coder.encode_ordinary_batch(parts, num_threads=1)],
-                                    np.int64).reshape(-1, 1)
+                    text, count = data.tobytes(), coder.encode_ordinary
+                    return np.array([len(count(text[a:b].decode())) for a, b in
+                                     zip(starts[index].tolist(), ends[index].tolist())], np.int64).reshape(-1, 1)
 
                 run = np.zeros(len(starts) + 1, np.int64)
                 np.cumsum(memo.values(keys, encode)[:, 0], out=run[1:])
