@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from strata.llm import text as tx
 from strata.llm.store import written
 
-#: components of a fingerprint, 32 bits each
+#: components of a fingerprint, 16 bits each (of minima of 32 bits)
 SIZE = 64
 _LEVELS = 24
 _SCALE = ((tx.mix(np.arange(1, SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -109,7 +109,7 @@ def names_by_level(data: np.ndarray, offsets: np.ndarray):
 
 
 def sketches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(rows, SIZE) sketch of each row; all ones for an empty one."""
+    """(rows, SIZE) 16-bit sketch of each row; all ones for an empty one."""
     n = len(offsets) - 1
     out = np.full((n, SIZE), 0xFFFFFFFF, np.uint32)
     done = np.zeros(n, bool)
@@ -134,13 +134,15 @@ def sketches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if len(rest):
             whole = tx.span_hashes(data, offsets[rest], offsets[rest + 1])
             out[rest] = (whole >> np.uint64(32)).astype(np.uint32)[:, None] * _SCALE[None, :]
-    return out
+    folded = (out ^ (out >> np.uint32(16))).astype(np.uint16)  # minima are small: all bits count
+    folded[np.diff(offsets) == 0] = 0xFFFF
+    return folded
 
 
 def sketch_texts(texts: list[str], chunk: int = 1 << 20) -> np.ndarray:
     """Sketches of texts, about ``chunk`` bytes at a time."""
     coded = [t.encode() for t in texts]
-    out, lo = [np.zeros((0, SIZE), np.uint32)], 0
+    out, lo = [np.zeros((0, SIZE), np.uint16)], 0
     while lo < len(coded):
         hi, size = lo, 0
         while hi < len(coded) and (hi == lo or size + len(coded[hi]) <= chunk):
@@ -152,13 +154,17 @@ def sketch_texts(texts: list[str], chunk: int = 1 << 20) -> np.ndarray:
     return np.concatenate(out)
 
 
+def packed(sketch: np.ndarray) -> bytes:
+    return sketch.astype(">u2").tobytes()
+
+
 def fingerprint(sketch: np.ndarray) -> str:
-    return sketch.astype(">u4").tobytes().hex()
+    return packed(sketch).hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Share of equal components; an empty text is like an empty one only."""
-    none_a, none_b = (a == 0xFFFFFFFF).all(-1), (b == 0xFFFFFFFF).all(-1)
+    none_a, none_b = (a == 0xFFFF).all(-1), (b == 0xFFFF).all(-1)
     return np.where(none_a | none_b, (none_a & none_b).astype(np.float64), (a == b).mean(-1))
 
 
@@ -167,10 +173,11 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-_RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+#: hashes as bytes until the end: half the size on disk
+_RESULT = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
            "near_edited double, near_next double")
-_FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-           ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+_FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.binary()),
+           ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
            ("near_edited", pa.float64()), ("near_next", pa.float64())]
 #: rows with a part are the first or last document of a range
 _EDGE = _RESULT + ", part int, last boolean, text string"
@@ -182,9 +189,9 @@ def compare(ids: list, texts: list[str], following: list[str], own: np.ndarray,
     edits = [edited(t, f) for t, f in zip(texts, following)]
     changed = sketch_texts(edits)
     return {"doc_id": ids, "n_chars": [len(t) for t in texts],
-            "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in edits],
-            "fingerprint": [fingerprint(s) for s in own],
-            "edited_fingerprint": [fingerprint(s) for s in changed],
+            "edited_sha256": [hashlib.sha256(t.encode()).digest() for t in edits],
+            "fingerprint": [packed(s) for s in own],
+            "edited_fingerprint": [packed(s) for s in changed],
             "near_edited": likeness(own, changed), "near_next": likeness(own, after)}
 
 
@@ -239,4 +246,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     firsts = ends.filter(~F.col("last")).select(F.col("part").alias("next"), F.col("text").alias("after"))
     edges = (ends.filter("last").select("part", F.col("doc_id").alias("id"), "text").join(follow, "part")
              .join(firsts, "next").select("id", "text", "after"))
-    return done.unionByName(edges.mapInArrow(_pairs, _RESULT))
+    hashes = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return (done.unionByName(edges.mapInArrow(_pairs, _RESULT))
+            .withColumns({c: F.lower(F.hex(c)) for c in hashes}))
