@@ -8,12 +8,24 @@ at least t/(2-t) a of its own bigrams occur in any template: these bounds
 leave few units and templates to compare in full. One row per unit whose likest
 template is at or above t, with offsets (code points) in the original text.
 
+With ``windows`` also runs of words count that are no unit: any run within one
+text, across lines and paragraphs or inside a line, of two words up to (2-t)/t
+times the template's words. A run at or above t has at least t/(2-t) of the
+template's bigrams, so only stretches as dense as that are searched, but these
+exactly: for each last word the first word with the largest 2 * shared - t * own
+bigrams. Of overlapping runs the one with the most shared bigrams, less half of
+those that only one side has, is reported; the gaps are searched again. A run
+inside a unit reported for its licence adds nothing and is left out.
+
 A text of one word has one "bigram", the word. Null, empty and wordless texts
 match nothing; repeated rows are reported each. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -116,13 +128,14 @@ def _unit_bigrams(hashes: np.ndarray, pairs: np.ndarray, a: int, b: int) -> np.n
     return pairs[a:b - 1] if b - a > 1 else tx.mix(hashes[a:b])
 
 
-def _templates(templates: dict[str, list[str]]) -> list[tuple[str, frozenset[int]]]:
+def _templates(templates: dict[str, list[str]]) -> list[tuple[str, frozenset[int], int]]:
+    """(name, bigrams, words) of each template."""
     out = []
     for name, texts in templates.items():
         for t in texts:
             data = np.frombuffer(t.encode(), np.uint8)
             _, _, hashes, _ = tx.words(data, np.array([0, len(data)]), tx.ALNUM)
-            out.append((name, frozenset(_unit_bigrams(hashes, bigrams(hashes), 0, len(hashes)).tolist())))
+            out.append((name, frozenset(_unit_bigrams(hashes, bigrams(hashes), 0, len(hashes)).tolist()), len(hashes)))
     return out
 
 
@@ -145,24 +158,127 @@ def _units(data: np.ndarray, offsets: np.ndarray):
         held = a
 
 
-def match_column(text: Column, templates: dict[str, list[str]], threshold: float = 0.8) -> Column:
+def _best_runs(pairs: np.ndarray, mine: np.ndarray, longest: int, usual: int, m: int,
+               t: float) -> Iterator[tuple[float, int, int, float]]:
+    """(weight, first, last, dice) for each last bigram that ends a run at or above t.
+
+    ``mine`` tells which bigrams the template of m distinct bigrams has, ``longest`` bounds a run's bigrams;
+    of first bigrams that are as good (where bigrams repeat) the run nearest to ``usual`` bigrams counts.
+    """
+    n = len(pairs)
+    order = np.argsort(pairs, kind="stable")
+    before = np.full(n, -1)  # the last place of the same bigram: it counts for runs that start after it
+    same = pairs[order[1:]] == pairs[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    gain = np.zeros(n)
+    for e, (last, ours) in enumerate(zip(before.tolist(), mine.tolist())):
+        lo = max(0, e - longest + 1)
+        gain[max(last + 1, lo):e + 1] += 2 - t if ours else -t
+        if not ours:  # a run that ends here is no better than without its last word
+            continue
+        back = gain[lo:e + 1][::-1]
+        most = back.max()
+        if most < t * m - 1e-6:
+            continue
+        ties = np.flatnonzero(back > most - 1e-6)
+        s = e - int(ties[np.abs(ties + 1 - usual).argmin()])
+        new = before[s:e + 1] < s
+        own, shared = int(np.count_nonzero(new)), int(np.count_nonzero(new & mine[s:e + 1]))
+        dice = 2 * shared / (own + m)
+        if dice >= t:
+            yield 2 * shared - (own + m) / 2, s, e, dice
+
+
+def _dense(at: np.ndarray, row: np.ndarray, need: int, longest: int) -> Iterator[tuple[int, int, int]]:
+    """(row, first, last): stretches of bigrams ``at`` where ``need`` stand within ``longest``."""
+    if len(at) < need:
+        return
+    a, z = at[:len(at) - need + 1], at[need - 1:]
+    keep = (z - a < longest) & (row[:len(a)] == row[need - 1:])
+    a, z, r = a[keep], z[keep], row[:len(keep)][keep]
+    if not len(a):
+        return
+    cut = np.flatnonzero((a[1:] > z[:-1]) | (r[1:] != r[:-1])) + 1
+    yield from zip(r[np.append(0, cut)].tolist(), a[np.append(0, cut)].tolist(),
+                   z[np.append(cut - 1, len(z) - 1)].tolist())
+
+
+def _windows(pairs: np.ndarray, at: np.ndarray, hit: np.ndarray, row: np.ndarray, member: np.ndarray,
+             named: list[tuple[str, frozenset[int], int]], t: float) -> Iterator[tuple[int, int, int, str, float]]:
+    """(row, first word, last word + 1, licence, dice): runs of words at or above t that do not overlap.
+
+    ``hit`` are the bigrams within rows that any template has, ``at`` their columns in ``member``.
+    """
+    low, high = t / (2 - t), (2 - t) / t
+    todo: dict[int, list[tuple[int, int, int]]] = {}
+    places = []
+    for k, (_, other, length) in enumerate(named):
+        mine = hit[member[k, at]]
+        places.append(mine)
+        need = max(1, int(np.ceil(low * len(other) - 1e-9)))
+        for r, a, z in _dense(mine, row[mine], need, int(high * length) - 1):
+            todo.setdefault(r, []).append((k, a, z))
+    for r, stretches in todo.items():
+        taken: list[tuple[int, int]] = []
+        while stretches:
+            runs = []
+            for k, a, z in stretches:
+                name, other, length = named[k]
+                mine = np.zeros(z - a + 1, bool)
+                lo, hi = np.searchsorted(places[k], [a, z + 1])
+                mine[places[k][lo:hi] - a] = True
+                runs += [(-w, abs(e - s + 2 - length), a + s, a + e + 2, name, dice) for w, s, e, dice
+                         in _best_runs(pairs[a:z + 1], mine, int(high * length) - 1, length - 1, len(other), t)]
+            found = False
+            for _, _, a, z, name, dice in sorted(runs):
+                i = bisect_left(taken, (a, z))
+                if (i and taken[i - 1][1] > a) or (i < len(taken) and taken[i][0] < z):
+                    continue
+                insort(taken, (a, z))
+                found = True
+                yield r, a, z, name, dice
+            left = []
+            for k, a, z in stretches if found else []:
+                inside = taken[max(bisect_left(taken, (a, 0)) - 1, 0):bisect_left(taken, (z + 2, 0))]
+                if not any(x < z + 2 and y > a for x, y in inside):
+                    continue  # searched in full, and nothing found
+                need = low * len(named[k][1]) - 1e-9
+                for x, y in zip([a, *(y for _, y in inside)], [*(x for x, _ in inside), z + 2]):
+                    lo, hi = np.searchsorted(places[k], [max(a, x), y - 1])
+                    if hi - lo >= max(need, 1):
+                        left.append((k, int(places[k][lo]), int(places[k][hi - 1])))
+            stretches = left
+
+
+def match_column(text: Column, templates: dict[str, list[str]], threshold: float = 0.8,
+                 windows: bool = False) -> Column:
     """array of matches (licence, unit, start, end, dice), sorted by start and unit."""
-    named = _templates(templates)
+    full = _templates(templates)
+    named = [(name, other) for name, other, _ in full]
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     sizes = np.array([len(s) for _, s in named])
 
     def make():
         known = np.array(sorted(set().union(*(s for _, s in named))), np.uint64)
+        member = np.array([np.isin(known, np.array(list(s), np.uint64)) for _, s in named])
 
         def one(column: pa.Array) -> pa.Array:
             found: list[list[dict]] = [[] for _ in range(len(column))]
             for base, _, data, offsets in tx.chunks(column):
-                starts, ends, hashes, _ = tx.words(data, offsets, tx.ALNUM)
+                starts, ends, hashes, firsts = tx.words(data, offsets, tx.ALNUM)
                 if not len(starts):
                     continue
+
+                def place(row: int, wa: int, wz: int, name: str, unit: str, dice: float) -> dict:
+                    chars = np.cumsum((data[offsets[row]:ends[wz - 1]] & 0xC0) != 0x80)
+                    begin = int(starts[wa] - offsets[row])
+                    return {"licence": name, "unit": unit, "start": int(chars[begin]) - 1, "end": int(chars[-1]),
+                            "dice": dice}
+
                 pairs = bigrams(hashes)
                 at = np.minimum(np.searchsorted(known, pairs), len(known) - 1)
-                hits = np.concatenate([[0], np.cumsum(known[at] == pairs)])
+                is_hit = known[at] == pairs
+                hits = np.concatenate([[0], np.cumsum(is_hit)])
                 for a, z, kind in _units(data, offsets):
                     wa, wz = np.searchsorted(starts, a), np.searchsorted(starts, z)
                     n = wz - wa
@@ -182,13 +298,16 @@ def match_column(text: Column, templates: dict[str, list[str]], threshold: float
                             dice = 2 * len(own & other) / (size + m)
                             if dice >= threshold:
                                 row = int(np.searchsorted(offsets, a[u], "right")) - 1
-                                first, last = int(starts[wa[u]]), int(ends[wz[u] - 1])
-                                lead = data[offsets[row]:last] & 0xC0
-                                chars = np.cumsum(lead != 0x80)
-                                begin = first - int(offsets[row])
-                                found[base + row].append({
-                                    "licence": name, "unit": UNITS[kind],
-                                    "start": int(chars[begin]) - 1, "end": int(chars[-1]), "dice": dice})
+                                found[base + row].append(place(row, wa[u], wz[u], name, UNITS[kind], dice))
+                if windows:
+                    is_hit[firsts[1:][firsts[1:] > 0] - 1] = False  # pairs across the ends of rows
+                    hit = np.flatnonzero(is_hit)
+                    row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
+                    for row, wa, wz, name, dice in _windows(pairs, at[hit], hit, row_of, member, full, threshold):
+                        new = place(row, wa, wz, name, "window", dice)
+                        if not any(r["licence"] == name and r["unit"] != "window" and r["start"] <= new["start"]
+                                   and r["end"] >= new["end"] for r in found[base + row]):
+                            found[base + row].append(new)
             best = []
             for rows in found:
                 top: dict[tuple, dict] = {}
@@ -206,7 +325,7 @@ def match_column(text: Column, templates: dict[str, list[str]], threshold: float
 
 
 def licence_scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, *, threshold: float = 0.8,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, licence, unit, start, end, dice): one row per matching unit."""
-    found = docs.select(F.col(id_col), match_column(F.col(text_col), templates, threshold).alias("m"))
+                 windows: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, licence, unit, start, end, dice): one row per matching unit and, if asked for, window."""
+    found = docs.select(F.col(id_col), match_column(F.col(text_col), templates, threshold, windows).alias("m"))
     return found.select(F.col(id_col), F.inline("m"))

@@ -32,7 +32,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licence_scan(_table(spark, sf_dir, "documents"))
+    return licence_scan(_table(spark, sf_dir, "documents"), windows=True)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
