@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from strata.llm import text as tx
 from strata.llm.columns import text_column
 
-#: fixed values: public licence notices and texts, without names and years
+#: fixed values: public licence notices, without names and years
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -69,12 +70,34 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        "GNU General Public License for more details.",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        "GNU Lesser General Public License for more details.",
     ],
     "LGPL-3.0": [
         "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        "GNU Lesser General Public License for more details.",
     ],
     "AGPL-3.0": [
         "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        "GNU Affero General Public License for more details.",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
@@ -111,6 +134,9 @@ TEMPLATES: dict[str, list[str]] = {
         "This is free and unencumbered software released into the public domain.",
     ],
 }
+#: full standard texts, one file per licence
+for _file in sorted((resources.files("strata.llm") / "licence_texts").iterdir(), key=lambda f: f.name):
+    TEMPLATES.setdefault(_file.name.removesuffix(".txt"), []).append(_file.read_text("utf-8"))
 
 UNITS = ("document", "paragraph", "line")
 _MATCH = pa.struct([("licence", pa.string()), ("unit", pa.string()), ("start", pa.int64()),
