@@ -8,8 +8,8 @@ columns of ``documents``, whatever they are:
    language with a mean probability of MIN_SCORE);
 2. n-gram Jaccard join: of each group of near duplicates (similarity 0.75 of
    five-word shingles, linked directly or through others) the least id stays;
-3. substring dedup: of lines that repeat, all but the first occurrence are cut
-   (n_chars, where present, follows the text);
+3. substring dedup: of lines, sentences and paragraphs that repeat, all but the
+   first occurrence are cut (n_chars, where present, follows the text);
 4. benchmark decontamination: documents with a benchmark window go;
 5. SentencePiece: (doc_id, n_tokens, ids) of each document left, decoded again
    and compared with its text (round_trip).
@@ -59,7 +59,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    frame, _, text = dedup_lines(docs)
+    frame, _, text = dedup_lines(docs, passages=True)
     new = _free_name(docs, "new_text")
     frame = frame.select(*(docs[c] for c in docs.columns), text.alias(new))
     size = F.length(new).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None

@@ -1,4 +1,4 @@
-"""Texts without some of their lines."""
+"""Texts without some of their lines or spans."""
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -23,3 +23,44 @@ def without_lines(text: Column, spans: Column) -> Column:
                          for c, t, s in zip(cut, texts, found)], pa.string())
 
     return F.arrow_udf(run, "string").asNondeterministic()(text, spans)
+
+
+def _cut(text: str, spans: list[tuple[int, int]]) -> str:
+    merged: list[list[int]] = []
+    for a, z in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(z, merged[-1][1])
+        else:
+            merged.append([a, z])
+    lines, at, i = [], 0, 0
+    for line in text.split("\n"):
+        end = at + len(line)
+        while i < len(merged) and merged[i][1] <= at:
+            i += 1
+        k, left, kept, touched = i, at, "", False
+        while k < len(merged) and merged[k][0] < end:
+            piece = text[left:max(left, merged[k][0])]
+            kept += piece.lstrip() if touched and (not kept or kept[-1].isspace()) else piece
+            left, touched, k = min(end, merged[k][1]), True, k + 1
+        if touched:
+            piece = text[left:end]
+            kept += piece.lstrip() if not kept or kept[-1].isspace() else piece
+            if left == end:
+                kept = kept.rstrip()
+        else:
+            kept = line
+        if not touched or kept.strip():
+            lines.append(kept)
+        at = end + 1
+    return "\n".join(lines)
+
+
+def without_spans(text: Column, spans: Column) -> Column:
+    """``text`` without ``spans`` (code points), and without lines that have nothing left; null spans: as it is."""
+
+    def run(texts: pa.Array, found: pa.Array) -> pa.Array:
+        cut = found.is_valid().to_pylist()
+        return pa.array([_cut(t.as_py(), [(x["start"], x["end"]) for x in s.as_py()]) if c and t.is_valid
+                         else t.as_py() for c, t, s in zip(cut, texts, found)], pa.string())
+
+    return F.arrow_udf(run, "string").asNondeterministic()(text, spans)
