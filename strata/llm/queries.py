@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from strata.llm import langid, quality_fm
 from strata.llm.decontaminate import contamination
+from strata.llm.embedding_dedup import near_duplicate_vectors
+from strata.llm.hard_negatives import hard_negatives
 from strata.llm.jaccard_join import jaccard_components
 from strata.llm.licences import licence_scan
 from strata.llm.line_dedup import dedup_lines
@@ -17,7 +19,7 @@ from strata.llm.phrases import fingerprints
 from strata.llm.pieces import encode_decode, load_model
 from strata.llm.token_counts import length_column, length_histogram, load_ranks, suffix_sums
 from strata.llm.warc import new_archive_folder, read_records, write_archives
-
+from strata.llm.whitening import whiten
 
 #: vocabulary files: read on the driver only
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
@@ -175,6 +177,59 @@ FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
 """
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+OP11_SQL = """
+WITH RECURSIVE able AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM able a JOIN able b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+degree AS (SELECT x, count(*) AS n FROM link GROUP BY x),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings
+          UNION SELECT reach.vec_id, link.y FROM reach JOIN link ON reach.r = link.x)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(r) AS component_id, min(r) = vec_id AS kept
+FROM reach LEFT JOIN degree ON x = vec_id GROUP BY vec_id
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label))
+
+
+OP12_SQL = """
+WITH able AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+         list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM able a, able c WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same AND id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, id AS negative_id, positive_score,
+       score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER best <= 3
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(_table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -186,6 +241,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
@@ -193,4 +251,6 @@ ORACLE: dict[str, str] = {
     "op8_warc": OP8_SQL,
     "op9_decontaminate": OP9_SQL,
     "op10_jaccard_join": OP10_SQL,
+    "op11_embedding_dedup": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
