@@ -40,7 +40,7 @@ from strata.llm.components import connected_components
 from strata.llm.store import written
 
 PARTS = 64
-NARROW = "id long, n long, d1 long, d2 long, part int, counts binary"
+NARROW = "id long, h long, n long, d1 long, d2 long, part int, counts binary"
 
 
 def _sets(column: pa.Array, k: int):
@@ -58,7 +58,7 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _profile(k: int, width: int):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()),
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()),
                         ("d2", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
 
     def run(batches):
@@ -80,9 +80,9 @@ def _profile(k: int, width: int):
                 counts += np.bincount((np.concatenate(held) & np.uint64(width - 1)).astype(np.int64),
                                       minlength=width).astype(np.uint32)
             none = [None] * b.num_rows
-            yield tx.batch(schema, id=ids, n=n, d1=d1, d2=d2, part=none, counts=none)
+            yield tx.batch(schema, id=ids, h=b.column(2), n=n, d1=d1, d2=d2, part=none, counts=none)
         none = [None] * PARTS
-        yield tx.batch(schema, id=none, n=none, d1=none, d2=none, part=list(range(PARTS)),
+        yield tx.batch(schema, id=none, h=none, n=none, d1=none, d2=none, part=list(range(PARTS)),
                        counts=[zlib.compress(c.tobytes(), 1) for c in np.split(counts, PARTS)])
 
     return run
@@ -481,15 +481,20 @@ def _block_links(percent: int):
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                        k: int = 5, percent: int = 75, width: int = 1 << 20,
                        range_tokens: int = 1 << 19,
-                       block_tokens: int = 1 << 18, block_members: int = 1024) -> DataFrame:
+                       block_tokens: int = 1 << 18, block_members: int = 1024,
+                       text_hash: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``.
 
+    With ``text_hash`` also xxhash64 of the text under that name, which tells rows apart
+    that share an id.
+
     ``width`` (a power of two) is the size of the count array, 8 bytes each:
     the only data that goes through the driver or is broadcast. It affects the
     order of the shingles and so the work, never the result.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("h"))
     profile = written(base.mapInArrow(_profile(k, width), NARROW), "jaccard-profile")
     packed = (profile.filter("part is not null").select("part", "counts")
               .repartition(PARTS, "part").mapInArrow(_sum_counts, "part int, counts binary"))
@@ -499,7 +504,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         counts[r.part * step:(r.part + 1) * step] = np.frombuffer(r.counts, np.uint64)
     levels = spark.sparkContext.broadcast(_levels(counts))
 
-    narrow = profile.filter("part is null").select("id", "n", "d1", "d2")
+    narrow = profile.filter("part is null").select("id", "h", "n", "d1", "d2")
     total = narrow.agg(F.sum("n")).first()[0] or 0
     bits = max(4, math.ceil(math.log2(max(1, total / range_tokens))))
     sets = (base.select("text").mapInArrow(_token_ranges(k, bits), _EXCHANGE)
@@ -533,4 +538,5 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "d1", "d2", F.coalesce("least", "rep").alias("component_id"))
     return (narrow.join(named, ["d1", "d2"], "left")
             .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "id").alias("component_id")))
+                    F.coalesce("component_id", "id").alias("component_id"),
+                    *([F.col("h").alias("text_hash")] if text_hash else [])))

@@ -48,3 +48,36 @@ def test_edge_rows(spark, edge_docs, no_docs, empty):
         assert out.count() <= docs.count()
         if name == "sentencepiece":
             assert out.filter(~F.col("round_trip")).count() == 0
+
+
+def test_nothing_goes_where_no_language_is_known(spark):
+    """Without any ``lang`` there is nothing to hold against a text that has letters."""
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 30), None) for i in range(20)] + [(20, "12 34", None), (21, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in cp.language_id(spark, docs, FOLDER).collect()}
+    assert kept == set(range(20))
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    rng = random.Random(7)
+    a, b = (" ".join(f"{w}{k}" for k, w in enumerate(prose(rng, 60).split())) for _ in range(2))
+    rows = [(1, a), (2, a + " end"), (2, b), (2, b), (3, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((str(r.doc_id), r.text) for r in cp.near_duplicates(spark, docs, FOLDER).collect())
+    assert kept == sorted([("1", a), ("2", b), ("2", b), ("None", a)])
+
+
+@pytest.mark.parametrize("count", [1, 2, 12])
+def test_clean_texts_stay_whatever_the_number_of_languages(spark, count):
+    """Words of each language from its own letters; short and long texts are kept."""
+    rng = random.Random(8)
+    letters = [[chr(97 + (7 * k + 3 * j) % 26) for j in range(5)] + [chr(0xE0 + k)] for k in range(count)]
+    rows = []
+    for i in range(40 * count):
+        own = letters[i % count]
+        words = ["".join(rng.choice(own) for _ in range(rng.randrange(2, 8))) for _ in range(3 if i % 5 == 0 else 60)]
+        rows.append((i, " ".join(words), f"l{i % count:02d}"))
+    docs = spark.createDataFrame([*rows, (9999, "?! 12", None)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in cp.language_id(spark, docs, FOLDER).select("doc_id").collect()}
+    assert 9999 not in kept and len(kept) == len(rows)
