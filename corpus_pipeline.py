@@ -4,8 +4,10 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written a
 Parquet and read again as the next stage's ``docs``. All but the last keep the
 columns of ``documents``, whatever they are:
 
-1. language ID: documents without a recognised language go (no letter, or no
-   language with a mean probability of MIN_SCORE);
+1. language ID: documents without a recognised language go: those without a
+   letter, and those whose best language is hardly likelier than chance (see
+   MARGIN). Where no document has a known language to learn from, only those
+   without a letter go;
 2. n-gram Jaccard join: of each group of near duplicates (similarity 0.75 of
    five-word shingles, linked directly or through others) the least id stays;
 3. substring dedup: of lines, sentences and paragraphs that repeat, all but the
@@ -14,10 +16,11 @@ columns of ``documents``, whatever they are:
 5. SentencePiece: (doc_id, n_tokens, ids) of each document left, decoded again
    and compared with its text (round_trip).
 
-Null texts have no language and go in stage 1. Rows without an id can't be told
-from each other by it: they are compared by text like others, but none of them
-goes in stage 2. Rows with equal id and text are one document, kept as often as
-it stands there. An empty table gives an empty result.
+Null texts have no language and go in stage 1. Rows without an id are compared
+by text like others, but none of them goes in stage 2. Rows with equal id and
+text are one document, kept as often as it stands there; rows that share an id
+but not the text are told apart by a hash of the text, and if both are in the
+group that their id stands for, both stay. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,8 +36,8 @@ from strata.llm.pieces import coded_column, load_model
 from strata.llm.queries import PIECE_MODEL
 from strata.llm.store import broadcast_if_small, written
 
-#: least mean probability of a document's language
-MIN_SCORE = 0.3
+#: how far the mean probability of the best of c languages must be from 1/c (chance) to 1
+MARGIN = 0.05
 
 
 def _free_name(docs: DataFrame, name: str) -> str:
@@ -45,17 +48,23 @@ def _free_name(docs: DataFrame, name: str) -> str:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = _free_name(docs, "language")
     model = langid.fit(docs)
+    if model is None:  # nothing is known about languages: nothing is held against a text
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = _free_name(docs, "language")
+    chance = 1 / len(model.langs)
     marked = docs.withColumn(found, langid.language_column(spark, F.col("text"), model))
-    return (marked.filter((F.col(f"{found}.lang") != "und") & (F.col(f"{found}.score") >= MIN_SCORE))
+    return (marked.filter((F.col(f"{found}.lang") != "und")
+                          & (F.col(f"{found}.score") >= chance + MARGIN * (1 - chance) - 1e-6))
             .select(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_components(docs)
-    gone = written(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    groups = jaccard_components(docs, text_hash=True)
+    gone = written(groups.filter("doc_id <> component_id").select("doc_id", "text_hash").distinct(), "near-duplicates")
+    gone = broadcast_if_small(gone).select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"))
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["__gone_id"])
+                     & (F.xxhash64(docs["text"]) == gone["__gone_hash"]), "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
