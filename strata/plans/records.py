@@ -5,9 +5,10 @@ A stage is any ``DataFrame -> DataFrame`` function, chained with
 deduplicate. Deduplication keeps the first arrival per key (key as text;
 rows with a NULL key pass); in batch "first" means the smallest
 (``_row_number``, source name), i.e. sources read side by side; on a stream
-it is Spark's dropDuplicates state, or dropDuplicatesWithinWatermark when
-an event-time column is given. A filtered record whose source lacks the field
-is an error: it goes to the rejects, as malformed rows do.
+(``strata.streaming.records``) it is Spark's dropDuplicates state, or
+dropDuplicatesWithinWatermark when an event-time column is given. A filtered
+record whose source lacks the field is an error: it goes to the rejects, as
+malformed rows do.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from strata.operators.columns import normalize_fields, rename_fields
 from strata.operators.dedup import first_per_key
 from strata.operators.filters import split_records
 from strata.plans.metrics import RunMetrics
+from strata.session import stored
 from strata.sinks.files import write_ndjson, write_rejects
-from strata.sources.records import RECORD_SOURCE, read_csv_records, union_sources
+from strata.sources.records import CORRUPT, RECORD_SOURCE, read_csv_records, union_sources
 
 Stage = Callable[[DataFrame], DataFrame]
 ARRIVAL_ORDER = ("_row_number", RECORD_SOURCE)
@@ -92,11 +94,11 @@ class RecordFlow:
                 raise ValueError(f"unknown transform operation {op!r} in stage {name!r}")
         return flow
 
-    def apply(self, df: DataFrame, streaming: bool = False) -> DataFrame:
+    def apply(self, df: DataFrame) -> DataFrame:
         """The records that pass every stage."""
-        return self.apply_with_rejects(df, streaming)[0]
+        return self.apply_with_rejects(df)[0]
 
-    def apply_with_rejects(self, df: DataFrame, streaming: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    def apply_with_rejects(self, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         """(records that pass, records that are errors with ``_error``, or None)."""
         rejects: list[DataFrame] = []
         for step in self.steps:
@@ -105,39 +107,27 @@ class RecordFlow:
                 rejects.append(bad)
             elif step.fn is not None:
                 df = df.transform(step.fn)
-            elif streaming:
-                df, undated = _stream_dedup(df, step)
-                rejects += [undated] if undated is not None else []
             else:
                 df = first_per_key(df, step.dedup_key, [c for c in self.order_by
                                                         if c in df.columns])
         return df, reduce(_by_name, rejects) if rejects else None
 
+    def segments(self) -> list[tuple[_Step | None, "RecordFlow"]]:
+        """The flow cut at its deduplications: (None, stages before the first), then
+        (deduplication, stages after it) for each."""
+        out: list[tuple[_Step | None, RecordFlow]] = [(None, RecordFlow(order_by=self.order_by))]
+        for step in self.steps:
+            if step.dedup_key is not None:
+                out.append((step, RecordFlow(order_by=self.order_by)))
+            else:
+                out[-1][1].steps.append(step)
+        return out
+
 
 def _by_name(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def _stream_dedup(df: DataFrame, step: _Step) -> tuple[DataFrame, DataFrame | None]:
-    """(first arrivals, rows whose event time can't be read). A row without the key gets a
-    key of its own and passes."""
-    if step.dedup_key not in df.columns:
-        return df, None
-    key, event_time = "__dedup_key", "__event_time"
-    text = F.col(step.dedup_key).cast("string")
-    keyed = df.withColumn(key, F.struct(text.alias("key"), F.when(text.isNull(), F.expr("uuid()")).alias("own")))
-    if not step.event_time:
-        return keyed.dropDuplicates([key]).drop(key), None
-    # record fields are text: the watermark needs a timestamp column
-    time = F.col(step.event_time).try_cast("timestamp") if step.event_time in df.columns \
-        else F.lit(None).cast("timestamp")
-    undated = df.filter(time.isNull()).withColumn("_error", F.lit(f"no time in field {step.event_time!r}"))
-    out = (keyed.withColumn(event_time, time).filter(F.col(event_time).isNotNull())
-           .withWatermark(event_time, step.watermark)
-           .dropDuplicatesWithinWatermark([key]).drop(event_time))
-    return out.drop(key), undated
-
-
 def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], flow: RecordFlow,
                 output_path: str, dead_letter_path: str | None = None) -> RunMetrics:
     """Batch run: CSV sources -> flow -> NDJSON, rejects to the dead letter.
@@ -145,8 +135,9 @@ def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], fl
     ``sources``: ``{name, location, properties: {delimiter, encoding}}``.
     Each source is parsed once, into a table in the shared folder; the read count
     is observed on the job that writes the output. Rejects (malformed rows and
-    records that a filter can't judge) are counted, and given to the error
-    handler, with or without a dead letter.
+    records that a filter can't judge) are made once: counted on the job that writes
+    them, and given to the error handler from what was written, with or without a
+    dead letter.
     """
     metrics = RunMetrics()
     scans = {}
@@ -156,25 +147,25 @@ def run_records(spark: SparkSession, sources: Sequence[Mapping[str, object]], fl
             spark, s["location"], str(s["name"]), sep=str(props.get("delimiter", ",")),
             encoding=str(props.get("encoding", "utf-8")))
     records = union_sources({n: sc.records for n, sc in scans.items()})
-    read_obs = Observation("records_read")
-    out, errors = flow.apply_with_rejects(records.observe(read_obs, F.count(F.lit(1)).alias("n")))
-    written = write_ndjson(out, output_path)["rows_written"]
+    read_obs, reject_obs = Observation("records_read"), Observation("records_rejected")
+    out, _ = flow.apply_with_rejects(records.observe(read_obs, F.count(F.lit(1)).alias("n")))
+    metrics.records_written = write_ndjson(out, output_path)["rows_written"]
     good = int(read_obs.get["n"])
-    malformed = reduce(_by_name, [sc.rejects for sc in scans.values()])
-    if flow.steps:
-        errors = flow.apply_with_rejects(records)[1]  # without the observation
-    rejects = malformed if errors is None else _by_name(malformed, errors)
-    failed = 0 if errors is None else errors.count()
+    rejects = reduce(_by_name, [sc.rejects for sc in scans.values()])
+    if (errors := flow.apply_with_rejects(records)[1]) is not None:  # without the observation
+        rejects = _by_name(rejects, errors)
+    rejects = rejects.observe(reject_obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"))
+    if flow.error_handler is not None:
+        rejects = stored(rejects, "rejects")
     if dead_letter_path is not None:
-        rejected = write_rejects(rejects, dead_letter_path)["rows_rejected"]
-    else:
-        rejected = malformed.count() + failed
+        write_rejects(rejects, dead_letter_path)
+    elif flow.error_handler is None:
+        rejects.write.format("noop").mode("overwrite").save()
     if flow.error_handler is not None:
         flow.error_handler(rejects)
-    metrics.records_read = good + rejected - failed
-    metrics.records_written = written
-    metrics.records_rejected = rejected
-    metrics.records_filtered = good - written - failed
+    metrics.records_rejected, malformed = int(reject_obs.get["n"]), int(reject_obs.get["bad"])
+    metrics.records_read = good + malformed
+    metrics.records_filtered = metrics.records_read - metrics.records_written - metrics.records_rejected
     metrics.batches_processed = 1
     return metrics.finish()
 
@@ -201,17 +192,14 @@ def run_from_config(spark: SparkSession, config: Mapping[str, object],
     dead = options.get("dead_letter_path")
     if not stream:
         return run_records(spark, sources, flow, out, dead)
-    from strata.sources.records import csv_header
     from strata.streaming.records import StreamSource, run_record_streams
     if checkpoint is None:
         raise ValueError("a streaming run needs a checkpoint location")
     stream_sources = []
     for s in sources:
         props = dict(s.get("properties", {}) or {})
-        sep, encoding = str(props.get("delimiter", ",")), str(props.get("encoding", "utf-8"))
-        stream_sources.append(StreamSource(
-            str(s["name"]), str(s["location"]),
-            csv_header(spark, str(s["location"]), sep, encoding), sep, encoding))
+        stream_sources.append(StreamSource(str(s["name"]), str(s["location"]), None,
+                                           str(props.get("delimiter", ",")), str(props.get("encoding", "utf-8"))))
     limits = {k: options[k] for k in ("max_files_per_trigger", "max_bytes_per_trigger",
                                       "processing_time", "timeout_s") if options.get(k) is not None}
     run = run_record_streams(spark, stream_sources, flow, out, checkpoint,

@@ -6,7 +6,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,9 +34,48 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared root."""
-    return f"{shared_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.add(path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a folder or file, wherever Spark can read it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def drop_scratch(spark: SparkSession, path: str | None = None) -> int:
+    """Delete one scratch folder, or all that this process has made; the number deleted.
+
+    Frames read from them must not be used any more, so a job calls this when its
+    results are written. Folders made by others are never touched.
+    """
+    done = 0
+    for own in [path] if path is not None else sorted(_SCRATCH):
+        if own not in _SCRATCH:
+            raise ValueError(f"not a scratch folder of this process: {own}")
+        fs, p = file_system(spark, own)
+        done += bool(fs.delete(p, True))
+        _SCRATCH.discard(own)
+    return done
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a scratch folder and read again (lineage cut, known size)."""
+    path, schema = scratch_path(df.sparkSession, name), df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def broadcast_below(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` (a stored table of narrow rows) hinted for broadcast if it has at most ``rows`` rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

@@ -14,8 +14,8 @@ by column name, and a column a file lacks is NULL.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 from urllib.parse import unquote
 
@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import scratch_path
+from strata.session import broadcast_below, scratch_path, stored
 
 CORRUPT = "_corrupt_record"
 RECORD_ID, RECORD_SOURCE, RECORD_TS = "_record_id", "_record_source", "_record_ts"
-POSITION = "__pos"
+POSITION, MALFORMED = "__pos", "__malformed"
 ENVELOPE = (RECORD_ID, RECORD_SOURCE, RECORD_TS, "_row_number", "_file", "_block", CORRUPT,
             "_error")
 DATA_COLS_META = (("_row_number", "row_number"), ("_file", "file"))
@@ -56,41 +56,71 @@ def csv_header(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
                               recursiveFileLookup=str(recursive).lower()).csv(paths).columns
 
 
-def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
-    """The first line of a file that is not blank (compressed files too)."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
-        text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding)
-        lines = jvm.java.io.BufferedReader(text)
-        line = lines.readLine()
-        while line is not None and not line.strip():
-            line = lines.readLine()
-        return line or ""
-    finally:
-        stream.close()
-
-
-def csv_headers(spark: SparkSession, path: str | Sequence[str], sep: str = ",", encoding: str = "utf-8",
-                recursive: bool = False) -> list[tuple[list[str], list[str]]]:
-    """(header, files) for each header among the files, in order of the first file.
-
-    One line per file is read, several files at a time; the file names are
-    those Spark lists for any scan.
+def text_lines(reader, path: str | Sequence[str]) -> DataFrame:
+    """Lines of text files (``reader``: spark.read or spark.readStream) with file and split start."""
+    paths = path if isinstance(path, str) else list(path)
+    return reader.text(paths).select("value", F.col("_metadata.file_path").alias("_file"),
+                                     F.col("_metadata.file_block_start").alias("_block"))
+
+
+#: line number within a split, from the position Spark gives a row in its task
+_LINE_BITS = (1 << 33) - 1
+_HALF, _WHOLE = Decimal(2**63), Decimal(2**64)
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(``_file``, ``__line``, ``__head``): place and 64-bit hash of each file's first line that is not blank.
+
+    ``lines`` has value, ``_file``, ``_block`` and POSITION. One scan; the place and the hash are
+    one number, so a task sends one fixed-size row per file and nothing is sorted.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    files = sorted(spark.read.option("recursiveFileLookup", str(recursive).lower()).text(paths).inputFiles())
-    with ThreadPoolExecutor(16) as pool:
-        lines = list(pool.map(lambda f: _first_line(spark, _plain_path(f), encoding), files))
-    groups: dict[str, list[str]] = {}
-    for f, line in zip(files, lines):
-        if line:
-            groups.setdefault(line, []).append(_plain_path(f))
-    if len(groups) <= 1:
-        return [(csv_header(spark, paths, sep, encoding, recursive), paths)]
-    return [(csv_header(spark, own[0], sep, encoding), own) for own in groups.values()]
+    first = lines.filter((F.col("_block") == 0) & F.col("value").rlike(r"[^\x00-\x20]"))
+    line = F.col(POSITION).bitwiseAND(_LINE_BITS).cast("decimal(10,0)")
+    unsigned = F.xxhash64("value").cast("decimal(20,0)") + _HALF
+    heads = first.groupBy("_file").agg(F.min((line * _WHOLE + unsigned).cast("decimal(38,0)")).alias("both"))
+    low = F.col("both") % _WHOLE
+    return heads.select("_file", ((F.col("both") - low) / _WHOLE).cast("long").alias("__line"),
+                        (low - _HALF).cast("long").alias("__head"))
+
+
+def header_groups(spark: SparkSession, heads: DataFrame, sep: str, encoding: str) -> list[tuple[int, list[str]]]:
+    """(hash, field names) of each distinct header, in order of its first file. One row per
+    distinct header comes to the driver, however many files there are."""
+    rows = heads.groupBy("__head").agg(F.min("_file").alias("file")).collect()
+    return [(r["__head"], csv_header(spark, _plain_path(r["file"]), sep, encoding))
+            for r in sorted(rows, key=lambda r: r["file"])]
+
+
+def parse_lines(lines: DataFrame, heads: DataFrame, groups: Sequence[tuple[int, Sequence[str]]], sep: str = ",",
+                encoding: str = "utf-8", header: Sequence[str] | None = None) -> DataFrame:
+    """Records of text lines, each by the header of its file (or by ``header``), in one pass: the
+    fields of all headers, a column its file lacks NULL, empty fields "", malformed rows with
+    their text in ``_corrupt_record``. Blank lines and header lines are left out."""
+    text = F.col("value") if encoding.lower() in ("utf-8", "utf8") else \
+        F.decode(F.col("value").cast("binary"), encoding)
+    own = heads.select(F.col("_file").alias("__f"), "__line", "__head")
+    is_header = (F.col("_block") == 0) & (F.col(POSITION).bitwiseAND(_LINE_BITS) == F.col("__line"))
+    rows = (lines.filter(F.col("value").rlike(r"[^\x00-\x20]")).join(own, F.col("_file") == F.col("__f"))
+            .filter(~is_header).withColumn("__text", text))
+    if header is not None:
+        groups, rows = [(0, header)], rows.withColumn("__head", F.lit(0).cast("long"))
+    options = {k: v for k, v in csv_options(sep).items() if k not in ("header", "encoding", "columnPruning", "multiLine")}
+    parsed = {f"__p{i}": F.when(F.col("__head") == h, F.from_csv("__text", _ddl(names), options))
+              for i, (h, names) in enumerate(groups)}
+    rows = rows.withColumns(parsed)
+    corrupt = F.coalesce(*(F.col(f"{p}.{CORRUPT}") for p in parsed)) if parsed else F.lit(None).cast("string")
+    fields: dict[str, list] = {}
+    for p, (_, names) in zip(parsed, groups):
+        for n in names:
+            kept = F.col(f"{p}.{CORRUPT}").isNull() & F.col(p).isNotNull()
+            value = F.col(f"{p}.`{n}`")
+            fields.setdefault(n, []).append(F.when(kept, F.coalesce(value, F.lit(""))).otherwise(value))
+    return rows.select(*(F.coalesce(*v).alias(n) for n, v in fields.items()), corrupt.alias(CORRUPT),
+                       "_file", "_block", POSITION)
+
+
+def _ddl(header: Sequence[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` string" for n in [*header, CORRUPT])
 
 
 def _plain_path(uri: str) -> str:
@@ -140,28 +170,50 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
     every file below the path, without partition folders as columns. A given
     ``header`` holds for all files.
 
-    With the envelope the input is parsed once into a table in the shared
-    folder, which the numbering, the records and the rejects then read.
+    Headers are found by a scan on the executors. Files with one header go through
+    Spark's CSV reader; those with several are parsed from their lines, each by its own
+    (with ``multi_line``, where lines are no records, by one read per header).
+
+    With the envelope the input is parsed once into a table in the shared folder,
+    good and malformed rows apart, which the records and the rejects then read.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    groups = [(list(header), paths)] if header is not None else \
-        csv_headers(spark, paths, sep, encoding, recursive)
-    frames = [_parse(spark, own, names, sep, encoding, multi_line, recursive) for names, own in groups]
-    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    fields = [c for c in raw.columns if c not in (CORRUPT, "_file", "_block")]
-    if envelope:
-        staged = scratch_path(spark, "csv_records")
+    names, raw = list(header or []), None
+    if header is None:
+        lines = text_lines(spark.read.option("recursiveFileLookup", str(recursive).lower()), paths)
+        lines = lines.withColumn(POSITION, F.monotonically_increasing_id())
+        heads = stored(file_headers(lines), "csv_headers")
+        groups = header_groups(spark, heads, sep, encoding)
+        names = list(dict.fromkeys(n for _, own in groups for n in own))
+        if not groups:
+            names = csv_header(spark, paths, sep, encoding, recursive)
+        elif len(groups) > 1 and multi_line:
+            raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+                _parse(spark, [_plain_path(r._file) for r in heads.filter(F.col("__head") == h).collect()],
+                       own, sep, encoding, True, False) for h, own in groups])
+        elif len(groups) > 1:
+            raw = parse_lines(lines, broadcast_below(heads), groups, sep, encoding)
+    if raw is None:
+        raw = _parse(spark, paths, names, sep, encoding, multi_line, recursive)
+    if not envelope:
+        rejects = raw.filter(F.col(CORRUPT).isNotNull())
+        good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_block", POSITION)
+        return RecordScan(good.withColumn(RECORD_SOURCE, F.lit(source_name)), _rejected(rejects, source_name), names)
+    if POSITION not in raw.columns:
         raw = raw.withColumn(POSITION, F.monotonically_increasing_id())
-        raw.write.parquet(staged)
-        raw = spark.read.schema(raw.schema).parquet(staged)
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    rejects = (raw.filter(F.col(CORRUPT).isNotNull())
-               .withColumns({RECORD_SOURCE: F.lit(source_name),
-                             "_error": F.lit("field count differs from header")})
-               .drop("_block", POSITION))
-    records = with_record_envelope(good, source_name) if envelope else \
-        good.withColumn(RECORD_SOURCE, F.lit(source_name)).drop("_block")
-    return RecordScan(records, rejects, fields)
+    staged = scratch_path(spark, "csv_records")
+    raw = raw.withColumn(MALFORMED, F.col(CORRUPT).isNotNull())
+    raw.sortWithinPartitions(MALFORMED, POSITION).write.partitionBy(MALFORMED).parquet(staged)
+    raw = spark.read.schema(raw.schema).parquet(staged)
+    good = raw.filter(~F.col(MALFORMED)).drop(CORRUPT, MALFORMED)
+    return RecordScan(with_record_envelope(good, source_name),
+                      _rejected(raw.filter(MALFORMED).drop(MALFORMED), source_name), names)
+
+
+def _rejected(rows: DataFrame, source_name: str) -> DataFrame:
+    return (rows.withColumns({RECORD_SOURCE: F.lit(source_name),
+                              "_error": F.lit("field count differs from header")})
+            .drop("_block", POSITION))
 
 
 def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file",
@@ -169,27 +221,29 @@ def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file
     """``_record_id = source-n``, ``_row_number = n``: n numbers rows 1, 2, ... in read
     order (file path, split start, position in split).
 
-    ``df`` is a stored table whose ``pos_col`` ascends within each split. A row's
-    number is the rows of earlier files, plus the rows of earlier splits of its
-    file, plus its rank within its split; so only one row per file meets in a
-    window, and ranks are per split. A row without an offset stops the job.
+    ``df`` is a stored Parquet table in which the rows of a split stand one after another in
+    one file, in order of ``pos_col``. A row's number is the rows of earlier files, plus those
+    of earlier splits of its file, plus its place in the stored file less that of its
+    split's first row. So only one row per split is counted, summed and joined; the
+    records themselves are neither shuffled nor sorted. A row without an offset stops the job.
     """
-    splits = df.groupBy(file_col, block_col).agg(F.count(F.lit(1)).alias("__n"))
+    placed = df.withColumn("__at", F.col("_metadata.row_index"))
+    splits = placed.groupBy(file_col, block_col).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    splits = stored(splits, "csv_splits")
     files = splits.groupBy(file_col).agg(F.sum("__n").alias("__m"))
     before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
     files = files.select(file_col, F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__base"))
     inside = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
     splits = (splits.withColumn("__offset", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
               .join(files, file_col)
-              .select(file_col, block_col, (F.col("__offset") + F.col("__base")).alias("__offset")))
-    rank = F.row_number().over(Window.partitionBy(file_col, block_col).orderBy(pos_col))
-    n = F.coalesce("__offset", F.raise_error(F.lit("a split has no record offset")).cast("long")) + rank
-    return (df.join(splits, [file_col, block_col], "left")
+              .select(file_col, block_col, (F.col("__offset") + F.col("__base") - F.col("__first")).alias("__offset")))
+    n = F.coalesce("__offset", F.raise_error(F.lit("a split has no record offset")).cast("long")) + F.col("__at") + 1
+    return (placed.join(broadcast_below(splits), [file_col, block_col], "left")
             .withColumn("_row_number", n.cast("long"))
             .withColumns({RECORD_ID: F.concat(F.lit(f"{source_name}-"), F.col("_row_number").cast("string")),
                           RECORD_SOURCE: F.lit(source_name),
                           RECORD_TS: F.current_timestamp()})
-            .drop(pos_col, "__offset", block_col))
+            .drop(pos_col, "__offset", "__at", block_col))
 
 
 def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:

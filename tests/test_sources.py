@@ -1,5 +1,7 @@
 """JSON lines, CSV, CSV records with rejects and dense numbering."""
 
+import os
+
 import pytest
 from pyspark.sql import types as T
 
@@ -109,10 +111,11 @@ def test_csv_records_multiline_quoted_field(spark, tmp_dir):
     assert scan.rejects.count() == 0
 
 
-def test_record_numbers_same_without_broadcast(spark, tmp_dir):
+def test_record_numbers_same_without_broadcast(spark, tmp_dir, monkeypatch):
     """With split offsets joined by a shuffle: same numbers."""
     p = _write(f"{tmp_dir}/n.csv", "k,v\n" + "".join(f"{i},x\n" for i in range(300)))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(records, "broadcast_below", lambda df: df)
     try:
         df = records.read_csv_records(spark, p, "s").records
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -121,3 +124,57 @@ def test_record_numbers_same_without_broadcast(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastExchange" not in plan
     assert sorted((int(r.k) + 1, r._row_number) for r in rows) == [(i, i) for i in range(1, 301)]
+
+
+def test_ten_thousand_files_with_their_own_headers(spark, tmp_dir):
+    """Headers come from a scan on the executors: no file is opened or listed by name on the driver."""
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(10_000):
+        names = ("k", "v") if i % 2 else ("v", "k")
+        _write(f"{tmp_dir}/in/{i:05d}.csv", f"{','.join(names)}\n" + (f"{i},x\n" if i % 2 else f"x,{i}\n"))
+    scan = records.read_csv_records(spark, f"{tmp_dir}/in", "s")
+    got = scan.records.select("k", "v", "_row_number").orderBy("_row_number").collect()
+    assert [(r.k, r.v, r._row_number) for r in got] == [(str(i), "x", i + 1) for i in range(10_000)]
+    assert scan.rejects.count() == 0 and scan.header == ["v", "k"]
+
+
+def test_numbers_without_a_window_over_rows(spark, tmp_dir):
+    """Malformed and blank lines between good ones, over several splits and files."""
+    want = []
+    for f in range(2):
+        lines = ["k,v"]
+        for i in range(3000):
+            key = f * 3000 + i
+            lines += [f"{key},x"] + (["bad,row,here"] if i % 7 == 0 else []) + ([""] if i % 11 == 0 else [])
+            want.append((str(key), key + 1))
+        _write(f"{tmp_dir}/in{f}.csv", "\n".join(lines) + "\n")
+    confs = {"spark.sql.files.minPartitionNum": "6", "spark.sql.files.openCostInBytes": "0"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        scan = records.read_csv_records(spark, [f"{tmp_dir}/in0.csv", f"{tmp_dir}/in1.csv"], "s")
+        plan = scan.records._jdf.queryExecution().executedPlan().toString()
+        got = sorted(((r.k, r._row_number) for r in scan.records.collect()), key=lambda r: r[1])
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+    assert got == want and scan.rejects.count() == 2 * 429
+    rows_side = plan.split("BroadcastExchange")[0]
+    assert "Window" not in rows_side and "Exchange hashpartitioning" not in rows_side
+
+
+def test_mixed_headers_in_another_encoding(spark, tmp_dir):
+    for name, text in (("a", "name,note\nJosé,x\n"), ("b", "note;name\n\"y,z\",Zoë\n".replace(";", ","))):
+        with open(f"{tmp_dir}/{name}.csv", "w", encoding="iso-8859-1") as f:
+            f.write(text)
+    scan = records.read_csv_records(spark, f"{tmp_dir}/*.csv", "s", encoding="iso-8859-1")
+    assert sorted((r.name, r.note) for r in scan.records.collect()) == [("José", "x"), ("Zoë", "y,z")]
+
+
+def test_scratch_folders_are_dropped_on_request(spark):
+    from strata import session
+    a = session.stored(spark.range(5), "t")
+    path = a.inputFiles()[0].rsplit("/", 1)[0].replace("file://", "")
+    assert session.drop_scratch(spark, path) == 1 and not os.path.exists(path)
+    with pytest.raises(ValueError):
+        session.drop_scratch(spark, "/tmp/not-ours")

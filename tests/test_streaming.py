@@ -79,3 +79,96 @@ def test_stream_batches_by_bytes(spark, tmp_dir):
     run = run_record_streams(spark, [StreamSource("s", src, ["user_id", "email"])], RecordFlow(),
                              f"{tmp_dir}/out", f"{tmp_dir}/ckpt", max_bytes_per_trigger=500)
     assert run.metrics.records_read == 150 and run.metrics.batches_processed == 3
+
+
+def _rows(spark, path):
+    return sorted((sorted(r.Data.items()) for r in read_ndjson_records(spark, path).collect()))
+
+
+def test_each_file_of_a_stream_has_its_own_header(spark, tmp_dir):
+    """Other orders, other columns, files in one trigger and in a later one, by config too."""
+    from strata.plans.records import run_from_config
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    _write(f"{src}/1.csv", "id,email\n1,a@x\n")
+    _write(f"{src}/2.csv", "\nemail,id,note\nb@x,2,\"n,m\"\nbad,line\n")
+    config = {"sources": [{"name": "s", "type": "csv", "location": src, "properties": {}}],
+              "transforms": [{"name": "d", "operation": "deduplicate", "config": {"key_field": "id"}}],
+              "destination": {"type": "jsonfile", "connection_string": f"{tmp_dir}/out"},
+              "pipeline": {"dead_letter_path": f"{tmp_dir}/dead", "max_files_per_trigger": 10}}
+    m = run_from_config(spark, config, stream=True, checkpoint=f"{tmp_dir}/ckpt")
+    want = [[("email", "a@x"), ("id", "1")], [("email", "b@x"), ("id", "2"), ("note", "n,m")]]
+    assert _rows(spark, f"{tmp_dir}/out") == want
+    assert (m.records_read, m.records_written, m.records_rejected) == (3, 2, 1)
+    assert [r._corrupt_record for r in spark.read.parquet(f"{tmp_dir}/dead").collect()] == ["bad,line"]
+    _write(f"{src}/3.csv", "new,id\nq,3\nq,1\n")
+    m = run_from_config(spark, config, stream=True, checkpoint=f"{tmp_dir}/ckpt")
+    assert _rows(spark, f"{tmp_dir}/out") == [*want, [("id", "3"), ("new", "q")]]
+    assert (m.records_read, m.records_written, m.records_filtered) == (2, 1, 1)
+
+
+def test_late_rows_go_to_the_dead_letter(spark, tmp_dir):
+    from strata.streaming.records import StreamSource, run_record_streams
+    os.makedirs(f"{tmp_dir}/in")
+    _write(f"{tmp_dir}/in/1.csv", "k,at\na,2024-01-05 00:00:00\n")
+    flow = RecordFlow().normalize("n", ["k"]).deduplicate("d", "k", event_time="at", watermark="1 hour")
+    args = (spark, [StreamSource("s", f"{tmp_dir}/in")], flow, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    run_record_streams(*args, dead_letter_path=f"{tmp_dir}/dead")
+    # on the watermark: late; just after: kept; a late row without the key: kept; one without a time: not
+    _write(f"{tmp_dir}/in/2.csv", "at,k\n2024-01-04 23:00:00,b\n2024-01-04 23:00:01,c\nnever,e\n")
+    _write(f"{tmp_dir}/in/3.csv", "at\n2020-01-01 00:00:00\n")
+    m = run_record_streams(*args, dead_letter_path=f"{tmp_dir}/dead", max_files_per_trigger=5).metrics
+    assert (m.records_read, m.records_written, m.records_filtered, m.records_rejected) == (4, 2, 0, 2)
+    dead = spark.read.parquet(f"{tmp_dir}/dead")
+    assert sorted((r.fields["k"], r._error) for r in dead.collect()) == \
+        [("b", "later than the watermark"), ("e", "no time in field 'at'")]
+    assert sorted(r.Data.get("k", "") for r in read_ndjson_records(spark, f"{tmp_dir}/out").collect()) == ["", "a", "c"]
+
+
+def test_rows_without_the_key_leave_no_state(spark, tmp_dir):
+    from strata.streaming.records import StreamSource, run_record_streams
+    os.makedirs(f"{tmp_dir}/in")
+    _write(f"{tmp_dir}/in/1.csv", "k,v\n" + "".join(f"{i},x\n" for i in range(5)))
+    _write(f"{tmp_dir}/in/2.csv", "v\n" + "y\n" * 400)
+    run = run_record_streams(spark, [StreamSource("s", f"{tmp_dir}/in")], RecordFlow().deduplicate("d", "k"),
+                             f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    assert run.metrics.records_written == 405
+    assert spark.read.format("statestore").load(f"{tmp_dir}/ckpt/stream-1").count() == 5
+
+
+def test_two_deduplications_and_stages_between(spark, tmp_dir):
+    from strata.streaming.records import StreamSource, run_record_streams
+    os.makedirs(f"{tmp_dir}/in")
+    _write(f"{tmp_dir}/in/1.csv", "a,b\n1,X\n1,Y\n2,x\n3,z\n")
+    flow = (RecordFlow().deduplicate("d", "a").normalize("n", ["b"]).filter("f", "b", "neq", "z").deduplicate("e", "b"))
+    m = run_record_streams(spark, [StreamSource("s", f"{tmp_dir}/in")], flow, f"{tmp_dir}/out", f"{tmp_dir}/ckpt").metrics
+    rows = [r.Data for r in read_ndjson_records(spark, f"{tmp_dir}/out").collect()]
+    assert len({r["a"] for r in rows}) == len(rows) == len({r["b"] for r in rows}) and {r["b"] for r in rows} <= {"x", "y"}
+    assert m.records_read == 4 and m.records_written == len(rows) and m.records_filtered == 4 - len(rows)
+
+
+def test_a_batch_run_again_changes_nothing(spark, tmp_dir):
+    from strata.streaming.records import StreamSource, forget_last_commits, run_record_streams
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(3):
+        _write(f"{tmp_dir}/in/{i}.csv", "k,at\n" + "".join(f"{j},2024-01-0{i + 1} 00:00:00\n" for j in range(10)))
+    for flow, out in ((RecordFlow(), "plain"), (RecordFlow().deduplicate("d", "k"), "dedup"),
+                      (RecordFlow().deduplicate("d", "k", event_time="at", watermark="1 day"), "late")):
+        args = (spark, [StreamSource("s", f"{tmp_dir}/in")], flow, f"{tmp_dir}/{out}", f"{tmp_dir}/ckpt-{out}",
+                f"{tmp_dir}/dead-{out}")
+        run_record_streams(*args, keep_published=True)
+        before = _rows(spark, f"{tmp_dir}/{out}")
+        assert forget_last_commits(spark, f"{tmp_dir}/ckpt-{out}") == len(flow.segments())
+        run_record_streams(*args, keep_published=True)
+        assert _rows(spark, f"{tmp_dir}/{out}") == before and len(before) == (30 if out == "plain" else 10)
+
+
+def test_stream_on_an_interval(spark, tmp_dir):
+    from strata.streaming.records import StreamSource, run_record_streams
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(2):
+        _write(f"{tmp_dir}/in/{i}.csv", "k\n" + "".join(f"{j}\n" for j in range(i, 10)))
+    run = run_record_streams(spark, [StreamSource("s", f"{tmp_dir}/in")], RecordFlow().deduplicate("d", "k"),
+                             f"{tmp_dir}/out", f"{tmp_dir}/ckpt", processing_time="1 second", timeout_s=120,
+                             stop_when_idle=True)
+    assert run.metrics.records_read == 19 and run.metrics.records_written == 10 and run.metrics.batches_processed == 2
