@@ -22,13 +22,15 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import ROUND_HALF_UP, Decimal
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import scratch_path
+
 RULES = ("not_null", "regex", "greater_than", "less_than_or_equal", "unique")
 SEVERITIES = ("critical", "warning")
 CHECK_COL = "_quality_check"
@@ -54,7 +56,7 @@ class QualityCheck:
 
     def __post_init__(self):
         if self.rule not in RULES:
-            raise ValueError(f"Unknown quality rule: {self.rule}")
+            raise ValueError(f"check {self.name!r} has rule {self.rule!r}; the rules are {', '.join(RULES)}")
         if self.severity not in SEVERITIES:
             raise ValueError(f"Unknown severity: {self.severity}")
 
@@ -122,7 +124,30 @@ class Validation:
     checks: list[QualityCheck]
     status: dict[str, str]
     count_exprs: list[Column]
-    duplicates: list[DataFrame]
+    flags: dict[int, str]
+    stamp: Column
+    counted: dict[str, int] | None = None
+
+    @property
+    def duplicates(self) -> list[DataFrame]:
+        """One row for each unique check: its duplicated keys among the rows left at its position."""
+        out = []
+        for pos, chk in enumerate(self.checks, start=1):
+            if chk.rule == "unique" and self.status[chk.name] == "ok":
+                left = (self.flagged.filter(~_removed_before(pos, self.checks, self.flags)).groupBy(chk.column)
+                        .agg(F.count(F.lit(1)).alias("n")))
+                out.append(left.agg(F.count_if(F.col("n") > 1).alias(f"failing_{pos}")))
+        return out
+
+    def stored(self) -> "Validation":
+        """The same over a scratch table, written once with the rows of each failed check apart; the
+        counts of the row checks are observed on that write."""
+        spark, path, seen = self.flagged.sparkSession, scratch_path(self.flagged.sparkSession, "validated"), \
+            Observation("validated")
+        (self.flagged.observe(seen, *self.count_exprs).write.partitionBy(CHECK_COL).parquet(path))
+        flagged = spark.read.schema(self.flagged.schema).parquet(path)
+        clean, quarantine = _apart(flagged, self.flags.values(), self.stamp)
+        return replace(self, flagged=flagged, clean=clean, quarantine=quarantine, counted=dict(seen.get))
 
     @property
     def has_unique(self) -> bool:
@@ -155,7 +180,10 @@ class Validation:
 
     def report(self) -> list[dict]:
         """The report as dicts in check order."""
-        counts = self.totals.first().asDict()
+        if self.counted is None:
+            counts = self.totals.first().asDict()
+        else:
+            counts = self.counted | (_one_row(self.duplicates).first().asDict() if self.has_unique else {})
         total = int(counts["total_rows"])
         out = []
         for pos, chk in enumerate(self.checks, start=1):
@@ -214,21 +242,11 @@ def run_checks(df: DataFrame, checks: Iterable[QualityCheck | Mapping[str, objec
             flag_exprs[flags[pos]] = F.coalesce(chk.failing(df, as_of), F.lit(False))
     flagged = df.withColumns(flag_exprs) if flag_exprs else df
 
-    def removed_before(pos: int) -> Column:
-        return _any([F.col(flags[j]) for j, c in enumerate(checks, start=1)
-                     if j < pos and j in flags and c.severity == "critical"])
-
     count_exprs = [F.count(F.lit(1)).alias("total_rows")]
     for pos, chk in enumerate(checks, start=1):
         if status[chk.name] == "ok" and chk.is_row_check:
-            count_exprs.append(F.count_if(F.col(flags[pos]) & ~removed_before(pos))
+            count_exprs.append(F.count_if(F.col(flags[pos]) & ~_removed_before(pos, checks, flags))
                                .alias(f"failing_{pos}"))
-    duplicates = []
-    for pos, chk in enumerate(checks, start=1):
-        if chk.rule == "unique" and status[chk.name] == "ok":
-            left = flagged.filter(~removed_before(pos)).groupBy(chk.column).agg(F.count(F.lit(1)).alias("n"))
-            duplicates.append(left.agg(F.count_if(F.col("n") > 1).alias(f"failing_{pos}")))
-
     critical = [(flags[p], c.name) for p, c in enumerate(checks, start=1)
                 if p in flags and c.severity == "critical"]
     tag = F.coalesce(*[F.when(F.col(f), F.lit(n)) for f, n in critical]) if critical \
@@ -240,12 +258,20 @@ def run_checks(df: DataFrame, checks: Iterable[QualityCheck | Mapping[str, objec
         names = F.array(*[F.when(F.col(f), F.lit(n)) for f, n in warn]) if warn \
             else F.array().cast("array<string>")
         flagged = flagged.withColumn("_warnings", F.filter(names, lambda x: x.isNotNull()))
-    helper = list(flag_exprs)
-    ts = F.current_timestamp() if run_ts is None else F.lit(str(run_ts)).cast("timestamp")
-    clean = flagged.filter(F.col(CHECK_COL).isNull()).drop(CHECK_COL, *helper)
-    quarantine = (flagged.filter(F.col(CHECK_COL).isNotNull()).drop(*helper)
-                  .withColumn(QUARANTINE_TS, ts))
-    return Validation(flagged, clean, quarantine, checks, status, count_exprs, duplicates)
+    stamp = F.current_timestamp() if run_ts is None else F.lit(str(run_ts)).cast("timestamp")
+    clean, quarantine = _apart(flagged, flags.values(), stamp)
+    return Validation(flagged, clean, quarantine, checks, status, count_exprs, flags, stamp)
+
+
+def _removed_before(pos: int, checks: Sequence[QualityCheck], flags: Mapping[int, str]) -> Column:
+    return _any([F.col(flags[j]) for j, c in enumerate(checks, start=1)
+                 if j < pos and j in flags and c.severity == "critical"])
+
+
+def _apart(flagged: DataFrame, flags: Iterable[str], stamp: Column) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, quarantined rows with their check and time)."""
+    clean = flagged.filter(F.col(CHECK_COL).isNull()).drop(CHECK_COL, *flags)
+    return clean, (flagged.filter(F.col(CHECK_COL).isNotNull()).drop(*flags).withColumn(QUARANTINE_TS, stamp))
 
 
 def _one_row(parts: list[DataFrame]) -> DataFrame:
@@ -278,13 +304,18 @@ class QualityEngine:
                           as_of=self.as_of)
 
     def validate(self, df: DataFrame, source_name: str = "unknown",
-                 table: str | None = None) -> tuple[DataFrame, list[dict]]:
+                 table: str | None = None, store: bool = False) -> tuple[DataFrame, list[dict]]:
         """Run the checks; write quarantined rows; maybe raise; return clean rows.
 
         The report reads the columns of the checks; the quarantine write is a
         scan of its own, rebalanced by check so that few rows make few files.
+        With ``store`` the input is computed once: one write to a scratch table, apart by
+        failed check, counts the report's rows on the way; quarantine, unique checks and
+        clean rows read that. For inputs that are costly or have several readers.
         """
         v = self.plan(df, table or source_name)
+        if store:
+            v = v.stored()
         if self.quarantine_path and v.can_remove:
             (v.quarantine.hint("rebalance", CHECK_COL).write.mode("append").partitionBy(CHECK_COL)
              .parquet(f"{str(self.quarantine_path).rstrip('/')}/{source_name}/"))

@@ -65,3 +65,29 @@ def daily_summary_by_region(events: DataFrame, customers: DataFrame,
             .agg(F.sum("__events").alias("event_count"),
                  distinct(key).alias("unique_customers"),
                  distinct(session_col).alias("unique_sessions")))
+
+
+def daily_sketches(events: DataFrame, customers: DataFrame, ts_col: str = "event_timestamp",
+                   key: str = "customer_id", session_col: str = "session_id", region: str = "region",
+                   unique: bool = False, lg_k: int = 12) -> DataFrame:
+    """The daily summary with mergeable distinct counts: per (event_date, event_type, region) the
+    number of events and HyperLogLog sketches of customers and sessions.
+
+    Unlike counts, sketches of days add up (``merge_sketches``), so a week or a month needs
+    no second look at the events. Size per row: at most 2**lg_k bytes or so a sketch.
+    """
+    joined = with_region(events, customers, key, region, unique)
+    return (joined.withColumn("event_date", F.to_date(F.col(ts_col)))
+            .groupBy("event_date", "event_type", region)
+            .agg(F.count(F.lit(1)).alias("event_count"),
+                 F.hll_sketch_agg(F.col(key).cast("string"), lg_k).alias("customers"),
+                 F.hll_sketch_agg(F.col(session_col).cast("string"), lg_k).alias("sessions")))
+
+
+def merge_sketches(sketches: DataFrame, *by) -> DataFrame:
+    """Events, estimated distinct customers and sessions per ``by`` (columns of ``daily_sketches``
+    or expressions of them, e.g. the month); no ``by``: of all."""
+    return sketches.groupBy(*by).agg(
+        F.sum("event_count").alias("event_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("unique_customers"),
+        F.hll_sketch_estimate(F.hll_union_agg("sessions")).alias("unique_sessions"))

@@ -10,9 +10,10 @@ a failed write never blocks the next. One writer per table.
 
 Partitioned fact tables change by Spark's dynamic partition overwrite: the new
 rows are staged in the shared folder, then replace their partitions (NULL ones
-too) in the newest version's folder. Such changes have no version of their own:
-time travel covers appends and overwrites. Several open appends are first
-folded into one snapshot. A merge ``within_partitions`` reads only the
+too) in the newest version's folder. Such changes have no version of their own, but
+are counted in its metadata: a version changed in place can't be asked for by number any
+more, and ``read_changes`` gives its readers the whole table again. Several open appends are
+first folded into one snapshot. A merge ``within_partitions`` reads only the
 partitions the source touches and those that hold one of its keys today, as a
 frame joined NULL-safely. Whole-table merges write a new snapshot, which suits
 dimension tables. Spark keeps the empty string of a text partition column as
@@ -124,6 +125,9 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     start = snaps[-1].number if snaps else upto[0].number
     parts = [v for v in upto if v.number >= start]
     meta = _meta(spark, path, target)
+    if version is not None and any(_meta(spark, path, v.number).get("in_place") for v in parts):
+        raise ValueError(f"version {version} of {path} was changed in place (partition overwrite): "
+                         "only the current state can be read")
     dirs = [f"{_version_dir(path, v.number)}/{KIND_DIR}={v.kind}" for v in parts]
     reader = spark.read.option("basePath", path.rstrip("/"))
     if meta.get("schema"):
@@ -156,34 +160,39 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
     return done[-1].number if done else None
 
 
-def read_changes(spark: SparkSession, path: str,
-                 after: int | None) -> tuple[DataFrame | None, int | None, bool]:
-    """Rows added after version ``after``: (frame, newest version, full).
+def read_changes(spark: SparkSession, path: str, after: int | Sequence[int] | None
+                 ) -> tuple[DataFrame | None, int | list[int] | None, bool]:
+    """Rows added after state ``after``: (frame, newest state, full).
 
-    When every newer version is an append, only those folders are read; if
-    a newer version rewrote the table, or ``after`` is None, the whole current table is returned with ``full=True``. The frame
-    is None when nothing is new.
+    A state is a version number, or [version, changes in place] once a partition
+    overwrite has changed that version. When every newer version is an append, only those
+    folders are read; if a newer version rewrote the table, partitions were
+    overwritten since, or ``after`` is None, the whole current table is returned
+    with ``full=True``. The frame is None when nothing is new.
     """
     done = [v for v in versions(spark, path) if v.done]
     if not done:
         return None, None, False
     latest = done[-1].number
+    meta = _meta(spark, path, latest)
+    state = [latest, meta["in_place"]] if meta.get("in_place") else latest
     if after is None:
-        return read_version(spark, path), latest, True
-    newer = [v for v in done if v.number > after]
+        return read_version(spark, path), state, True
+    number, changes = (after, 0) if isinstance(after, int) else after
+    newer = [v for v in done if v.number > number]
+    if _meta(spark, path, number).get("in_place", 0) != changes or any(
+            v.kind != "append" or _meta(spark, path, v.number).get("in_place") for v in newer):
+        return read_version(spark, path), state, True
     if not newer:
-        return None, latest, False
-    if any(v.kind != "append" for v in newer):
-        return read_version(spark, path), latest, True
-    meta = _meta(spark, path, latest)
+        return None, state, False
     dirs = [f"{_version_dir(path, v.number)}/{KIND_DIR}={v.kind}" for v in newer]
     reader = spark.read.option("basePath", path.rstrip("/"))
     if meta.get("schema"):
         schema = T.StructType.fromJson(meta["schema"])
         full = T.StructType(schema.fields + [T.StructField(VERSION_DIR, T.IntegerType()),
                                              T.StructField(KIND_DIR, T.StringType())])
-        return reader.schema(full).parquet(*dirs).select(*schema.fieldNames()), latest, False
-    return reader.parquet(*dirs).drop(VERSION_DIR, KIND_DIR), latest, False
+        return reader.schema(full).parquet(*dirs).select(*schema.fieldNames()), state, False
+    return reader.parquet(*dirs).drop(VERSION_DIR, KIND_DIR), state, False
 
 
 def history(spark: SparkSession, path: str) -> list[dict]:
@@ -274,7 +283,7 @@ def _live_folder(spark: SparkSession, path: str, partition_by: Sequence[str]) ->
     done = [v for v in versions(spark, path) if v.done]
     if len(done) > 1 and done[-1].kind == "append" or not done:
         meta = {k: v for k, v in latest_meta(spark, path).items()
-                if k not in ("schema", "partition_by", "kind")}
+                if k not in ("schema", "partition_by", "kind", "in_place")}
         n = _write(read_version(spark, path), path, "snapshot", partition_by, extra_meta=meta)["version"]
         return f"{_version_dir(path, n)}/{KIND_DIR}=snapshot", n
     last = done[-1]
@@ -292,6 +301,12 @@ def _drop_partitions(spark: SparkSession, folder: str, values: DataFrame) -> int
     return n
 
 
+def _count_change(spark: SparkSession, path: str, n: int, meta: dict) -> None:
+    known = _meta(spark, path, n)
+    _write_text(spark, f"{_version_dir(path, n)}/{SCHEMA_FILE}", json.dumps(
+        {**known, **meta, "in_place": known.get("in_place", 0) + 1}, default=str))
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, *,
                          within: DataFrame | None = None, extra_metrics: Sequence[Column] = (),
                          meta: dict | None = None) -> dict:
@@ -320,16 +335,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] |
     observed.drop(ACTION).write.parquet(staged_path)
     staged = spark.read.schema(df.drop(ACTION).schema).parquet(staged_path)
     folder, n = _live_folder(spark, path, partition_by)
+    # counted before and after: a reader in between, or a crash, is followed by another full read
+    _count_change(spark, path, n, {})
     (staged.hint("rebalance", *partition_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(folder))
     if within is not None:
         filled = staged.select(*partition_by).distinct()
         empty = within.join(filled, _same(within, filled, partition_by), "left_anti")
         _drop_partitions(spark, folder, empty.select(*[F.col(c).cast("string") for c in partition_by]))
-    if meta:
-        known = _meta(spark, path, n)
-        _write_text(spark, f"{_version_dir(path, n)}/{SCHEMA_FILE}",
-                    json.dumps({**known, **meta}, default=str))
+    _count_change(spark, path, n, meta or {})
     metrics = {k: int(v) if v is not None else 0 for k, v in obs.get.items()}
     return {**metrics, "mode": "overwrite_partitions", "path": path, "version": n}
 
@@ -414,7 +428,7 @@ def merge_upsert(source: DataFrame, path: str, key: str,
                  partition_by: Sequence[str] | None = None,
                  delete_unmatched: bool = False, check_unique: bool = True,
                  within_partitions: bool = False, meta: dict | None = None,
-                 newer: Sequence[str] = ()) -> dict:
+                 newer: Sequence[str] = (), touched: DataFrame | None = None) -> dict:
     """Upsert ``source`` into the table at ``path`` on ``key``.
 
     A missing table is created from the source (keeping ``partition_by``).
@@ -424,7 +438,8 @@ def merge_upsert(source: DataFrame, path: str, key: str,
     ``within_partitions`` limits the merge to the partitions the source
     touches and those that hold one of its keys now (found from the key and
     partition columns), so a row whose partition changes moves. Only those are
-    read and replaced; a partition left without rows is deleted. ``newer``: see
+    read and replaced; a partition left without rows is deleted. A caller that needs
+    these partitions too passes them as ``touched`` (see ``touched_partitions``). ``newer``: see
     ``merge_frames``. ``meta`` is stored with the version (e.g. the source
     version read).
     """
@@ -434,7 +449,7 @@ def merge_upsert(source: DataFrame, path: str, key: str,
     if not table_exists(spark, path):
         res = _write(source, path, "snapshot", partition_by, extra_meta=meta)
         return {"rows_inserted": res["rows_written"], "rows_updated": 0, "rows_deleted": 0,
-                "mode": "merge (initial write)", "path": path, "version": res["version"]}
+                "rows_written": res["rows_written"], "mode": "merge (initial write)", "path": path, "version": res["version"]}
     parts = list(partition_by or _partitioning(spark, path))
     metrics = [F.count_if(F.col(ACTION) == "updated").alias("rows_updated"),
                F.count_if(F.col(ACTION) == "inserted").alias("rows_inserted")]
@@ -443,10 +458,9 @@ def merge_upsert(source: DataFrame, path: str, key: str,
         if not parts:
             raise ValueError("within_partitions needs a partitioned table")
         source = _null_partitions(source, parts)
-        touched = _touched_partitions(target, source, key, parts)
-        held = _prune(target, touched, parts[0])
-        held = held.join(touched, _same(held, touched, parts), "left_semi")
-        merged = merge_frames(held, source, key, columns, delete_unmatched, newer)
+        if touched is None:
+            touched = touched_partitions(target, source, key, parts)
+        merged = merge_frames(in_partitions(target, touched), source, key, columns, delete_unmatched, newer)
         res = overwrite_partitions(merged, path, parts, within=touched, extra_metrics=metrics, meta=meta)
         mode = "merge (partitions)"
     else:
@@ -458,9 +472,10 @@ def merge_upsert(source: DataFrame, path: str, key: str,
             "path": path, "version": res["version"]}
 
 
-def _touched_partitions(target: DataFrame, source: DataFrame, key: str,
-                        parts: Sequence[str]) -> DataFrame:
+def touched_partitions(target: DataFrame, source: DataFrame, key: str,
+                       parts: Sequence[str]) -> DataFrame:
     """Partition values of the source's rows and of the stored rows with its keys, as a written frame."""
+    source = _null_partitions(source, parts)
     keys = source.select(F.col(key).alias("__key")).filter("__key is not null").distinct()
     stored = target.select(key, *parts)
     old = stored.join(keys, stored[key] == keys["__key"], "left_semi").select(*parts)
@@ -475,6 +490,12 @@ def _touched_partitions(target: DataFrame, source: DataFrame, key: str,
 PRUNE_VALUES = 1000
 
 
+def in_partitions(table: DataFrame, values: DataFrame) -> DataFrame:
+    """The rows of ``table`` in the partitions that ``values`` (a written frame) lists, NULL-safely."""
+    held = _prune(table, values, values.columns[0])
+    return held.join(values, _same(held, values, values.columns), "left_semi")
+
+
 def _prune(df: DataFrame, touched: DataFrame, col: str) -> DataFrame:
     """``df`` without partitions that can't match: a literal filter for the scan where ``touched``
     has few values of its first column. The join that follows decides; this only saves reading."""

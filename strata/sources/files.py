@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import scratch_path
+
 CORRUPT = "_corrupt_record"
 
 #: options of a JSON source that concern the files, not the parsing
@@ -104,6 +106,19 @@ def read_source(spark: SparkSession, cfg: Mapping[str, object],
     return reader.load(path)
 
 
+def staged_split(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame | None]:
+    """``split_corrupt`` for frames that are both written: the input is read and parsed once, into
+    a scratch table with clean and corrupt rows apart, and each part reads its own files."""
+    if corrupt_col not in df.columns:
+        return df, None
+    mark = "__corrupt"
+    marked = df.withColumn(mark, F.col(corrupt_col).isNotNull())
+    path = scratch_path(df.sparkSession, "parsed")
+    marked.write.partitionBy(mark).parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    return (stored.filter(~F.col(mark)).drop(mark, corrupt_col), stored.filter(F.col(mark)).drop(mark))
+
+
 def split_corrupt(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame | None]:
     """(clean rows without the corrupt column, corrupt rows); (df, None) when
     the frame has no such column."""

@@ -208,3 +208,31 @@ def test_pass_rate_rounds_half_up_in_both_forms(spark):
                                           "rule": "greater_than", "value": 0}])
     assert v.report()[0]["pass_rate"] == 99.63
     assert v.report_frame().first().pass_rate == 99.63
+
+
+def test_stored_validation_reads_its_input_once(spark, tmp_path):
+    """Same report, clean rows and quarantine; the input is computed by one job."""
+    rows = [(i, "" if i % 5 == 0 else "x", None if i % 7 == 0 else float(i), i % 10) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, s string, amount double, k int").repartition(3)
+    runs = spark.sparkContext.accumulator(0)
+    checks = [{"name": "amount known", "column": "amount", "rule": "not_null", "severity": "critical"},
+              {"name": "s/filled", "column": "s", "rule": "regex", "pattern": "x", "severity": "critical"},
+              {"name": "k_once", "column": "k", "rule": "unique"},
+              {"name": "small", "column": "amount", "rule": "less_than_or_equal", "value": 100},
+              {"name": "id_once", "column": "id", "rule": "unique"}]
+
+    def counted(it):
+        for b in it:
+            runs.add(b.num_rows)
+            yield b
+
+    results = []
+    for store in (False, True):
+        engine = QualityEngine({"checks": checks, "quarantine_path": str(tmp_path / f"q{store}")})
+        runs.value = 0
+        clean, report = engine.validate(df.mapInArrow(counted, df.schema), "t", store=store)
+        kept = sorted(r.id for r in clean.collect())
+        bad = sorted((r.id, r._quality_check) for r in spark.read.parquet(str(tmp_path / f"q{store}" / "t")).collect())
+        results.append((report, kept, bad, clean.columns))
+    assert results[0] == results[1] and runs.value == 200
+    assert len(results[0][2]) == 63

@@ -142,8 +142,9 @@ def test_partition_overwrite_in_place_and_appends(spark, tmp_dir):
     res = tables.overwrite_partitions(spark.createDataFrame([(4, "d", None), (5, "e", "EU")], S), p)
     assert res["version"] == 0 and res["rows_written"] == 2
     tables.write_table(spark.createDataFrame([(6, "f", "EU")], S), p, "append")
-    assert _rows(tables.read_version(spark, p, 0)) == _sorted([(3, "c", "AS"), (4, "d", None),
-                                                              (5, "e", "EU")])
+    for changed in (0, 1):  # version 0 is not what it was, and version 1 builds on it
+        with pytest.raises(ValueError, match="in place"):
+            tables.read_version(spark, p, changed)
     latest = tables.read_version(spark, p)
     assert _rows(latest) == _sorted([(3, "c", "AS"), (4, "d", None), (5, "e", "EU"), (6, "f", "EU")])
     before = _rows(latest)
@@ -298,3 +299,24 @@ def test_compaction_looks_at_each_partition(spark, tmp_dir):
         tables.write_table(spark.createDataFrame([(-i, "n", "EU")], S), p, "append")
     assert tables.compact(spark, p, "1mb")["mode"] == "compact"
     assert tables.read_version(spark, p).count() == 400_004
+
+
+def test_changes_in_place_are_seen_and_have_no_version(spark, tmp_dir):
+    """A partition overwrite: readers of changes get the table again, old numbers are refused."""
+    path = f"{tmp_dir}/t"
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "k int, p string")
+    tables.write_table(df, path, "overwrite", ["p"])
+    _, state, full = tables.read_changes(spark, path, None)
+    assert (state, full) == (0, True) and tables.read_changes(spark, path, state)[0] is None
+    tables.overwrite_partitions(spark.createDataFrame([(9, "a")], "k int, p string"), path)
+    rows, later, full = tables.read_changes(spark, path, state)
+    assert full and later == [0, 2] and sorted(r.k for r in rows.collect()) == [3, 9]
+    assert tables.read_changes(spark, path, later)[0] is None
+    with pytest.raises(ValueError, match="in place"):
+        tables.read_version(spark, path, 0)
+    tables.write_table(spark.createDataFrame([(5, "c")], "k int, p string"), path, "append")
+    rows, last, full = tables.read_changes(spark, path, later)
+    assert (full, last) == (False, 1) and [r.k for r in rows.collect()] == [5]
+    assert sorted(r.k for r in tables.read_version(spark, path).collect()) == [3, 5, 9]
+    tables.merge_upsert(spark.createDataFrame([(3, "a")], "k int, p string"), path, "k", within_partitions=True)
+    assert tables.read_changes(spark, path, last)[2] is True
