@@ -1016,7 +1016,7 @@ def merge_within_partitions_nulls(spark: SparkSession, sf_dir: str) -> DataFrame
 # --- silver across deliveries ------------------------------------------------------
 
 
-def _run_deliveries(spark: SparkSession, sf_dir: str) -> dict:
+def _run_deliveries(spark: SparkSession, sf_dir: str, layers=("bronze", "silver")) -> dict:
     """Two runs. The first delivery has every event, half of them as a later correction
     (type upper-cased, two days on); the second has the original of those (stale), a
     one-day correction of every seventh event, and the even events again."""
@@ -1041,7 +1041,7 @@ def _run_deliveries(spark: SparkSession, sf_dir: str) -> dict:
         if n:  # the other sources bring nothing new
             for name in ("raw_customers", "raw_transactions"):
                 config["sources"][name]["path"] = None
-        result = lakehouse.run(spark, config, ("bronze", "silver"), as_of=CLV_AS_OF, ingested_at=JOB_INGESTED_AT)
+        result = lakehouse.run(spark, config, layers, as_of=CLV_AS_OF, ingested_at=JOB_INGESTED_AT)
         if result["status"] != "success":
             raise RuntimeError(f"lakehouse run failed: {result}")
     return config
@@ -1074,12 +1074,17 @@ def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
        (SELECT count(*) + count_if(event_type = 'signup') FROM events) AS rows_written
 UNION ALL SELECT 'raw_customers', 'bronze', (SELECT count(*) FROM customer)
 UNION ALL SELECT 'raw_transactions', 'bronze', (SELECT count(*) FROM orders)
+UNION ALL SELECT 'events', 'silver', (SELECT count(*) FROM events WHERE user_id IS NOT NULL)
+UNION ALL SELECT 'customers', 'silver', (SELECT count(*) FROM customer WHERE c_custkey IS NOT NULL)
+UNION ALL SELECT 'transactions', 'silver',
+  (SELECT count(*) FROM ({ORDERS_SQL}) WHERE customer_id IS NOT NULL AND amount > 0)
 UNION ALL SELECT 'daily_summary', 'gold', (SELECT count(*) FROM ({DAILY_SQL}))""")
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows each write of a run reports (bronze and the gold summary)."""
+    """Rows each write of a run reports."""
     result = lakehouse.run(spark, job_config(spark, sf_dir), as_of=CLV_AS_OF, ingested_at=JOB_INGESTED_AT)["layers"]
     rows = [(name, layer, result[layer][name]["rows_written"]) for layer, name in (
-        ("bronze", "raw_events"), ("bronze", "raw_customers"), ("bronze", "raw_transactions"), ("gold", "daily_summary"))]
+        ("bronze", "raw_events"), ("bronze", "raw_customers"), ("bronze", "raw_transactions"),
+        ("silver", "events"), ("silver", "customers"), ("silver", "transactions"), ("gold", "daily_summary"))]
     return spark.createDataFrame(rows, "name string, layer string, rows_written long")
 
 
@@ -1241,3 +1246,6 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
             first = tables.staged(parts[0], "resume_first")
     old = first.select("user_id", F.lit(1).alias("run"))
     return parts[1].join(old, "user_id", "left").withColumn("run", F.coalesce("run", F.lit(2)))
+
+
+from strata.plans import catalog_runs  # noqa: E402,F401  registers its queries here
