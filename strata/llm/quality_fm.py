@@ -15,7 +15,7 @@ All else covers whole texts. Labels, language, source and id are never inputs.
 
 Null and empty texts have no words and statistics of zero, and get the score
 that follows. Without labels every score is 0.5. Rows of several labels count
-with each; null labels are ignored; a null id counts as held out. Other columns
+with each, rows that share an id (repeated ones too) with one text; null labels are ignored; a null id counts as held out. Other columns
 are ignored.
 """
 
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import text as tx
 from strata.llm.columns import rows_to_struct, text_column
+from strata.llm.store import written
 from strata.llm.langid import is_held_out
 
 WORDS = 1 << 14
@@ -193,8 +194,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_do
     known = (labels.filter(~is_held_out(F.col("doc_id"))).filter(F.col(label).isin(0, 1))
              .select(F.col("doc_id").alias("id"), F.col(label).alias("y"), F.xxhash64("doc_id", F.lit(3)).alias("rank")))
     some = [known.filter(F.col("y") == y).orderBy("rank").limit(sample_docs) for y in (0, 1)]
-    picked = F.broadcast(some[0].unionByName(some[1]))  # 2 * sample_docs rows at most
-    rows = (docs.select(F.col("doc_id").alias("id"), F.col("text")).join(picked, "id")
+    picked = F.broadcast(some[0].unionByName(some[1]).distinct())  # 2 * sample_docs rows at most
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text"), F.xxhash64("text").alias("h"))
+    # of rows that share an id one text is learned from, the one with the least hash
+    chosen = written(texts.join(picked, "id").groupBy("id", "rank", "y").agg(F.min("h").alias("h")), "quality-sample")
+    rows = (texts.join(F.broadcast(chosen), ["id", "h"]).dropDuplicates(["id", "y"])
             .select("rank", "y", features_column(F.col("text")).alias("f")).collect())
     rows.sort(key=lambda r: (r["rank"], r.y, len(r.f["index"])))
     y = np.array([r.y for r in rows])
