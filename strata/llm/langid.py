@@ -3,18 +3,20 @@
 Every byte position gets a probability for each language from two gated
 recurrent passes, one from either side; a document's probabilities are the mean
 over its positions that can be letters (ASCII letters and bytes of non-ASCII
-characters). The recurrent state starts afresh at white space and after
-``WIDTH`` bytes, so a position's probabilities depend on its word alone: words
-seen before are looked up, and equal words always get equal labels.
+characters). The state runs on over words, spaces and punctuation: a text is read in
+windows of WINDOW bytes that overlap, cut between characters, so that every position is
+labelled once, with CONTEXT bytes or more before and after it (less only at the
+ends of the text, where spaces follow). Windows of one length are read together.
 
 The network is trained in numpy by backpropagation through time on a bounded
 sample: at most ``sample_docs`` documents per language, the first by a hash of
-the id, and of each a window of at most ``sample_chars`` characters. All else
-covers whole texts.
+the id; of each a piece of at most ``sample_chars`` characters; of these
+``windows_per_lang`` windows of TRAIN bytes per language. All else covers whole texts.
 
 Null texts and texts without a letter are ``und`` with score 0, as is
 everything when there is nothing to learn from. Rows with a null id or language
-are not learned from, and a null id counts as held out. Ties go to the language
+are not learned from, and a null id counts as held out; of rows that share an id and a
+language one is learned from, repeated rows like any. Ties go to the language
 first in sorted order. Other columns are ignored.
 """
 
@@ -32,16 +34,13 @@ from strata.llm import text as tx
 from strata.llm.columns import rows_to_struct, text_column
 from strata.llm.store import broadcast_if_small, written
 
-#: bytes of a word read in one go
-WIDTH = 32
+#: bytes of a window, bytes of context on either side of the positions it labels, bytes of a
+#: window in training, unit of the lengths that are read together
+WINDOW, CONTEXT, TRAIN, STEP = 284, 24, 64, 32
 LETTER = tx.byte_class(bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)))
 LANG = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 @dataclass
 class BiGru:
     """``params``: per direction an input table e (256, 3h) and weights u (h, 3h); output w (2h, c), b (c)."""
@@ -72,13 +71,20 @@ class BiGru:
         out, trace = np.empty((*x.shape, h), np.float32), []
         for t in range(len(x)):
             a, g = e[x[t]], state @ u
-            zr = _sigmoid(a[:, :2 * h] + g[:, :2 * h])
+            zr = a[:, :2 * h]
+            zr += g[:, :2 * h]
+            np.exp(np.negative(zr, out=zr), out=zr)  # the sigmoid, in place
+            zr += 1
+            np.reciprocal(zr, out=zr)
             z, r = zr[:, :h], zr[:, h:]
-            n = np.tanh(a[:, 2 * h:] + r * g[:, 2 * h:])
+            n = r * g[:, 2 * h:]
+            n += a[:, 2 * h:]
+            np.tanh(n, out=n)
             if keep:
                 trace.append((state, z, r, n, g[:, 2 * h:]))
-            state = n + z * (state - n)
-            out[t] = state
+            state = np.subtract(state, n, out=out[t])
+            state *= z
+            state += n
         return out, trace
 
     def _back(self, d: str, x: np.ndarray, trace: list, grad: np.ndarray, into: dict) -> None:
@@ -99,11 +105,45 @@ class BiGru:
             carry = s * z + da @ u.T
         into["e" + d], into["u" + d] = e_grad, u_grad
 
+    def _states(self, d: str, x: np.ndarray) -> np.ndarray:
+        """The states of ``_pass``, as (length, h, batch): gates lie side by side in memory."""
+        e, u = np.ascontiguousarray(self.params["e" + d].T), np.ascontiguousarray(self.params["u" + d].T)
+        h = u.shape[1]
+        state = np.zeros((h, x.shape[1]), np.float32)
+        out, g = np.empty((len(x), h, x.shape[1]), np.float32), np.empty((3 * h, x.shape[1]), np.float32)
+        for t in range(len(x)):
+            a = np.take(e, x[t], axis=1)
+            np.matmul(u, state, out=g)
+            zr, n = a[:2 * h], a[2 * h:]
+            zr += g[:2 * h]
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            r = g[2 * h:]
+            r *= zr[h:]
+            n += r
+            np.tanh(n, out=n)
+            state = np.subtract(state, n, out=out[t])
+            state *= zr[:h]
+            state += n
+        return out
+
+    def labels(self, x: np.ndarray) -> np.ndarray:
+        """(length, languages, batch): probabilities of bytes x (length, batch)."""
+        w = np.ascontiguousarray(self.params["w"].T)
+        h = w.shape[1] // 2
+        p = np.matmul(w[:, :h], self._states("f", x))
+        p += np.matmul(w[:, h:], self._states("b", x[::-1])[::-1])
+        p += self.params["b"][:, None]
+        p -= p.max(1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(1, keepdims=True)
+        return p
+
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         """(length, batch, languages) of bytes x (length, batch)."""
-        forward, _ = self._pass("f", x)
-        backward, _ = self._pass("b", x[::-1])
-        return _softmax(np.concatenate([forward, backward[::-1]], 2) @ self.params["w"] + self.params["b"])
+        return self.labels(x).transpose(0, 2, 1)
 
     def step(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the mean cross entropy over letter positions."""
@@ -126,50 +166,69 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(-1, keepdims=True)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words (runs without white space) in pieces of at most WIDTH bytes."""
-    a, z = tx.spans(tx.NOT_SPACE[data], offsets)
-    n = -(-(z - a) // WIDTH)
-    if len(n) and n.max() > 1:
-        first = np.repeat(np.cumsum(n) - n, n)
-        step = np.arange(int(n.sum())) - first
-        a, z = np.repeat(a, n) + step * WIDTH, np.repeat(z, n)
-        z = np.minimum(z, a + WIDTH)
-    return a, z
+def windows(data: np.ndarray, offsets: np.ndarray, width: int = WINDOW, context: int = CONTEXT
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows over the rows of UTF-8 bytes: (row, start, end, first and last + 1 position to label).
+
+    The positions to label follow one another and cover each row. Edges stand between characters,
+    so a window can be up to three bytes longer or shorter than ``width``.
+    """
+    size = np.diff(offsets)
+    core = width - 2 * context
+    n = np.where(size <= width, np.minimum(size, 1), -(-size // core))
+    row = np.repeat(np.arange(len(size)), n)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    base, top = offsets[:-1][row], offsets[1:][row]
+    short = size[row] <= width
+    first = base + k * core
+    last = np.where(short, top, np.minimum(first + core, top))
+    start = np.where(short, base, np.clip(first - context, base, np.maximum(base, top - width)))
+    end = np.minimum(start + width, top)
+    inside = np.append((data & 0xC0) == 0x80, False)
+    out = []
+    for edge in (start, end, first, last):
+        for _ in range(3):
+            edge = edge + (inside[edge] & (edge < top) & (edge > base))
+        out.append(edge)
+    return row, *out
 
 
 def _by_length(data: np.ndarray, a: np.ndarray, z: np.ndarray, batch: int):
-    """Words of one length at a time: (their indexes, bytes as (length, batch))."""
-    n = z - a
+    """Windows of one length at a time: (their indexes, bytes as (length, batch)). Spaces fill them up to
+    a multiple of STEP bytes, so that there are few lengths."""
+    n = -(-(z - a) // STEP) * STEP
     for size in np.unique(n).tolist():
         which = np.flatnonzero(n == size)
         for k in range(0, len(which), batch):
             part = which[k:k + batch]
-            yield part, data[a[part][None, :] + np.arange(size)[:, None]]
+            at = a[part][None, :] + np.arange(size)[:, None]
+            yield part, np.where(at < z[part], data[np.minimum(at, len(data) - 1)], np.uint8(32))
 
 
-def train(texts: list[str], langs: list[str], *, hidden: int = 16, words_per_lang: int = 30_000,
-          epochs: int = 4, batch: int = 256, rate: float = 0.01, seed: int = 7) -> BiGru:
-    """Fits the network on (text, language) pairs: up to ``words_per_lang`` words drawn per language."""
+def train(texts: list[str], langs: list[str], *, hidden: int = 8, windows_per_lang: int = 5000,
+          epochs: int = 3, least_steps: int = 500, batch: int = 96, rate: float = 0.01, seed: int = 7) -> BiGru:
+    """Fits the network on (text, language) pairs: up to ``windows_per_lang`` windows drawn per language,
+    read ``epochs`` times, or more often where that makes fewer than ``least_steps`` steps."""
     names = sorted(set(langs))
     model, rng = BiGru.fresh(names, hidden, seed), np.random.default_rng(seed)
     data, a, z, y = [], [], [], []
     base = 0
     for k, name in enumerate(names):
-        own = np.frombuffer(" ".join(t for t, x in zip(texts, langs) if x == name).encode(), np.uint8)
-        s, e = word_spans(own, np.array([0, len(own)]))
-        pick = rng.permutation(len(s))[:words_per_lang]
-        data.append(tx.LOWER[own])
+        own = [t.encode() for t, x in zip(texts, langs) if x == name]
+        flat = np.frombuffer(b"".join(own), np.uint8)
+        _, s, e, _, _ = windows(flat, np.concatenate([[0], np.cumsum([len(t) for t in own])]), TRAIN, 0)
+        pick = rng.permutation(len(s))[:windows_per_lang]
+        data.append(tx.LOWER[flat])
         a.append(s[pick] + base)
         z.append(e[pick] + base)
         y.append(np.full(len(pick), k))
-        base += len(own)
+        base += len(flat)
     data, a, z, y = (np.concatenate(v) for v in (data, a, z, y))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.params.items()}
     order = rng.permutation(len(a))
     a, z, y = a[order], z[order], y[order]
     batches = list(_by_length(data, a, z, batch))
-    step = 0
+    step, epochs = 0, max(epochs, -(-least_steps // len(batches)))
     for epoch in range(epochs):
         for i in rng.permutation(len(batches)):
             which, x = batches[i]
@@ -184,15 +243,23 @@ def train(texts: list[str], langs: list[str], *, hidden: int = 16, words_per_lan
     return model
 
 
+def position_probabilities(model: BiGru, text: str) -> np.ndarray:
+    """(bytes, languages): the probabilities of every byte of a text."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    out = np.zeros((len(data), len(model.langs)))
+    _, a, z, first, last = windows(data, np.array([0, len(data)]))
+    for which, x in _by_length(tx.LOWER[data], a, z, 1 << 10):
+        p = model.probabilities(x)
+        for j, w in enumerate(which.tolist()):
+            out[first[w]:last[w]] = p[first[w] - a[w]:last[w] - a[w], j]
+    return out
+
+
 def position_labels(model: BiGru, text: str) -> list[str]:
     """The language of each byte of a text; white space is ``und``."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    out = np.full(len(data), -1)
-    a, z = word_spans(data, np.array([0, len(data)]))
-    for which, x in _by_length(tx.LOWER[data], a, z, 1 << 12):
-        at = a[which][None, :] + np.arange(len(x))[:, None]
-        out[at] = model.probabilities(x).argmax(2)
-    return ["und" if k < 0 else model.langs[k] for k in out.tolist()]
+    best = position_probabilities(model, text).argmax(1)
+    space = ~tx.NOT_SPACE[np.frombuffer(text.encode(), np.uint8)]
+    return ["und" if s else model.langs[k] for k, s in zip(best.tolist(), space.tolist())]
 
 
 def language_column(spark: SparkSession, text: Column, model: BiGru | None) -> Column:
@@ -205,30 +272,20 @@ def language_column(spark: SparkSession, text: Column, model: BiGru | None) -> C
 
     def make():
         net = shared.value
-        memo = tx.Memo(len(net.langs) + 1, np.float32, limit=1 << 19)
 
         def one(column: pa.Array) -> pa.Array:
             lang, score = [], []
             for _, _, data, offsets in tx.chunks(column):
                 data = tx.LOWER[data]
-                a, z = word_spans(data, offsets)
-                keys = tx.span_hashes(data, a, z)
-
-                def label(index):
-                    out = np.empty((len(index), len(net.langs) + 1), np.float32)
-                    for which, x in _by_length(data, a[index], z[index], 1 << 12):
-                        letters = LETTER[x]
-                        p = net.probabilities(x)
-                        out[which, :-1] = (p * letters[:, :, None]).sum(0)
-                        out[which, -1] = letters.sum(0)
-                    return out
-
+                row, a, z, first, last = windows(data, offsets)
                 total = np.zeros((len(offsets) - 1, len(net.langs) + 1))
-                first = np.searchsorted(a, offsets)
-                full = np.flatnonzero(np.diff(first))
-                if len(full):
-                    values = memo.values(keys, label).astype(np.float64)
-                    total[full] = np.add.reduceat(values, first[full], axis=0)
+                for which, x in _by_length(data, a, z, 1 << 10):
+                    at = np.arange(len(x))[:, None]
+                    letters = LETTER[x] & (at >= (first - a)[which]) & (at < (last - a)[which])
+                    p = net.labels(x)
+                    p *= letters[:, None, :]
+                    np.add.at(total[:, :-1], row[which], p.sum(0).T)
+                    np.add.at(total[:, -1], row[which], letters.sum(0))
                 best = total[:, :-1].argmax(1)
                 lang.extend(net.langs[k] for k in best.tolist())
                 top = total[np.arange(len(best)), best] / np.maximum(total[:, -1], 1)
@@ -245,7 +302,8 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(True))
 
 
-def fit(docs: DataFrame, *, sample_docs: int = 400, sample_chars: int = 4000) -> BiGru | None:
+def fit(docs: DataFrame, *, sample_docs: int = 400, sample_chars: int = 4000,
+        **options) -> BiGru | None:
     """The network for ``docs`` (doc_id, text, lang); None where nothing can be learned."""
     rank = F.xxhash64(F.col("doc_id"), F.lit(11))
     known = (docs.filter(~is_held_out(F.col("doc_id"))).filter("lang is not null")
@@ -255,11 +313,15 @@ def fit(docs: DataFrame, *, sample_docs: int = 400, sample_chars: int = 4000) ->
     top = (known.select("lang", rank.alias("rank")).distinct()
            .withColumn("k", F.row_number().over(first)).filter(F.col("k") <= sample_docs))
     start = F.lit(1) + F.pmod(F.col("rank"), F.greatest(F.lit(1), F.length("text") - sample_chars)).cast("int")
-    rows = (known.select("lang", rank.alias("rank"), "text")
-            .join(broadcast_if_small(written(top, "languages")), ["lang", "rank"])
+    texts = known.select("lang", rank.alias("rank"), "text", F.xxhash64("text").alias("h"))
+    # of rows that share an id one text is learned from, the one with the least hash
+    chosen = (texts.join(broadcast_if_small(written(top, "languages")), ["lang", "rank"])
+              .groupBy("lang", "rank", "k").agg(F.min("h").alias("h")))
+    rows = (texts.join(broadcast_if_small(written(chosen, "language-texts")), ["lang", "rank", "h"])
+            .dropDuplicates(["lang", "rank"])
             .select("lang", "k", F.col("text").substr(start, F.lit(sample_chars)).alias("part"))
             .orderBy("lang", "k", "part").collect())
-    return train([r.part for r in rows], [r.lang for r in rows]) if rows else None
+    return train([r.part for r in rows], [r.lang for r in rows], **options) if rows else None
 
 
 def identify(docs: DataFrame, model: BiGru | None) -> DataFrame:
