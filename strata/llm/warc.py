@@ -198,9 +198,16 @@ def _read(payloads: bool, gap: int, most: int):
 
 
 def read_records(index: DataFrame, *, payloads: bool = True, gap: int = 64 << 10,
-                 most: int = 4 << 20) -> DataFrame:
-    """Records of the index rows given, in sorted reads of at most ``most`` bytes (or one record)."""
-    return (index.select("archive", "offset", "length").repartition("archive")
+                 most: int = 4 << 20, task_bytes: int = 4 << 20) -> DataFrame:
+    """Records of the index rows given, in sorted reads of at most ``most`` bytes (or one record).
+
+    Index rows are few bytes however many the records have, so the number of tasks follows
+    the records: one for about every ``task_bytes`` of them (compressed), each a range of
+    neighbouring records.
+    """
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = min(100_000, max(1, -(-int(total) // task_bytes)))
+    return (index.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset")
             .sortWithinPartitions("archive", "offset").mapInArrow(_read(payloads, gap, most), RECORD))
 
 

@@ -62,3 +62,19 @@ def test_record_round_trip(payload, url, page):
     assert (r["page_id"], r["url"], r["payload"].encode(), r["payload_digest"]) == (page, url, body, name)
     r = warc.parse_record(warc.record_bytes(page, url, b"", len(body), name, 9, True))
     assert (r["payload_bytes"], r["refers_to"], r["record_type"]) == (len(body), 9, "revisit")
+
+
+def test_reading_is_cut_by_the_bytes_of_records(spark):
+    """Many tasks for an index of few bytes; a payload of some megabytes among them."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from strata.llm import warc
+    pages = [(i, f"http://x/{i}", os.urandom(2000).hex()) for i in range(300)] + [(300, "http://x/long", os.urandom(2 << 20).hex())]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    index = warc.write_archives(frame, warc.new_archive_folder(spark))
+    back = warc.read_records(index, task_bytes=100_000)
+    assert back.rdd.getNumPartitions() > 10
+    got = {r.page_id: r.payload for r in back.select("page_id", F.col("payload")).collect()}
+    assert got == {i: h for i, _, h in pages}
