@@ -17,6 +17,7 @@ from strata.llm.licences import licence_scan
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.phrases import fingerprints
 from strata.llm.pieces import encode_decode, load_model
+from strata.llm.store import written
 from strata.llm.token_counts import length_column, length_histogram, load_ranks, suffix_sums
 from strata.llm.warc import new_archive_folder, read_records, write_archives
 from strata.llm.whitening import whiten
@@ -37,14 +38,23 @@ def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(_table(spark, sf_dir, "documents"), windows=True)
 
 
-def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    frame, spans, text = dedup_lines(docs)
+def _deduplicated(docs: DataFrame, passages: bool) -> DataFrame:
+    frame, spans, text = dedup_lines(docs, passages=passages)
     removed = F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
     return frame.select(docs["doc_id"], F.coalesce(F.size(spans), F.lit(0)).cast("long").alias("n_removed"),
                         F.coalesce(removed, F.lit("")).alias("removed_spans"), text.alias("text"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, sentences and paragraphs, as in the pipeline."""
+    return _deduplicated(_table(spark, sf_dir, "documents"), passages=True)
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines alone, which SQL can express."""
+    return _deduplicated(_table(spark, sf_dir, "documents"), passages=False)
+
+
 OP2_SQL = r"""
 WITH doc AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 cut AS (
@@ -84,7 +94,7 @@ def op5_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     lengths = docs.select(length_column(spark, F.col("text"), load_ranks(BPE_RANKS), BPE_PATTERN).alias("n_tokens"))
-    return suffix_sums(length_histogram(lengths))
+    return suffix_sums(written(length_histogram(lengths), "token-lengths"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,6 +242,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
+    "op2_substring_dedup": op2_substring_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_phrase_fingerprints": op4_phrase_fingerprints,

@@ -230,7 +230,7 @@ def test_leaks_equal_brute_force(spark, edge_docs, no_docs, limit):
 def test_queries_equal_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     got = queries.QUERIES[name](spark, folder)
     want = con.execute(queries.ORACLE[name])
@@ -373,3 +373,85 @@ def test_quality_held_out(spark, edge_docs, no_docs):
     assert len({r.score for r in rows if r.doc_id in (1, 2)}) == 1
     assert quality_fm.fit(no_docs, table) is None
     assert {r.score for r in quality_fm.score_quality(edge_docs, None).collect()} == {0.5}
+
+
+def test_windows_label_every_byte_once_between_characters():
+    import numpy as np
+
+    rng = random.Random(3)
+    texts = ["", "a", "é" * 400, "漢字ภาษา😀" * 90, prose(rng, 900), "x" * langid.WINDOW, "😀" * 71]
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    flat = np.frombuffer(b"".join(data), np.uint8)
+    row, a, z, first, last = langid.windows(flat, offsets)
+    covered = np.zeros(len(flat), int)
+    for r, s, e, f, l in zip(row, a, z, first, last):
+        assert offsets[r] <= s <= f <= l <= e <= offsets[r + 1] and e - s <= langid.WINDOW + 3
+        flat[s:e].tobytes().decode()
+        flat[f:l].tobytes().decode()
+        assert s == offsets[r] or f - s >= langid.CONTEXT - 3
+        assert e == offsets[r + 1] or e - l >= langid.CONTEXT - 3
+        covered[f:l] += 1
+    assert (covered == 1).all()
+
+
+def test_score_is_the_mean_over_all_positions(spark):
+    """And the state runs on over words: the same word has other probabilities elsewhere."""
+    import numpy as np
+
+    rng = random.Random(4)
+    texts = [prose(rng, 300), "short é", "漢字かな " * 120, "one two " * 5]
+    model = langid.train([prose(rng, 400), "漢字かな " * 300, "ab cd. " * 200], ["x", "y", "z"], windows_per_lang=40, epochs=1, least_steps=5)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    for i, t in enumerate(texts):
+        letters = langid.LETTER[langid.tx.LOWER[np.frombuffer(t.encode(), np.uint8)]]
+        mean = langid.position_probabilities(model, t)[letters].mean(0)
+        assert got[i].lang_pred == model.langs[mean.argmax()] and abs(got[i].score - mean.max()) < 1e-4
+    p = langid.position_probabilities(model, "one two " * 5)
+    assert abs(p[0] - p[8]).max() > 1e-6
+
+
+def test_training_samples_are_bounded_where_ids_repeat(spark, monkeypatch):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i % 2 * 4, prose(rng, 12), "ab"[i % 2]) for i in range(300)],
+                                 "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda texts, langs: seen.append(langs))
+    monkeypatch.setattr(langid, "is_held_out", lambda c: langid.F.lit(False))
+    langid.fit(docs)
+    assert seen == [["a", "b"]]
+    monkeypatch.setattr(quality_fm, "is_held_out", lambda c: langid.F.lit(False))
+    monkeypatch.setattr(quality_fm, "train", lambda which, i, v, y: seen.append(y.tolist()))
+    quality_fm.fit(docs, spark.createDataFrame([(0, 1), (0, 1), (4, 0)], "doc_id long, quality int"))
+    assert sorted(seen[1]) == [0, 1]
+
+
+def test_several_runs_of_benchmark_patterns(spark):
+    """More runs than a worker holds automata: same result."""
+    rng = random.Random(6)
+    items = [(f"i{k}", prose(rng, 25)) for k in range(30)]
+    docs = [(k, f"{prose(rng, 40)} {items[k][1] if k % 2 else ''} {prose(rng, 9)}") for k in range(30)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    one, many = (sorted(tuple(r) for r in decontaminate.contamination(frame, bench, **o).collect())
+                 for o in ({}, {"automaton_bytes": 1500}))
+    assert one == many and sum(r[5] for r in one) >= 15
+    assert len(list(decontaminate._patterns(bench, "item_id", "text", 10, 1500))) > decontaminate.HELD
+
+
+def test_components_of_hubs_and_chains(spark):
+    """A star, a chain and a clique; repeated edges and loops."""
+    from strata.llm.components import connected_components
+    edges = ([(0, i) for i in range(1, 400)] + [(1000 + i, 1001 + i) for i in range(60)]
+             + [(2000 + i, 2000 + j) for i in range(12) for j in range(i)] + [(3000, 3000), (1, 0), (0, 1)])
+    random.Random(1).shuffle(edges)
+    got = {r.node: r.component for r in connected_components(
+        spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()}
+    want = {**{i: 0 for i in range(400)}, **{1000 + i: 1000 for i in range(61)}, **{2000 + i: 2000 for i in range(12)}}
+    assert got == want
+
+
+def test_lengths_are_encoded_once(spark):
+    out = queries.op6_token_counts(spark, "/root/testdata/sf0.001")
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().executedPlan().toString()

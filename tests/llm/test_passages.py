@@ -54,3 +54,59 @@ def test_every_repeated_word_run_stays_once(spark):
     assert len(got) == 50 and any(g != t for g, t in zip(got, texts))
     left = {w for g in got for w in g.lower().split()}
     assert left == {w for t in texts for w in t.lower().split()}
+
+
+def naive(docs, least=8):
+    """Plain Python over ASCII texts: units of lines, sentences and paragraphs, the first of each stays."""
+    import re
+    units = []
+    for i, text in docs:
+        words = [(m.start(), m.end()) for m in re.finditer(r"[^ \t\n]+", text)]
+        own, at = [], 0
+        for line in text.split("\n"):
+            inside = [k for k, (a, z) in enumerate(words) if at <= a < at + len(line)]
+            if inside:
+                own.append((inside[0], inside[-1] + 1, at, at + len(line)))
+            at += len(line) + 1
+        for blank_only in (False, True):
+            first = 0
+            for k, (a, z) in enumerate(words):
+                after = text[z:words[k + 1][0]] if k + 1 < len(words) else "\n\n"
+                stop = re.search(r"[.!?][\"')\]]?$", text[a:z]) and not blank_only
+                if stop or after.count("\n") > 1:
+                    own.append((first, k + 1, words[first][0], z))
+                    first = k + 1
+        seen = {}
+        for a, z, s, e in own:
+            seen.setdefault((a, z), (s, e))
+        for (a, z), (s, e) in seen.items():
+            if z - a >= least:
+                units.append((" ".join(text[p:q] for p, q in words[a:z]).lower(), i, s, e))
+    keep = {}
+    for norm, i, s, e in units:
+        keep[norm] = min(keep.get(norm, (i, s)), (i, s))
+    gone = {i: set() for i, _ in docs}
+    for norm, i, s, e in units:
+        if (i, s) != keep[norm]:
+            gone[i].add((s, e))
+    return {i: sorted(v) for i, v in gone.items()}
+
+
+def test_passages_equal_a_plain_model(spark):
+    import random
+
+    from strata.llm.line_dedup import dedup_lines
+    rng = random.Random(12)
+    sentences = [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(9)}" for _ in range(rng.randrange(3, 14))) + rng.choice([".", "!", "?\"", ""])
+                 for _ in range(40)]
+    docs = []
+    for i in range(80):
+        text = ""
+        for _ in range(rng.randrange(1, 14)):
+            text += rng.choice(sentences) + rng.choice([" ", " ", "\n", "\n\n", "  \n \n"])
+        docs.append((i, text.upper() if i % 9 == 0 else text))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    out, spans, _ = dedup_lines(frame, passages=True)
+    got = {r.doc_id: [(x["start"], x["end"]) for x in r.s or []] for r in out.select(frame["doc_id"], spans.alias("s")).collect()}
+    want = naive(docs)
+    assert got == want and sum(map(len, want.values())) > 100
