@@ -225,7 +225,7 @@ def _silver_customers(spark: SparkSession, config: Mapping, engine: QualityEngin
             F.col("__was").isNull() | ~F.col("region").eqNullSafe(F.col("__was.region")))
         moved = moved.select(F.col(key).alias("__moved"))
         _note_days(spark, config, daily.join(moved, daily["customer_id"] == moved["__moved"], "left_semi"))
-    else:
+    elif changed is not None:  # else all days are noted already
         _note_days(spark, config, None)
     now = {"events_version": tables.latest_meta(spark, daily_path).get("events_version"),
            "customers_version": version, "segments": seg}

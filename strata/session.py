@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -73,9 +73,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def broadcast_below(df: DataFrame, rows: int = 500_000) -> DataFrame:
-    """``df`` (a stored table of narrow rows) hinted for broadcast if it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_below(df: DataFrame, rows: int = 500_000, known: int | None = None) -> DataFrame:
+    """``df`` (a stored table of narrow rows) hinted for broadcast if it has at most ``rows`` rows
+    (``known``: its number of rows, if counted already)."""
+    n = df.limit(rows + 1).count() if known is None else known
+    return F.broadcast(df) if n <= rows else df
+
+
+def stored_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stored`` and the number of rows, counted on the write."""
+    n = Observation(name)
+    out = stored(df.observe(n, F.count(F.lit(1)).alias("n")), name)
+    return out, int(n.get["n"])
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import broadcast_below, scratch_path, stored
+from strata.session import broadcast_below, scratch_path, stored_counted
 
 CORRUPT = "_corrupt_record"
 RECORD_ID, RECORD_SOURCE, RECORD_TS = "_record_id", "_record_source", "_record_ts"
@@ -182,8 +182,10 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
     if header is None:
         lines = text_lines(spark.read.option("recursiveFileLookup", str(recursive).lower()), paths)
         lines = lines.withColumn(POSITION, F.monotonically_increasing_id())
-        heads = stored(file_headers(lines), "csv_headers")
+        heads = file_headers(lines)
         groups = header_groups(spark, heads, sep, encoding)
+        if len(groups) > 1:
+            heads, n_files = stored_counted(heads, "csv_headers")
         names = list(dict.fromkeys(n for _, own in groups for n in own))
         if not groups:
             names = csv_header(spark, paths, sep, encoding, recursive)
@@ -192,7 +194,7 @@ def read_csv_records(spark: SparkSession, path: str | Sequence[str], source_name
                 _parse(spark, [_plain_path(r._file) for r in heads.filter(F.col("__head") == h).collect()],
                        own, sep, encoding, True, False) for h, own in groups])
         elif len(groups) > 1:
-            raw = parse_lines(lines, broadcast_below(heads), groups, sep, encoding)
+            raw = parse_lines(lines, broadcast_below(heads, known=n_files), groups, sep, encoding)
     if raw is None:
         raw = _parse(spark, paths, names, sep, encoding, multi_line, recursive)
     if not envelope:
@@ -229,7 +231,7 @@ def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file
     """
     placed = df.withColumn("__at", F.col("_metadata.row_index"))
     splits = placed.groupBy(file_col, block_col).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
-    splits = stored(splits, "csv_splits")
+    splits, n_splits = stored_counted(splits, "csv_splits")
     files = splits.groupBy(file_col).agg(F.sum("__n").alias("__m"))
     before = Window.orderBy(file_col).rowsBetween(Window.unboundedPreceding, -1)
     files = files.select(file_col, F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__base"))
@@ -238,7 +240,7 @@ def with_record_envelope(df: DataFrame, source_name: str, file_col: str = "_file
               .join(files, file_col)
               .select(file_col, block_col, (F.col("__offset") + F.col("__base") - F.col("__first")).alias("__offset")))
     n = F.coalesce("__offset", F.raise_error(F.lit("a split has no record offset")).cast("long")) + F.col("__at") + 1
-    return (placed.join(broadcast_below(splits), [file_col, block_col], "left")
+    return (placed.join(broadcast_below(splits, known=n_splits), [file_col, block_col], "left")
             .withColumn("_row_number", n.cast("long"))
             .withColumns({RECORD_ID: F.concat(F.lit(f"{source_name}-"), F.col("_row_number").cast("string")),
                           RECORD_SOURCE: F.lit(source_name),

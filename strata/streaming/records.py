@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from strata.plans.metrics import RunMetrics
 from strata.plans.records import RecordFlow
-from strata.session import broadcast_below, drop_scratch, file_system, scratch_path
+from strata.session import broadcast_below, drop_scratch, file_system, scratch_path, stored_counted
 from strata.sinks.files import records_to_json_struct
 from strata.sources.records import (CORRUPT, ENVELOPE, POSITION, RECORD_SOURCE, file_headers, header_groups,
                                     parse_lines, text_lines)
@@ -192,13 +192,11 @@ class _Run:
         frames, n_heads = [], 0
         for k, s in enumerate(self.sources):
             own = lines.filter(F.col("__source") == k)
-            path = scratch_path(spark, "stream_headers")
-            file_headers(own).write.parquet(path)
-            heads = spark.read.parquet(path)
+            heads, n = stored_counted(file_headers(own), "stream_headers")
             groups = header_groups(spark, heads, s.sep, s.encoding)
-            n_heads += heads.count()
+            n_heads += n
             if groups:
-                rows = parse_lines(own, broadcast_below(heads), groups, s.sep, s.encoding, s.header)
+                rows = parse_lines(own, broadcast_below(heads, known=n), groups, s.sep, s.encoding, s.header)
                 frames.append(rows.drop("_block", POSITION).withColumn(RECORD_SOURCE, F.lit(s.name)))
         if frames:
             parsed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

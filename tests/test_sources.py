@@ -115,7 +115,7 @@ def test_record_numbers_same_without_broadcast(spark, tmp_dir, monkeypatch):
     """With split offsets joined by a shuffle: same numbers."""
     p = _write(f"{tmp_dir}/n.csv", "k,v\n" + "".join(f"{i},x\n" for i in range(300)))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(records, "broadcast_below", lambda df: df)
+    monkeypatch.setattr(records, "broadcast_below", lambda df, **_: df)
     try:
         df = records.read_csv_records(spark, p, "s").records
         plan = df._jdf.queryExecution().executedPlan().toString()
