@@ -9,10 +9,10 @@ original text, so results carry offsets (code points) of the original.
 
 The benchmark goes to the driver in runs of at most ``automaton_bytes`` (32 MB) of
 patterns, which are broadcast; each run is an automaton of its own and a further scan
-of the text at hand. A Python worker builds an automaton once and keeps the last HELD
-for the tasks and batches that follow. So up to HELD runs (128 MB of patterns, some
-millions of items) every automaton is built once per worker; beyond that memory
-stays bounded by HELD automata, results are the same, and each batch builds them anew.
+of the text at hand. A task builds an automaton once and keeps the last HELD. So up to
+HELD runs (128 MB of patterns, some millions of items) every automaton is built once per
+task; beyond that memory stays bounded by HELD automata, results are the same, and each
+chunk of text builds them anew. Nothing is kept when a task ends.
 
 Null, empty and wordless texts have no words and no hits; items without words
 match nothing; an item without an id counts under the empty name. Repeated
@@ -22,7 +22,6 @@ ignored.
 
 from __future__ import annotations
 
-import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
@@ -101,19 +100,18 @@ def _automaton(patterns: dict[str, tuple[int, set[str]]]):
     return machine
 
 
-#: automata that a Python worker keeps, over tasks and batches
+#: automata that a task holds at a time
 HELD = 4
-_MACHINES: OrderedDict = OrderedDict()
 
 
-def _machine(key: str, patterns: Callable[[], dict]):
-    """The automaton of a run of patterns: built once per worker, of the last HELD runs used."""
-    if key not in _MACHINES:
-        while len(_MACHINES) >= HELD:
-            _MACHINES.popitem(last=False)
-        _MACHINES[key] = _automaton(patterns())
-    _MACHINES.move_to_end(key)
-    return _MACHINES[key]
+def _machine(held: OrderedDict, k: int, patterns: Callable[[], dict]):
+    """The automaton of run ``k`` of the patterns, of the last HELD runs a task has used."""
+    if k not in held:
+        while len(held) >= HELD:
+            held.popitem(last=False)
+        held[k] = _automaton(patterns())
+    held.move_to_end(k)
+    return held[k]
 
 
 def leak_column(text: Column, items: DataFrame, id_col: str = "item_id", text_col: str = "text", *,
@@ -121,18 +119,20 @@ def leak_column(text: Column, items: DataFrame, id_col: str = "item_id", text_co
     """Struct column: n_words, sorted item ids, and merged hit spans [start, end) in code points
     with their first and last word numbers."""
     sc = items.sparkSession.sparkContext
-    shared = [(uuid.uuid4().hex, sc.broadcast(p)) for p in _patterns(items, id_col, text_col, window, automaton_bytes)]
+    shared = [sc.broadcast(p) for p in _patterns(items, id_col, text_col, window, automaton_bytes)]
 
     def make():
+        held: OrderedDict = OrderedDict()
+
         def one(column: pa.Array) -> pa.Array:
             n_words, names, spans = [], [], []
             for _, _, data, offsets in tx.chunks(column):
                 flat, at, first, starts, ends = normalise(data, offsets)
                 edge = np.zeros(len(at) + 1, np.int64)
                 hits: dict[int, set[str]] = {}
-                for key, patterns in shared:
+                for k, patterns in enumerate(shared):
                     stops, values = [], []
-                    for stop, value in _machine(key, lambda p=patterns: p.value).iter(flat):
+                    for stop, value in _machine(held, k, lambda p=patterns: p.value).iter(flat):
                         stops.append(stop)
                         values.append(value)
                     last = np.searchsorted(at, np.array(stops, np.int64)) - 1

@@ -279,7 +279,7 @@ def language_column(spark: SparkSession, text: Column, model: BiGru | None) -> C
                 data = tx.LOWER[data]
                 row, a, z, first, last = windows(data, offsets)
                 total = np.zeros((len(offsets) - 1, len(net.langs) + 1))
-                for which, x in _by_length(data, a, z, 1 << 10):
+                for which, x in _by_length(data, a, z, 1 << 9):
                     at = np.arange(len(x))[:, None]
                     letters = LETTER[x] & (at >= (first - a)[which]) & (at < (last - a)[which])
                     p = net.labels(x)
