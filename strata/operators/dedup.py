@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import stored
+
 _RN = "__strata_rn"
 
 
@@ -68,7 +70,31 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
             .drop(_RN, absent, group, pos))
 
 
-def duplicate_keys(df: DataFrame, key: str, count_col: str = "dup_count") -> DataFrame:
-    """Keys that occur more than once (a NULL key group included), with counts."""
+#: repeated digests that are broadcast (8 bytes each); beyond it all keys are grouped in full
+SIEVE_DIGESTS = 1_000_000
+
+
+def duplicate_keys(df: DataFrame, key: str, count_col: str = "dup_count", sieve: bool = False) -> DataFrame:
+    """Keys that occur more than once (a NULL key group included), with counts.
+
+    ``sieve`` is for wide keys that are hardly ever repeated. The 64-bit digests of the keys are
+    counted first, so that a digest and a count are shuffled for each key of a task instead of the
+    key itself; only rows whose digest occurs again, found by a second scan of the key column, are
+    then grouped by their full key. Equal keys have equal digests and the last step compares keys,
+    so the answer is the same. Where more than ``SIEVE_DIGESTS`` digests repeat, the sieve would
+    leave too much and all keys are grouped in full.
+    """
+    if sieve:
+        df = _with_repeated_digest(df.select(key), key)
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
             .filter(F.col(count_col) > 1))
+
+
+def _with_repeated_digest(keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``keys`` whose digest occurs more than once, or all of them."""
+    digest, name, n = F.xxhash64(key), "__strata_digest", "__strata_n"
+    again = stored(keys.groupBy(digest.alias(name)).agg(F.count(F.lit(1)).alias(n))
+                   .filter(F.col(n) > 1).select(name), "repeated_digests")
+    if again.limit(SIEVE_DIGESTS + 1).count() > SIEVE_DIGESTS:
+        return keys
+    return keys.join(F.broadcast(again), digest == again[name], "left_semi")

@@ -9,7 +9,9 @@ the first critical check it fails. ``unique`` checks count duplicated keys
 (a NULL key group included) among rows left at their position and never
 remove rows. The row checks are one scan and one row per task; each unique
 check reads its key and the columns that decide whether a row is still left,
-and is reduced to one row. No row is shuffled for the row checks.
+and is reduced to one row. No row is shuffled for the row checks. A unique
+check with ``sieve: true`` shuffles digests instead of its keys, and full keys
+only where a digest repeats: for wide keys that should be unique.
 
 Decisions: NULL passes ``regex`` and ``less_than_or_equal`` (and is kept);
 patterns are taken literally; a string column compared with a date bound is
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.dedup import duplicate_keys
 from strata.session import scratch_path
 
 RULES = ("not_null", "regex", "greater_than", "less_than_or_equal", "unique")
@@ -134,9 +137,13 @@ class Validation:
         out = []
         for pos, chk in enumerate(self.checks, start=1):
             if chk.rule == "unique" and self.status[chk.name] == "ok":
-                left = (self.flagged.filter(~_removed_before(pos, self.checks, self.flags)).groupBy(chk.column)
-                        .agg(F.count(F.lit(1)).alias("n")))
-                out.append(left.agg(F.count_if(F.col("n") > 1).alias(f"failing_{pos}")))
+                left = self.flagged.filter(~_removed_before(pos, self.checks, self.flags))
+                if chk.params.get("sieve"):
+                    again = duplicate_keys(left, chk.column, sieve=True)
+                    out.append(again.agg(F.count(F.lit(1)).alias(f"failing_{pos}")))
+                    continue
+                keys = left.groupBy(chk.column).agg(F.count(F.lit(1)).alias("n"))
+                out.append(keys.agg(F.count_if(F.col("n") > 1).alias(f"failing_{pos}")))
         return out
 
     def stored(self) -> "Validation":

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata import datasets as ds
 from strata.config import load_config
-from strata.operators import columns, customers, quality, summary
+from strata.operators import columns, customers, dedup, quality, summary
 from strata.plans import catalog as base
 from strata.plans import lakehouse
 from strata.plans.catalog import register
@@ -249,3 +249,34 @@ def monthly_summary_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = near["month"].eqNullSafe(exact["m"]) & near["region"].eqNullSafe(exact["r"])
     return near.join(exact, same).select("month", "region", "event_count", close("unique_customers", "c").alias("customers_close"),
                                          close("unique_sessions", "s").alias("sessions_close"))
+
+
+# --- unique keys by digest -------------------------------------------------------
+
+LINE_KEY_SQL = "concat_ws('-', l_orderkey, l_partkey)"
+
+
+def _keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"))
+    return ds.table(spark, sf_dir, "lineitem").withColumn("line_key", key)
+
+
+@register("unique_report_sieved", f"""SELECT {LINE_KEY_SQL} AS line_key, count(*) AS dup_count
+FROM lineitem GROUP BY 1 HAVING count(*) > 1""")
+def unique_report_sieved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of one order with the same part, found by key digests before full keys."""
+    return dedup.duplicate_keys(_keyed_lines(spark, sf_dir), "line_key", sieve=True)
+
+
+@register("quality_report_sieved", f"""WITH f AS (SELECT {LINE_KEY_SQL} AS k, coalesce(l_quantity <= 10, true) AS f1
+  FROM lineitem),
+tot AS (SELECT count(*) AS n, count_if(f1) AS c1 FROM f),
+u2 AS (SELECT count(*) AS c2 FROM (SELECT k FROM f WHERE NOT f1 GROUP BY k HAVING count(*) > 1))
+{base._report_row(1, 'more_than_ten', 'l_quantity', 'greater_than', 'critical', 'ok', 'n', 'c1')} FROM tot
+UNION ALL {base._report_row(2, 'one_line_per_part', 'line_key', 'unique', 'warning', 'ok', 'n', 'c2')} FROM tot, u2""")
+def quality_report_sieved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unique check counts keys by digest among the lines that the first check leaves."""
+    checks = [{"name": "more_than_ten", "column": "l_quantity", "rule": "greater_than", "value": 10,
+               "severity": "critical"},
+              {"name": "one_line_per_part", "column": "line_key", "rule": "unique", "sieve": True}]
+    return quality.run_checks(_keyed_lines(spark, sf_dir), checks).report_frame()

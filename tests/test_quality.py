@@ -236,3 +236,20 @@ def test_stored_validation_reads_its_input_once(spark, tmp_path):
         results.append((report, kept, bad, clean.columns))
     assert results[0] == results[1] and runs.value == 200
     assert len(results[0][2]) == 63
+
+
+@pytest.mark.parametrize("store", [False, True])
+def test_sieved_unique_check_counts_like_the_plain_one(spark, store):
+    rows = [(i % 7 if i < 20 else None if i < 23 else i, None, -1.0 if i % 5 == 0 else 1.0, None) for i in range(60)]
+    df = _frame(spark, rows)
+    checks = [{"name": "u0", "column": "id", "rule": "unique"},
+              {"name": "pos", "column": "amount", "rule": "greater_than", "value": 0, "severity": "critical"},
+              {"name": "u1", "column": "id", "rule": "unique"}]
+    sieved = [c | {"sieve": True} if c["rule"] == "unique" else c for c in checks]
+
+    def report(cs):
+        v = run_checks(df, cs)
+        return (v.stored() if store else v).report()
+
+    assert report(sieved) == report(checks)
+    assert [r["failing_rows"] for r in report(sieved)] == [8, 12, 8]

@@ -82,6 +82,34 @@ def test_duplicate_keys_counts_null_group(spark):
     assert got == {"a": 2, None: 2}
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_sieved_keys_equal_plain_keys(spark, monkeypatch, limit):
+    monkeypatch.setattr(dedup, "SIEVE_DIGESTS", limit)
+    import random
+    rnd = random.Random(3)
+    rows = [(None if rnd.random() < 0.1 else f"key-{rnd.randrange(400)}", rnd.choice([0.0, -0.0, float("nan"), 1.5]))
+            for _ in range(500)] + [(f"once-{i}", None) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(5)
+    for key in ("k", "x"):
+        plain, sieved = (sorted(map(repr, dedup.duplicate_keys(df, key, sieve=s).collect())) for s in (False, True))
+        assert sieved == plain and plain
+    assert dedup.duplicate_keys(df.limit(0), "k", sieve=True).count() == 0
+
+
+def test_colliding_digests_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(dedup.F, "xxhash64", lambda key: F.lit(1).cast("long"))
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    assert [tuple(r) for r in dedup.duplicate_keys(df, "k", sieve=True).collect()] == [("b", 2)]
+
+
+def test_sieve_shuffles_full_keys_of_repeated_digests_only(spark):
+    df = spark.range(1000).select(F.concat(F.lit("key-"), F.least("id", F.lit(997))).alias("k"))
+    got = dedup.duplicate_keys(df, "k", sieve=True)
+    assert [tuple(r) for r in got.collect()] == [("key-997", 3)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_latest_per_key_matches_python_model(spark):
     import random
     rnd = random.Random(7)
