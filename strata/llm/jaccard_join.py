@@ -14,7 +14,8 @@
    frequent shingle on, so that near copies share long paths. A probe carries
    the overlap with the path and leaves a subtree when the lengths left can't
    reach t, or when all below is already in its component. Blocks above
-   ``block_tokens`` are split, and each pair of parts is a task of its own.
+   ``block_tokens`` are cut twice into parts, each a task. Sets outside the
+   largest component that this gives then meet each of its parts and each other.
 5. Links (a spanning forest of each block) give the components.
 
 Shingles are compared by 64-bit hashes, and sets are named by 64-bit digests. Nulls, empty and blank texts have an
@@ -32,7 +33,7 @@ from bisect import bisect_right
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import text as tx
@@ -453,9 +454,6 @@ def tree_links(ids: list[int], sizes: list[int], sets: list[np.ndarray], percent
     return forest.pairs()
 
 
-_MEMBERS = "block long, i int, j int, part int, d1 long, n long, tokens array<long>"
-
-
 def _block_links(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -468,16 +466,71 @@ def _block_links(percent: int):
                 member.setdefault(node, x)
             pick = list(member.values())
             sets = [flat[cut[x]:cut[x + 1]] for x in pick]
-            sizes, part = group["n"].to_pylist(), group["part"].to_pylist()
-            i, j = group["i"][0].as_py(), group["j"][0].as_py()
-            a, b = tree_links(list(member), [sizes[x] for x in pick], sets, percent,
-                              None if i == j else [int(part[x] == j) for x in pick])
+            sizes, names, side = (group[c].to_pylist() for c in ("n", "name", "side"))
+            a, b = tree_links([names[x] for x in pick], [sizes[x] for x in pick], sets, percent,
+                              None if side[0] is None else [side[x] for x in pick])
             if a:
                 yield tx.batch(schema, a=a, b=b)
 
     return run
 
 
+def _links(dealt: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the names of sets dealt to the tasks (block, i, j)."""
+    return (dealt.select("block", "i", "j", "side", "name", "d1", "n", "tokens")
+            .repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
+            .mapInArrow(_block_links(percent), "a long, b long"))
+
+
+def _splits(members: DataFrame, name: str, block_tokens: int, block_members: int) -> DataFrame:
+    """(block, ``name``): the parts into which the (d1, block, size) of a block are cut."""
+    return members.groupBy("block").agg(F.greatest(F.ceil(F.sum("size") / block_tokens),
+                                                   F.ceil(F.count("*") / block_members)).cast("int").alias(name))
+
+
+def _part(splits: str, seed: int | Column = 0) -> Column:
+    return F.pmod(F.xxhash64("d1", F.lit(seed) if isinstance(seed, int) else seed), F.col(splits)).cast("int")
+
+
+def _within(sets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each set of a block dealt to one part; in a block of several, to one of another cut as well,
+    so that near copies join across parts."""
+    deal = F.explode(F.when(F.col("splits") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return (sets.join(blocks, "d1").withColumn("i", deal)
+            .withColumn("j", _part("splits", F.col("i")))
+            .withColumn("side", F.lit(None).cast("int")).withColumn("name", F.col("d1")))
+
+
+def _across(sets: DataFrame, blocks: DataFrame, found: DataFrame, block_tokens: int, block_members: int) -> DataFrame:
+    """Pairs of split blocks that parts of their own have not settled.
+
+    Sets in the largest component of a block need no comparison with each other. All other sets,
+    the rest, meet every part of it and each other. Sets go by the name of their component.
+    """
+    cut = (blocks.filter("splits > 1").join(found, blocks["d1"] == found["node"], "left")
+           .select("d1", "block", "splits", "size", F.coalesce("component", "d1").alias("name")))
+    main = (cut.groupBy("block", "name").agg(F.count("*").alias("members"))
+            .groupBy("block").agg(F.max_by("name", F.struct("members", "name")).alias("main")))
+    cut = cut.join(main, "block").withColumn("rest", F.col("name") != F.col("main"))
+    cut = written(cut.join(_splits(cut.filter("rest"), "rest_splits", block_tokens, block_members), "block"),
+                  "jaccard-cut")  # a block without a rest is settled
+    part, rest_part = _part("splits"), _part("rest_splits")
+
+    def task(i: Column, j: Column, side: Column) -> Column:
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+
+    def each(splits: str, make) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(splits) - 1), make)
+
+    to_rest = each("rest_splits", lambda r: task(r, part, F.lit(0)))
+    to_main = each("splits", lambda p: task(rest_part, p, F.lit(1)))
+    to_each_other = each("rest_splits", lambda o: task(
+        F.least(rest_part, o), F.col("splits") + F.greatest(rest_part, o),
+        F.when(rest_part == o, F.lit(None)).otherwise((rest_part > o).cast("int"))))
+    tasks = F.when(F.col("rest"), F.concat(to_main, to_each_other)).otherwise(to_rest)
+    return sets.join(cut, "d1").select("d1", "n", "tokens", "block", "name", F.inline(tasks))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                        k: int = 5, percent: int = 75, width: int = 1 << 20,
                        range_tokens: int = 1 << 19,
@@ -518,19 +571,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .mapInArrow(_star_edges, "a long, b long"))
     blocks = (connected_components(edges)
               .select(F.col("node").alias("d1"), F.col("component").alias("block")))
-    splits = (sets.select("d1", F.size("tokens").alias("size")).distinct().join(blocks, "d1")
-              .groupBy("block").agg(F.greatest(F.ceil(F.sum("size") / block_tokens),
-                                               F.ceil(F.count("*") / block_members))
-                                    .cast("int").alias("splits")))
-    blocks = blocks.join(splits, "block")
-    part = F.pmod(F.xxhash64("d1"), F.col("splits")).cast("int")
-    links = (sets.join(blocks, "d1").withColumn("part", part)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
-             .select("block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-                     "part", "d1", "n", "tokens")
-             .repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
-             .mapInArrow(_block_links(percent), "a long, b long"))
-    found = connected_components(links)
+    members = sets.select("d1", F.size("tokens").alias("size")).distinct().join(blocks, "d1")
+    blocks = members.join(_splits(members, "splits", block_tokens, block_members), "block")
+    blocks = written(blocks, "jaccard-blocks")
+    narrow_sets = sets.select("d1", "n", "tokens")
+    found = connected_components(_links(_within(narrow_sets, blocks), percent))
+    if blocks.filter("splits > 1").limit(1).count():
+        found = written(found, "jaccard-components")
+        more = _links(_across(narrow_sets, blocks, found, block_tokens, block_members), percent)
+        found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                                     .unionByName(more))
     reps = narrow.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     named = reps.join(found.select(F.col("node").alias("d1"), "component"), "d1", "left")
     least = (named.filter("component is not null").groupBy("component").agg(F.min("rep").alias("least")))

@@ -111,3 +111,56 @@ def test_components_of_random_graphs(spark):
     nodes = {x for e in edges if e[0] != e[1] for x in e}
     assert got == {x: forest.find(x) for x in nodes}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_large_block_is_dealt_in_proportion(spark, monkeypatch):
+    """Near copies of one text with a few odd ones among them: one block of many parts."""
+    across, dealt = jj._across, []
+    monkeypatch.setattr(jj, "_across", lambda *a: dealt.append(across(*a)) or dealt[-1])
+
+    def block(n):
+        rng = random.Random(n)
+        base = [f"w{i}" for i in range(60)]
+        docs = {}
+        for i in range(n):
+            words = list(base)
+            words[rng.randrange(60)] = f"x{rng.randrange(40)}"
+            if i % 500 == 7:  # near none, but sharing rare shingles with some
+                words[10] = words[30] = words[50] = f"x{i // 500}"
+            docs[i] = " ".join(words)
+        frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+        got = jj.jaccard_components(frame, block_members=100).collect()
+        near = {r.doc_id for r in got if r.doc_id % 500 != 7}
+        assert {r.component_id for r in got if r.doc_id in near} == {min(near)}
+        assert all(r.component_id == r.doc_id for r in got if r.doc_id not in near)
+        return dealt[-1].count()
+
+    small, large = block(2_000), block(20_000)
+    assert 0 < large < 12 * small
+
+
+def test_a_rest_that_links_across_parts(spark, monkeypatch):
+    """Chains of texts, each near the next only: links that no part of a cut has are found."""
+    rng = random.Random(4)
+    words, docs = [f"w{i}" for i in range(70)], {}
+    for i in range(150):
+        words[(i * 3) % 70] = f"v{rng.randrange(10_000)}"
+        docs[i] = " ".join(words)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in jj.jaccard_components(frame, block_members=5).collect()}
+    assert got == brute(docs)
+
+
+def test_hubs_never_meet_in_a_task(spark, monkeypatch):
+    from strata.llm import components
+    monkeypatch.setattr(components, "HUB", 4)
+    rng = random.Random(8)
+    edges = ([(500, x) for x in range(0, 1000, 7)] + [(rng.randrange(2000, 2060), rng.randrange(2000, 2060)) for _ in range(200)]
+             + [(x, x + 1) for x in range(3000, 3030)] + [(1, 0), (0, 1)])
+    forest = jj._Forest()
+    for a, b in edges:
+        forest.join(a, b)
+    got = {r.node: r.component for r in
+           connected_components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}
+    assert got == {x: forest.find(x) for e in edges if e[0] != e[1] for x in e}
