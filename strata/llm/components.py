@@ -62,7 +62,7 @@ def _step(edges: DataFrame, star, direct) -> DataFrame:
         hubs = broadcast_if_small(hubs)
         plain, edges = edges.join(hubs, "u"), edges.join(hubs, "u", "left_anti")
     out = edges.repartition("u").sortWithinPartitions("u", "v").mapInArrow(_star(star), "u long, v long")
-    return out if plain is None else out.unionByName(direct(plain))
+    return out if plain is None else out.unionByName(direct(plain).distinct())
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -74,7 +74,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                   .filter("u <> v"), "components")
     while True:
-        both = now.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+        both = written(now.select(F.inline(F.array(
+            F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))), "components")
         large = written(_step(both, _large, lambda e: e.filter("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v"))), "components")
         now = written(_step(large, _small, lambda e: e.select(
