@@ -150,17 +150,3 @@ def test_a_rest_that_links_across_parts(spark, monkeypatch):
     got = {r.doc_id: (r.n_shingles, r.component_id)
            for r in jj.jaccard_components(frame, block_members=5).collect()}
     assert got == brute(docs)
-
-
-def test_hubs_never_meet_in_a_task(spark, monkeypatch):
-    from strata.llm import components
-    monkeypatch.setattr(components, "HUB", 4)
-    rng = random.Random(8)
-    edges = ([(500, x) for x in range(0, 1000, 7)] + [(rng.randrange(2000, 2060), rng.randrange(2000, 2060)) for _ in range(200)]
-             + [(x, x + 1) for x in range(3000, 3030)] + [(1, 0), (0, 1)])
-    forest = jj._Forest()
-    for a, b in edges:
-        forest.join(a, b)
-    got = {r.node: r.component for r in
-           connected_components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}
-    assert got == {x: forest.find(x) for e in edges if e[0] != e[1] for x in e}
