@@ -1,9 +1,13 @@
 """Texts without some of their lines or spans."""
 
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.llm.columns import slices
+
 
 def _without(text: str, starts: set[int]) -> str:
     kept, at = [], 0
@@ -14,17 +18,23 @@ def _without(text: str, starts: set[int]) -> str:
     return "\n".join(kept)
 
 
-def without_lines(text: Column, spans: Column) -> Column:
-    """``text`` without the lines that start at the ``start`` of ``spans`` (code points); null spans: as it is."""
+def _rewritten(text: Column, spans: Column, one: Callable[[str, list[dict]], str]) -> Column:
+    """``one(text, spans)`` where both are there, else the text; a slice of a batch at a time."""
 
-    def run(texts: pa.Array, found: pa.Array) -> pa.Array:
-        cut = found.is_valid().to_pylist()
-        return pa.array([_without(t.as_py(), {x["start"] for x in s.as_py()}) if c and t.is_valid else t.as_py()
-                         for c, t, s in zip(cut, texts, found)], pa.string())
+    def run(it: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, found in it:
+            for lo, n in slices(texts):
+                yield pa.array([one(t.as_py(), s.as_py()) if s.is_valid and t.is_valid else t.as_py()
+                                for t, s in zip(texts.slice(lo, n), found.slice(lo, n))], pa.string())
 
     return F.arrow_udf(run, "string").asNondeterministic()(text, spans)
 
 
+def without_lines(text: Column, spans: Column) -> Column:
+    """``text`` without the lines that start at the ``start`` of ``spans`` (code points); null spans: as it is."""
+    return _rewritten(text, spans, lambda t, s: _without(t, {x["start"] for x in s}))
+
+
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
     merged: list[list[int]] = []
     for a, z in sorted(spans):
@@ -57,10 +67,4 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 def without_spans(text: Column, spans: Column) -> Column:
     """``text`` without ``spans`` (code points), and without lines that have nothing left; null spans: as it is."""
-
-    def run(texts: pa.Array, found: pa.Array) -> pa.Array:
-        cut = found.is_valid().to_pylist()
-        return pa.array([_cut(t.as_py(), [(x["start"], x["end"]) for x in s.as_py()]) if c and t.is_valid
-                         else t.as_py() for c, t, s in zip(cut, texts, found)], pa.string())
-
-    return F.arrow_udf(run, "string").asNondeterministic()(text, spans)
+    return _rewritten(text, spans, lambda t, s: _cut(t, [(x["start"], x["end"]) for x in s]))

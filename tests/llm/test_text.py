@@ -5,8 +5,11 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strata.llm import text as tx
+from strata.llm.columns import rows_to_struct, text_column
+from strata.llm.rewrite import without_lines, without_spans
 from tests.llm.conftest import lowered
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet=" \n\t\x0b\x1faAbZ09.é漢€ ", max_size=40)), max_size=8)
@@ -80,3 +83,24 @@ def test_memo_is_bounded_and_right():
     for x in range(100):
         assert ask([x])[0, 0] == 3 * x
         assert len(memo.keys) <= 10
+
+
+def test_a_worker_holds_results_of_a_slice_of_a_batch(spark):
+    """However many texts Spark puts into a batch, a function gets about CHUNK bytes of them at a time."""
+    size = 200_000
+    rows = spark.range(60, numPartitions=1).select(
+        "id", F.when(F.col("id") % 7 == 3, None).when(F.col("id") % 7 == 5, "").otherwise(
+            F.concat(F.col("id").cast("string"), F.lit("\n"), F.lit("x" * size))).alias("text"))
+    given = text_column(F.col("text"), "struct<n: int, mb: double, text: string>", lambda: lambda c: rows_to_struct(
+        pa.struct([("n", pa.int32()), ("mb", pa.float64()), ("text", pa.string())]),
+        {"n": [len(c)] * len(c), "mb": [sum(len(t.as_py() or "") for t in c) / tx.CHUNK] * len(c), "text": c}))
+    span = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.length(F.col("id").cast("string")).cast("long").alias("end")))
+    spans = F.when(F.col("id") % 2 == 0, span)
+    found = rows.select("id", "text", given.alias("x"), without_lines(F.col("text"), spans).alias("lines"),
+                        without_spans(F.col("text"), spans).alias("spans")).orderBy("id").collect()
+    assert [r.id for r in found] == list(range(60))
+    assert max(r.x.mb for r in found) <= 1 and max(r.x.n for r in found) < 60
+    for r in found:
+        assert r.x.text == r.text
+        cut = r.text if r.id % 2 or not r.text else "x" * size
+        assert r.lines == cut and r.spans == cut
