@@ -779,14 +779,14 @@ JOB_CHECKS = [
 ]
 
 
-def job_config(spark: SparkSession, sf_dir: str) -> dict:
-    """Raw files derived from the tables, and a config pointing at them."""
+def job_config(spark: SparkSession, sf_dir: str, events: bool = True) -> dict:
+    """Raw files derived from the tables, and a config pointing at them (``events`` False: the caller has its own)."""
     raw = scratch_path(spark, "raw")
     lake = scratch_path(spark, "lake")
     return load_config(overrides={
         "sources": {
             "raw_events": {"format": "json", "partition_columns": ["event_date"],
-                           "path": fixtures.write_event_json(spark, sf_dir, f"{raw}/events")},
+                           "path": fixtures.write_event_json(spark, sf_dir, f"{raw}/events") if events else None},
             "raw_customers": {"format": "csv", "path": fixtures.write_customer_source_csv(
                 spark, sf_dir, f"{raw}/customers")},
             "raw_transactions": {"format": "parquet", "path": fixtures.write_transactions_parquet(
@@ -1020,7 +1020,7 @@ def _run_deliveries(spark: SparkSession, sf_dir: str, layers=("bronze", "silver"
     """Two runs. The first delivery has every event, half of them as a later correction
     (type upper-cased, two days on); the second has the original of those (stale), a
     one-day correction of every seventh event, and the even events again."""
-    config = job_config(spark, sf_dir)
+    config = job_config(spark, sf_dir, events=False)
     raw = ds.table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"), F.col("user_id").cast("string").alias("customer_id"),
         "event_type", F.col("ts").alias("event_timestamp"), F.col("props").alias("properties"))

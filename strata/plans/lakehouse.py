@@ -153,7 +153,7 @@ def _note_days(spark: SparkSession, config: Mapping, days: DataFrame | None) ->
     """Notes days for gold; None: all of them."""
     path = _path(config, "silver", "changed_days")
     if days is None:
-        tables.write_table(spark.createDataFrame([], "day date"), path, "overwrite")
+        tables.write_table(spark.range(0).select(F.lit(None).cast("date").alias("day")), path, "overwrite")
     else:
         tables.write_table(days.select("day").distinct(), path, "append")
 
@@ -169,7 +169,7 @@ def _update_customer_daily(spark: SparkSession, config: Mapping, touched: DataFr
     version, parts = meta.get("bronze_version"), list(meta.get("partition_by", []))
     if touched is None and version is not None \
             and tables.latest_meta(spark, path).get("events_version") == version:
-        return tables.staged(spark.createDataFrame([], "customer_id string"), "no_customers"), version
+        return tables.staged(spark.range(0).select(F.lit(None).cast("string").alias("customer_id")), "no_customers"), version
     events = tables.read_version(spark, events_path)
     new_meta = {"events_version": version}
     if touched is None or before is None:
@@ -179,7 +179,7 @@ def _update_customer_daily(spark: SparkSession, config: Mapping, touched: DataFr
     daily = tables.staged(daily_event_metrics(tables.in_partitions(events, touched), parts), "customer_daily")
     rows = before.unionByName(daily.select("day", "customer_id"))
     _note_days(spark, config, rows)  # first: noting too much is harmless
-    tables.overwrite_partitions(daily, path, parts, within=touched, meta=new_meta)
+    tables.overwrite_partitions(daily, path, parts, within=touched, meta=new_meta, written=True)
     return tables.staged(rows.select("customer_id").distinct(), "changed_customers"), seen
 
 

@@ -309,14 +309,15 @@ def _count_change(spark: SparkSession, path: str, n: int, meta: dict) -> None:
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, *,
                          within: DataFrame | None = None, extra_metrics: Sequence[Column] = (),
-                         meta: dict | None = None) -> dict:
+                         meta: dict | None = None, written: bool = False) -> dict:
     """Replace only the partitions present in ``df``; others stay as they are.
 
     ``df`` (it may read the table) is staged in the shared folder and then
     written by dynamic partition overwrite, so NULL partitions are replaced and
     kept like any other and no partition value reaches the driver. With
     ``within`` (a written frame of partition values) partitions of it that have
-    no rows in ``df`` are deleted. ``meta`` is merged into the version's metadata.
+    no rows in ``df`` are deleted. ``meta`` is merged into the version's metadata. ``written``: ``df``
+    is a staged frame already and is not staged again.
     """
     spark = df.sparkSession
     if not table_exists(spark, path):
@@ -330,17 +331,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] |
         raise ValueError(f"partition columns {partition_by} differ from the table's {current}")
     df = _null_partitions(df, partition_by)
     obs = Observation("partitions")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"), *extra_metrics)
-    staged_path = scratch_path(spark, "partitions")
-    observed.drop(ACTION).write.parquet(staged_path)
-    staged = spark.read.schema(df.drop(ACTION).schema).parquet(staged_path)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"), *extra_metrics).drop(ACTION)
+    ready = observed if written else staged(observed, "partitions")
     folder, n = _live_folder(spark, path, partition_by)
     # counted before and after: a reader in between, or a crash, is followed by another full read
     _count_change(spark, path, n, {})
-    (staged.hint("rebalance", *partition_by).write.mode("overwrite")
+    (ready.hint("rebalance", *partition_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(folder))
     if within is not None:
-        filled = staged.select(*partition_by).distinct()
+        filled = (df if written else ready).select(*partition_by).distinct()
         empty = within.join(filled, _same(within, filled, partition_by), "left_anti")
         _drop_partitions(spark, folder, empty.select(*[F.col(c).cast("string") for c in partition_by]))
     _count_change(spark, path, n, meta or {})
@@ -474,17 +473,18 @@ def merge_upsert(source: DataFrame, path: str, key: str,
 
 def touched_partitions(target: DataFrame, source: DataFrame, key: str,
                        parts: Sequence[str]) -> DataFrame:
-    """Partition values of the source's rows and of the stored rows with its keys, as a written frame."""
+    """Partition values of the source's rows and of the stored rows with its keys, as a written frame.
+
+    Keys are looked up only in partitions that the source itself has no rows in: the others are touched anyway.
+    """
     source = _null_partitions(source, parts)
-    keys = source.select(F.col(key).alias("__key")).filter("__key is not null").distinct()
-    stored = target.select(key, *parts)
-    old = stored.join(keys, stored[key] == keys["__key"], "left_semi").select(*parts)
     types = {f.name: f.dataType for f in target.schema.fields}
-    new = source.select([F.col(c).cast(types[c]).alias(c) for c in parts])
-    path = scratch_path(target.sparkSession, "touched")
-    touched = new.unionByName(old).distinct()
-    touched.write.parquet(path)
-    return target.sparkSession.read.schema(touched.schema).parquet(path)
+    new = staged(source.select([F.col(c).cast(types[c]).alias(c) for c in parts]).distinct(), "touched_new")
+    keys = source.select(F.col(key).alias("__key")).filter("__key is not null")
+    stored = target.select(key, *parts)
+    rest = stored.join(new, _same(stored, new, parts), "left_anti")
+    old = rest.join(keys, rest[key] == keys["__key"], "left_semi").select(*parts).distinct()
+    return staged(new.unionByName(old), "touched")
 
 
 PRUNE_VALUES = 1000

@@ -3,7 +3,7 @@
 import json
 
 from strata.config import load_config
-from strata.plans import lakehouse
+from strata.plans import catalog, lakehouse
 from strata.sinks import tables
 
 
@@ -218,3 +218,9 @@ def test_json_is_parsed_once(spark, tmp_path):
     for part in (clean, corrupt):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "FileScan text" not in plan and "FileScan parquet" in plan
+
+
+def test_deliveries_write_no_events_that_no_run_reads(spark, monkeypatch):
+    monkeypatch.setattr(catalog.fixtures, "write_event_json", None)
+    config = catalog._run_deliveries(spark, "/root/testdata/sf0.001", ())
+    assert "delivery1" in config["sources"]["raw_events"]["path"]

@@ -320,3 +320,28 @@ def test_changes_in_place_are_seen_and_have_no_version(spark, tmp_dir):
     assert sorted(r.k for r in tables.read_version(spark, path).collect()) == [3, 5, 9]
     tables.merge_upsert(spark.createDataFrame([(3, "a")], "k int, p string"), path, "k", within_partitions=True)
     assert tables.read_changes(spark, path, last)[2] is True
+
+
+def test_keys_are_looked_up_where_the_source_has_no_rows(spark, tmp_dir):
+    """Touched: the source's partitions, and others (NULL too) that hold one of its keys."""
+    path = f"{tmp_dir}/t"
+    stored = [("a", 1, "x"), ("b", 1, "y"), ("c", 1, None), ("d", 1, "z"), (None, 1, "n"), ("e", 1, "x")]
+    tables.write_table(spark.createDataFrame(stored, "k string, v int, p string"), path, "overwrite", ["p"])
+    source = spark.createDataFrame([("a", 2, "new"), ("c", 2, "x"), ("c", 2, "x"), (None, 2, "x"), ("q", 2, "")],
+                                   "k string, v int, p string")
+    touched = tables.touched_partitions(tables.read_version(spark, path), source, "k", ["p"])
+    assert sorted(str(r.p) for r in touched.collect()) == ["None", "new", "x"]
+    only = source.filter("k = 'a'")
+    touched = tables.touched_partitions(tables.read_version(spark, path), only, "k", ["p"])
+    assert sorted(r.p for r in touched.collect()) == ["new", "x"]
+
+
+def test_a_staged_frame_is_not_staged_again(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t"
+    tables.write_table(spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "v int, p string"), path, "overwrite", ["p"])
+    rows = tables.staged(spark.createDataFrame([(4, "x"), (5, "x")], "v int, p string"), "rows")
+    within = tables.staged(spark.createDataFrame([("x",), ("y",)], "p string"), "within")
+    monkeypatch.setattr(tables, "staged", None)
+    res = tables.overwrite_partitions(rows, path, ["p"], within=within, written=True)
+    assert res["rows_written"] == 2
+    assert sorted((r.v, r.p) for r in tables.read_version(spark, path).collect()) == [(3, "z"), (4, "x"), (5, "x")]
