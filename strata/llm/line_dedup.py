@@ -34,6 +34,8 @@ from strata.llm.rewrite import without_lines, without_spans
 
 _ENDING, _CLOSING = tx.byte_class(b".!?"), tx.byte_class(b"\"')]")
 _UNITS = "id long, h long, start long, end long, d1 long, d2 long"
+#: bytes of text cut into units at once: the arrays of words and units take some 50 times that
+_BYTES = 1 << 18
 
 
 def _unspaced(data: np.ndarray) -> np.ndarray:
@@ -85,7 +87,7 @@ def _units(min_words: int, passages: bool):
     def run(batches):
         power, _ = tx._powers()
         for b in batches:
-            for lo, hi, data, offsets in tx.chunks(b.column(2)):
+            for lo, hi, data, offsets in tx.chunks(b.column(2), _BYTES):
                 a, z = tx.spans(data != 10, offsets)
                 starts, ends, hashes, _ = tx.words(data, offsets, tx.NOT_SPACE)
                 more = []

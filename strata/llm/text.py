@@ -80,12 +80,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of whole rows of about CHUNK bytes: (first row, last row + 1, bytes, offsets)."""
+def chunks(column: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of whole rows of about ``size`` bytes (else CHUNK): (first row, last row + 1, bytes, offsets)."""
     data, offsets = utf8(column)
+    size = size or CHUNK
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi
 

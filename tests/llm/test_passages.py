@@ -110,3 +110,32 @@ def test_passages_equal_a_plain_model(spark):
     got = {r.doc_id: [(x["start"], x["end"]) for x in r.s or []] for r in out.select(frame["doc_id"], spans.alias("s")).collect()}
     want = naive(docs)
     assert got == want and sum(map(len, want.values())) > 100
+
+
+def test_units_take_little_memory_at_once(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from strata.llm import line_dedup
+
+    rng = random.Random(5)
+    texts = [prose(rng, 300) + "\n\n" + own(rng, 40) + "." for _ in range(2_000)]
+    ids = pa.array(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["id", "h", "text"])
+    assert batch.column(2).nbytes > 4 << 20
+
+    def units():
+        found = list(line_dedup._units(8, True)(iter([batch])))
+        return pa.Table.from_batches(found).to_pydict()
+
+    got = units()
+    assert len(set(got["id"])) == len(texts)
+    tracemalloc.start()
+    for _ in line_dedup._units(8, True)(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20
+    monkeypatch.setattr(line_dedup, "_BYTES", 1 << 30)
+    assert units() == got
