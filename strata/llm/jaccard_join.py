@@ -1,13 +1,17 @@
 """N-gram Jaccard join: sets of word shingles, linked by a prefix-tree join.
 
-1. One pass over the texts writes (id, set size, 128-bit digest of the set) and
-   counts all shingles in a fixed-size array. Equal sets are one set from here.
-2. The shingles are dealt by hash range, packed, and those that more than one
-   set has go back to their documents; all others belong to one set only. The
-   global order is: such unique shingles first, then by count, then by hash.
-   A document's copies in one task, and a shingle's documents in one task, are
-   combined before the shuffle.
-3. Two sets with similarity >= t share one of their n - ceil(t n) + 1 first
+1. One pass over the texts writes (id, set size, 128-bit digest of the set). Equal
+   sets are one set from here: only one row of each goes on, by a sieve (a Bloom
+   filter) where there are copies. A sieve may let more pass, which costs work only.
+2. Of each set the 2/5 least hashes (at t = 0.75) are dealt by hash range, cut to the
+   bits that tell them apart, and the numbers of shared ones go back. Sets that have
+   too few to reach t with any other set go no further (a second sieve, see _enough).
+3. The shingles of the others are dealt by hash range, packed, and those that more
+   than one set has go back to their documents, as numbers that rise with the count
+   of their sets; all others belong to one set only. The global order is: such unique
+   shingles first, then by number. A document's copies in one task, and a shingle's
+   documents in one task, are combined before the shuffle.
+   Two sets with similarity >= t share one of their n - ceil(t n) + 1 first
    shingles. Sets that share one are put in the same block (star edges,
    combined within each task before the shuffle; components of the stars).
 4. Each block is joined by a prefix tree that holds the sets from their most
@@ -27,21 +31,21 @@ from __future__ import annotations
 
 import hashlib
 import math
-import zlib
 from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import text as tx
 from strata.llm.components import connected_components
-from strata.llm.store import written
+from strata.llm.store import kept, written
+from strata.session import drop_scratch
 
 PARTS = 64
-NARROW = "id long, h long, n long, d1 long, d2 long, part int, counts binary"
+NARROW = "id long, h long, n long, d1 long, d2 long"
 
 
 def _sets(column: pa.Array, k: int):
@@ -58,55 +62,68 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
             int.from_bytes(d[8:], "little", signed=True))
 
 
-def _profile(k: int, width: int):
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()),
-                        ("d2", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+def _profile(k: int):
+    schema = pa.schema([(c, pa.int64()) for c in ("id", "h", "n", "d1", "d2")])
 
     def run(batches):
-        counts = np.zeros(width, np.uint32)
         for b in batches:
-            ids, n, d1, d2, held, size = b.column(0), [], [], [], [], 0
+            n, d1, d2 = [], [], []
             for _, s in _sets(b.column(1), k):
                 n.append(len(s))
                 a, c = _digest(s) if len(s) else (None, None)
                 d1.append(a)
                 d2.append(c)
-                held.append(s)
-                size += len(s)
-                if size > tx.CHUNK // 4:
-                    counts += np.bincount(np.concatenate(held) & np.uint64(width - 1),
-                                          minlength=width).astype(np.uint32)
-                    held, size = [], 0
-            if held:
-                counts += np.bincount((np.concatenate(held) & np.uint64(width - 1)).astype(np.int64),
-                                      minlength=width).astype(np.uint32)
-            none = [None] * b.num_rows
-            yield tx.batch(schema, id=ids, h=b.column(2), n=n, d1=d1, d2=d2, part=none, counts=none)
-        none = [None] * PARTS
-        yield tx.batch(schema, id=none, h=none, n=none, d1=none, d2=none, part=list(range(PARTS)),
-                       counts=[zlib.compress(c.tobytes(), 1) for c in np.split(counts, PARTS)])
+            yield tx.batch(schema, id=b.column(0), h=b.column(2), n=n, d1=d1, d2=d2)
 
     return run
 
 
-def _sum_counts(batches):
-    """Adds up the count arrays of each part as they stream by."""
-    total: dict[int, np.ndarray] = {}
-    for b in batches:
-        for part, packed in zip(b.column(0).to_pylist(), b.column(1)):
-            c = np.frombuffer(zlib.decompress(packed.as_py()), np.uint32)
-            total[part] = total[part] + c if part in total else c.astype(np.uint64)
-    if total:
-        yield pa.RecordBatch.from_arrays([
-            pa.array(list(total), pa.int32()),
-            pa.array([c.tobytes() for c in total.values()], pa.binary())], ["part", "counts"])
+class _Sieve:
+    """A Bloom filter of 64-bit names in PARTS slices of bits: never misses one that it holds."""
+
+    def __init__(self, slices: np.ndarray):
+        self.slices = slices
+
+    @staticmethod
+    def places(names: np.ndarray, size: int) -> np.ndarray:
+        """The bits of each name in its slice of ``size`` bits (a power of two)."""
+        x = tx.mix(names.view(np.uint64))
+        step = tx.mix(x + np.uint64(1)) | np.uint64(1)
+        return ((x + np.arange(4, dtype=np.uint64)[:, None] * step) & np.uint64(size - 1)).astype(np.int64)
+
+    def has(self, names: np.ndarray) -> np.ndarray:
+        at = self.places(names, 8 * self.slices.shape[1])
+        bits = self.slices[names & (PARTS - 1), at >> 3] >> (at & 7).astype(np.uint8)
+        return (bits & 1).all(axis=0)
+
 
+def _fill(size: int):
+    """The slice of each part among (part, name) as they stream by."""
 
-def _levels(counts: np.ndarray) -> np.ndarray:
-    """Counts as 16-bit ranks: exact up to 2^15, then by logarithm."""
-    c = counts.astype(np.float64)
-    high = 32768 + 700 * np.log2(np.maximum(c, 32768) / 32768)
-    return np.where(c < 32768, c, np.minimum(high, 65535)).astype(np.uint16)
+    def run(batches):
+        slices: dict[int, np.ndarray] = {}
+        for b in batches:
+            part, names = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for p in np.unique(part).tolist():
+                slices.setdefault(p, np.zeros(size, bool))[_Sieve.places(names[part == p], size)] = True
+        if slices:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(list(slices), pa.int32()),
+                pa.array([np.packbits(x, bitorder="little").tobytes() for x in slices.values()], pa.binary())],
+                ["part", "bits"])
+
+    return run
+
+
+def _sieve(names: DataFrame, rows: int, width: int) -> Broadcast:
+    """A broadcast sieve of ``rows`` names (column row), of 16 bits each or 16 bytes times ``width`` in all."""
+    size = max(8, 1 << math.ceil(math.log2(min(max(16 * rows, 1 << 16), 128 * width) / PARTS)))
+    slices = np.zeros((PARTS, size // 8), np.uint8)
+    packed = (names.select(F.col("row").bitwiseAND(PARTS - 1).cast("int").alias("part"), "row")
+              .repartition(PARTS, "part").mapInArrow(_fill(size), "part int, bits binary"))
+    for r in packed.collect():
+        slices[r.part] = np.frombuffer(r.bits, np.uint8)
+    return names.sparkSession.sparkContext.broadcast(_Sieve(slices))
 
 
 class _Forest:
@@ -134,155 +151,269 @@ class _Forest:
         return nodes, [self.find(x) for x in nodes]
 
 
-def _pack(tokens: np.ndarray) -> bytes:
-    """Ascending 64-bit values as differences of equal width (first byte: the width)."""
-    steps = np.diff(tokens, prepend=np.uint64(0))
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    flat = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + flat.T.tobytes()
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit values in as few bytes each as the largest needs (first byte: how many)."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _unpack(packed: bytes) -> np.ndarray:
+def _values(packed: bytes) -> np.ndarray:
     flat = np.frombuffer(packed, np.uint8)
     width, n = int(flat[0]), (len(flat) - 1) // int(flat[0])
-    steps = np.zeros((n, 8), np.uint8)
-    steps[:, :width] = flat[1:].reshape(width, n).T
-    return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
+    values = np.zeros((n, 8), np.uint8)
+    values[:, :width] = flat[1:].reshape(width, n).T
+    return values.reshape(-1).view("<u8")
 
 
-#: key: hash range (tokens) or anything; chunk: a run of documents of one task.
-#: tokens of a range with the document of each (rows); tokens found shared; or,
-#: where tokens is null, the digests and sizes of the chunk's documents in rows
-_EXCHANGE = "key int, chunk long, shared boolean, rows binary, tokens binary"
-_EXCHANGE_SCHEMA = pa.schema([("key", pa.int32()), ("chunk", pa.int64()), ("shared", pa.bool_()),
+def _pack(tokens: np.ndarray) -> bytes:
+    """Ascending 64-bit values: the first, then differences of equal width."""
+    return tokens[:1].astype("<u8").tobytes() + _planes(np.diff(tokens))
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    steps = np.concatenate([np.frombuffer(packed[:8], "<u8"), _values(packed[8:])])
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+#: key: hash range or, for what stays with its run of documents, anything; chunk: the run.
+#: _ONCE: tokens of a range that one document of the run has, with the document of each (rows);
+#: _OFTEN: tokens that several have, with the number of the first and the documents of each (rows);
+#: _INFO: rows and sizes of the run's documents; _WHO: the documents (rows) and how many (tokens) of each _OFTEN token
+_EXCHANGE = "key int, chunk long, kind int, rows binary, tokens binary"
+_EXCHANGE_SCHEMA = pa.schema([("key", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()),
                               ("rows", pa.binary()), ("tokens", pa.binary())])
+_ONCE, _OFTEN, _INFO, _WHO = range(4)
 _CHUNK_TOKENS, _CHUNK_ROWS = 1 << 20, 65_000
 
 
-def _token_ranges(k: int, range_bits: int):
-    """Tokens of runs of documents, by hash range. A token that several documents of a run
-    have is known to be shared and leaves the run once, however many they are."""
+class _Messages:
+    """Rows of _EXCHANGE, gathered for one batch."""
 
-    def run(batches):
-        task = TaskContext.get().partitionId()
-        state = {"chunk": task << 32}
-        held, seen, info, size = [], set(), [], 0
-
-        def flush():
-            chunk = state["chunk"]
-            state["chunk"] += 1
-            tokens = np.concatenate(held)
-            rows = np.repeat(np.arange(len(held), dtype=np.uint16), [len(h) for h in held])
-            order = np.argsort(tokens, kind="stable")
-            tokens, rows = tokens[order], rows[order]
-            new = np.ones(len(tokens), bool)
-            new[1:] = tokens[1:] != tokens[:-1]
-            local = ~new
-            local[:-1] |= ~new[1:]
-            out: dict[str, list] = {f.name: [] for f in _EXCHANGE_SCHEMA}
-
-            def put(key, shared, r, t):
-                for name, v in zip(out, (key, chunk, shared, r, t)):
-                    out[name].append(v)
+    def __init__(self):
+        self.columns: dict[str, list] = {f.name: [] for f in _EXCHANGE_SCHEMA}
 
-            put(chunk % (1 << range_bits), True, np.array(info, np.int64).tobytes(), None)
-            if local.any():
-                put(chunk % (1 << range_bits), True, rows[local].tobytes(), _pack(tokens[local]))
-            tokens, rows = tokens[new], rows[new]
-            cuts = np.searchsorted(tokens >> np.uint64(64 - range_bits), np.arange((1 << range_bits) + 1))
-            for key in np.flatnonzero(np.diff(cuts)).tolist():
-                lo, hi = cuts[key], cuts[key + 1]
-                put(key, False, rows[lo:hi].tobytes(), _pack(tokens[lo:hi]))
-            return tx.batch(_EXCHANGE_SCHEMA, **out)
+    def put(self, key, chunk, kind, rows, tokens) -> None:
+        for column, v in zip(self.columns.values(), (key, chunk, kind, rows, tokens)):
+            column.append(v)
 
-        for b in batches:
-            for _, s in _sets(b.column(0), k):
-                if not len(s):
-                    continue
-                digest = _digest(s)
-                if digest in seen:
-                    continue
-                seen.add(digest)
-                info.append((*digest, len(s)))
-                held.append(s)
-                size += len(s)
-                if size >= _CHUNK_TOKENS or len(held) >= _CHUNK_ROWS:
-                    yield flush()
-                    held, seen, info, size = [], set(), [], 0
-        if held:
-            yield flush()
+    def batch(self) -> pa.RecordBatch:
+        return tx.batch(_EXCHANGE_SCHEMA, **self.columns)
+
+
+def _chunks(batches, k: int, sieve: Broadcast | None, some):
+    """(number, documents, tokens, rows) of runs of documents (text, row) that the sieve lets pass, each set once.
+
+    The documents have digest, size and row; tokens are ascending, with the document of each in rows.
+    ``some(n)`` of a set's n tokens are taken, the least ones.
+    """
+    chunk = TaskContext.get().partitionId() << 32
+    held, seen, info, size = [], set(), [], 0
+
+    def ended():
+        tokens = np.concatenate(held)
+        rows = np.repeat(np.arange(len(held), dtype=np.uint16), [len(h) for h in held])
+        order = np.argsort(tokens, kind="stable")
+        return chunk, np.array(info, np.int64), tokens[order], rows[order]
+
+    for b in batches:
+        texts, names = b.column(0), b.column(1).to_numpy()
+        if sieve is not None:
+            inside = sieve.value.has(names)
+            texts, names = texts.filter(pa.array(inside)), names[inside]
+        for i, s in _sets(texts, k):
+            if not len(s) or (digest := _digest(s)) in seen:
+                continue
+            seen.add(digest)
+            info.append((*digest, len(s), int(names[i])))
+            held.append(s[:some(len(s))].copy())
+            size += len(held[-1])
+            if size >= _CHUNK_TOKENS or len(held) >= _CHUNK_ROWS:
+                yield ended()
+                chunk += 1
+                held, seen, info, size = [], set(), [], 0
+    if held:
+        yield ended()
+
+
+def _firsts(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending tokens: which are the first of their value, and which are alone."""
+    new = np.ones(len(tokens) + 1, bool)
+    new[1:-1] = tokens[1:] != tokens[:-1]
+    return new[:-1], new[:-1] & new[1:]
+
+
+def _ranges(tokens: np.ndarray, range_bits: int):
+    """(range, from, to) of ascending tokens by their first bits."""
+    cuts = np.searchsorted(tokens >> np.uint64(64 - range_bits), np.arange((1 << range_bits) + 1))
+    for key in np.flatnonzero(np.diff(cuts)).tolist():
+        yield key, int(cuts[key]), int(cuts[key + 1])
+
+
+def _token_samples(k: int, percent: int, range_bits: int, shift: int, sieve: Broadcast | None):
+    """The least tokens of each set by hash range, ``shift`` bits cut off. See _enough for how many."""
+
+    def run(batches):
+        for chunk, info, tokens, rows in _chunks(batches, k, sieve, lambda n: n - n * percent * 4 // 500):
+            new, alone = _firsts(tokens)
+            out = _Messages()
+            often = np.bincount(rows[~alone], minlength=len(info))
+            out.put(chunk % (1 << range_bits), chunk, _INFO,
+                    np.column_stack([info[:, 3], info[:, 2], often]).astype(np.int64).tobytes(), None)
+            for kind, which in ((_ONCE, alone), (_OFTEN, new & ~alone)):
+                some, documents = tokens[which], rows[which]
+                for key, lo, hi in _ranges(some, range_bits):
+                    out.put(key, chunk, kind, documents[lo:hi].tobytes() if kind == _ONCE else None,
+                            _pack(some[lo:hi] >> np.uint64(shift)))
+            yield out.batch()
 
     return run
 
 
-def _shared_tokens(batches):
-    """Of each hash range, the tokens that more than one run of documents has, sent back to each."""
+def _shared_samples(batches):
+    """Of each hash range, the documents (once for each token) of tokens that another run or document has."""
     for group in tx.runs(batches, ["key"]):
-        done = group["shared"].to_numpy()
-        out = group.filter(pa.array(done)).to_batches()
-        yield from out
-        group = group.filter(pa.array(~done))
+        kind = group["kind"].to_numpy()
+        yield from group.filter(pa.array(kind == _INFO)).to_batches()
+        group = group.filter(pa.array(kind != _INFO))
         if not group.num_rows:
             continue
-        key, chunks = group["key"][0].as_py(), group["chunk"].to_numpy()
         tokens = [_unpack(t.as_py()) for t in group["tokens"]]
-        rows = np.concatenate([np.frombuffer(r.as_py(), np.uint16) for r in group["rows"]])
         source = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
         tokens = np.concatenate(tokens)
         order = np.argsort(tokens, kind="stable")
-        same = tokens[order][1:] == tokens[order][:-1]
         shared = np.zeros(len(tokens), bool)
-        shared[order[1:][same]] = True
-        shared[order[:-1][same]] = True
-        tokens, rows, source = tokens[shared], rows[shared], source[shared]
-        cuts = np.searchsorted(source, np.arange(len(chunks) + 1))
-        full = np.flatnonzero(np.diff(cuts))
-        yield tx.batch(_EXCHANGE_SCHEMA, key=[key] * len(full), chunk=chunks[full], shared=[True] * len(full),
-                       rows=[rows[cuts[i]:cuts[i + 1]].tobytes() for i in full],
-                       tokens=[_pack(tokens[cuts[i]:cuts[i + 1]]) for i in full])
+        shared[order] = ~_firsts(tokens[order])[1]
+        cuts = np.searchsorted(source, np.arange(group.num_rows + 1))
+        out = _Messages()
+        for i, (chunk, kind, rows) in enumerate(zip(*(group[c].to_pylist() for c in ("chunk", "kind", "rows")))):
+            if kind == _ONCE and (some := shared[cuts[i]:cuts[i + 1]]).any():
+                out.put(None, chunk, _ONCE, np.frombuffer(rows, np.uint16)[some].tobytes(), None)
+        yield out.batch()
+
+
+_CANDIDATES = "row long, n long"
+
+
+def _enough(percent: int):
+    """(row, size) of the sets that can have a near copy by what is shared of their least tokens.
+
+    Of n tokens the n - floor(u n) least are looked at, with u = 4/5 of the threshold t. Near copies
+    of sizes a <= b share o >= t b tokens, and all but floor(u b) of these are among the least tokens
+    of both: at least o - floor(u b) >= (t - u) b >= (t - u) a. So a set of n tokens needs (t - u) n there.
+    """
+
+    def run(batches):
+        schema = pa.schema([("row", pa.int64()), ("n", pa.int64())])
+        for group in tx.runs(batches, ["chunk"]):
+            kind = np.array(group["kind"].to_pylist())
+            info = np.frombuffer(group["rows"][int(np.flatnonzero(kind == _INFO)[0])].as_py(), np.int64).reshape(-1, 3)
+            shared = info[:, 2].copy()
+            for i in np.flatnonzero(kind == _ONCE).tolist():
+                shared += np.bincount(np.frombuffer(group["rows"][i].as_py(), np.uint16), minlength=len(info))
+            some = shared >= np.maximum(1, -(-info[:, 1] * percent // 500))
+            yield tx.batch(schema, row=info[some, 0], n=info[some, 1])
+
+    return run
+
+
+def _token_ranges(k: int, range_bits: int, sieve: Broadcast | None):
+    """Tokens of runs of documents, by hash range. A token that several documents of a run
+    have leaves the run once, however many they are."""
+
+    def run(batches):
+        for chunk, info, tokens, rows in _chunks(batches, k, sieve, lambda n: n):
+            new, alone = _firsts(tokens)
+            out = _Messages()
+            out.put(chunk % (1 << range_bits), chunk, _INFO, info[:, :3].tobytes(), None)
+            some, documents = tokens[alone], rows[alone]
+            for key, lo, hi in _ranges(some, range_bits):
+                out.put(key, chunk, _ONCE, documents[lo:hi].tobytes(), _pack(some[lo:hi]))
+            if not alone.all():
+                counts = np.diff(np.flatnonzero(np.append(new, True)[np.append(~alone, True)])).astype(np.uint32)
+                out.put(chunk % (1 << range_bits), chunk, _WHO, rows[~alone].tobytes(), counts.tobytes())
+                some = tokens[new & ~alone]
+                for key, lo, hi in _ranges(some, range_bits):
+                    out.put(key, chunk, _OFTEN, np.append(np.uint32(lo), counts[lo:hi]).tobytes(), _pack(some[lo:hi]))
+            yield out.batch()
+
+    return run
+
+
+def _shared_tokens(range_bits: int):
+    """Of each hash range, the tokens that more than one document has, sent back to their runs as numbers:
+    the fewer documents have a token, the lower its number, about alike in all ranges."""
+
+    def run(batches):
+        for group in tx.runs(batches, ["key"]):
+            kind = group["kind"].to_numpy()
+            yield from group.filter(pa.array(kind >= _INFO)).to_batches()
+            group = group.filter(pa.array(kind < _INFO))
+            if not group.num_rows:
+                continue
+            key, kinds, chunks = group["key"][0].as_py(), group["kind"].to_numpy(), group["chunk"].to_pylist()
+            rows = [np.frombuffer(r.as_py(), np.uint16 if x == _ONCE else np.uint32)
+                    for r, x in zip(group["rows"], kinds)]
+            tokens = [_unpack(t.as_py()) for t in group["tokens"]]
+            cuts = np.cumsum([0, *map(len, tokens)])
+            documents = np.concatenate([np.ones(len(r), np.uint32) if x == _ONCE else r[1:]
+                                        for r, x in zip(rows, kinds)])
+            distinct, back = np.unique(np.concatenate(tokens), return_inverse=True)
+            documents = np.bincount(back, documents, len(distinct))
+            order = np.argsort(documents, kind="stable")
+            order = order[documents[order] > 1]
+            number = np.full(len(distinct), -1, np.int64)
+            number[order] = (np.arange(len(order)) << range_bits) + key
+            number, out = number[back], _Messages()
+            for i, (r, x, chunk) in enumerate(zip(rows, kinds.tolist(), chunks)):
+                own = number[cuts[i]:cuts[i + 1]]
+                if x == _OFTEN:
+                    out.put(None, chunk, x, r[:1].tobytes(), _planes(own))
+                elif (some := np.flatnonzero(own >= 0)).size:
+                    some = some[np.argsort(own[some])]
+                    out.put(None, chunk, x, r[some].tobytes(), _pack(own[some].astype(np.uint64)))
+            yield out.batch()
+
+    return run
 
 
-_SETS = "d1 long, n long, keep int, tokens array<long>"
-_SETS_SCHEMA = pa.schema([("d1", pa.int64()), ("n", pa.int64()), ("keep", pa.int32()),
-                          ("tokens", pa.list_(pa.int64()))])
+_SETS = "d1 long, n long, keep int, size int, tokens binary"
+_SETS_SCHEMA = pa.schema([("d1", pa.int64()), ("n", pa.int64()), ("keep", pa.int32()), ("size", pa.int32()),
+                          ("tokens", pa.binary())])
 
 
-def _ordered_sets(levels, percent: int):
+def _ordered_sets(percent: int):
     """Sets whose prefix holds a shared token: their shared tokens from the rarest on, and how many are in the prefix."""
 
     def run(batches):
-        rank = levels.value
-        mask = np.uint64(len(rank) - 1)
         for group in tx.runs(batches, ["chunk"]):
-            infos = [r.as_py() for r, t in zip(group["rows"], group["tokens"]) if not t.is_valid]
-            info = np.frombuffer(infos[0], np.int64).reshape(-1, 3)
-            parts = [(np.frombuffer(r.as_py(), np.uint16), _unpack(t.as_py()))
-                     for r, t in zip(group["rows"], group["tokens"]) if t.is_valid]
-            if not parts:
+            found: list[list] = [[], [], [], []]
+            for kind, r, t in zip(group["kind"].to_pylist(), group["rows"], group["tokens"]):
+                found[kind].append((r.as_py(), t.as_py()))
+            info = np.frombuffer(found[_INFO][0][0], np.int64).reshape(-1, 3)
+            rows = [np.frombuffer(r, np.uint16) for r, _ in found[_ONCE]]
+            tokens = [_unpack(t) for _, t in found[_ONCE]]
+            for r, t in found[_WHO]:
+                counts = np.frombuffer(t, np.uint32)
+                numbers = np.zeros(len(counts), np.uint64)
+                for first, some in found[_OFTEN]:
+                    lo, some = int(np.frombuffer(first, np.uint32)[0]), _values(some)
+                    numbers[lo:lo + len(some)] = some
+                rows.append(np.frombuffer(r, np.uint16))
+                tokens.append(np.repeat(numbers, counts))
+            if not rows:
                 continue
-            rows = np.concatenate([p[0] for p in parts])
-            tokens = np.concatenate([p[1] for p in parts])
+            rows, tokens = np.concatenate(rows), np.concatenate(tokens)
             order = np.lexsort((tokens, rows))
             rows, tokens = rows[order], tokens[order]
-            new = np.ones(len(rows), bool)
-            new[1:] = (rows[1:] != rows[:-1]) | (tokens[1:] != tokens[:-1])
-            rows, tokens = rows[new], tokens[new]
             cuts = np.searchsorted(rows, np.arange(len(info) + 1))
             out: dict[str, list] = {f.name: [] for f in _SETS_SCHEMA}
-            size = 0
             for i, (d1, _, n) in enumerate(info.tolist()):
                 lo, hi = int(cuts[i]), int(cuts[i + 1])
                 keep = n - (percent * n + 99) // 100 + 1 - (n - (hi - lo))
                 if keep <= 0 or lo == hi:
                     continue  # the prefix has only tokens of its own
-                s = tokens[lo:hi]
-                s = s[np.argsort(rank[s & mask], kind="stable")]
-                for name, v in zip(out, (d1, n, min(keep, len(s)), s.view(np.int64))):
+                for name, v in zip(out, (d1, n, min(keep, hi - lo), hi - lo, _pack(tokens[lo:hi]))):
                     out[name].append(v)
-                size += len(s)
-                if size > tx.CHUNK // 4:
-                    yield tx.batch(_SETS_SCHEMA, **out)
-                    out, size = {f.name: [] for f in _SETS_SCHEMA}, 0
             if out["d1"]:
                 yield tx.batch(_SETS_SCHEMA, **out)
 
@@ -294,9 +425,8 @@ def _prefix_rows(batches):
     schema = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
     for batch in batches:
         nodes, keep = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-        lists = batch.column(3)
-        flat, cut = lists.values.to_numpy(), lists.offsets.to_numpy()
-        tokens = np.concatenate([flat[c:c + m] for c, m in zip(cut.tolist(), keep.tolist())] or [flat[:0]])
+        tokens = [_unpack(t.as_py())[:m] for t, m in zip(batch.column(4), keep.tolist())]
+        tokens = np.concatenate(tokens or [np.zeros(0, np.uint64)]).astype(np.int64)
         nodes = np.repeat(nodes, keep)
         order = np.argsort(tokens, kind="stable")
         tokens, nodes = tokens[order], nodes[order]
@@ -459,13 +589,11 @@ def _block_links(percent: int):
 
     def run(batches):
         for group in tx.runs(batches, ["block", "i", "j"]):
-            column = group["tokens"].combine_chunks()
-            flat, cut = column.values.to_numpy(), column.offsets.to_numpy()
             member = {}  # copies of one set can come from several tasks
             for x, node in enumerate(group["d1"].to_pylist()):
                 member.setdefault(node, x)
             pick = list(member.values())
-            sets = [flat[cut[x]:cut[x + 1]] for x in pick]
+            sets = [_unpack(group["tokens"][x].as_py()) for x in pick]
             sizes, names, side = (group[c].to_pylist() for c in ("n", "name", "side"))
             a, b = tree_links([names[x] for x in pick], [sizes[x] for x in pick], sets, percent,
                               None if side[0] is None else [side[x] for x in pick])
@@ -541,37 +669,50 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     With ``text_hash`` also xxhash64 of the text under that name, which tells rows apart
     that share an id.
 
-    ``width`` (a power of two) is the size of the count array, 8 bytes each:
-    the only data that goes through the driver or is broadcast. It affects the
-    order of the shingles and so the work, never the result.
+    ``width`` limits the sieves of sets, 16 bytes each: the only data that goes through
+    the driver or is broadcast. It affects the work, never the result.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("h"))
-    profile = written(base.mapInArrow(_profile(k, width), NARROW), "jaccard-profile")
-    packed = (profile.filter("part is not null").select("part", "counts")
-              .repartition(PARTS, "part").mapInArrow(_sum_counts, "part int, counts binary"))
-    counts = np.zeros(width, np.uint64)
-    step = width // PARTS
-    for r in packed.toLocalIterator():
-        counts[r.part * step:(r.part + 1) * step] = np.frombuffer(r.counts, np.uint64)
-    levels = spark.sparkContext.broadcast(_levels(counts))
-
-    narrow = profile.filter("part is null").select("id", "h", "n", "d1", "d2")
-    total = narrow.agg(F.sum("n")).first()[0] or 0
-    bits = max(4, math.ceil(math.log2(max(1, total / range_tokens))))
-    sets = (base.select("text").mapInArrow(_token_ranges(k, bits), _EXCHANGE)
-            .repartition("key").sortWithinPartitions("key")
-            .mapInArrow(_shared_tokens, _EXCHANGE)
-            .repartition("chunk").sortWithinPartitions("chunk")
-            .mapInArrow(_ordered_sets(levels, percent), _SETS))
-    sets = written(sets, "jaccard-sets")
+    narrow = written(base.mapInArrow(_profile(k), NARROW), "jaccard-profile")
+    row = F.xxhash64("id", "h").alias("row")
+    reps = written(narrow.filter("n > 0").select("id", "n", "d1", "d2", row).groupBy("d1", "d2")
+                           .agg(F.min("id").alias("rep"), F.min("row").alias("row"), F.first("n").alias("n"),
+                                F.count("*").alias("copies")), "jaccard-reps")
+    texts = base.select("text", row)
+
+    def size(names: DataFrame) -> tuple[int, int]:
+        rows, total = names.agg(F.count("*"), F.sum("n")).first()
+        return rows, total or 0
+
+    def ranges(total: float) -> int:
+        return max(4, math.ceil(math.log2(max(1, total / range_tokens))))
+
+    distinct, total = size(reps)
+    sieve = _sieve(reps, distinct, width) if reps.filter("copies > 1").limit(1).count() else None
+    bits, digits = ranges(total * (1 - percent / 125)), max(1, total).bit_length() + 8
+    candidates, candidates_path = kept(
+        texts.mapInArrow(_token_samples(k, percent, bits, 64 - min(64, max(digits, bits)), sieve), _EXCHANGE)
+        .repartition("key").sortWithinPartitions("key")
+        .mapInArrow(_shared_samples, _EXCHANGE)
+        .repartition("chunk").sortWithinPartitions("chunk")
+        .mapInArrow(_enough(percent), _CANDIDATES), "jaccard-candidates")
+    some, total = size(candidates)
+    bits, sieve = ranges(total), _sieve(candidates, some, width)
+    sets = written(
+        texts.mapInArrow(_token_ranges(k, bits, sieve), _EXCHANGE)
+        .repartition("key").sortWithinPartitions("key")
+        .mapInArrow(_shared_tokens(bits), _EXCHANGE)
+        .repartition("chunk").sortWithinPartitions("chunk")
+        .mapInArrow(_ordered_sets(percent), _SETS), "jaccard-sets")
+    drop_scratch(spark, candidates_path)
     edges = (sets.mapInArrow(_prefix_rows, "token long, a long, b long")
              .repartition("token").sortWithinPartitions("token")
              .mapInArrow(_star_edges, "a long, b long"))
     blocks = (connected_components(edges)
               .select(F.col("node").alias("d1"), F.col("component").alias("block")))
-    members = sets.select("d1", F.size("tokens").alias("size")).distinct().join(blocks, "d1")
+    members = sets.select("d1", "size").distinct().join(blocks, "d1")
     blocks = members.join(_splits(members, "splits", block_tokens, block_members), "block")
     blocks = written(blocks, "jaccard-blocks")
     narrow_sets = sets.select("d1", "n", "tokens")
@@ -581,8 +722,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         more = _links(_across(narrow_sets, blocks, found, block_tokens, block_members), percent)
         found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b"))
                                      .unionByName(more))
-    reps = narrow.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    named = reps.join(found.select(F.col("node").alias("d1"), "component"), "d1", "left")
+    named = reps.select("d1", "d2", "rep").join(found.select(F.col("node").alias("d1"), "component"), "d1", "left")
     least = (named.filter("component is not null").groupBy("component").agg(F.min("rep").alias("least")))
     named = named.join(least, "component", "left").select(
         "d1", "d2", F.coalesce("least", "rep").alias("component_id"))

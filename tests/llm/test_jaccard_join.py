@@ -1,10 +1,12 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from strata.llm import jaccard_join as jj
+from strata.llm import store
 from strata.llm.components import connected_components
 from tests.llm.conftest import WORDS, lowered
 
@@ -150,3 +152,71 @@ def test_a_rest_that_links_across_parts(spark, monkeypatch):
     got = {r.doc_id: (r.n_shingles, r.component_id)
            for r in jj.jaccard_components(frame, block_members=5).collect()}
     assert got == brute(docs)
+
+
+def kept_tables(monkeypatch):
+    """The tables that the join writes, by name."""
+    tables, written = {}, jj.written
+    monkeypatch.setattr(jj, "written", lambda df, name: tables.setdefault(name, written(df, name)))
+    return tables
+
+
+def test_copies_of_a_set_travel_once(spark, monkeypatch):
+    """Every text six times, in other tasks: the exchange carries each set once, others not at all."""
+    tables = kept_tables(monkeypatch)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(40)) for _ in range(30)]
+    texts += [t.replace(t.split()[20], "other") for t in texts[:10]]
+    docs = {i: texts[i % 40] for i in range(240)}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartitionByRange(6, "doc_id")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(frame).collect()}
+    assert got == brute(docs)
+    assert tables["jaccard-sets"].count() == 20  # the ten texts with a near copy, and these
+
+
+def test_near_copies_of_many_texts_stay_in_blocks_of_their_own(spark, monkeypatch):
+    """Groups of near copies whose shingles, but for a few, many texts have: a small count
+    array (now: sieve) must not put rare and common shingles on a level."""
+    tables = kept_tables(monkeypatch)
+    rng = random.Random(9)
+    common = [[rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(30)] for _ in range(8)]
+    docs = {}
+    for i in range(200):
+        own = [f"o{i}x{j}" for j in range(45)]
+        for j in range(4):
+            words = own + rng.choice(common)
+            words[10 * j] = f"z{i}x{j}"
+            docs[4 * i + j] = " ".join(words)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(frame, width=64).collect()}
+    assert got == brute(docs)
+    assert max(r["count"] for r in tables["jaccard-blocks"].groupBy("block").count().collect()) <= 20
+
+
+def test_sieve_never_misses(spark):
+    rng = np.random.default_rng(2)
+    names = rng.integers(-2 ** 63, 2 ** 63, 4000)
+    frame = spark.createDataFrame([(int(x),) for x in names], "row long").repartition(5)
+    for width, most in ((1 << 20, 0.02), (64, 1)):
+        sieve = jj._sieve(frame, 4000, width).value
+        assert sieve.has(names).all() and sieve.slices.nbytes <= 16 * width
+        assert sieve.has(rng.integers(-2 ** 63, 2 ** 63, 4000)).mean() <= most
+    assert not jj._sieve(frame.limit(0), 0, 64).value.has(names).any()
+    assert jj._sieve(frame.limit(0), 0, 64).value.has(names[:0]).tolist() == []
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {str(f) for f in list(disk.getAllFiles().mkString("\n").split("\n")) if "shuffle_" in f}
+
+    before = files()
+    option = spark.conf.get(store._CLEANUP, None) if hasattr(store, "_CLEANUP") else None
+    frame = store.written(spark.range(1000).repartition(3, "id"), "test-shuffle")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert frame.count() == 1000
+    assert spark.conf.get(store._CLEANUP, None) == option
