@@ -1,9 +1,12 @@
+import os
 import random
+import time
 
 import corpus_pipeline as cp
 import pytest
 from pyspark.sql import functions as F
 
+from strata.llm import jaccard_join as jj
 from tests.llm.conftest import prose
 
 FOLDER = "/root/testdata/sf0.001"
@@ -81,3 +84,26 @@ def test_clean_texts_stay_whatever_the_number_of_languages(spark, count):
     docs = spark.createDataFrame([*rows, (9999, "?! 12", None)], "doc_id long, text string, lang string")
     kept = {r.doc_id for r in cp.language_id(spark, docs, FOLDER).select("doc_id").collect()}
     assert 9999 not in kept and len(kept) == len(rows)
+
+
+def test_near_duplicates_carry_each_text_once(spark, monkeypatch):
+    """Texts that come many times: the stage exchanges the shingles of each once and leaves no shuffle files."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f and f.endswith(".data")}
+
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(200)) for _ in range(20)]
+    rows = [(i, texts[i % 20]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    tables, written = {}, jj.written
+    monkeypatch.setattr(jj, "written", lambda df, name: tables.setdefault(name, written(df, name)))
+    before = files()
+    left = cp.near_duplicates(spark, docs, FOLDER)
+    until = time.time() + 20
+    while sum(os.path.getsize(f) for f in files() - before if os.path.exists(f)) > 20_000 and time.time() < until:
+        time.sleep(0.2)
+    assert sum(os.path.getsize(f) for f in files() - before if os.path.exists(f)) <= 20_000
+    assert tables["jaccard-sets"].count() == 0  # no two of the twenty are near copies
+    assert {r.doc_id for r in left.collect()} == set(range(20))
